@@ -38,9 +38,11 @@ def assign_ids(df: DataFrame, order_cols, name: str, start=1) -> DataFrame:
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
-    """Select and cast the columns of ``table`` in declared order."""
+    """Select and cast the columns of ``table`` in declared order; omitted
+    columns without a default are NULL, as in an INSERT."""
     schema = schemas.SCHEMAS[table]
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                       for f in schema.fields])
 
 
 def append_rows(df: DataFrame, table: str, path: str, existing: DataFrame | None = None,
