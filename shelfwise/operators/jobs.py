@@ -371,21 +371,22 @@ def recommend(bought: DataFrame, items: DataFrame, per_member: int | None = 5) -
     whole genre (positions from ``with_position``, safe for a huge genre).
     ``per_member=None`` returns every recommendation.
     """
-    seen = bought.select("member_id", "item_id").distinct()
     genre_of = items.select("item_id", "genre")
-    counts = bought.join(genre_of, "item_id").groupBy("member_id", "genre") \
-        .agg(F.count(F.lit(1)).alias("_cnt"))
-    fav = top_n_within(counts, ["member_id"], [F.desc("_cnt")], 1, name="_rk", kind="rank") \
-        .select("member_id", "genre")
+    # one aggregate feeds everything below: loans per (member, genre, item)
+    mgi = bought.join(genre_of, "item_id").groupBy("member_id", "genre", "item_id") \
+        .agg(F.count(F.lit(1)).alias("_n"))
+    seen = mgi.select("member_id", "item_id")
+    per_genre = mgi.groupBy("member_id", "genre").agg(F.sum("_n").alias("_cnt"),
+                                                      F.count(F.lit(1)).alias("_s"))
+    fav = top_n_within(per_genre, ["member_id"], [F.desc("_cnt")], 1, name="_rk", kind="rank") \
+        .select("member_id", "genre", "_s")
     if per_member is None:
-        cand = fav.join(items, "genre")
+        cand = fav.drop("_s").join(items, "genre")
         return cand.join(seen, ["member_id", "item_id"], "left_anti") \
             .select("member_id", "item_id", "genre", "title")
-    seen_g = seen.join(genre_of, "item_id").groupBy("member_id", "genre").agg(F.count(F.lit(1)).alias("_s"))
     size = items.groupBy("genre").agg(F.count(F.lit(1)).alias("_size"))
-    need = fav.join(seen_g, ["member_id", "genre"], "left").join(size, "genre") \
-        .select("member_id", "genre",
-                F.least(F.lit(per_member) + F.coalesce("_s", F.lit(0)), F.col("_size")).alias("_k"))
+    need = fav.join(size, "genre").select(
+        "member_id", "genre", F.least(F.lit(per_member) + F.col("_s"), F.col("_size")).alias("_k"))
     slots = need.select("member_id", "genre", F.explode(F.sequence(F.lit(1).cast("long"),
                                                                     F.col("_k").cast("long"))).alias("_pos"))
     positioned = with_position(items.select("item_id", "genre", "title"), ["title", "item_id"], ["genre"],

@@ -150,6 +150,20 @@ def moving_average_rows(df: DataFrame, order_cols, value_col: str, preceding: in
     return pos.join(avg, "_sw_pos").drop("_sw_pos")
 
 
+def moving_average_range(df: DataFrame, date_col: str, value_col: str, days: int, name: str,
+                         group_cols=()) -> DataFrame:
+    """AVG(value) OVER (ORDER BY date RANGE BETWEEN INTERVAL n DAYS PRECEDING
+    AND CURRENT ROW), optionally per group: each row contributes to the
+    next ``days`` calendar days, then one aggregate per (group, day); days
+    absent from the input stay absent from the average."""
+    group_cols = list(group_cols)
+    contrib = df.select(*group_cols,
+                        F.explode(F.sequence(F.col(date_col), F.date_add(F.col(date_col), days))).alias(date_col),
+                        F.col(value_col).alias("_sw_v"))
+    avg = contrib.groupBy(*group_cols, date_col).agg(F.avg("_sw_v").alias(name))
+    return _join_back(df, avg, [*group_cols, date_col])
+
+
 def lag_columns(df: DataFrame, group_cols, order_cols, value_cols, prefix: str = "prev_",
                 offset: int = 1, method: str = "position") -> DataFrame:
     """LAG(value, offset) OVER (PARTITION BY group ORDER BY order) for each

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.exprs import late_days, pct_exact, position_in, round_ratio
@@ -38,10 +38,22 @@ def _ts(c: Column) -> Column:
 
 
 def _money(c) -> Column:
-    """Prices carry two decimals; sum them exactly."""
+    """Prices carry two decimals: as DECIMAL(18,2) for exact comparisons."""
     return (F.col(c) if isinstance(c, str) else c).cast("decimal(18,2)")
 
 
+def _cents(c) -> Column:
+    """Price in integer cents (exact for two-decimal prices). Sums stay in
+    64-bit integer arithmetic inside codegen, where a DECIMAL(28,2) sum
+    would take the BigDecimal path."""
+    return F.round((F.col(c) if isinstance(c, str) else c) * 100).cast("long")
+
+
+def _from_cents(c) -> Column:
+    """Cents back to a money DOUBLE (exact integer / 100, one rounding)."""
+    return (F.col(c) if isinstance(c, str) else c).cast("double") / F.lit(100.0)
+
+
 def _due(c="o_orderdate") -> Column:
     return F.date_add(_d(c), LOAN_DAYS)
 
@@ -117,7 +129,7 @@ def status_rollup(spark, sf_dir):
     t = _t(spark, sf_dir)
     r = aggs.rollup_with_total(
         t.orders, "o_orderstatus",
-        [F.sum(_money("o_totalprice")).cast("double").alias("total_amount"),
+        [_from_cents(F.sum(_cents("o_totalprice"))).alias("total_amount"),
          F.count(F.lit(1)).alias("order_count")])
     return r
 
@@ -178,7 +190,7 @@ def customer_activity(spark, sf_dir):
     g = (j.groupBy("c_custkey", "c_name")
           .agg(F.count(F.lit(1)).alias("total_loans"),
                F.sum(F.when(F.col("o_orderstatus") == "O", 1).otherwise(0)).cast("long").alias("active_loans"),
-               F.coalesce(F.sum(_money("l_extendedprice")), F.lit(0)).cast("double").alias("unpaid_fines"))
+               _from_cents(F.coalesce(F.sum(_cents("l_extendedprice")), F.lit(0))).alias("unpaid_fines"))
           .where(F.col("total_loans") > 0))
     return topk.top_k(g, [F.desc("total_loans"), "c_custkey"], 10)
 
@@ -211,7 +223,7 @@ def star_chain(spark, sf_dir):
     """Order revenue (lines aggregated to the order first) through the
     customer -> nation -> region chain; newest 20 orders."""
     t = _t(spark, sf_dir)
-    rev = t.lineitem.groupBy("l_orderkey").agg(F.sum(_money("l_extendedprice")).cast("double").alias("revenue"))
+    rev = t.lineitem.groupBy("l_orderkey").agg(_from_cents(F.sum(_cents("l_extendedprice"))).alias("revenue"))
     j = (t.orders.join(rev, t.orders.o_orderkey == rev.l_orderkey)
           .join(t.customer, F.col("o_custkey") == t.customer.c_custkey)
           .join(t.nation, F.col("c_nationkey") == t.nation.n_nationkey)
@@ -232,16 +244,20 @@ def on_loan(spark, sf_dir):
 
 def availability(spark, sf_dir):
     """Per part: distinct orders, distinct open orders and the difference
-    (parts with no lines kept by the left joins)."""
+    (parts with no lines kept). The (part, order) pairs are deduplicated
+    once and flagged, so both distinct counts are plain counts: no Expand
+    of the line rows per distinct aggregate."""
     t = _t(spark, sf_dir)
-    li = t.lineitem.select("l_partkey", "l_orderkey")
+    pairs = t.lineitem.select("l_partkey", "l_orderkey").distinct()
     opened = t.orders.where(F.col("o_orderstatus") == "O").select("o_orderkey")
-    j = (t.part.join(li, t.part.p_partkey == li.l_partkey, "left")
-           .join(opened, F.col("l_orderkey") == opened.o_orderkey, "left"))
-    g = j.groupBy("p_partkey", "p_name").agg(
-        F.countDistinct("l_orderkey").alias("total_copies"),
-        F.countDistinct("o_orderkey").alias("copies_on_loan"))
-    return g.withColumn("available_copies", F.col("total_copies") - F.col("copies_on_loan"))
+    flagged = pairs.join(opened, pairs.l_orderkey == opened.o_orderkey, "left")
+    per = flagged.groupBy(F.col("l_partkey").alias("p_partkey")).agg(
+        F.count(F.lit(1)).alias("total_copies"), F.count("o_orderkey").alias("copies_on_loan"))
+    j = t.part.select("p_partkey", "p_name").join(per, "p_partkey", "left")
+    total = F.coalesce("total_copies", F.lit(0))
+    onloan = F.coalesce("copies_on_loan", F.lit(0))
+    return j.select("p_partkey", "p_name", total.alias("total_copies"), onloan.alias("copies_on_loan"),
+                    (total - onloan).alias("available_copies"))
 
 
 def loans_per_part(spark, sf_dir):
@@ -340,11 +356,11 @@ def above_average_debt(spark, sf_dir):
     t = _t(spark, sf_dir)
     lines = t.lineitem.where(F.col("l_linestatus") == "O")
     j = t.orders.join(lines, t.orders.o_orderkey == lines.l_orderkey)
-    per = j.groupBy("o_custkey").agg(F.sum(_money("l_extendedprice")).alias("_tot"),
+    per = j.groupBy("o_custkey").agg(F.sum(_cents("l_extendedprice")).alias("_tot"),
                                      F.count(F.lit(1)).alias("fine_count"))
-    mean = aggs.scalar(t.lineitem, F.avg(_money("l_extendedprice")))
+    mean = aggs.scalar(t.lineitem, F.avg(_cents("l_extendedprice")))
     out = per.where(F.col("_tot") > mean).join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-    return out.select("c_custkey", "c_name", F.col("_tot").cast("double").alias("total_fines"), "fine_count")
+    return out.select("c_custkey", "c_name", _from_cents("_tot").alias("total_fines"), "fine_count")
 
 
 def summary_cte(spark, sf_dir):
@@ -356,7 +372,7 @@ def summary_cte(spark, sf_dir):
     lines = t.lineitem.where(F.col("l_linestatus") == "O")
     unpaid = (o.join(lines, o.o_orderkey == lines.l_orderkey, "left")
                .groupBy("o_custkey")
-               .agg(F.coalesce(F.sum(_money("l_extendedprice")), F.lit(0)).cast("double").alias("total_fines")))
+               .agg(_from_cents(F.coalesce(F.sum(_cents("l_extendedprice")), F.lit(0))).alias("total_fines")))
     active = (o.where(F.col("o_orderstatus") == "O").groupBy("o_custkey")
                .agg(F.count(F.lit(1)).alias("active_loans_count")))
     c = t.customer.select("c_custkey", "c_name", "c_mktsegment")
@@ -388,7 +404,7 @@ def revenue_full_outer(spark, sf_dir):
     fr = (t.orders.where((F.col("o_orderstatus") == "F") & (_d("o_orderdate") < F.lit(dt.date(2001, 3, 1))))
            .groupBy(F.year("o_orderdate").cast("long").alias("year"),
                     F.month("o_orderdate").cast("long").alias("month"))
-           .agg(F.sum(_money("o_totalprice")).alias("total_fines")))
+           .agg(F.sum(_cents("o_totalprice")).alias("total_fines")))
     fee = None
     for flag, amount in _FEES:
         fee = (F.when(F.col("l_returnflag") == flag, F.lit(amount)) if fee is None
@@ -399,11 +415,11 @@ def revenue_full_outer(spark, sf_dir):
                     F.month("l_shipdate").cast("long").alias("month"))
            .agg(F.sum(fee).cast("long").alias("total_membership")))
     j = joins.full_outer_coalesce(fr, mr, ["year", "month"])
-    fines = F.coalesce(F.col("total_fines"), F.lit(0).cast("decimal(28,2)"))
+    fines = F.coalesce(F.col("total_fines"), F.lit(0))
     mem = F.coalesce(F.col("total_membership"), F.lit(0))
-    out = j.select("year", "month", fines.cast("double").alias("fine_revenue"),
+    out = j.select("year", "month", _from_cents(fines).alias("fine_revenue"),
                    mem.alias("membership_revenue"),
-                   (fines + mem).cast("double").alias("total_revenue"))
+                   _from_cents(fines + mem * 100).alias("total_revenue"))
     return topk.top_k(out, [F.desc_nulls_last("year"), F.desc_nulls_last("month")], 12)
 
 
@@ -518,10 +534,9 @@ def running_total(spark, sf_dir):
     date share the total)."""
     t = _t(spark, sf_dir)
     f = t.orders.where(F.col("o_orderstatus") == "F").select(
-        "o_orderkey", "o_orderdate", "o_totalprice", _money("o_totalprice").alias("_m"))
+        "o_orderkey", "o_orderdate", "o_totalprice", _cents("o_totalprice").alias("_m"))
     r = windows.running_total(f, "o_orderdate", "_m", "_rt")
-    return r.select("o_orderkey", "o_orderdate", "o_totalprice",
-                    F.col("_rt").cast("double").alias("running_total"))
+    return r.select("o_orderkey", "o_orderdate", "o_totalprice", _from_cents("_rt").alias("running_total"))
 
 
 def top3_per_type(spark, sf_dir):
@@ -541,7 +556,10 @@ def monthly_delta(spark, sf_dir):
     m = (t.orders.groupBy("o_custkey", F.year("o_orderdate").cast("long").alias("year"),
                           F.month("o_orderdate").cast("long").alias("month"))
            .agg(F.count(F.lit(1)).alias("loans_this_month")))
-    l = windows.lag_columns(m, ["o_custkey"], ["year", "month"], ["loans_this_month"], prefix="prev_")
+    # a customer has at most one row per calendar month here, so no group
+    # can grow with the data: the plain partitioned window is safe
+    l = windows.lag_columns(m, ["o_custkey"], ["year", "month"], ["loans_this_month"], prefix="prev_",
+                            method="window")
     return l.select("o_custkey", "year", "month", "loans_this_month",
                     F.col("prev_loans_this_month").alias("previous_month_loans"),
                     (F.col("loans_this_month") - F.col("prev_loans_this_month")).alias("change"))
@@ -562,11 +580,40 @@ def moving_avg(spark, sf_dir):
     t = _t(spark, sf_dir)
     daily = t.orders.groupBy(_d("o_orderdate").alias("loan_day")).agg(
         F.count("o_orderkey").alias("loans_that_day"))
-    ma = windows.moving_average_rows(daily, ["loan_day"], "loans_that_day", 6, "seven_day_moving_avg")
+    # one row per calendar day: bounded by the calendar, not by the data,
+    # so the plain ROWS window over the daily table is safe here
+    w = Window.orderBy("loan_day").rowsBetween(-6, 0)
+    ma = daily.withColumn("seven_day_moving_avg", F.avg("loans_that_day").over(w))
     ma = topk.top_k(ma, [F.desc("loan_day")], 30)
     return ma.select(_ts(F.col("loan_day")).alias("loan_day"), "loans_that_day", "seven_day_moving_avg")
 
 
+def moving_avg_calendar(spark, sf_dir):
+    """Lines shipped per day with the mean over the last 7 calendar days
+    (RANGE frame: days without shipments are absent, not zero), over all
+    lines; each day contributes to the next 7 calendar days."""
+    t = _t(spark, sf_dir)
+    daily = t.lineitem.groupBy(_d("l_shipdate").alias("ship_day")).agg(F.count(F.lit(1)).alias("lines"))
+    ma = windows.moving_average_range(daily, "ship_day", "lines", 6, "seven_day_avg")
+    return ma.select(_ts(F.col("ship_day")).alias("ship_day"), "lines", "seven_day_avg")
+
+
+def dense_ids(spark, sf_dir):
+    """Dense order numbers 1..n by (order date, key) without a global
+    single-task ROW_NUMBER (range partitions + per-partition offsets)."""
+    from shelfwise.sources.append import assign_ids
+    t = _t(spark, sf_dir)
+    o = t.orders.select("o_orderkey", "o_orderdate")
+    return assign_ids(o, ["o_orderdate", "o_orderkey"], "seq_id", start=1)
+
+
+def active_customers(spark, sf_dir):
+    """Customers in good standing (non-negative balance), by name."""
+    t = _t(spark, sf_dir)
+    c = t.customer.where(F.col("c_acctbal") >= 0)
+    return topk.sort(c.select("c_custkey", "c_name", "c_mktsegment"), ["c_name", "c_custkey"])
+
+
 def percentile(spark, sf_dir):
     """Percent rank (x100, 2 decimals) of open line amounts, with buyer."""
     t = _t(spark, sf_dir)
@@ -696,7 +743,8 @@ QUERIES = {
     "status_union": status_union, "issues": issues, "top_bottom": top_bottom,
     "rank_customers": rank_customers, "running_total": running_total,
     "top3_per_type": top3_per_type, "monthly_delta": monthly_delta, "next_event": next_event,
-    "moving_avg": moving_avg, "percentile": percentile, "gaps": gaps, "late_days": late_days_q,
+    "moving_avg": moving_avg, "moving_avg_calendar": moving_avg_calendar, "dense_ids": dense_ids,
+    "active_customers": active_customers, "percentile": percentile, "gaps": gaps, "late_days": late_days_q,
     "daily_activity": daily_activity, "checkouts": checkouts, "quota": quota,
     "dq_pk": dq_pk, "dq_fk": dq_fk, "dq_values": dq_values, "dq_summary": dq_summary,
 }

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.exprs import full_name, late_days, pct_exact, position_in, round_ratio
@@ -457,7 +457,10 @@ def monthly_change(t: Tables, as_of=None) -> DataFrame:
     change (previous active month, gaps not filled)."""
     m = t["loans"].groupBy("member_id", F.year("loan_date").alias("year"), F.month("loan_date").alias("month")) \
         .agg(F.count(F.lit(1)).alias("loans_this_month"))
-    l = windows.lag_columns(m, ["member_id"], ["year", "month"], ["loans_this_month"], prefix="prev_")
+    # one row per member and calendar month: groups cannot grow with the
+    # data, so the plain partitioned window is safe
+    l = windows.lag_columns(m, ["member_id"], ["year", "month"], ["loans_this_month"], prefix="prev_",
+                            method="window")
     out = l.select("member_id", "year", "month", "loans_this_month",
                    F.col("prev_loans_this_month").alias("previous_month_loans"),
                    (F.col("loans_this_month") - F.col("prev_loans_this_month")).alias("change"))
@@ -479,7 +482,11 @@ def moving_average_loans(t: Tables, as_of=None, k: int = 30) -> DataFrame:
     """Loans per day with the average over the last 7 rows (days with loans,
     not calendar days); newest k days."""
     daily = t["loans"].groupBy(F.col("loan_date").alias("loan_day")).agg(F.count("loan_id").alias("loans_that_day"))
-    ma = windows.moving_average_rows(daily, ["loan_day"], "loans_that_day", 6, "seven_day_moving_avg")
+    # one row per calendar day (bounded by the calendar, not the data): the
+    # plain ROWS window is fine; ``windows.moving_average_rows`` is the form
+    # for unbounded inputs
+    w = Window.orderBy("loan_day").rowsBetween(-6, 0)
+    ma = daily.withColumn("seven_day_moving_avg", F.avg("loans_that_day").over(w))
     return topk.top_k(ma, [F.desc("loan_day")], k)
 
 
