@@ -90,6 +90,12 @@ def full_name(first, last) -> Column:
     return F.concat(_c(first), F.lit(" "), _c(last))
 
 
+def same_text(c, value: str, collation: str = "UNICODE_CI_AI") -> Column:
+    """String equality under a collation (default: case- and
+    accent-insensitive). Plain ``==`` compares binary strings."""
+    return F.collate(_c(c), collation) == F.lit(value)
+
+
 def register_sql_functions(spark: SparkSession) -> None:
     """Make the column functions callable from Spark SQL as temporary SQL
     functions (no Python involved at run time)."""
