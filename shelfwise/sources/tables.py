@@ -49,5 +49,14 @@ class DriverTables:
     __getitem__ = __getattr__
 
 
+_SCANS: dict[tuple, DriverTables] = {}
+
+
 def load_driver_tables(spark: SparkSession, base: str) -> DriverTables:
-    return DriverTables(spark, base)
+    """Scans of the driver tables, shared by every report of one session:
+    the file listing and Parquet footer are read once per table, not once
+    per report (the tables are read-only inputs)."""
+    key = (id(spark), spark.sparkContext.applicationId, base)
+    if key not in _SCANS:
+        _SCANS[key] = DriverTables(spark, base)
+    return _SCANS[key]
