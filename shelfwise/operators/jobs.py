@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise import schemas
+from shelfwise.session import materialize
 from shelfwise.functions.exprs import FINE_PER_DAY, LOAN_DAYS, fine_amount
 from shelfwise.operators.windows import first_per_group, top_n_within, with_position
 
@@ -106,8 +107,8 @@ def fines_for_returns(old: DataFrame, new: DataFrame, rate: Decimal = FINE_PER_D
 
 
 # ---------------------------------------------------------------- C2 return
-def apply_returns(requests: DataFrame, loans: DataFrame, as_of,
-                  order_cols=("request_id",)) -> tuple[DataFrame, DataFrame, DataFrame]:
+def apply_returns(requests: DataFrame, loans: DataFrame, as_of, order_cols=("request_id",),
+                  cut_lineage: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Return requests (request_id, loan_id). Returns (outcomes, loans after
     the batch, new fines). A loan that is not active is rejected; repeated
     requests for one loan: the first wins, later ones find it returned.
@@ -127,6 +128,8 @@ def apply_returns(requests: DataFrame, loans: DataFrame, as_of,
                                .when(days > 0, F.concat(F.lit(MSG_RETURNED_FINE), fine.cast("string")))
                                .otherwise(F.lit(MSG_RETURNED_OK)))
                    .drop("_win", "due_date"))
+    if cut_lineage:  # outcomes feed the new loans and, through them, the fines
+        outcomes = materialize(outcomes)
     returned = outcomes.where("accepted").select("loan_id", F.lit(True).alias("_ret"))
     new_loans = (loans.join(returned, "loan_id", "left")
                       .withColumn("return_date", F.when(F.col("_ret"), _lit_date(as_of)).otherwise(F.col("return_date")))
@@ -235,7 +238,7 @@ def allocate_copies(requests: DataFrame, copies: DataFrame, loans: DataFrame,
 
 
 def checkout_and_log(requests: DataFrame, copies: DataFrame, loans: DataFrame, as_of,
-                     loan_days: int = LOAN_DAYS, order_cols=("request_id",)):
+                     loan_days: int = LOAN_DAYS, order_cols=("request_id",), cut_lineage: bool = True):
     """Allocate a copy, create the loan and its audit row, per request.
     Returns (outcomes, new loans with ids, audit rows)."""
     alloc = allocate_copies(requests, copies, loans, order_cols)
@@ -246,6 +249,8 @@ def checkout_and_log(requests: DataFrame, copies: DataFrame, loans: DataFrame, a
         F.lit(None).cast("date").alias("return_date"), F.lit("active").alias("status"))
     from shelfwise.sources.append import assign_ids
     new = assign_ids(new, ["request_id"], "loan_id", start=start)
+    if cut_lineage:  # loan rows and their audit rows must carry the same ids
+        new = materialize(new)
     audit = new.select(F.lit("loans").alias("table_name"), F.lit("INSERT").alias("action"),
                        F.col("loan_id").cast("int").alias("record_id"),
                        F.lit("Book checked out").alias("description"))
@@ -254,7 +259,7 @@ def checkout_and_log(requests: DataFrame, copies: DataFrame, loans: DataFrame, a
 
 # ---------------------------------------------------------------- C11
 def settle_fines(payment_ids: DataFrame, fines: DataFrame, loans: DataFrame, members: DataFrame,
-                 as_of, only_suspended: bool = False):
+                 as_of, only_suspended: bool = False, cut_lineage: bool = True):
     """Mark fines paid, then set members of those fines who have no unpaid
     fine left (after the payments) to 'active'. Returns (fines, members,
     audit rows). Without ``only_suspended`` an expired member is
@@ -265,6 +270,8 @@ def settle_fines(payment_ids: DataFrame, fines: DataFrame, loans: DataFrame, mem
     new_fines = (f.withColumn("paid", F.when(F.col("_pay"), F.lit(True)).otherwise(F.col("paid")))
                   .withColumn("payment_date", F.when(F.col("_pay"), _lit_date(as_of)).otherwise(F.col("payment_date")))
                   .drop("_pay").select(*fines.columns))
+    if cut_lineage:  # the new fines version feeds the reactivation rule
+        new_fines = materialize(new_fines)
     owners = fines.join(pay, "fine_id").join(loans.select("loan_id", "member_id"), "loan_id") \
         .select("member_id").distinct()
     still = new_fines.where(F.col("paid") == False).join(loans.select("loan_id", "member_id"), "loan_id") \
@@ -298,7 +305,7 @@ def apply_quota(requests: DataFrame, loans: DataFrame, max_active: int = 5,
 
 # ---------------------------------------------------------------- C13
 def batch_return(member_ids: DataFrame, loans: DataFrame, fines: DataFrame, as_of,
-                 days: str = "as_of"):
+                 days: str = "as_of", cut_lineage: bool = True):
     """Return every active loan of the given members; then fine each of
     their returned loans that came back late and has no fine yet (old ones
     included). ``days='as_of'`` charges ``as_of - due`` (the literal
@@ -310,6 +317,8 @@ def batch_return(member_ids: DataFrame, loans: DataFrame, fines: DataFrame, as_o
     new_loans = (mine.withColumn("return_date", F.when(hit, _lit_date(as_of)).otherwise(F.col("return_date")))
                      .withColumn("status", F.when(hit, F.lit("returned")).otherwise(F.col("status")))
                      .select(*loans.columns, "_mine"))
+    if cut_lineage:  # the changed loans feed both the new version and the fines
+        new_loans = materialize(new_loans)
     late = new_loans.where(F.col("_mine") & (F.col("status") == "returned")
                            & (F.col("return_date") > F.col("due_date")))
     late = late.join(fines.select("loan_id"), "loan_id", "left_anti")

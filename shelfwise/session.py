@@ -49,3 +49,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def materialize(df):
+    """Cut lineage at ``df``: a reliable checkpoint written to the shared
+    ``spark.checkpoint.dir`` (never a local checkpoint), so outputs derived
+    from ``df`` neither recompute it nor lose it with an executor."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -29,6 +29,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 
 from shelfwise.functions.exprs import FINE_PER_DAY, LOAN_DAYS
 from shelfwise.operators import jobs
+from shelfwise.session import materialize
 
 LOAN_REQUEST_SCHEMA = T.StructType([
     T.StructField("request_id", T.LongType()), T.StructField("member_id", T.IntegerType()),
@@ -80,8 +81,8 @@ def admit_loan_requests(spark: SparkSession, source_dir: str, members: DataFrame
         rejected = batch.where(F.col("rejection").isNotNull()).select(
             "request_id", "member_id", "copy_id", F.lit(False).alias("accepted"),
             F.col("rejection").alias("outcome"))
-        checked = jobs.apply_checkouts(guard_ok.drop("rejection", "due_date", "loan_date"), members, known,
-                                       as_of, order_cols=["requested_at", "request_id"])
+        checked = materialize(jobs.apply_checkouts(guard_ok.drop("rejection", "due_date", "loan_date"), members,
+                                                   known, as_of, order_cols=["requested_at", "request_id"]))
         outcomes = checked.select("request_id", "member_id", "copy_id", "accepted", "outcome") \
             .unionByName(rejected)
         outcomes.write.mode("overwrite").parquet(os.path.join(out_dir, "outcomes", f"epoch={epoch_id}"))
