@@ -378,7 +378,12 @@ def summary_cte(spark, sf_dir):
     c = t.customer.select("c_custkey", "c_name", "c_mktsegment")
     for df in (total, unpaid, active):
         c = c.join(df.withColumnRenamed("o_custkey", "c_custkey"), "c_custkey", "left")
-    return c.select("c_custkey", "c_name", "total_loans", "active_loans_count", "total_fines", "c_mktsegment")
+    # counts that can be NULL are carried as DOUBLE: both engines then hand
+    # the same column type to pandas (a nullable BIGINT becomes Int64 in one
+    # and float64 in the other); the values are unchanged
+    return c.select("c_custkey", "c_name", F.col("total_loans").cast("double").alias("total_loans"),
+                    F.col("active_loans_count").cast("double").alias("active_loans_count"), "total_fines",
+                    "c_mktsegment")
 
 
 def all_priorities(spark, sf_dir):
@@ -560,9 +565,10 @@ def monthly_delta(spark, sf_dir):
     # can grow with the data: the plain partitioned window is safe
     l = windows.lag_columns(m, ["o_custkey"], ["year", "month"], ["loans_this_month"], prefix="prev_",
                             method="window")
+    # nullable counts as DOUBLE (see summary_cte)
     return l.select("o_custkey", "year", "month", "loans_this_month",
-                    F.col("prev_loans_this_month").alias("previous_month_loans"),
-                    (F.col("loans_this_month") - F.col("prev_loans_this_month")).alias("change"))
+                    F.col("prev_loans_this_month").cast("double").alias("previous_month_loans"),
+                    (F.col("loans_this_month") - F.col("prev_loans_this_month")).cast("double").alias("change"))
 
 
 def next_event(spark, sf_dir):
@@ -634,7 +640,7 @@ def gaps(spark, sf_dir):
     l = windows.lag_columns(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], ["o_orderdate"], prefix="prev_")
     return l.select("o_custkey", "o_orderkey", "o_orderdate",
                     F.col("prev_o_orderdate").alias("previous_loan_date"),
-                    F.datediff(_d("o_orderdate"), _d("prev_o_orderdate")).cast("long").alias("days_gap"))
+                    F.datediff(_d("o_orderdate"), _d("prev_o_orderdate")).cast("double").alias("days_gap"))
 
 
 def late_days_q(spark, sf_dir):
