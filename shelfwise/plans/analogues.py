@@ -662,6 +662,28 @@ def daily_activity(spark, sf_dir):
     return g.select(F.col("w.start").cast("timestamp_ntz").alias("day"), "event_type", "events")
 
 
+def daily_activity_stream(spark, sf_dir):
+    """The same counts produced by the Structured Streaming job: the events
+    table is read as a file stream, windows are emitted in append mode once
+    the 1-day watermark passes them (the newest windows stay open), and the
+    emitted rows are returned. Checkpoint state lives under the session's
+    checkpoint folder."""
+    import os
+    import uuid
+
+    from shelfwise.session import checkpoint_dir
+    from shelfwise.streaming.streams import daily_activity as stream_counts
+    t = _t(spark, sf_dir)
+    # the file source watches a folder; only the events file is taken from it
+    stream = spark.readStream.schema(t.events.schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    name = f"daily_activity_{uuid.uuid4().hex[:12]}"
+    ckpt = os.path.join(checkpoint_dir(spark), "streams", name)
+    q = (stream_counts(stream).writeStream.format("memory").queryName(name).outputMode("append")
+         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.table(name).select(F.col("day").cast("timestamp_ntz").alias("day"), "event_type", "events")
+
+
 # ---------------------------------------------------------------- jobs
 def _requests(t, since):
     e = t.events.where((F.col("event_type") == "purchase") & (F.col("ts") >= F.lit(since)))
@@ -751,6 +773,6 @@ QUERIES = {
     "top3_per_type": top3_per_type, "monthly_delta": monthly_delta, "next_event": next_event,
     "moving_avg": moving_avg, "moving_avg_calendar": moving_avg_calendar, "dense_ids": dense_ids,
     "active_customers": active_customers, "percentile": percentile, "gaps": gaps, "late_days": late_days_q,
-    "daily_activity": daily_activity, "checkouts": checkouts, "quota": quota,
+    "daily_activity": daily_activity, "daily_activity_stream": daily_activity_stream, "checkouts": checkouts, "quota": quota,
     "dq_pk": dq_pk, "dq_fk": dq_fk, "dq_values": dq_values, "dq_summary": dq_summary,
 }
