@@ -73,10 +73,18 @@ def with_position(df: DataFrame, order_cols, group_cols=(), name: str = "pos") -
 
 
 def cumulative_sums(df: DataFrame, order_cols, sum_cols, group_cols=(),
-                    suffix: str = "_cum") -> DataFrame:
+                    suffix: str = "_cum", bounded: bool = False) -> DataFrame:
     """Inclusive prefix sums of ``sum_cols`` in ``order_cols`` order (within
-    ``group_cols``). ``group_cols + order_cols`` must be unique."""
+    ``group_cols``). ``group_cols + order_cols`` must be unique.
+
+    ``bounded=True`` declares that ``df`` has a size bound independent of
+    the data volume (e.g. one row per calendar day, or per distinct count
+    value); then a plain window does it in fewer stages."""
     group_cols = list(group_cols)
+    if bounded:
+        w = (Window.partitionBy(*group_cols).orderBy(*[_col(o) for o in order_cols])
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        return df.select("*", *[F.sum(c).over(w).alias(c + suffix) for c in sum_cols])
     keys = [F.col(g) for g in group_cols] + [_col(o) for o in order_cols]
     ranged = df.repartitionByRange(*keys).withColumn(_PID, F.spark_partition_id())
     wl = (Window.partitionBy(_PID, *group_cols).orderBy(*[_col(o) for o in order_cols])
@@ -98,17 +106,20 @@ def cumulative_sums(df: DataFrame, order_cols, sum_cols, group_cols=(),
 # ---------------------------------------------------------------- global ranks
 def global_ranks(df: DataFrame, order_col: str, ascending: bool = True,
                  rank: str | None = "rank", dense_rank: str | None = None,
-                 percent_rank: str | None = None) -> DataFrame:
+                 percent_rank: str | None = None, bounded_keys: bool = False) -> DataFrame:
     """RANK / DENSE_RANK / PERCENT_RANK over the whole frame ordered by one
     column (NULLs first ascending, last descending, as Spark orders them).
 
     Histogram of the order key (map-side combined, so a hot value is one
     row) -> prefix counts over distinct values -> join back on the value.
+    ``bounded_keys=True`` declares the number of distinct keys bounded
+    independently of the data (e.g. per-member counts: n distinct counts
+    need at least 1 + 2 + ... + n rows, so at most sqrt(2 * rows) of them).
     """
     hist = (df.groupBy(order_col).agg(F.count(F.lit(1)).alias("_sw_n"))
               .withColumn("_sw_one", F.lit(1)))
     o = F.col(order_col).asc_nulls_first() if ascending else F.col(order_col).desc_nulls_last()
-    cum = cumulative_sums(hist, [o], ["_sw_n", "_sw_one"])
+    cum = cumulative_sums(hist, [o], ["_sw_n", "_sw_one"], bounded=bounded_keys)
     cols = [F.col(order_col)]
     if rank or percent_rank:
         cols.append((F.col("_sw_n_cum") - F.col("_sw_n") + 1).alias("_sw_rank"))
@@ -127,12 +138,15 @@ def global_ranks(df: DataFrame, order_col: str, ascending: bool = True,
 
 
 def running_total(df: DataFrame, order_col: str, value_col: str, name: str,
-                  group_cols=()) -> DataFrame:
+                  group_cols=(), bounded_keys: bool = False) -> DataFrame:
     """SUM(value) OVER (PARTITION BY group ORDER BY order_col) with the
-    default RANGE frame: rows with equal order values share one total."""
+    default RANGE frame: rows with equal order values share one total.
+    ``bounded_keys=True``: the distinct order values are bounded (e.g.
+    calendar days), so the per-value table is summed with a plain window."""
     group_cols = list(group_cols)
     per_key = df.groupBy(*group_cols, order_col).agg(F.sum(value_col).alias("_sw_v"))
-    cum = cumulative_sums(per_key, [F.col(order_col).asc_nulls_first()], ["_sw_v"], group_cols)
+    cum = cumulative_sums(per_key, [F.col(order_col).asc_nulls_first()], ["_sw_v"], group_cols,
+                          bounded=bounded_keys)
     cum = cum.select(*group_cols, order_col, F.col("_sw_v_cum").alias(name))
     return _join_back(df, cum, [*group_cols, order_col])
 

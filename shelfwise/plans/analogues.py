@@ -527,8 +527,9 @@ def rank_customers(spark, sf_dir):
     with orders (histogram scale form, no single-partition window)."""
     t = _t(spark, sf_dir)
     per = t.orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("total_loans"))
+    # distinct order counts are at most sqrt(2 * orders): bounded histogram
     r = windows.global_ranks(per, "total_loans", ascending=False, rank="rank_num",
-                             dense_rank="dense_rank_num")
+                             dense_rank="dense_rank_num", bounded_keys=True)
     j = r.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
     return j.select("c_custkey", "c_name", "total_loans", F.col("rank_num").cast("long").alias("rank_num"),
                     F.col("dense_rank_num").cast("long").alias("dense_rank_num"))
@@ -540,7 +541,7 @@ def running_total(spark, sf_dir):
     t = _t(spark, sf_dir)
     f = t.orders.where(F.col("o_orderstatus") == "F").select(
         "o_orderkey", "o_orderdate", "o_totalprice", _cents("o_totalprice").alias("_m"))
-    r = windows.running_total(f, "o_orderdate", "_m", "_rt")
+    r = windows.running_total(f, "o_orderdate", "_m", "_rt", bounded_keys=True)  # one key per day
     return r.select("o_orderkey", "o_orderdate", "o_totalprice", _from_cents("_rt").alias("running_total"))
 
 

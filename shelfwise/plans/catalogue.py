@@ -430,7 +430,9 @@ def rank_members(t: Tables, as_of=None) -> DataFrame:
     per = t["members"].select("member_id", "first_name", "last_name") \
         .join(t["loans"].select("member_id", "loan_id"), "member_id") \
         .groupBy("member_id", "first_name", "last_name").agg(F.count("loan_id").alias("total_loans"))
-    r = windows.global_ranks(per, "total_loans", ascending=False, rank="rank_num", dense_rank="dense_rank_num")
+    # distinct loan counts are at most sqrt(2 * loans): bounded histogram
+    r = windows.global_ranks(per, "total_loans", ascending=False, rank="rank_num", dense_rank="dense_rank_num",
+                             bounded_keys=True)
     return topk.sort(r.select("rank_num", "dense_rank_num", "member_id", "first_name", "last_name",
                               "total_loans"), [F.desc("total_loans"), "member_id"])
 
@@ -439,7 +441,7 @@ def running_fines(t: Tables, as_of=None) -> DataFrame:
     """Running total of paid fines by payment date; fines paid on one date
     share the total (RANGE frame)."""
     f = t["fines"].where(F.col("paid") == True).select("fine_id", "payment_date", "fine_amount")  # noqa: E712
-    r = windows.running_total(f, "payment_date", "fine_amount", "running_total")
+    r = windows.running_total(f, "payment_date", "fine_amount", "running_total", bounded_keys=True)  # days
     return topk.sort(r, ["payment_date", "fine_id"])
 
 

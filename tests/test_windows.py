@@ -27,6 +27,13 @@ def test_global_ranks(skewed):
     _same(plain, W.global_ranks(skewed, "v", ascending=False, rank="r", dense_rank="d", percent_rank="p"))
 
 
+def test_bounded_forms_equal(skewed):
+    a = W.global_ranks(skewed, "v", ascending=False, rank="r", dense_rank="d", percent_rank="p")
+    b = W.global_ranks(skewed, "v", ascending=False, rank="r", dense_rank="d", percent_rank="p", bounded_keys=True)
+    _same(a, b)
+    _same(W.running_total(skewed, "v", "id", "rt", ["g"]), W.running_total(skewed, "v", "id", "rt", ["g"], True))
+
+
 def test_positions_and_lag(skewed):
     w = Window.partitionBy("g").orderBy("v", "id")
     _same(skewed.withColumn("pos", F.row_number().over(w)), W.with_position(skewed, ["v", "id"], ["g"]))
