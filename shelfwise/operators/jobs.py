@@ -381,18 +381,30 @@ def recommend(bought: DataFrame, items: DataFrame, per_member: int | None = 5) -
     ``per_member=None`` returns every recommendation.
     """
     genre_of = items.select("item_id", "genre")
-    # one aggregate feeds everything below: loans per (member, genre, item)
-    mgi = bought.join(genre_of, "item_id").groupBy("member_id", "genre", "item_id") \
+    # one aggregate feeds everything below: loans per (member, genre, item).
+    # Rows without a member or item can never be recommended or matched; the
+    # explicit filter keeps both consumers' plans identical (no filter is
+    # inferred on one side only), so the aggregate's shuffle is reused.
+    b = bought.where(F.col("member_id").isNotNull() & F.col("item_id").isNotNull())
+    mgi = b.join(genre_of, "item_id").groupBy("member_id", "genre", "item_id") \
         .agg(F.count(F.lit(1)).alias("_n"))
-    seen = mgi.select("member_id", "item_id")
     per_genre = mgi.groupBy("member_id", "genre").agg(F.sum("_n").alias("_cnt"),
                                                       F.count(F.lit(1)).alias("_s"))
     fav = top_n_within(per_genre, ["member_id"], [F.desc("_cnt")], 1, name="_rk", kind="rank") \
         .select("member_id", "genre", "_s")
+    def unseen(cand):
+        # LEFT JOIN ... IS NULL on the same aggregate (reading its count keeps
+        # both consumers of ``mgi`` identical, so its shuffle runs once)
+        m = mgi.select(F.col("member_id").alias("_m"), F.col("genre").alias("_g"),
+                       F.col("item_id").alias("_i"), "_n")
+        cond = ((cand["member_id"] == m["_m"]) & cand["genre"].eqNullSafe(m["_g"])
+                & (cand["item_id"] == m["_i"]))
+        j = cand.join(m, cond, "left")
+        return j.where(F.col("_n").isNull()).drop("_m", "_g", "_i", "_n")
+
     if per_member is None:
         cand = fav.drop("_s").join(items, "genre")
-        return cand.join(seen, ["member_id", "item_id"], "left_anti") \
-            .select("member_id", "item_id", "genre", "title")
+        return unseen(cand).select("member_id", "item_id", "genre", "title")
     size = items.groupBy("genre").agg(F.count(F.lit(1)).alias("_size"))
     need = fav.join(size, "genre").select(
         "member_id", "genre", F.least(F.lit(per_member) + F.col("_s"), F.col("_size")).alias("_k"))
@@ -401,6 +413,6 @@ def recommend(bought: DataFrame, items: DataFrame, per_member: int | None = 5) -
     positioned = with_position(items.select("item_id", "genre", "title"), ["title", "item_id"], ["genre"],
                                name="_pos")
     cand = slots.join(positioned, ["genre", "_pos"]).drop("_pos")
-    unseen = cand.join(seen, ["member_id", "item_id"], "left_anti")
-    top = top_n_within(unseen, ["member_id"], ["title", "item_id"], per_member, name="_rn", kind="row_number")
+    top = top_n_within(unseen(cand), ["member_id"], ["title", "item_id"], per_member, name="_rn",
+                       kind="row_number")
     return top.select("member_id", "item_id", "genre", "title")
