@@ -725,6 +725,61 @@ def quota(spark, sf_dir):
     return out.select("request_id", "member_id", "accepted")
 
 
+def overdue_or_open(spark, sf_dir):
+    """Customers with overdue open orders or open lines: distinct overdue
+    orders (conditional COUNT DISTINCT) and the open-line amount, kept when
+    either is positive (OR in HAVING); left joins keep every customer in
+    the aggregation."""
+    t = _t(spark, sf_dir)
+    lines = t.lineitem.where(F.col("l_linestatus") == "O").select("l_orderkey", "l_extendedprice")
+    j = (t.customer.select("c_custkey", "c_name")
+         .join(t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus"),
+               F.col("c_custkey") == F.col("o_custkey"), "left")
+         .join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left"))
+    late = (_due() < F.lit(AS_OF)) & (F.col("o_orderstatus") == "O")
+    g = (j.groupBy("c_custkey", "c_name")
+          .agg(F.countDistinct(F.when(late, F.col("o_orderkey"))).alias("overdue_books"),
+               F.coalesce(F.sum(_cents("l_extendedprice")), F.lit(0)).alias("_open"))
+          .where((F.col("_open") > 0) | (F.col("overdue_books") > 0)))
+    return g.select("c_custkey", "c_name", "overdue_books", _from_cents("_open").alias("total_unpaid_fines"))
+
+
+def allocate(spark, sf_dir):
+    """Copy allocation: each purchase request from mid-month asks for a
+    part type (the type of part ``props.k``); free parts of that type (no
+    line shipped since 2001-06-01) are handed out lowest key first, in
+    request order; requests beyond the free parts get none."""
+    t = _t(spark, sf_dir)
+    req = _requests(t, dt.datetime(2024, 1, 15)).join(
+        t.part.select(F.col("p_partkey").alias("copy_id"), F.col("p_type").alias("book_id")), "copy_id") \
+        .select("request_id", "requested_at", "member_id", "book_id")
+    copies = t.part.select(F.col("p_partkey").alias("copy_id"), F.col("p_type").alias("book_id"))
+    loans = _recent_lines(t).select(F.col("l_partkey").alias("copy_id"), F.lit("active").alias("status"))
+    out = jobs.allocate_copies(req, copies, loans, order_cols=["requested_at", "request_id"])
+    # the allocated copy can be NULL: carried as DOUBLE (see summary_cte)
+    return out.select("request_id", "member_id", "book_id", F.col("copy_id").cast("double").alias("copy_id"),
+                      "accepted")
+
+
+def returns(spark, sf_dir):
+    """Return requests: each 'view' event returns order ``props.k`` (open
+    orders are active loans, due 14 days after the order). The first request
+    for an active loan returns it with a fine of 0.25 per late day at the
+    as-of date; other requests are invalid. One outcome per request."""
+    t = _t(spark, sf_dir)
+    e = t.events.where(F.col("event_type") == "view")
+    req = e.select(F.col("event_id").alias("request_id"), F.col("ts").alias("requested_at"),
+                   F.get_json_object("props", "$.k").cast("long").alias("loan_id"))
+    loans = t.orders.select(F.col("o_orderkey").alias("loan_id"), F.col("o_custkey").alias("member_id"),
+                            _d("o_orderdate").alias("loan_date"), _due().alias("due_date"),
+                            F.lit(None).cast("date").alias("return_date"),
+                            F.when(F.col("o_orderstatus") == "O", "active").otherwise("returned").alias("status"))
+    out, _, _ = jobs.apply_returns(req, loans, AS_OF, order_cols=["requested_at", "request_id"],
+                                   cut_lineage=False)
+    return out.select("request_id", "loan_id", "accepted", F.col("fine_amount").cast("double").alias("fine_amount"),
+                      "outcome")
+
+
 # ---------------------------------------------------------------- data quality
 def dq_pk(spark, sf_dir):
     t = _t(spark, sf_dir)
@@ -774,6 +829,7 @@ QUERIES = {
     "top3_per_type": top3_per_type, "monthly_delta": monthly_delta, "next_event": next_event,
     "moving_avg": moving_avg, "moving_avg_calendar": moving_avg_calendar, "dense_ids": dense_ids,
     "active_customers": active_customers, "percentile": percentile, "gaps": gaps, "late_days": late_days_q,
+    "overdue_or_open": overdue_or_open, "allocate": allocate, "returns": returns,
     "daily_activity": daily_activity, "daily_activity_stream": daily_activity_stream, "checkouts": checkouts, "quota": quota,
     "dq_pk": dq_pk, "dq_fk": dq_fk, "dq_values": dq_values, "dq_summary": dq_summary,
 }
