@@ -199,13 +199,22 @@ def overdue_or_fined(t: Tables, as_of) -> DataFrame:
 
 
 def book_availability(t: Tables, as_of=None) -> DataFrame:
-    active = t["loans"].where(F.col("status") == "active").select("copy_id", F.col("copy_id").alias("_lc"))
-    j = (t["books"].join(t["authors"], "author_id")
-         .join(t["book_copies"].select("book_id", "copy_id"), "book_id", "left")
-         .join(active, "copy_id", "left"))
-    g = j.groupBy("book_id", "title", "author_name").agg(
-        F.countDistinct("copy_id").alias("total_copies"), F.countDistinct("_lc").alias("copies_on_loan"))
-    g = g.withColumn("available_copies", F.col("total_copies") - F.col("copies_on_loan"))
+    """Per book: distinct copies, distinct copies on an active loan and the
+    difference; books without copies are kept. (book, copy, on-loan flag) is
+    deduplicated once, so both distinct counts become plain counts (no
+    Expand of the joined rows per distinct aggregate)."""
+    active = t["loans"].where(F.col("status") == "active").select("copy_id").distinct() \
+        .withColumn("_on", F.lit(1))
+    flagged = t["book_copies"].select("book_id", "copy_id").join(active, "copy_id", "left") \
+        .select("book_id", "copy_id", "_on").distinct()
+    per = flagged.groupBy("book_id").agg(F.count("copy_id").alias("total_copies"),
+                                         F.count("_on").alias("copies_on_loan"))
+    j = t["books"].select("book_id", "title", "author_id").join(t["authors"], "author_id") \
+        .join(per, "book_id", "left")
+    total = F.coalesce("total_copies", F.lit(0))
+    onloan = F.coalesce("copies_on_loan", F.lit(0))
+    g = j.select("book_id", "title", "author_name", total.alias("total_copies"), onloan.alias("copies_on_loan"),
+                 (total - onloan).alias("available_copies"))
     return topk.sort(g, ["available_copies", "book_id"])
 
 
