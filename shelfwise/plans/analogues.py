@@ -677,12 +677,14 @@ def daily_activity_stream(spark, sf_dir):
     t = _t(spark, sf_dir)
     # the file source watches a folder; only the events file is taken from it
     stream = spark.readStream.schema(t.events.schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    name = f"daily_activity_{uuid.uuid4().hex[:12]}"
-    ckpt = os.path.join(checkpoint_dir(spark), "streams", name)
-    q = (stream_counts(stream).writeStream.format("memory").queryName(name).outputMode("append")
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    run = os.path.join(checkpoint_dir(spark), "streams", f"daily_activity_{uuid.uuid4().hex[:12]}")
+    # file sink in the shared folder: emitted windows never pass through the driver
+    q = (stream_counts(stream).writeStream.format("parquet").outputMode("append")
+         .option("path", os.path.join(run, "out")).option("checkpointLocation", os.path.join(run, "state"))
+         .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.table(name).select(F.col("day").cast("timestamp_ntz").alias("day"), "event_type", "events")
+    out = spark.read.schema("day timestamp, event_type string, events bigint").parquet(os.path.join(run, "out"))
+    return out.select(F.col("day").cast("timestamp_ntz").alias("day"), "event_type", "events")
 
 
 # ---------------------------------------------------------------- jobs
