@@ -71,3 +71,26 @@ def test_not_in_null_rules(spark):
     assert sorted(r.k for r in not_in(left, "k", spark.createDataFrame([(2,)], "k int"), "k").collect()) == [1]
     assert not_in(left, "k", spark.createDataFrame([(2,), (None,)], "k int"), "k").count() == 0
     assert not_in(left, "k", spark.createDataFrame([], "k int"), "k").count() == 3
+
+
+@pytest.mark.parametrize("seed", [11, 12])
+def test_scale_forms_with_nulls(spark, seed):
+    import random
+    rnd = random.Random(seed)
+    rows = []
+    for i in range(600):
+        g = None if rnd.random() < 0.1 else (0 if rnd.random() < 0.35 else rnd.randint(1, 12))
+        v = None if rnd.random() < 0.1 else rnd.randint(0, 20)
+        rows.append((i, g, v, rnd.randint(-5, 50)))
+    df = spark.createDataFrame(rows, "id long, g int, v int, x int")
+    for asc in (True, False):
+        o = F.col("v").asc() if asc else F.col("v").desc()
+        w = Window.orderBy(o)
+        plain = df.select("id", "g", "v", "x", F.rank().over(w).alias("r"), F.dense_rank().over(w).alias("d"),
+                          F.percent_rank().over(w).alias("p"))
+        _same(plain, W.global_ranks(df, "v", ascending=asc, rank="r", dense_rank="d", percent_rank="p"))
+    wg = Window.partitionBy("g").orderBy("v")
+    _same(df.withColumn("rt", F.sum("x").over(wg)), W.running_total(df, "v", "x", "rt", ["g"]))
+    wp = Window.partitionBy("g").orderBy("v", "id")
+    _same(df.withColumn("pos", F.row_number().over(wp)), W.with_position(df, ["v", "id"], ["g"]))
+    _same(df.withColumn("prev_x", F.lag("x").over(wp)), W.lag_columns(df, ["g"], ["v", "id"], ["x"]))
