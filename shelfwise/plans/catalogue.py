@@ -133,10 +133,11 @@ def books_with_unlent_copy(t: Tables, as_of=None) -> DataFrame:
 def member_activity(t: Tables, as_of=None, k: int = 10) -> DataFrame:
     """Loans joined with their unpaid fines per member (a loan with two
     unpaid fines counts twice, as in the SQL); top k by that count."""
-    unpaid = t["fines"].where(F.col("paid") == False).select("loan_id", "fine_amount")  # noqa: E712
-    j = (t["members"].select("member_id", "first_name", "last_name")
-         .join(t["loans"].select("loan_id", "member_id", "status"), "member_id")
-         .join(unpaid, "loan_id", "left"))
+    j = joins.left_join_on(
+        t["members"].select("member_id", "first_name", "last_name")
+        .join(t["loans"].select("loan_id", "member_id", "status"), "member_id"),
+        t["fines"].select("loan_id", "fine_amount", "paid"), "loan_id",
+        right_filter=F.col("paid") == False).drop("paid")  # noqa: E712  (LEFT JOIN ... ON ... AND paid = FALSE)
     g = (j.groupBy("member_id", "first_name", "last_name")
           .agg(F.count(F.lit(1)).alias("total_loans"),
                F.sum(F.when(F.col("status") == "active", 1).otherwise(0)).alias("active_loans"),
@@ -186,10 +187,11 @@ def copies_on_loan(t: Tables, as_of) -> DataFrame:
 
 
 def overdue_or_fined(t: Tables, as_of) -> DataFrame:
-    unpaid = t["fines"].where(F.col("paid") == False).select("loan_id", "fine_amount")  # noqa: E712
-    j = (t["members"].select("member_id", "first_name", "last_name", "email", "phone")
-         .join(t["loans"].select("loan_id", "member_id", "due_date", "status"), "member_id", "left")
-         .join(unpaid, "loan_id", "left"))
+    j = joins.left_join_on(
+        t["members"].select("member_id", "first_name", "last_name", "email", "phone")
+        .join(t["loans"].select("loan_id", "member_id", "due_date", "status"), "member_id", "left"),
+        t["fines"].select("loan_id", "fine_amount", "paid"), "loan_id",
+        right_filter=F.col("paid") == False).drop("paid")  # noqa: E712
     late = (F.col("due_date") < _d(as_of)) & (F.col("status") == "active")
     g = (j.groupBy("member_id", "first_name", "last_name", "email", "phone")
           .agg(F.countDistinct(F.when(late, F.col("loan_id"))).alias("overdue_books"),

@@ -24,6 +24,8 @@ Ids are the natural BIGINT keys (copy id = part * 10000 + supplier).
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +40,7 @@ CONDITION_BY_BALANCE = ((0, "poor"), (2500, "fair"), (6000, "good"))
 BEST_CONDITION = "excellent"
 
 _CACHE: dict[tuple, dict[str, DataFrame]] = {}
+_LOCK = threading.Lock()
 
 
 def _case(col: str, pairs, default) -> F.Column:
@@ -55,13 +58,11 @@ def library_from_driver(spark: SparkSession, sf_dir: str, materialize: bool = Tr
     pruning, filter pushdown, measured sizes for AQE) instead of repeating
     the derivation, and a lost executor never forces it to be redone."""
     key = (id(spark), spark.sparkContext.applicationId, sf_dir, materialize)
-    if key in _CACHE:
-        return _CACHE[key]
-    lib = _derive(spark, sf_dir)
-    if materialize:
-        lib = _materialized(spark, sf_dir, lib)
-    _CACHE[key] = lib
-    return lib
+    with _LOCK:  # one derivation per input version, also with concurrent callers
+        if key not in _CACHE:
+            lib = _derive(spark, sf_dir)
+            _CACHE[key] = _materialized(spark, sf_dir, lib) if materialize else lib
+    return _CACHE[key]
 
 
 def _input_version(spark: SparkSession, sf_dir: str) -> str:
