@@ -687,6 +687,43 @@ def daily_activity_stream(spark, sf_dir):
     return out.select(F.col("day").cast("timestamp_ntz").alias("day"), "event_type", "events")
 
 
+def fines_stream(spark, sf_dir):
+    """The stateful fines job (per-loan state of the last status) run as a
+    stream over loan status events derived from the tables: an order opens
+    an 'active' loan at its order time; a finished order is 'returned' 12
+    hours after its last shipment. A return after the due date (order + 14
+    days) charges 0.25 per late day; a 'returned' event seen before the
+    loan's 'active' event charges nothing, as the state has no active loan
+    yet. Events, state and output live under the session's checkpoint
+    folder."""
+    import os
+    import uuid
+
+    from shelfwise.session import checkpoint_dir
+    from shelfwise.streaming.streams import LOAN_STATUS_SCHEMA, fines_from_status_events
+    t = _t(spark, sf_dir)
+    last = t.lineitem.groupBy("l_orderkey").agg(F.max("l_shipdate").alias("_last"))
+    o = t.orders.join(last, F.col("o_orderkey") == F.col("l_orderkey"))
+    due = _due()
+    opened = o.select(F.col("o_orderkey").alias("loan_id"), F.lit("active").alias("status"), due.alias("due_date"),
+                      F.lit(None).cast("date").alias("return_date"),
+                      F.col("o_orderdate").cast("timestamp").alias("event_time"))
+    returned = o.where(F.col("o_orderstatus") == "F").select(
+        F.col("o_orderkey").alias("loan_id"), F.lit("returned").alias("status"), due.alias("due_date"),
+        _d("_last").alias("return_date"),
+        (F.col("_last").cast("timestamp") + F.expr("INTERVAL 12 HOURS")).alias("event_time"))
+    run = os.path.join(checkpoint_dir(spark), "streams", f"fines_{uuid.uuid4().hex[:12]}")
+    opened.unionByName(returned).write.parquet(os.path.join(run, "source"))
+    stream = spark.readStream.schema(LOAN_STATUS_SCHEMA).parquet(os.path.join(run, "source"))
+    q = (fines_from_status_events(stream).writeStream.format("parquet").outputMode("append")
+         .option("path", os.path.join(run, "out")).option("checkpointLocation", os.path.join(run, "state"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    out = spark.read.schema("loan_id bigint, fine_amount decimal(10,2), fine_reason string, paid boolean") \
+        .parquet(os.path.join(run, "out"))
+    return out.select("loan_id", F.col("fine_amount").cast("double").alias("fine_amount"), "fine_reason", "paid")
+
+
 # ---------------------------------------------------------------- jobs
 def _requests(t, since):
     e = t.events.where((F.col("event_type") == "purchase") & (F.col("ts") >= F.lit(since)))
@@ -832,6 +869,6 @@ QUERIES = {
     "moving_avg": moving_avg, "moving_avg_calendar": moving_avg_calendar, "dense_ids": dense_ids,
     "active_customers": active_customers, "percentile": percentile, "gaps": gaps, "late_days": late_days_q,
     "overdue_or_open": overdue_or_open, "allocate": allocate, "returns": returns,
-    "daily_activity": daily_activity, "daily_activity_stream": daily_activity_stream, "checkouts": checkouts, "quota": quota,
+    "daily_activity": daily_activity, "daily_activity_stream": daily_activity_stream, "fines_stream": fines_stream, "checkouts": checkouts, "quota": quota,
     "dq_pk": dq_pk, "dq_fk": dq_fk, "dq_values": dq_values, "dq_summary": dq_summary,
 }

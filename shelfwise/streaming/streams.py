@@ -37,7 +37,7 @@ LOAN_REQUEST_SCHEMA = T.StructType([
     T.StructField("due_date", T.DateType()), T.StructField("requested_at", T.TimestampType())])
 
 LOAN_STATUS_SCHEMA = T.StructType([
-    T.StructField("loan_id", T.IntegerType()), T.StructField("status", T.StringType()),
+    T.StructField("loan_id", T.LongType()), T.StructField("status", T.StringType()),
     T.StructField("due_date", T.DateType()), T.StructField("return_date", T.DateType()),
     T.StructField("event_time", T.TimestampType())])
 
@@ -96,7 +96,7 @@ def admit_loan_requests(spark: SparkSession, source_dir: str, members: DataFrame
 
 # ---------------------------------------------------------------- ST2
 FINE_SCHEMA = T.StructType([
-    T.StructField("loan_id", T.IntegerType()), T.StructField("fine_amount", T.DecimalType(10, 2)),
+    T.StructField("loan_id", T.LongType()), T.StructField("fine_amount", T.DecimalType(10, 2)),
     T.StructField("fine_reason", T.StringType()), T.StructField("paid", T.BooleanType())])
 
 
