@@ -20,6 +20,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -100,21 +101,29 @@ FINE_SCHEMA = T.StructType([
     T.StructField("fine_reason", T.StringType()), T.StructField("paid", T.BooleanType())])
 
 
+_FINE_COLS = ["loan_id", "fine_amount", "fine_reason", "paid"]
+
+
 def _fines_state(key, pdfs: Iterator[pd.DataFrame], state):
+    frames = [p for p in pdfs if len(p)]
+    if not frames:
+        return
+    df = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+    order = np.argsort(df["event_time"].to_numpy(), kind="stable") if len(df) > 1 else (0,)
+    status = df["status"].to_numpy()
+    due = df["due_date"].to_numpy()
+    ret = df["return_date"].to_numpy()
     last = state.get[0] if state.exists else None
     rows = []
-    frames = [p for p in pdfs if len(p)]
-    if frames:
-        df = pd.concat(frames).sort_values("event_time", kind="stable")
-        for r in df.itertuples(index=False):
-            if last == "active" and r.status == "returned" and r.return_date is not None \
-                    and r.due_date is not None and not pd.isna(r.return_date) and not pd.isna(r.due_date):
-                days = (pd.Timestamp(r.return_date) - pd.Timestamp(r.due_date)).days
-                if days > 0:
-                    rows.append((key[0], FINE_PER_DAY * days, "overdue", False))
-            last = r.status
-        state.update((last,))
-    yield pd.DataFrame(rows, columns=["loan_id", "fine_amount", "fine_reason", "paid"])
+    for i in order:
+        if last == "active" and status[i] == "returned" and not pd.isna(ret[i]) and not pd.isna(due[i]):
+            days = (pd.Timestamp(ret[i]) - pd.Timestamp(due[i])).days
+            if days > 0:
+                rows.append((key[0], FINE_PER_DAY * days, "overdue", False))
+        last = status[i]
+    state.update((last,))
+    if rows:  # most keys emit nothing: no empty frame per key
+        yield pd.DataFrame(rows, columns=_FINE_COLS)
 
 
 def fines_from_status_events(events: DataFrame) -> DataFrame:
