@@ -724,6 +724,42 @@ def fines_stream(spark, sf_dir):
     return out.select("loan_id", F.col("fine_amount").cast("double").alias("fine_amount"), "fine_reason", "paid")
 
 
+def audit_stream(spark, sf_dir):
+    """The audit job (per-member previous row in state) run as a stream
+    over two member snapshots derived from the tables: at 2001-01-01 each
+    customer is 'suspended' with a negative balance, else 'active'; at the
+    as-of date one with no order since 2001-01-01 is 'expired'. Each member
+    whose snapshot changed yields one audit row."""
+    import os
+    import uuid
+
+    from shelfwise.session import checkpoint_dir
+    from shelfwise.streaming.streams import MEMBER_CHANGE_SCHEMA, audit_from_member_changes
+    t = _t(spark, sf_dir)
+    recent = t.orders.where(_d("o_orderdate") >= F.lit(dt.date(2001, 1, 1))).select("o_custkey").distinct() \
+        .withColumn("_recent", F.lit(True))
+    c = t.customer.join(recent, F.col("c_custkey") == F.col("o_custkey"), "left")
+    standing = F.when(F.col("c_acctbal") < 0, F.lit("suspended")).otherwise(F.lit("active"))
+    first = c.select(F.col("c_custkey").alias("member_id"), F.col("c_mktsegment").alias("first_name"),
+                     F.col("c_name").alias("last_name"), standing.alias("status"),
+                     F.lit(dt.datetime(2001, 1, 1)).alias("event_time"))
+    second = c.select(F.col("c_custkey").alias("member_id"), F.col("c_mktsegment").alias("first_name"),
+                      F.col("c_name").alias("last_name"),
+                      F.when(F.col("_recent").isNull(), F.lit("expired")).otherwise(standing).alias("status"),
+                      F.lit(dt.datetime(2001, 8, 2)).alias("event_time"))
+    run = os.path.join(checkpoint_dir(spark), "streams", f"audit_{uuid.uuid4().hex[:12]}")
+    first.unionByName(second).write.parquet(os.path.join(run, "source"))
+    stream = spark.readStream.schema(MEMBER_CHANGE_SCHEMA).parquet(os.path.join(run, "source"))
+    q = (audit_from_member_changes(stream).writeStream.format("parquet").outputMode("append")
+         .option("path", os.path.join(run, "out")).option("checkpointLocation", os.path.join(run, "state"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    out = spark.read.schema("table_name string, action string, record_id bigint, changed_at timestamp, "
+                            "changed_by string, description string").parquet(os.path.join(run, "out"))
+    return out.select("table_name", "action", "record_id", F.col("changed_at").cast("timestamp_ntz").alias("changed_at"),
+                      "changed_by", "description")
+
+
 # ---------------------------------------------------------------- jobs
 def _requests(t, since):
     e = t.events.where((F.col("event_type") == "purchase") & (F.col("ts") >= F.lit(since)))
@@ -869,6 +905,7 @@ QUERIES = {
     "moving_avg": moving_avg, "moving_avg_calendar": moving_avg_calendar, "dense_ids": dense_ids,
     "active_customers": active_customers, "percentile": percentile, "gaps": gaps, "late_days": late_days_q,
     "overdue_or_open": overdue_or_open, "allocate": allocate, "returns": returns,
-    "daily_activity": daily_activity, "daily_activity_stream": daily_activity_stream, "fines_stream": fines_stream, "checkouts": checkouts, "quota": quota,
+    "daily_activity": daily_activity, "daily_activity_stream": daily_activity_stream, "fines_stream": fines_stream,
+    "audit_stream": audit_stream, "checkouts": checkouts, "quota": quota,
     "dq_pk": dq_pk, "dq_fk": dq_fk, "dq_values": dq_values, "dq_summary": dq_summary,
 }

@@ -43,7 +43,7 @@ LOAN_STATUS_SCHEMA = T.StructType([
     T.StructField("event_time", T.TimestampType())])
 
 MEMBER_CHANGE_SCHEMA = T.StructType([
-    T.StructField("member_id", T.IntegerType()), T.StructField("first_name", T.StringType()),
+    T.StructField("member_id", T.LongType()), T.StructField("first_name", T.StringType()),
     T.StructField("last_name", T.StringType()), T.StructField("status", T.StringType()),
     T.StructField("event_time", T.TimestampType())])
 
@@ -139,7 +139,7 @@ def fines_from_status_events(events: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- ST3
 AUDIT_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType()), T.StructField("action", T.StringType()),
-    T.StructField("record_id", T.IntegerType()), T.StructField("changed_at", T.TimestampType()),
+    T.StructField("record_id", T.LongType()), T.StructField("changed_at", T.TimestampType()),
     T.StructField("changed_by", T.StringType()), T.StructField("description", T.StringType())])
 
 
@@ -156,7 +156,8 @@ def _audit_state(key, pdfs: Iterator[pd.DataFrame], state):
                              f"Member {prev[0]} {prev[1]} updated. Status: {prev[2]} -> {r.status}"))
             prev = cur
         state.update(tuple(prev))
-    yield pd.DataFrame(rows, columns=[f.name for f in AUDIT_SCHEMA.fields])
+    if rows:  # most members do not change: no empty frame per key
+        yield pd.DataFrame(rows, columns=[f.name for f in AUDIT_SCHEMA.fields])
 
 
 def audit_from_member_changes(changes: DataFrame) -> DataFrame:
