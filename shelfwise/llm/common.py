@@ -48,6 +48,16 @@ def drop_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+#: rows up to which a table of a few numbers a row (about 50 MB in memory) is broadcast
+BROADCAST_ROWS = 1_000_000
+
+
+def small_or_plain(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` (a written table) marked for broadcast if it has at most
+    ``rows`` rows; beyond that it is left to a shuffled join."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 _SHIPPED: set[str] = set()
 
 

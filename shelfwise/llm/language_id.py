@@ -34,7 +34,7 @@ RATE = 8.0
 #: bound of the labelled training sample (documents with the smallest id hashes)
 SAMPLE = 4000
 #: calibrated confidence under which a document is rejected
-REJECT_BELOW = 0.6
+REJECT_BELOW = 0.4
 UNKNOWN = "und"
 _GRAMS = (2, 3, 4)
 _CHUNK = 1 << 20

@@ -19,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.llm.common import stage
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: posterior standard deviations of the bound
 BOUND_Z = 1.64
@@ -67,7 +69,7 @@ def best_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> t
     return verdict, rule
 
 
-def _level(units: DataFrame, prior: Column) -> Column:
+def _level(prior: Column) -> Column:
     """Strength of the beta prior whose mean is each unit's parent rate, by
     moments: with n_i outcomes of rate p_i around parent rate m_i, the excess
     of sum n_i (p_i - m_i)^2 over its binomial expectation gives the
@@ -90,19 +92,19 @@ def host_reputation(outcomes: DataFrame) -> DataFrame:
     hosts = (outcomes.groupBy("host")
              .agg(F.count("outcome").alias("n"), F.coalesce(F.sum("outcome"), F.lit(0)).cast("long").alias("good"))
              .withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host"))))
+    hosts = stage(hosts, "hosts")
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
-    # one row: the corpus rate, with one good and one bad pseudo-outcome
-    total = suffixes.agg(((F.coalesce(F.sum("good"), F.lit(0)) + 1.0)
-                          / (F.coalesce(F.sum("n"), F.lit(0)) + 2.0)).alias("rate"))
-    rate = total.scalar()
+    # the corpus rate, with one good and one bad pseudo-outcome
+    total = hosts.agg(F.sum("n").alias("n"), F.sum("good").alias("good")).first()
+    rate = ((total["good"] or 0) + 1.0) / ((total["n"] or 0) + 2.0)
 
     def shrink(units: DataFrame, prior: Column, name: str) -> DataFrame:
-        strength = units.where("n > 0").agg(_level(units, prior).alias("s")).scalar()
-        return units.withColumn(f"{name}_k", strength).withColumn(
-            f"{name}_rate", (F.col("good") + F.col(f"{name}_k") * prior) / (F.col("n") + F.col(f"{name}_k")))
+        strength = units.where("n > 0").agg(_level(prior).alias("s")).first()["s"]
+        return units.withColumn(f"{name}_k", F.lit(strength)).withColumn(
+            f"{name}_rate", (F.col("good") + F.lit(strength) * prior) / (F.col("n") + F.lit(strength)))
 
-    s = shrink(suffixes.withColumn("root_rate", rate), F.col("root_rate"), "suffix").select("suffix", "suffix_rate")
+    s = shrink(suffixes, F.lit(rate), "suffix").select("suffix", "suffix_rate")
     d = shrink(domains.join(s, "suffix"), F.col("suffix_rate"), "domain").select("domain", "domain_rate")
     h = shrink(hosts.join(d, "domain"), F.col("domain_rate"), "host")
     a = F.col("host_rate") * (F.col("n") + F.col("host_k"))
@@ -111,7 +113,7 @@ def host_reputation(outcomes: DataFrame) -> DataFrame:
     return h.select("host", "n", "good", F.col("host_rate").alias("rate"),
                     F.greatest(F.lit(0.0), F.col("host_rate") - BOUND_Z * sd).alias("lower"),
                     F.least(F.lit(1.0), F.col("host_rate") + BOUND_Z * sd).alias("upper"),
-                    rate.alias("corpus_rate"))
+                    F.lit(rate).alias("corpus_rate"))
 
 
 def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: Sequence[tuple[str, str]] = (),
