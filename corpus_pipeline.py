@@ -10,9 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import language_id, secret_scan, simhash_dedup
+from shelfwise.llm import decontaminate, language_id, packing, secret_scan, simhash_dedup
 from shelfwise.llm.common import stage, table
-from shelfwise.llm.queries import WORD_LIST
+from shelfwise.llm.queries import TOKENIZER, WORD_LIST
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,15 +27,26 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return simhash_dedup.keep_one(docs)
 
 
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 10: documents that hold a benchmark item go."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 8: secrets are masked; n_chars follows the text."""
     masked = docs.withColumn("text", secret_scan.redacted(F.col("text"), WORD_LIST))
     return masked.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
-STAGES = [("language_id", identify_language), ("simhash_dedup", drop_near_duplicates), ("secret_scan", mask_secrets)]
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 6: every token of every document that is left, in sequences."""
+    return packing.pack_documents(docs, *TOKENIZER)
+
+
+STAGES = [("language_id", identify_language), ("simhash_dedup", drop_near_duplicates), ("decontaminate", drop_contaminated),
+          ("secret_scan", mask_secrets), ("packing", pack_sequences)]
 
-#: the language model and the guess costs are beyond SQL
+#: the language model, the fingerprints, the guess costs and the tokenizer are beyond SQL; tests check each stage by brute force
 ORACLE_SQL = None
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from shelfwise.llm.common import connected_components, ship, stage
+from shelfwise.llm.common import connected_components, ship, small_or_plain, stage
 
 SHINGLE_WORDS = 3
 MAX_BITS = 3
@@ -188,5 +188,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     comp = components(marked.select("fp"), max_bits)
     best = (marked.select("fp", "row", F.col(ident).alias("id")).groupBy("fp")
                   .agg(F.min(F.struct(F.col("id").isNull().alias("n"), "id", "row")).alias("best")))
-    stay = comp.join(best, "fp").groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.row").alias("row"))
-    return marked.join(stay, "row", "left_semi").select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(cols)])
+    best = comp.join(best, "fp")
+    stay = best.groupBy("root").agg(F.min("best").alias("best"))
+    stay = best.select("fp", "root").join(stay, "root").select("fp", F.col("best.row").alias("stays"))
+    gone = stage(marked.select("fp", "row").join(stay, "fp").where("row <> stays").select(F.col("row").alias("gone")), "gone")
+    out = marked.join(small_or_plain(gone), F.col("row") == F.col("gone"), "left_anti")
+    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(cols)])
