@@ -111,7 +111,7 @@ def _key(kind: str, name: str) -> str:
 
 
 #: used for tags the labelled pages don't show
-DEFAULT = {"li": -3.0, "/li": -1.0, "a": -1.0, "/a": -0.5, "td": -1.0, "option": -4.0, "input": -4.0, "label": -3.0, "p": -0.1, "/p": -0.1,
+DEFAULT = {"li": -1.0, "/li": -0.3, "a": -0.5, "/a": -0.2, "td": -0.5, "option": -4.0, "input": -4.0, "label": -3.0, "p": -0.1, "/p": -0.1,
            "cut": -1.0, "img": -0.5}
 OTHER = -0.5
 
@@ -196,7 +196,9 @@ def fit_weights(pages: DataFrame, sample: int = SAMPLE, id_col: str = "page_id",
                     a[k] += x
                     b[k] += y
             keys = sorted(a.keys() | b.keys())
-            yield pd.DataFrame({"tag": keys, "inside": [a[k] for k in keys], "outside": [b[k] for k in keys]})
+            if keys:
+                yield pd.DataFrame({"tag": pd.Series(keys, dtype=object), "inside": [a[k] for k in keys],
+                                    "outside": [b[k] for k in keys]})
 
     ids = (pages.select(F.col(id_col).alias("chosen")).where("chosen is not null")
                 .orderBy(F.xxhash64("chosen"), "chosen").limit(sample).distinct())

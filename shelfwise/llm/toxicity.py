@@ -205,10 +205,9 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -
             got = {0: Counter(), 1: Counter()}
             for text, y in zip(f["text"], f["toxic"], strict=True):
                 got[int(y > 0)].update(features(words_of(text)))
-            keys = sorted(got[1])  # only features seen in toxic documents can be induced
-            yield pd.DataFrame({"feature": keys, "toxic": [got[1][k] for k in keys], "clean": [got[0][k] for k in keys]})
-            yield pd.DataFrame({"feature": sorted(got[0].keys() - got[1].keys()), "toxic": 0,
-                                "clean": [got[0][k] for k in sorted(got[0].keys() - got[1].keys())]})
+            keys = sorted(got[0].keys() | got[1].keys())
+            if keys:
+                yield pd.DataFrame({"feature": pd.Series(keys, dtype=object), "toxic": [got[1][k] for k in keys], "clean": [got[0][k] for k in keys]})
 
     seen = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = max(1, sum(n for y, n in seen.items() if y > 0)), max(1, sum(n for y, n in seen.items() if y <= 0))
