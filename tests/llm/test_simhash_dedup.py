@@ -50,7 +50,7 @@ def test_fingerprint_equals_the_plain_one():
 
 def test_embedding_bounds_the_bit_distance(spark):
     rng = random.Random(1)
-    rows = [(a, a ^ sum(1 << rng.randrange(63) for _ in range(3))) for a in (rng.getrandbits(63) - (1 << 62) for _ in range(300))]
+    rows = [(a, a ^ sum(1 << k for k in rng.sample(range(62), 3))) for a in (rng.getrandbits(63) - (1 << 62) for _ in range(300))]
     df = spark.createDataFrame(rows, "a long, b long")
     r = df.select(F.bit_count(S.embedding(F.col("a")).bitwiseXOR(S.embedding(F.col("b")))).alias("m"),
                   F.bit_count(F.col("a").bitwiseXOR(F.col("b"))).alias("h")).collect()

@@ -73,7 +73,7 @@ def test_label_model_joins_correlated_voters():
     alone = [np.where(y, rng.random(4000) < 0.6, rng.random(4000) < 0.05) for _ in range(2)]
     noise = rng.random(4000) < 0.1
     votes = np.stack([*copies, *alone, noise], 1)
-    model = T.fit_label_model(votes, np.where(y ^ (rng.random(4000) < 0.1), 0.9, 0.05))
+    model = T.fit_label_model(votes, np.where(y ^ (rng.random(4000) < 0.02), 0.99, 0.002))
     assert len({*model.clique[:3]}) == 1 and len({*model.clique}) == 4
     post = model.posterior(votes.astype(float))
     # three copies of one witness weigh like one; the posterior is calibrated

@@ -68,7 +68,7 @@ def test_parse_rules_and_reputation_match_a_plain_version(spark):
     urls = []
     for i in range(400):
         host = ["a.x.com", "b.x.com", "WWW.Bad.org", "m.example.net", "example.com", "net", "k.example.org", "c.y.io"][i % 8]
-        urls.append((i, f"https://{host}/{['en', 'de', 'fr', 'Fr'][i % 4]}/{i}{['', '?q=/de/', '#x', '/'][i // 8 % 4]}"))
+        urls.append((i, f"https://{host}/{['en', 'de', 'fr', 'Fr'][i // 8 % 4]}/{i}{['', '?q=/de/', '#x', '/'][i // 32 % 4]}"))
     urls += [(900, None), (901, "no scheme/en/"), (902, "http://example.net"), (903, "http://"), (904, "x://HOST?a/b"), (905, "http://notnet/"),
              (906, "ftp://sub.net/"), (907, "http://a://b/c"), (None, "http://a.x.com/"), (5, urls[5][1]), (908, "")]
     pages = spark.createDataFrame(urls, "page_id long, url string").withColumn("host", F.lit("clash")).withColumn("outcome", F.lit(1))
