@@ -20,6 +20,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfwise.session import materialize
+
 _PID, _LOC = "_sw_pid", "_sw_loc"
 
 
@@ -44,6 +46,22 @@ def _join_back(left: DataFrame, right: DataFrame, cols, how="inner") -> DataFram
 
 
 # ---------------------------------------------------------------- positions
+def _ranged(df: DataFrame, keys) -> DataFrame:
+    """``df`` dealt and sorted by ``keys``, with the number of its range
+    partition and its place there as written columns.
+
+    The frame is written once (reliable checkpoint): its readers need
+    different columns, and a range exchange planned once per reader would
+    sample other boundaries for each, so their partition numbers would not
+    agree. Written, the numbers are a property of the row: column pruning,
+    coalescing and recomputation cannot change them.
+    """
+    pid = F.spark_partition_id()
+    return materialize(df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+                         .withColumn(_PID, pid)
+                         .withColumn(_LOC, F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)))
+
+
 def with_position(df: DataFrame, order_cols, group_cols=(), name: str = "pos") -> DataFrame:
     """1-based row position within ``group_cols`` in ``order_cols`` order.
 
@@ -52,12 +70,7 @@ def with_position(df: DataFrame, order_cols, group_cols=(), name: str = "pos") -
     same numbers. No task ever holds more than one range partition.
     """
     group_cols = list(group_cols)
-    keys = [F.col(g) for g in group_cols] + [_col(o) for o in order_cols]
-    ranged = (df.repartitionByRange(*keys)
-                .sortWithinPartitions(*keys)
-                .withColumn(_PID, F.spark_partition_id())
-                .withColumn(_LOC, F.monotonically_increasing_id()
-                            - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
+    ranged = _ranged(df, [F.col(g) for g in group_cols] + [_col(o) for o in order_cols])
     stats = ranged.groupBy(_PID, *group_cols).agg(F.min(_LOC).alias("_sw_start"),
                                                    F.count(F.lit(1)).alias("_sw_n"))
     w = (Window.partitionBy(*group_cols).orderBy(_PID)
@@ -85,9 +98,8 @@ def cumulative_sums(df: DataFrame, order_cols, sum_cols, group_cols=(),
         w = (Window.partitionBy(*group_cols).orderBy(*[_col(o) for o in order_cols])
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         return df.select("*", *[F.sum(c).over(w).alias(c + suffix) for c in sum_cols])
-    keys = [F.col(g) for g in group_cols] + [_col(o) for o in order_cols]
-    ranged = df.repartitionByRange(*keys).withColumn(_PID, F.spark_partition_id())
-    wl = (Window.partitionBy(_PID, *group_cols).orderBy(*[_col(o) for o in order_cols])
+    ranged = _ranged(df, [F.col(g) for g in group_cols] + [_col(o) for o in order_cols])
+    wl = (Window.partitionBy(_PID, *group_cols).orderBy(_LOC)
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = ranged.select("*", *[F.sum(c).over(wl).alias(f"_sw_l_{c}") for c in sum_cols])
     totals = ranged.groupBy(_PID, *group_cols).agg(*[F.sum(c).alias(f"_sw_t_{c}") for c in sum_cols])
@@ -96,11 +108,11 @@ def cumulative_sums(df: DataFrame, order_cols, sum_cols, group_cols=(),
     offsets = totals.select(_PID, *group_cols, *[
         F.coalesce(F.sum(f"_sw_t_{c}").over(wo), F.lit(0)).alias(f"_sw_o_{c}") for c in sum_cols])
     if not group_cols:
-        offsets = F.broadcast(offsets)
+        offsets = F.broadcast(offsets)  # one row per range partition
     out = _join_back(local, offsets, [_PID, *group_cols])
     for c in sum_cols:
         out = out.withColumn(c + suffix, F.col(f"_sw_l_{c}") + F.col(f"_sw_o_{c}"))
-    return out.drop(_PID, *[f"_sw_l_{c}" for c in sum_cols], *[f"_sw_o_{c}" for c in sum_cols])
+    return out.drop(_PID, _LOC, *[f"_sw_l_{c}" for c in sum_cols], *[f"_sw_o_{c}" for c in sum_cols])
 
 
 # ---------------------------------------------------------------- global ranks
@@ -183,19 +195,34 @@ def lag_columns(df: DataFrame, group_cols, order_cols, value_cols, prefix: str =
     """LAG(value, offset) OVER (PARTITION BY group ORDER BY order) for each
     value column, named ``prefix + column``.
 
-    ``method='position'`` numbers rows with ``with_position`` and joins row p
-    with row p - offset (keys are unique, so no group lands in one task);
-    ``method='window'`` is the plain window, fine when groups are small.
+    ``method='position'`` takes LAG within range partitions and patches the
+    first row of each from the partition before (for offsets over 1 it joins
+    positions), so no group lands in one task; ``method='window'`` is the plain window, fine when groups are small.
     ``group_cols + order_cols`` must be unique.
     """
     group_cols = list(group_cols)
     if method == "window":
         w = Window.partitionBy(*group_cols).orderBy(*[_col(o) for o in order_cols])
         return df.select("*", *[F.lag(v, offset).over(w).alias(prefix + v) for v in value_cols])
-    pos = with_position(df, order_cols, group_cols, name="_sw_pos")
-    prev = pos.select(*group_cols, (F.col("_sw_pos") + offset).alias("_sw_pos"),
-                      *[F.col(v).alias(prefix + v) for v in value_cols])
-    return _join_back(pos, prev, [*group_cols, "_sw_pos"], how="left").drop("_sw_pos")
+    if offset != 1:
+        pos = with_position(df, order_cols, group_cols, name="_sw_pos")
+        prev = pos.select(*group_cols, (F.col("_sw_pos") + offset).alias("_sw_pos"),
+                          *[F.col(v).alias(prefix + v) for v in value_cols])
+        return _join_back(pos, prev, [*group_cols, "_sw_pos"], how="left").drop("_sw_pos")
+    ranged = _ranged(df, [F.col(g) for g in group_cols] + [_col(o) for o in order_cols])
+    inside = Window.partitionBy(_PID, *group_cols).orderBy(_LOC)
+    vals = F.struct(*[F.col(v) for v in value_cols])
+    rows = ranged.withColumn("_sw_prev", F.lag(vals).over(inside))
+    # only the first row of a (partition, group) takes its value from another
+    # partition: the last row of the group's partition before
+    ends = ranged.groupBy(_PID, *group_cols).agg(F.max_by(vals, _LOC).alias("_sw_end"))
+    before = Window.partitionBy(*group_cols).orderBy(_PID)
+    carry = ends.select(_PID, *group_cols, F.lag("_sw_end").over(before).alias("_sw_carry"))
+    if not group_cols:
+        carry = F.broadcast(carry)  # one row per range partition
+    out = _join_back(rows, carry, [_PID, *group_cols])
+    prev = F.coalesce("_sw_prev", "_sw_carry")
+    return out.select(*df.columns, *[prev[v].alias(prefix + v) for v in value_cols])
 
 
 # ---------------------------------------------------------------- partitioned

@@ -41,18 +41,25 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+_SET: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder the cluster names in
-    ``spark.checkpoint.dir``; only when it is unset (local tests) create a
-    scratch folder and register it."""
-    path = spark.conf.get("spark.checkpoint.dir", None) or None
-    if path is None:
-        path = spark.sparkContext.getCheckpointDir()
-    if path is None:
-        path = tempfile.mkdtemp(prefix="shelfwise-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    """The shared checkpoint folder the cluster names in
+    ``spark.checkpoint.dir``, registered once per application. Unset, a
+    scratch folder is created for a local master; on a cluster that is an
+    error, as executors would write to their own disks."""
+    app = spark.sparkContext.applicationId
+    if app not in _SET:
+        path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+        if not path:
+            if not spark.sparkContext.master.split("[")[0] == "local":
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            path = tempfile.mkdtemp(prefix="shelfwise-ckpt-")
+            spark.conf.set("spark.checkpoint.dir", path)
+        spark.sparkContext.setCheckpointDir(path)
+        _SET[app] = path
+    return _SET[app]
 
 
 def materialize(df):

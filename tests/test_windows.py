@@ -94,3 +94,38 @@ def test_scale_forms_with_nulls(spark, seed):
     wp = Window.partitionBy("g").orderBy("v", "id")
     _same(df.withColumn("pos", F.row_number().over(wp)), W.with_position(df, ["v", "id"], ["g"]))
     _same(df.withColumn("prev_x", F.lag("x").over(wp)), W.lag_columns(df, ["g"], ["v", "id"], ["x"]))
+
+
+@pytest.fixture(scope="module")
+def million(spark):
+    """1.2 M rows with a payload column; one group holds a third of them."""
+    df = spark.range(1_200_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 997).alias("g"),
+        (F.xxhash64("id") % 1000).alias("v"), F.col("id"), F.concat(F.lit("payload"), F.col("id")).alias("payload"))
+    return df
+
+
+@pytest.mark.parametrize("partitions,coalesce", [(8, True), (64, False)])
+def test_positions_of_a_million_rows_with_payload(spark, million, partitions, coalesce):
+    """Larger than any range sample, with readers that need different columns."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", str(coalesce).lower())
+    try:
+        w = Window.partitionBy("g").orderBy("v", "id")
+        run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+        def digest(df, *cols):
+            r = df.agg(F.count(F.lit(1)), *[F.sum(F.xxhash64("id", c).cast("decimal(38,0)")) for c in (*cols, "payload")]).first()
+            return tuple(r)
+        plain = million.select("*", F.row_number().over(w).cast("long").alias("pos"), F.lag("v").over(w).alias("prev_v"), F.sum("v").over(run).alias("v_cum"))
+        expect = plain.agg(F.count(F.lit(1))).first()[0]
+        assert expect == 1_200_000
+        assert digest(W.with_position(million, ["v", "id"], ["g"]), "pos") == digest(plain, "pos")
+        assert digest(W.lag_columns(million, ["g"], ["v", "id"], ["v"]), "prev_v") == digest(plain, "prev_v")
+        assert digest(W.cumulative_sums(million, ["v", "id"], ["v"], ["g"]), "v_cum") == digest(plain, "v_cum")
+        pos = W.with_position(million, ["id"], name="pos")
+        assert pos.where("pos <> id + 1").count() == 0 and pos.count() == 1_200_000
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
