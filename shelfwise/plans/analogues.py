@@ -58,6 +58,13 @@ def _due(c="o_orderdate") -> Column:
     return F.date_add(_d(c), LOAN_DAYS)
 
 
+def _overdue() -> Column:
+    """Due date before ``AS_OF``, written on the bare column so that the
+    filter reaches the Parquet scan."""
+    last = dt.datetime.combine(AS_OF - dt.timedelta(days=LOAN_DAYS), dt.time())
+    return F.col("o_orderdate") < F.lit(last.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def _t(spark, sf_dir):
     return load_driver_tables(spark, sf_dir)
 
@@ -67,7 +74,7 @@ def overdue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Open orders past due (strictly before the as-of date) with customer
     and nation, and days overdue."""
     t = _t(spark, sf_dir)
-    o = t.orders.where((F.col("o_orderstatus") == "O") & (_due() < F.lit(AS_OF)))
+    o = t.orders.where((F.col("o_orderstatus") == "O") & _overdue())
     j = (o.join(t.customer, o.o_custkey == t.customer.c_custkey)
           .join(t.nation, F.col("c_nationkey") == t.nation.n_nationkey))
     return j.select("o_orderkey", "c_name", "n_name", "o_orderdate",
@@ -78,7 +85,7 @@ def overdue(spark: SparkSession, sf_dir: str) -> DataFrame:
 def overdue_scan(spark, sf_dir):
     """SELECT * of open orders past due: the pushdown target."""
     t = _t(spark, sf_dir)
-    return t.orders.where((F.col("o_orderstatus") == "O") & (_due() < F.lit(AS_OF)))
+    return t.orders.where((F.col("o_orderstatus") == "O") & _overdue())
 
 
 def recent(spark, sf_dir):
@@ -153,30 +160,32 @@ def gap_by_segment(spark, sf_dir):
                     "loans_count")
 
 
-_SOLD_SINCE = dt.date(2001, 6, 1)
+def _event_keys(t):
+    """Part keys that the event log mentions (``props.k``)."""
+    return t.events.select(_event_key().alias("k")).where("k is not null")
 
 
-def _recent_lines(t):
-    return t.lineitem.where(_d("l_shipdate") >= F.lit(_SOLD_SINCE))
+def _event_key():
+    return F.get_json_object("props", "$.k").cast("long")
 
 
 def unsold_parts(spark, sf_dir):
-    """Parts with no line shipped since the cut-off (LEFT JOIN .. IS NULL)."""
+    """Parts that no event mentions (LEFT JOIN .. IS NULL)."""
     t = _t(spark, sf_dir)
-    return joins.anti_join(t.part, _recent_lines(t), "p_partkey", "l_partkey") \
+    return joins.anti_join(t.part, _event_keys(t), "p_partkey", "k") \
         .select("p_partkey", "p_name", "p_type")
 
 
 def unsold_parts_not_in(spark, sf_dir):
     """Same set written as NOT IN, with SQL's NULL rules."""
     t = _t(spark, sf_dir)
-    return joins.not_in(t.part, "p_partkey", _recent_lines(t), "l_partkey") \
+    return joins.not_in(t.part, "p_partkey", _event_keys(t), "k") \
         .select("p_partkey", "p_name", "p_type")
 
 
 def unsold_parts_not_exists(spark, sf_dir):
     t = _t(spark, sf_dir)
-    return t.part.join(_recent_lines(t), F.col("p_partkey") == F.col("l_partkey"), "left_anti") \
+    return t.part.join(_event_keys(t), F.col("p_partkey") == F.col("k"), "left_anti") \
         .select("p_partkey", "p_name", "p_type")
 
 
@@ -210,11 +219,11 @@ def monthly(spark, sf_dir):
 
 
 def fill_rate(spark, sf_dir):
-    """Lines shipped in 2001 per part against the part size as capacity."""
+    """Lines per part against the part size as capacity."""
     t = _t(spark, sf_dir)
-    li = t.lineitem.where(_d("l_shipdate") >= F.lit(dt.date(2001, 1, 1)))
-    j = t.part.join(li, t.part.p_partkey == li.l_partkey, "left")
-    g = j.groupBy("p_partkey", "p_name", "p_size").agg(F.count("l_orderkey").alias("registrations"))
+    sold = t.lineitem.groupBy("l_partkey").agg(F.count("l_orderkey").alias("n"))
+    g = t.part.join(sold, F.col("p_partkey") == F.col("l_partkey"), "left").select(
+        "p_partkey", "p_name", "p_size", F.coalesce("n", F.lit(0)).alias("registrations"))
     return g.withColumn("capacity_percentage", pct_exact(F.col("registrations"), F.col("p_size")))
 
 
@@ -223,11 +232,16 @@ def star_chain(spark, sf_dir):
     """Order revenue (lines aggregated to the order first) through the
     customer -> nation -> region chain; newest 20 orders."""
     t = _t(spark, sf_dir)
-    rev = t.lineitem.groupBy("l_orderkey").agg(_from_cents(F.sum(_cents("l_extendedprice"))).alias("revenue"))
-    j = (t.orders.join(rev, t.orders.o_orderkey == rev.l_orderkey)
-          .join(t.customer, F.col("o_custkey") == t.customer.c_custkey)
-          .join(t.nation, F.col("c_nationkey") == t.nation.n_nationkey)
-          .join(t.region, F.col("n_regionkey") == t.region.r_regionkey))
+    place = (t.customer.join(t.nation, F.col("c_nationkey") == t.nation.n_nationkey)
+              .join(t.region, F.col("n_regionkey") == t.region.r_regionkey)
+              .select("c_custkey", "c_name", "n_name", "r_name"))
+    sold = (t.orders.join(t.lineitem.select("l_orderkey"), F.col("o_orderkey") == F.col("l_orderkey"), "left_semi")
+             .join(place.select("c_custkey"), F.col("o_custkey") == F.col("c_custkey"), "left_semi"))
+    # the 20 orders are known before any line is summed
+    newest = topk.top_k(sold.select("o_orderkey", "o_custkey", "o_orderdate"), [F.desc("o_orderdate"), F.desc("o_orderkey")], 20)
+    rev = (t.lineitem.join(F.broadcast(newest.select("o_orderkey")), F.col("l_orderkey") == F.col("o_orderkey"))
+            .groupBy("l_orderkey").agg(_from_cents(F.sum(_cents("l_extendedprice"))).alias("revenue")))
+    j = newest.join(rev, F.col("o_orderkey") == F.col("l_orderkey")).join(place, F.col("o_custkey") == F.col("c_custkey"))
     out = j.select("o_orderkey", "c_name", "n_name", "r_name", "o_orderdate", "revenue")
     return topk.top_k(out, [F.desc("o_orderdate"), F.desc("o_orderkey")], 20)
 
@@ -334,10 +348,10 @@ def author_popularity(spark, sf_dir):
 
 
 def never_ordered(spark, sf_dir):
-    """Customers with no order since 2001-01-01 (anti join)."""
+    """Customers who ordered nothing through the event log (anti join)."""
     t = _t(spark, sf_dir)
-    o = t.orders.where(_d("o_orderdate") >= F.lit(dt.date(2001, 1, 1)))
-    return joins.anti_join(t.customer, o, "c_custkey", "o_custkey") \
+    bought = t.events.where(F.col("event_type") == "purchase").select("user_id")
+    return joins.anti_join(t.customer, bought, "c_custkey", "user_id") \
         .select("c_custkey", "c_name", "c_mktsegment")
 
 
@@ -364,16 +378,16 @@ def above_average_debt(spark, sf_dir):
 
 
 def summary_cte(spark, sf_dir):
-    """Customer summary from three aggregates over orders since 2001; NULL
+    """Customer summary from three aggregates over orders and events; NULL
     counts for customers without any."""
     t = _t(spark, sf_dir)
-    o = t.orders.where(_d("o_orderdate") >= F.lit(dt.date(2001, 1, 1)))
+    o = t.orders
     total = o.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("total_loans"))
     lines = t.lineitem.where(F.col("l_linestatus") == "O")
     unpaid = (o.join(lines, o.o_orderkey == lines.l_orderkey, "left")
                .groupBy("o_custkey")
                .agg(_from_cents(F.coalesce(F.sum(_cents("l_extendedprice")), F.lit(0))).alias("total_fines")))
-    active = (o.where(F.col("o_orderstatus") == "O").groupBy("o_custkey")
+    active = (t.events.groupBy(F.col("user_id").alias("o_custkey"))
                .agg(F.count(F.lit(1)).alias("active_loans_count")))
     c = t.customer.select("c_custkey", "c_name", "c_mktsegment")
     for df in (total, unpaid, active):
@@ -402,11 +416,11 @@ _FEES = (("R", 20), ("A", 50), ("N", 10))
 
 
 def revenue_full_outer(spark, sf_dir):
-    """Monthly revenue: finished-order value by order month (before
-    2001-03) full-outer-joined with weighted line fees by ship month (from
-    1995-03); newest twelve months."""
+    """Monthly revenue: finished-order value by order month
+    full-outer-joined with weighted line fees by ship month; newest twelve
+    months."""
     t = _t(spark, sf_dir)
-    fr = (t.orders.where((F.col("o_orderstatus") == "F") & (_d("o_orderdate") < F.lit(dt.date(2001, 3, 1))))
+    fr = (t.orders.where(F.col("o_orderstatus") == "F")
            .groupBy(F.year("o_orderdate").cast("long").alias("year"),
                     F.month("o_orderdate").cast("long").alias("month"))
            .agg(F.sum(_cents("o_totalprice")).alias("total_fines")))
@@ -415,8 +429,7 @@ def revenue_full_outer(spark, sf_dir):
         fee = (F.when(F.col("l_returnflag") == flag, F.lit(amount)) if fee is None
                else fee.when(F.col("l_returnflag") == flag, F.lit(amount)))
     fee = fee.otherwise(F.lit(0))
-    mr = (t.lineitem.where(_d("l_shipdate") >= F.lit(dt.date(1995, 3, 1)))
-           .groupBy(F.year("l_shipdate").cast("long").alias("year"),
+    mr = (t.lineitem.groupBy(F.year("l_shipdate").cast("long").alias("year"),
                     F.month("l_shipdate").cast("long").alias("month"))
            .agg(F.sum(fee).cast("long").alias("total_membership")))
     j = joins.full_outer_coalesce(fr, mr, ["year", "month"])
@@ -462,7 +475,7 @@ def people(spark, sf_dir):
                           F.col("c_mktsegment").alias("detail"), F.lit("Member").alias("type"))
     s = t.supplier.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"),
                           sets.typed_null("detail"), F.lit("Author").alias("type"))
-    return sets.union_distinct(c, s)
+    return sets.union_all(c, s)  # tags and keys differ: nothing to deduplicate
 
 
 def feed(spark, sf_dir):
@@ -480,18 +493,15 @@ def feed(spark, sf_dir):
 
 def status_union(spark, sf_dir):
     """Per part: lines of orders not open ('Available') and lines of open
-    orders ('On Loan'), as a tagged UNION."""
+    orders ('On Loan'), one tagged row per non-empty side. One pass: lines are
+    flagged by their order, counted per part and flag, then named."""
     t = _t(spark, sf_dir)
-    open_orders = t.orders.where(F.col("o_orderstatus") == "O").select("o_orderkey")
-    lp = t.lineitem.join(t.part, t.lineitem.l_partkey == t.part.p_partkey)
-    avail = (joins.not_in(lp, "l_orderkey", open_orders, "o_orderkey")
-               .groupBy("p_partkey", "p_name").agg(F.count(F.lit(1)).alias("count"))
-               .withColumn("status", F.lit("Available")))
-    onloan = (lp.join(open_orders, lp.l_orderkey == open_orders.o_orderkey)
-                .groupBy("p_partkey", "p_name").agg(F.count(F.lit(1)).alias("count"))
-                .withColumn("status", F.lit("On Loan")))
-    return sets.union_distinct(avail.select("p_partkey", "p_name", "status", "count"),
-                               onloan.select("p_partkey", "p_name", "status", "count"))
+    opened = t.orders.where(F.col("o_orderstatus") == "O").select("o_orderkey")
+    n = (t.lineitem.select("l_partkey", "l_orderkey").where("l_orderkey is not null")
+          .join(opened, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+          .groupBy("l_partkey", F.when(F.col("o_orderkey").isNull(), "Available").otherwise("On Loan").alias("status"))
+          .agg(F.count(F.lit(1)).alias("count")))
+    return n.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select("p_partkey", "p_name", "status", "count")
 
 
 def issues(spark, sf_dir):
@@ -499,7 +509,7 @@ def issues(spark, sf_dir):
     balance, one tagged row per issue."""
     t = _t(spark, sf_dir)
     c = t.customer
-    od = t.orders.where((F.col("o_orderstatus") == "O") & (_due() < F.lit(AS_OF)))
+    od = t.orders.where((F.col("o_orderstatus") == "O") & _overdue())
     a = (c.join(od, c.c_custkey == od.o_custkey).groupBy("c_custkey", "c_name")
           .agg(F.count(F.lit(1)).alias("issue_count")).withColumn("issue", F.lit("Overdue")))
     ol = t.orders.join(t.lineitem.where(F.col("l_linestatus") == "O"),
@@ -509,7 +519,7 @@ def issues(spark, sf_dir):
     s = (c.where(F.col("c_acctbal") < 0).select("c_custkey", "c_name")
           .withColumn("issue_count", F.lit(1).cast("long")).withColumn("issue", F.lit("Suspended")))
     cols = ["c_custkey", "c_name", "issue", "issue_count"]
-    return sets.union_distinct(a.select(*cols), b.select(*cols), s.select(*cols))
+    return sets.union_all(a.select(*cols), b.select(*cols), s.select(*cols))  # tagged, one row per key
 
 
 def top_bottom(spark, sf_dir):
@@ -663,6 +673,16 @@ def daily_activity(spark, sf_dir):
     return g.select(F.col("w.start").cast("timestamp_ntz").alias("day"), "event_type", "events")
 
 
+def _table_stream(spark, sf_dir, name, schema):
+    """A table as a file stream: its folder of part files, or, when it is a
+    single file, the folder around it with only that file taken."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
+    reader = spark.readStream.schema(schema)
+    return reader.parquet(path) if folder else reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+
+
 def daily_activity_stream(spark, sf_dir):
     """The same counts produced by the Structured Streaming job: the events
     table is read as a file stream, windows are emitted in append mode once
@@ -675,8 +695,7 @@ def daily_activity_stream(spark, sf_dir):
     from shelfwise.session import checkpoint_dir
     from shelfwise.streaming.streams import daily_activity as stream_counts
     t = _t(spark, sf_dir)
-    # the file source watches a folder; only the events file is taken from it
-    stream = spark.readStream.schema(t.events.schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    stream = _table_stream(spark, sf_dir, "events", t.events.schema)
     run = os.path.join(checkpoint_dir(spark), "streams", f"daily_activity_{uuid.uuid4().hex[:12]}")
     # file sink in the shared folder: emitted windows never pass through the driver
     q = (stream_counts(stream).writeStream.format("parquet").outputMode("append")
@@ -761,18 +780,26 @@ def audit_stream(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- jobs
-def _requests(t, since):
-    e = t.events.where((F.col("event_type") == "purchase") & (F.col("ts") >= F.lit(since)))
+# Fixed value: copies a part key stands for in the job reports.
+_COPIES_PER_KEY = 20
+
+
+def _copy_key():
+    return (_event_key() * _COPIES_PER_KEY + F.col("event_id") % _COPIES_PER_KEY).alias("copy_id")
+
+
+def _requests(t):
+    """Every purchase event asks for one of the copies of its key."""
+    e = t.events.where(F.col("event_type") == "purchase")
     return e.select(F.col("event_id").alias("request_id"), F.col("ts").alias("requested_at"),
-                    F.col("user_id").alias("member_id"),
-                    F.get_json_object("props", "$.k").cast("long").alias("copy_id"))
+                    F.col("user_id").alias("member_id"), _copy_key())
 
 
-def _prior_loans(t, before):
-    e = t.events.where((F.col("event_type") == "purchase") & (F.col("ts") < F.lit(before)))
+def _prior_loans(t):
+    """Every sign-up event holds one of the copies of its key."""
+    e = t.events.where(F.col("event_type") == "signup")
     return e.select(F.col("event_id").alias("loan_id"), F.col("user_id").alias("member_id"),
-                    F.get_json_object("props", "$.k").cast("long").alias("copy_id"),
-                    F.lit("active").alias("status"))
+                    _copy_key(), F.lit("active").alias("status"))
 
 
 def _members(t):
@@ -781,21 +808,19 @@ def _members(t):
 
 
 def checkouts(spark, sf_dir):
-    """Checkout requests (purchases from mid-month) against members and the
-    copies taken by purchases before the 8th; one outcome per request."""
+    """Checkout requests (purchases) against members and the copies held by
+    sign-ups; one outcome per request."""
     t = _t(spark, sf_dir)
-    out = jobs.apply_checkouts(_requests(t, dt.datetime(2024, 1, 15)), _members(t),
-                               _prior_loans(t, dt.datetime(2024, 1, 8)), AS_OF_EVENTS,
+    out = jobs.apply_checkouts(_requests(t), _members(t), _prior_loans(t), AS_OF_EVENTS,
                                order_cols=["requested_at", "request_id"])
     return out.select("request_id", "member_id", "copy_id", "outcome")
 
 
 def quota(spark, sf_dir):
     """Loan quota: existing active loans plus earlier requests may not
-    exceed five per member."""
+    exceed twenty per member."""
     t = _t(spark, sf_dir)
-    out = jobs.apply_quota(_requests(t, dt.datetime(2024, 1, 15)),
-                           _prior_loans(t, dt.datetime(2024, 1, 8)), max_active=5,
+    out = jobs.apply_quota(_requests(t), _prior_loans(t), max_active=20,
                            order_cols=["requested_at", "request_id"])
     return out.select("request_id", "member_id", "accepted")
 
@@ -820,16 +845,17 @@ def overdue_or_open(spark, sf_dir):
 
 
 def allocate(spark, sf_dir):
-    """Copy allocation: each purchase request from mid-month asks for a
-    part type (the type of part ``props.k``); free parts of that type (no
-    line shipped since 2001-06-01) are handed out lowest key first, in
-    request order; requests beyond the free parts get none."""
-    t = _t(spark, sf_dir)
-    req = _requests(t, dt.datetime(2024, 1, 15)).join(
-        t.part.select(F.col("p_partkey").alias("copy_id"), F.col("p_type").alias("book_id")), "copy_id") \
-        .select("request_id", "requested_at", "member_id", "book_id")
+    """Copy allocation: each purchase asks for a part type (the type of part
+    ``props.k``); free parts of that type (mentioned by no event) are handed
+    out lowest key first, in request order; requests beyond the free parts
+    get none."""
+    t = _t(spark, sf_dir)
+    asked = t.events.where(F.col("event_type") == "purchase").select(
+        F.col("event_id").alias("request_id"), F.col("ts").alias("requested_at"), F.col("user_id").alias("member_id"),
+        _event_key().alias("k"))
     copies = t.part.select(F.col("p_partkey").alias("copy_id"), F.col("p_type").alias("book_id"))
-    loans = _recent_lines(t).select(F.col("l_partkey").alias("copy_id"), F.lit("active").alias("status"))
+    req = asked.join(copies, F.col("k") == F.col("copy_id")).select("request_id", "requested_at", "member_id", "book_id")
+    loans = _event_keys(t).select(F.col("k").alias("copy_id"), F.lit("active").alias("status"))
     out = jobs.allocate_copies(req, copies, loans, order_cols=["requested_at", "request_id"])
     # the allocated copy can be NULL: carried as DOUBLE (see summary_cte)
     return out.select("request_id", "member_id", "book_id", F.col("copy_id").cast("double").alias("copy_id"),
@@ -862,11 +888,9 @@ def dq_pk(spark, sf_dir):
 
 
 def dq_fk(spark, sf_dir):
-    """Lines whose order is not among orders placed from 1996 on."""
+    """Orders that no line refers to."""
     t = _t(spark, sf_dir)
-    parent = t.orders.where(_d("o_orderdate") >= F.lit(dt.date(1996, 1, 1)))
-    return quality.check_fk(t.lineitem, "l_orderkey", parent, "o_orderkey") \
-        .select("l_orderkey", "l_linenumber", "l_partkey")
+    return quality.check_fk(t.orders, "o_orderkey", t.lineitem, "l_orderkey").select("o_orderkey", "o_custkey", "o_orderdate")
 
 
 def dq_values(spark, sf_dir):

@@ -375,7 +375,7 @@ def people_directory(t: Tables, as_of=None) -> DataFrame:
                             "email", F.lit("Member").alias("type"))
     a = t["authors"].select(F.col("author_id").alias("id"), F.col("author_name").alias("name"),
                             sets.typed_null("email"), F.lit("Author").alias("type"))
-    return topk.sort(sets.union_distinct(m, a), ["type", "name", "id"])
+    return topk.sort(sets.union_all(m, a), ["type", "name", "id"])
 
 
 def activity_feed(t: Tables, as_of=None, k: int = 50) -> DataFrame:
@@ -403,7 +403,7 @@ def available_vs_on_loan(t: Tables, as_of=None) -> DataFrame:
               .groupBy("book_id", "title").agg(F.count(F.lit(1)).alias("count"))
               .withColumn("status", F.lit("On Loan")))
     cols = ["book_id", "title", "status", "count"]
-    return topk.sort(sets.union_distinct(avail.select(*cols), onloan.select(*cols)), ["title", "status", "book_id"])
+    return topk.sort(sets.union_all(avail.select(*cols), onloan.select(*cols)), ["title", "status", "book_id"])
 
 
 def members_with_issues(t: Tables, as_of) -> DataFrame:
@@ -419,7 +419,7 @@ def members_with_issues(t: Tables, as_of) -> DataFrame:
           .select("member_id", "first_name", "last_name", "email", F.lit(1).cast("long").alias("issue_count"),
                   F.lit("Suspended").alias("issue")))
     cols = ["member_id", name, "email", "issue", "issue_count"]
-    u = sets.union_distinct(a.select(*cols), b.select(*cols), s.select(*cols))
+    u = sets.union_all(a.select(*cols), b.select(*cols), s.select(*cols))
     return topk.sort(u, ["member_name", "issue", "member_id"])
 
 

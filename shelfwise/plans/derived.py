@@ -7,7 +7,8 @@ Rules (the same rules are written as SQL in ``LIBRARY_SQL`` for the oracle):
 * members  <- customer; last name = customer name, first name = segment,
               address = nation name (shared by many members), join date =
               first order date (NULL without orders), type by segment,
-              status 'suspended' for a negative balance
+              status 'suspended' for a negative balance; and supplier
+              contacts as premium members (ids -1 - supplier) who never borrow
 * books    <- part; author = brand number, genre = part type, copies = size
 * copies   <- distinct (part, supplier) pairs of lineitem; condition from
               the supplier's balance, acquired at the first shipment
@@ -17,19 +18,24 @@ Rules (the same rules are written as SQL in ``LIBRARY_SQL`` for the oracle):
 * fines    <- orders with returned ('R') lines: smallest such line price,
               paid when the order is finished (30 days after the order)
 * events   <- events; library type by event type, capacity = floor(value)
-* registrations <- one per event by its user, the day before
+* registrations <- one per event by its user, the day before; the contact of
+              supplier 0 attends every book club
 
-Ids are the natural BIGINT keys (copy id = part * 10000 + supplier).
+Ids are the natural BIGINT keys. A copy id holds its two keys side by side
+(part * 2^32 + supplier), so it is unique for any supplier key below 2^32.
 """
 
 from __future__ import annotations
 
+import hashlib
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.sources.tables import load_driver_tables
+from shelfwise.session import checkpoint_dir
+from shelfwise.session import materialize as checkpointed
+from shelfwise.sources.tables import input_version, load_driver_tables
 
 # Derivation rules.
 SEGMENT_TYPE = (("AUTOMOBILE", "standard"), ("BUILDING", "standard"), ("FURNITURE", "premium"),
@@ -38,6 +44,7 @@ EVENT_TYPE = (("click", "book_club"), ("view", "workshop"), ("purchase", "readin
 OTHER_EVENT_TYPE = "author_visit"
 CONDITION_BY_BALANCE = ((0, "poor"), (2500, "fair"), (6000, "good"))
 BEST_CONDITION = "excellent"
+COPY_STRIDE = 1 << 32
 
 _CACHE: dict[tuple, dict[str, DataFrame]] = {}
 _LOCK = threading.Lock()
@@ -57,44 +64,40 @@ def library_from_driver(spark: SparkSession, sf_dir: str, materialize: bool = Tr
     folder (``spark.checkpoint.dir``); reports then scan those tables (column
     pruning, filter pushdown, measured sizes for AQE) instead of repeating
     the derivation, and a lost executor never forces it to be redone."""
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir, materialize)
+    version = _input_version(spark, sf_dir)
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir, version, materialize)
     with _LOCK:  # one derivation per input version, also with concurrent callers
         if key not in _CACHE:
-            lib = _derive(spark, sf_dir)
-            _CACHE[key] = _materialized(spark, sf_dir, lib) if materialize else lib
+            _CACHE[key] = _materialized(spark, version, sf_dir) if materialize else _derive(spark, sf_dir)
     return _CACHE[key]
 
 
 def _input_version(spark: SparkSession, sf_dir: str) -> str:
-    """Digest of the input files' paths, sizes and modification times."""
-    import hashlib
-    jvm = spark._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    parts = [sf_dir]
-    for name in ("supplier", "nation", "customer", "part", "orders", "lineitem", "events"):
-        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
-        fs = path.getFileSystem(conf)
-        st = fs.getFileStatus(path)
-        parts.append(f"{name}:{st.getLen()}:{st.getModificationTime()}")
+    """Digest of the path and of the input tables' files."""
+    names = ("supplier", "nation", "customer", "part", "orders", "lineitem", "events")
+    parts = [sf_dir, *[input_version(spark, f"{sf_dir.rstrip('/')}/{n}.parquet") for n in names]]
     return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
 
 
-def _materialized(spark: SparkSession, sf_dir: str, lib: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    from shelfwise.session import checkpoint_dir
-    base = f"{checkpoint_dir(spark).rstrip('/')}/library/{_input_version(spark, sf_dir)}"
-    jvm = spark._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    out = {}
-    for name, df in lib.items():
-        path = f"{base}/{name}"
-        done = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
-        if not done.getFileSystem(conf).exists(done):
-            df.write.mode("overwrite").parquet(path)
-        out[name] = spark.read.parquet(path)
-    return out
+def _materialized(spark: SparkSession, version: str, sf_dir: str) -> dict[str, DataFrame]:
+    base = f"{checkpoint_dir(spark).rstrip('/')}/library/{version}"
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/{TABLES[-1]}/_SUCCESS")  # written last
+    if not done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done):
+        lib = _derive(spark, sf_dir, cut=True)
+        for name in TABLES:
+            lib[name].write.mode("overwrite").parquet(f"{base}/{name}")
+    return {name: spark.read.parquet(f"{base}/{name}") for name in TABLES}
 
 
-def _derive(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+TABLES = ("authors", "members", "books", "book_copies", "loans", "fines", "events", "event_registrations")
+
+
+def _copy_id(part: str, supplier: str) -> F.Column:
+    return F.col(part).cast("long") * F.lit(COPY_STRIDE) + F.col(supplier)
+
+
+def _derive(spark: SparkSession, sf_dir: str, cut: bool = False) -> dict[str, DataFrame]:
+    """``cut`` writes the per-order rows once, as loans and fines share them."""
     t = load_driver_tables(spark, sf_dir)
     nation = t.nation.select("n_nationkey", "n_name")
     authors = t.supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "left").select(
@@ -110,6 +113,12 @@ def _derive(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
                        F.to_date("_first").alias("join_date"),
                        _case("c_mktsegment", SEGMENT_TYPE, "standard").alias("membership_type"),
                        F.when(F.col("c_acctbal") < 0, F.lit("suspended")).otherwise(F.lit("active")).alias("status")))
+    none = F.lit(None).cast("string")
+    members = members.unionByName(t.supplier.select(
+        (F.lit(-1) - F.col("s_suppkey")).cast("long").alias("member_id"), F.lit("CONTACT").alias("first_name"),
+        F.col("s_name").alias("last_name"), F.concat(F.col("s_name"), F.lit("@example.org")).alias("email"),
+        none.alias("phone"), none.alias("address"), F.lit(None).cast("date").alias("join_date"),
+        F.lit("premium").alias("membership_type"), F.lit("active").alias("status")))
     books = t.part.select(
         F.col("p_partkey").alias("book_id"), F.col("p_name").alias("title"),
         F.substring("p_brand", 7, 10).cast("long").alias("author_id"),
@@ -124,13 +133,15 @@ def _derive(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     cond = cond.otherwise(F.lit(BEST_CONDITION))
     copies = pairs.join(t.supplier.select("s_suppkey", "s_acctbal"), F.col("l_suppkey") == F.col("s_suppkey"),
                         "left").select(
-        (F.col("l_partkey") * 10000 + F.col("l_suppkey")).alias("copy_id"), F.col("l_partkey").alias("book_id"),
+        _copy_id("l_partkey", "l_suppkey").alias("copy_id"), F.col("l_partkey").alias("book_id"),
         F.col("l_suppkey").cast("int").alias("copy_number"), cond.alias("condition"),
         F.to_date("_acq").alias("acquisition_date"))
     per_order = t.lineitem.groupBy("l_orderkey").agg(
-        F.min(F.col("l_partkey") * 10000 + F.col("l_suppkey")).alias("_copy"), F.max("l_shipdate").alias("_last"),
+        F.min(_copy_id("l_partkey", "l_suppkey")).alias("_copy"), F.max("l_shipdate").alias("_last"),
         F.min(F.when(F.col("l_returnflag") == "R", F.col("l_extendedprice"))).alias("_fine"))
     lo = t.orders.join(per_order, F.col("o_orderkey") == F.col("l_orderkey"))
+    if cut:
+        lo = checkpointed(lo.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "_copy", "_last", "_fine"))
     loan_date = F.to_date("o_orderdate")
     loans = lo.select(
         F.col("o_orderkey").alias("loan_id"), F.col("o_custkey").alias("member_id"), F.col("_copy").alias("copy_id"),
@@ -147,8 +158,10 @@ def _derive(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "event_id", F.concat(F.col("event_type"), F.lit("#"), F.col("event_id").cast("string")).alias("event_name"),
         F.to_date("ts").alias("event_date"), _case("event_type", EVENT_TYPE, OTHER_EVENT_TYPE).alias("event_type"),
         F.floor("value").cast("int").alias("max_attendees"), F.col("props").alias("description"))
-    regs = t.events.select(F.col("event_id").alias("registration_id"), "event_id", F.col("user_id").alias("member_id"),
-                           F.date_sub(F.to_date("ts"), 1).alias("registration_date"))
+    before = F.date_sub(F.to_date("ts"), 1).alias("registration_date")
+    regs = t.events.select((F.col("event_id") * 2).alias("registration_id"), "event_id", F.col("user_id").alias("member_id"), before)
+    regs = regs.unionByName(t.events.where(F.col("event_type") == "click").select(
+        (F.col("event_id") * 2 + 1).alias("registration_id"), "event_id", F.lit(-1).cast("long").alias("member_id"), before))
     return {"authors": authors, "members": members, "books": books, "book_copies": copies, "loans": loans,
             "fines": fines, "events": events, "event_registrations": regs}
 
@@ -177,20 +190,23 @@ members AS (
          CASE WHEN c.c_acctbal < 0 THEN 'suspended' ELSE 'active' END AS status
   FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
   LEFT JOIN (SELECT o_custkey, MIN(o_orderdate) AS first_order FROM orders GROUP BY o_custkey) fo
-    ON c.c_custkey = fo.o_custkey),
+    ON c.c_custkey = fo.o_custkey
+  UNION ALL
+  SELECT -1 - s_suppkey, 'CONTACT', s_name, s_name || '@example.org', NULL, NULL, NULL, 'premium', 'active'
+  FROM supplier),
 books AS (
   SELECT p_partkey AS book_id, p_name AS title, CAST(substr(p_brand, 7, 10) AS BIGINT) AS author_id,
          'ISBN-' || CAST(p_partkey AS VARCHAR) AS isbn, CAST(1990 + p_size AS INTEGER) AS publication_year,
          p_type AS genre, p_size AS total_copies
   FROM part),
 book_copies AS (
-  SELECT pr.l_partkey * 10000 + pr.l_suppkey AS copy_id, pr.l_partkey AS book_id,
+  SELECT pr.l_partkey * {COPY_STRIDE} + pr.l_suppkey AS copy_id, pr.l_partkey AS book_id,
          CAST(pr.l_suppkey AS INTEGER) AS copy_number, {_cond_sql()} AS condition,
          CAST(pr.acq AS DATE) AS acquisition_date
   FROM (SELECT l_partkey, l_suppkey, MIN(l_shipdate) AS acq FROM lineitem GROUP BY l_partkey, l_suppkey) pr
   LEFT JOIN supplier s ON pr.l_suppkey = s.s_suppkey),
 per_order AS (
-  SELECT l_orderkey, MIN(l_partkey * 10000 + l_suppkey) AS copy, MAX(l_shipdate) AS last_ship,
+  SELECT l_orderkey, MIN(l_partkey * {COPY_STRIDE} + l_suppkey) AS copy, MAX(l_shipdate) AS last_ship,
          MIN(CASE WHEN l_returnflag = 'R' THEN l_extendedprice END) AS fine
   FROM lineitem GROUP BY l_orderkey),
 loans AS (
@@ -210,8 +226,10 @@ lib_events AS (
          CAST(floor(value) AS INTEGER) AS max_attendees, props AS description
   FROM events),
 event_registrations AS (
-  SELECT event_id AS registration_id, event_id, user_id AS member_id, CAST(ts AS DATE) - 1 AS registration_date
-  FROM events)"""
+  SELECT event_id * 2 AS registration_id, event_id, user_id AS member_id, CAST(ts AS DATE) - 1 AS registration_date
+  FROM events
+  UNION ALL
+  SELECT event_id * 2 + 1, event_id, -1, CAST(ts AS DATE) - 1 FROM events WHERE event_type = 'click')"""
 
 
 def with_library(body_ctes: str, select: str) -> str:

@@ -3,6 +3,7 @@ prunes columns and pushes filters into the Parquet scan."""
 
 from __future__ import annotations
 
+import hashlib
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +33,18 @@ def save_library(tables: dict[str, DataFrame], base: str, mode: str = "overwrite
         df.write.mode(mode).parquet(os.path.join(base, name))
 
 
+def input_version(spark: SparkSession, path: str) -> str:
+    """Digest of a table's files (paths, sizes, modification times), whether
+    it is one file or a folder of part files, in any store Spark reads."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(p, True)
+    parts = []
+    while files.hasNext():
+        f = files.next()
+        parts.append(f"{f.getPath()}:{f.getLen()}:{f.getModificationTime()}")
+    return hashlib.sha1("|".join(sorted(parts)).encode()).hexdigest()[:16]
+
+
 class DriverTables:
     """Lazy accessor for the driver's parquet tables; nothing is read until a
     table is used, and each scan is created once per session."""
@@ -42,9 +55,11 @@ class DriverTables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name in ("spark", "base"):
             raise AttributeError(name)
-        if name not in self._cache:
-            self._cache[name] = self.spark.read.parquet(_path(self.base, name))
-        return self._cache[name]
+        path = _path(self.base, name)
+        version = input_version(self.spark, path)
+        if self._cache.get(name, ("",))[0] != version:
+            self._cache[name] = (version, self.spark.read.parquet(path))
+        return self._cache[name][1]
 
     __getitem__ = __getattr__
 
@@ -54,8 +69,8 @@ _SCANS: dict[tuple, DriverTables] = {}
 
 def load_driver_tables(spark: SparkSession, base: str) -> DriverTables:
     """Scans of the driver tables, shared by every report of one session:
-    the file listing and Parquet footer are read once per table, not once
-    per report (the tables are read-only inputs)."""
+    the Parquet footer is read once per table, not once per report; a change
+    of the files is noticed at the next use."""
     key = (id(spark), spark.sparkContext.applicationId, base)
     if key not in _SCANS:
         _SCANS[key] = DriverTables(spark, base)
