@@ -22,6 +22,7 @@ from shelfwise import schemas
 from shelfwise.session import materialize
 from shelfwise.functions.exprs import FINE_PER_DAY, LOAN_DAYS, fine_amount
 from shelfwise.operators.windows import first_per_group, top_n_within, with_position
+from shelfwise.sources.append import assign_ids
 
 # Outcome messages.
 MSG_NO_MEMBER = "Member does not exist."
@@ -36,6 +37,15 @@ MSG_DELETE_BLOCKED = "Cannot delete book: Active loans exist"
 MSG_UNKNOWN_MEMBER = "Unknown member"
 MSG_NO_FREE_COPY = "No free copy"
 MSG_QUOTA = "Too many active loans"
+# Audit texts.
+DESC_CHECKED_OUT = "Book checked out"
+DESC_FINE_PAID = "Fine paid"
+DESC_BATCH_RETURN = "Batch return for member "
+
+
+def member_updated(first, last, old, new) -> Column:
+    """Fixed text of a member's audit row, from its four columns."""
+    return F.concat(F.lit("Member "), first, F.lit(" "), last, F.lit(" updated. Status: "), old, F.lit(" -> "), new)
 
 
 def _lit_date(d) -> Column:
@@ -150,8 +160,7 @@ def audit_changes(old: DataFrame, new: DataFrame, key: str, cols, as_of_ts,
     for c in cols:
         d = ~F.col(f"old_{c}").eqNullSafe(F.col(f"new_{c}"))
         changed = d if changed is None else (changed | d)
-    desc = F.concat(F.lit("Member "), F.col("old_first_name"), F.lit(" "), F.col("old_last_name"),
-                    F.lit(" updated. Status: "), F.col("old_status"), F.lit(" -> "), F.col("new_status")) \
+    desc = member_updated(F.col("old_first_name"), F.col("old_last_name"), F.col("old_status"), F.col("new_status")) \
         if {"first_name", "last_name", "status"} <= set(old.columns) else F.lit("Row updated")
     return j.where(changed).select(
         F.lit(table_name).alias("table_name"), F.lit("UPDATE").alias("action"),
@@ -237,24 +246,30 @@ def allocate_copies(requests: DataFrame, copies: DataFrame, loans: DataFrame,
             .withColumn("outcome", F.when(F.col("copy_id").isNull(), F.lit(MSG_NO_FREE_COPY)))
 
 
-def checkout_and_log(requests: DataFrame, copies: DataFrame, loans: DataFrame, as_of,
+def checkout_and_log(requests: DataFrame, copies: DataFrame, loans: DataFrame, members: DataFrame, as_of,
                      loan_days: int = LOAN_DAYS, order_cols=("request_id",), cut_lineage: bool = True):
-    """Allocate a copy, create the loan and its audit row, per request.
-    Returns (outcomes, new loans with ids, audit rows)."""
-    alloc = allocate_copies(requests, copies, loans, order_cols)
+    """Admit the member, allocate a copy, create the loan and its audit row,
+    per request. Requests of unknown or inactive members (``split_admissible``)
+    take no copy. Returns (outcomes, new loans with ids, audit rows)."""
+    guarded = split_admissible(requests, members)
+    if cut_lineage:
+        guarded = materialize(guarded)
+    alloc = allocate_copies(guarded.where("rejection is null").drop("rejection"), copies, loans, order_cols)
+    refused = guarded.where("rejection is not null").select(
+        *requests.columns, F.lit(None).cast(copies.schema["copy_id"].dataType).alias("copy_id"), F.lit(False).alias("accepted"),
+        F.col("rejection").alias("outcome"))
+    outcomes = alloc.select(*requests.columns, "copy_id", "accepted", "outcome").unionByName(refused)
     start = loans.select(F.coalesce(F.max("loan_id"), F.lit(0)) + 1).scalar()
     new = alloc.where("accepted").select(
         "request_id", "member_id", "copy_id", _lit_date(as_of).alias("loan_date"),
         F.date_add(_lit_date(as_of), loan_days).alias("due_date"),
         F.lit(None).cast("date").alias("return_date"), F.lit("active").alias("status"))
-    from shelfwise.sources.append import assign_ids
     new = assign_ids(new, ["request_id"], "loan_id", start=start)
     if cut_lineage:  # loan rows and their audit rows must carry the same ids
         new = materialize(new)
     audit = new.select(F.lit("loans").alias("table_name"), F.lit("INSERT").alias("action"),
-                       F.col("loan_id").cast("int").alias("record_id"),
-                       F.lit("Book checked out").alias("description"))
-    return alloc, new, audit
+                       F.col("loan_id").alias("record_id"), F.lit(DESC_CHECKED_OUT).alias("description"))
+    return outcomes, new, audit
 
 
 # ---------------------------------------------------------------- C11
@@ -282,7 +297,7 @@ def settle_fines(payment_ids: DataFrame, fines: DataFrame, loans: DataFrame, mem
     new_members = m.withColumn("status", F.when(cond, F.lit("active")).otherwise(F.col("status"))) \
         .drop("_react").select(*members.columns)
     audit = pay.select(F.lit("fines").alias("table_name"), F.lit("UPDATE").alias("action"),
-                       F.col("fine_id").alias("record_id"), F.lit("Fine paid").alias("description"))
+                       F.col("fine_id").alias("record_id"), F.lit(DESC_FINE_PAID).alias("description"))
     return new_fines, new_members, audit
 
 
@@ -330,7 +345,7 @@ def batch_return(member_ids: DataFrame, loans: DataFrame, fines: DataFrame, as_o
                             F.lit(False).alias("paid"), F.lit(None).cast("date").alias("payment_date"))
     audit = ids.select(F.lit("loans").alias("table_name"), F.lit("UPDATE").alias("action"),
                        F.col("member_id").alias("record_id"),
-                       F.concat(F.lit("Batch return for member "), F.col("member_id").cast("string"))
+                       F.concat(F.lit(DESC_BATCH_RETURN), F.col("member_id").cast("string"))
                        .alias("description"))
     return new_loans.drop("_mine"), new_fines, audit
 
@@ -346,7 +361,8 @@ def member_report(member_ids: DataFrame, t: dict[str, DataFrame], as_of) -> dict
     loans = t["loans"].join(ids, "member_id", "left_semi").where(F.col("status") == "active")
     current = loans.join(t["book_copies"], "copy_id").join(t["books"], "book_id") \
         .select("member_id", "title", "loan_date", "due_date")
-    unpaid = t["fines"].where(F.col("paid") == False).join(t["loans"], "loan_id") \
+    mine = t["loans"].select("loan_id", "member_id").join(ids, "member_id", "left_semi")
+    unpaid = t["fines"].where(F.col("paid") == False).join(mine, "loan_id") \
         .groupBy("member_id").agg(F.sum("fine_amount").alias("total_unpaid"))  # noqa: E712
     unpaid = ids.join(unpaid, "member_id", "left")
     ev = t["event_registrations"].join(ids, "member_id", "left_semi").join(t["events"], "event_id") \
@@ -412,6 +428,11 @@ def recommend(bought: DataFrame, items: DataFrame, per_member: int | None = 5) -
                                                                     F.col("_k").cast("long"))).alias("_pos"))
     positioned = with_position(items.select("item_id", "genre", "title"), ["title", "item_id"], ["genre"],
                                name="_pos")
+    # positions beyond the largest need can't be used: what is left of a genre
+    # is at most that many rows, whatever the genre's size
+    largest = need.groupBy(F.col("genre").alias("_g")).agg(F.max("_k").alias("_max"))
+    positioned = positioned.join(largest, positioned["genre"].eqNullSafe(F.col("_g"))).where(F.col("_pos") <= F.col("_max")) \
+        .drop("_g", "_max")
     cand = slots.join(positioned, ["genre", "_pos"]).drop("_pos")
     top = top_n_within(unseen(cand), ["member_id"], ["title", "item_id"], per_member, name="_rn",
                        kind="row_number")

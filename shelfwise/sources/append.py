@@ -8,22 +8,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise import schemas
+from shelfwise.operators import quality
 from shelfwise.operators.windows import with_position
+from shelfwise.session import materialize
 
 
-def apply_defaults(df: DataFrame, table: str, as_of=None, as_of_ts=None) -> DataFrame:
+def apply_defaults(df: DataFrame, table: str, as_of: dt.date, as_of_ts: dt.datetime | None = None) -> DataFrame:
     """Add declared defaults for columns the input omits. A column that is
-    present keeps its values, explicit NULLs included."""
+    present keeps its values, explicit NULLs included. ``as_of`` is the load
+    date (never the wall clock); the load time defaults to its midnight."""
     schema = schemas.SCHEMAS[table]
+    stamp = as_of_ts if as_of_ts is not None else dt.datetime.combine(as_of, dt.time())
     for col, default in schemas.DEFAULTS.get(table, {}).items():
         if col in df.columns:
             continue
-        if default == "as_of":
-            v = F.lit(as_of or dt.date.today())
-        elif default == "as_of_ts":
-            v = F.lit(as_of_ts or dt.datetime.now())
-        else:
-            v = F.lit(default)
+        v = F.lit({"as_of": as_of, "as_of_ts": stamp}.get(default, default))
         df = df.withColumn(col, v.cast(schema[col].dataType))
     return df
 
@@ -45,33 +44,43 @@ def conform(df: DataFrame, table: str) -> DataFrame:
                        for f in schema.fields])
 
 
-def append_rows(df: DataFrame, table: str, path: str, existing: DataFrame | None = None,
-                as_of=None, as_of_ts=None, validate: bool = True):
+def append_rows(df: DataFrame, table: str, path: str, as_of: dt.date, parents: dict[str, DataFrame] | None = None,
+                existing: DataFrame | None = None, as_of_ts: dt.datetime | None = None, order_cols=None):
     """Literal-rows insert as a validated append: defaults -> ids after the
     current maximum -> quality rules -> append. Returns (written rows,
-    violations by rule); nothing is written when a rule fails."""
-    from shelfwise.operators import quality
+    violations by rule); nothing is written when a rule fails.
+
+    ``parents`` are the tables that foreign keys of ``table`` refer to; a
+    missing one is an error, as its rule could not run. Ids follow
+    ``order_cols``, which must be unique in the input (by default all its
+    columns, and repeated rows are refused). The new rows are written once to
+    the checkpoint folder, so the rules and the append read the same rows.
+    Only the new rows are checked; ``existing`` is consulted for keys."""
+    needed = {par for child, _, par, _, _ in schemas.FOREIGN_KEYS if child == table}
+    if missing := needed - set(parents or {}):
+        raise ValueError(f"tables of foreign keys are missing: {sorted(missing)}")
     pk = schemas.PRIMARY_KEYS[table][0]
     df = apply_defaults(df, table, as_of, as_of_ts)
     if pk not in df.columns:
         start = (existing.select(F.coalesce(F.max(pk), F.lit(0)) + 1).scalar()
                  if existing is not None else F.lit(1))
-        order = [c for c in df.columns]
-        df = assign_ids(df, order, pk, start)
-    df = conform(df, table)
-    bad = {}
-    if validate:
-        tables = {table: df if existing is None else existing.unionByName(df)}
-        for rule, v in quality.check_table(tables, table).items():
-            if not v.isEmpty():
-                bad[rule] = v
+        df = assign_ids(df, list(order_cols or df.columns), pk, start)
+    df = materialize(conform(df, table))
+    tables = {**(parents or {}), table: df}
+    bad = {rule: v for rule, v in quality.check_table(tables, table).items() if not v.isEmpty()}
+    if existing is not None:
+        for key in [schemas.PRIMARY_KEYS[table], *schemas.UNIQUE_KEYS.get(table, [])]:
+            taken = df.join(existing.select(*key), key, "left_semi")  # NULLs never collide
+            if not taken.isEmpty():
+                bad.setdefault("pk" if key == schemas.PRIMARY_KEYS[table] else f"unique_{'_'.join(key)}", taken)
     if not bad:
         df.write.mode("append").parquet(path)
     return df, bad
 
 
 def append_from(df: DataFrame, table: str, path: str) -> DataFrame:
-    """INSERT ... SELECT: append an already shaped DataFrame."""
-    out = conform(df, table)
+    """INSERT ... SELECT: append an already shaped DataFrame (omitted columns
+    are NULL). Returns the appended rows."""
+    out = materialize(conform(df, table))
     out.write.mode("append").parquet(path)
     return out

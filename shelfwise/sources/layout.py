@@ -10,16 +10,20 @@ from pyspark.sql import DataFrame
 
 
 def write_layout(df: DataFrame, path: str | None = None, partition_by=(), bucket_by=(),
-                 sort_by=(), buckets: int = 8, table: str | None = None,
+                 sort_by=(), buckets: int | None = None, table: str | None = None,
                  mode: str = "overwrite") -> None:
     """Write ``df`` partitioned, bucketed and sorted.
 
     Bucketing needs a catalog table (``table``); for a plain path the rows
     are hash-clustered on ``bucket_by`` instead, which keeps each key in one
-    file per partition directory.
+    file per partition directory. ``buckets`` is required with
+    ``bucket_by`` for a catalog table, as it fixes the number of files for
+    good; without a table it may be left to the shuffle partition setting.
     """
+    if bucket_by and table is not None and not buckets:
+        raise ValueError("a bucketed table needs its number of buckets")
     if bucket_by and table is None:
-        df = df.repartition(buckets, *bucket_by)
+        df = df.repartition(*([buckets] if buckets else []), *bucket_by)
     if sort_by:
         df = df.sortWithinPartitions(*[*partition_by, *sort_by])
     w = df.write.mode(mode)

@@ -1,145 +1,80 @@
-"""A small lending library for tests: invented names, with the key
-structure, day offsets, statuses and amounts that the expected results in
-the tests rely on. Dates are offsets from ``AS_OF``."""
+"""A lending library for tests, drawn by a seeded generator from the schema's
+rules; a few structural cases are added by name below. Nothing in the tests
+relies on particular rows: expected results are worked out from the rows."""
 
 from __future__ import annotations
 
 import datetime as dt
+import random
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfwise import schemas
 
-AS_OF = dt.date(2024, 6, 15)
-
-
-def _day(offset: int) -> dt.date:
-    return AS_OF + dt.timedelta(days=offset)
-
-
-AUTHORS = [
-    ("Mira Okafor", 1961, "Ireland"), ("Tomas Lind", 1908, "Sweden"), ("Ada Pemberton", 1780, "England"),
-    ("Kenji Aral", 1952, "Japan"), ("Lucía Ferrán", 1930, "Perú"), ("Grace Holloway", 1935, "USA"),
-    ("Obi Nwosu", 1933, "Ghana"), ("Rosa Quintero", 1944, "Chile"), ("Hugh Barrow", 1892, "Wales"),
-    ("Dale Fenwick", 1950, "USA"),
-]
-
-# first, last, join offset, type, status
-MEMBERS = [
-    ("Anna", "Reyes", -400, "premium", "active"), ("Ben", "Cole", -300, "standard", "active"),
-    ("Cora", "Diaz", -200, "student", "active"), ("Dev", "Iyer", -500, "standard", "suspended"),
-    ("Elsa", "Moss", -100, "premium", "active"), ("Finn", "Ward", -600, "standard", "expired"),
-    ("Gia", "Park", -250, "student", "active"), ("Hal", "Ortiz", -150, "standard", "active"),
-    ("Ines", "Kaur", -350, "premium", "active"), ("Jon", "Vale", 0, "student", "active"),
-    ("Kira", "Novak", -180, "standard", "active"), ("Liam", "Shaw", -270, "premium", "active"),
-    ("Mae", "Quinn", -90, "student", "active"), ("Ned", "Frost", -420, "standard", "active"),
-    ("Opal", "Grant", -310, "premium", "active"), ("Pia", "Lund", -220, "student", "active"),
-    ("Rex", "Boone", -130, "standard", "active"), ("Sia", "Hart", -440, "premium", "active"),
-    ("Ty", "Marsh", -60, "standard", "active"), ("Uma", "Yates", -510, "student", "expired"),
-]
-
-# title, author_id, year, genre, total_copies
-BOOKS = [
-    ("The Salt Orchard", 1, 1997, "Fiction", 3), ("Grey Meridian", 2, 1949, "Fiction", 2),
-    ("A Quiet Inheritance", 3, 1813, "Fiction", 2), ("Lanterns at Dusk", 4, 1987, "Fiction", 1),
-    ("The Long Rains", 5, 1967, "Fiction", 2), ("River of Names", 6, 1987, "Fiction", 1),
-    ("When the Drums Rest", 7, 1958, "Fiction", 2), ("House of Copper", 8, 1982, "Fiction", 1),
-    ("Night Train South", 9, 1934, "Fiction", 2), ("The Cold Hotel", 10, 1977, "Fiction", 2),
-    ("The Salt Orchard Returns", 1, 1998, "Fiction", 2), ("Field of Crows", 2, 1945, "Fiction", 2),
-    ("Miss Harlow", 3, 1815, "Fiction", 1), ("Island of Clocks", 4, 2002, "Fiction", 1),
-    ("Fever Season", 5, 1985, "Fiction", 1), ("Blue Window", 6, 1970, "Fiction", 1),
-    ("Far From the Market", 7, 1960, "Fiction", 1), ("Letters to Ana", 8, 1994, "Biography", 1),
-    ("Ten Guests", 9, 1939, "Fiction", 2), ("The Long Road", 10, 1978, "Fiction", 2),
-    ("Small History of Stars", 1, 1988, "Science", 1), ("People of the Plains", 2, 2011, "History", 2),
-    ("Taught at Home", 3, 2018, "Biography", 2), ("The Hungry Snail", 3, 1969, "Children", 3),
-    ("Where Owls Sleep", 5, 1963, "Children", 2),
-]
-
-# book_id, copy_number, condition
-COPIES = [
-    (1, 1, "good"), (1, 2, "excellent"), (1, 3, "fair"), (2, 1, "excellent"), (2, 2, "good"),
-    (3, 1, "good"), (3, 2, "fair"), (4, 1, "excellent"), (5, 1, "good"), (5, 2, "good"),
-    (6, 1, "excellent"), (7, 1, "good"), (7, 2, "fair"), (8, 1, "good"), (9, 1, "excellent"),
-    (9, 2, "good"), (10, 1, "good"), (10, 2, "excellent"), (11, 1, "excellent"), (11, 2, "good"),
-    (12, 1, "good"), (12, 2, "fair"), (13, 1, "excellent"), (14, 1, "good"), (15, 1, "excellent"),
-    (16, 1, "good"), (17, 1, "fair"), (18, 1, "excellent"), (19, 1, "good"), (19, 2, "excellent"),
-    (20, 1, "good"), (20, 2, "fair"), (21, 1, "excellent"), (22, 1, "good"), (22, 2, "excellent"),
-    (23, 1, "excellent"), (23, 2, "good"), (24, 1, "good"), (24, 2, "excellent"), (24, 3, "fair"),
-    (25, 1, "excellent"), (25, 2, "good"),
-]
-
-# name, offset, type, capacity
-EVENTS = [
-    ("Mystery Circle", 10, "book_club", 15), ("Story Hour", 3, "reading_program", 20),
-    ("Meet the Author", 30, "author_visit", 50), ("Computer Basics", 7, "workshop", 12),
-    ("Summer Reading", 15, "reading_program", 25), ("Classics Circle", 20, "book_club", 15),
-    ("Poetry Lab", 5, "workshop", 10), ("Future Fiction Circle", 25, "book_club", 15),
-]
-
-# member_id, copy_id, loan offset, due offset, return offset, status
-LOANS = [
-    (1, 1, -5, 9, None, "active"), (2, 4, -10, 4, None, "active"), (3, 8, -3, 11, None, "active"),
-    (5, 11, -7, 7, None, "active"), (7, 15, -2, 12, None, "active"), (9, 21, -8, 6, None, "active"),
-    (11, 25, -4, 10, None, "active"),
-    (2, 6, -30, -16, None, "active"), (4, 9, -25, -11, None, "active"), (6, 13, -40, -26, None, "active"),
-    (8, 17, -35, -21, None, "active"), (10, 20, -22, -8, None, "active"),
-    (1, 2, -60, -46, -50, "returned"), (3, 5, -50, -36, -38, "returned"), (5, 7, -45, -31, -32, "returned"),
-    (7, 10, -55, -41, -42, "returned"), (9, 12, -70, -56, -55, "returned"), (11, 14, -65, -51, -48, "returned"),
-    (13, 16, -80, -66, -67, "returned"), (15, 18, -90, -76, -75, "returned"), (17, 22, -100, -86, -84, "returned"),
-    (19, 24, -110, -96, -95, "returned"),
-    (2, 3, -120, -106, -100, "returned"), (4, 19, -130, -116, -110, "returned"),
-    (6, 23, -140, -126, -118, "returned"), (8, 26, -150, -136, -130, "returned"),
-    (12, 27, -180, -166, None, "lost"),
-    (14, 28, -6, 8, None, "active"), (16, 30, -9, 5, None, "active"), (18, 32, -1, 13, None, "active"),
-]
-
-# loan_id, amount, reason, paid, payment offset
-FINES = [
-    (8, "4.00", "overdue", False, None), (9, "2.75", "overdue", False, None),
-    (10, "6.50", "overdue", False, None), (11, "5.25", "overdue", False, None),
-    (12, "2.00", "overdue", False, None),
-    (21, "1.50", "overdue", True, -99), (22, "1.50", "overdue", True, -109),
-    (23, "2.00", "overdue", True, -117), (24, "1.50", "overdue", True, -129),
-    (25, "25.00", "lost", False, None),
-]
-
-# event_id, member_id, registration offset
-REGISTRATIONS = [
-    (1, 1, -5), (1, 2, -4), (1, 5, -3), (1, 9, -2), (1, 15, -1),
-    (2, 3, -7), (2, 7, -6), (2, 13, -5),
-    (3, 1, -10), (3, 2, -9), (3, 5, -8), (3, 9, -7), (3, 11, -6), (3, 15, -5), (3, 18, -4),
-    (4, 3, -3), (4, 7, -2), (4, 10, -1),
-    (5, 3, -8), (5, 7, -7), (5, 13, -6), (5, 16, -5),
-    (6, 1, -4), (6, 5, -3), (6, 9, -2),
-]
-
-AUDIT = [
-    ("members", "INSERT", 1, "New member registration"), ("loans", "UPDATE", 13, "Book returned"),
-    ("fines", "INSERT", 1, "Overdue fine created"), ("members", "UPDATE", 4, "Member suspended"),
-    ("loans", "UPDATE", 25, "Book marked as lost"),
-]
-
-
-def library_rows() -> dict[str, list[tuple]]:
-    ts = dt.datetime.combine(AS_OF, dt.time(9, 0))
-    return {
-        "authors": [(i, n, y, c) for i, (n, y, c) in enumerate(AUTHORS, 1)],
-        "members": [(i, f, l, f"{f.lower()}.{l.lower()}@example.org", f"555-{1000 + i}",
-                     f"{100 + 7 * i} Elm Row", _day(o), typ, st)
-                    for i, (f, l, o, typ, st) in enumerate(MEMBERS, 1)],
-        "events": [(i, n, _day(o), typ, cap, None) for i, (n, o, typ, cap) in enumerate(EVENTS, 1)],
-        "audit_log": [(i, t, a, r, ts, "SYSTEM", d) for i, (t, a, r, d) in enumerate(AUDIT, 1)],
-        "books": [(i, ti, a, f"978{i:010d}", y, g, n) for i, (ti, a, y, g, n) in enumerate(BOOKS, 1)],
-        # acquisition dates follow a rule: spread over 2018-2021
-        "book_copies": [(i, b, c, cond, dt.date(2018, 1, 1) + dt.timedelta(days=(i * 97) % 1400))
-                        for i, (b, c, cond) in enumerate(COPIES, 1)],
-        "loans": [(i, m, c, _day(lo), _day(du), None if r is None else _day(r), st)
-                  for i, (m, c, lo, du, r, st) in enumerate(LOANS, 1)],
-        "fines": [(i, l, Decimal(a), why, p, None if po is None else _day(po))
-                  for i, (l, a, why, p, po) in enumerate(FINES, 1)],
-        "event_registrations": [(i, e, m, _day(o)) for i, (e, m, o) in enumerate(REGISTRATIONS, 1)],
-    }
+AS_OF = dt.date(2001, 8, 2)
+EVENTS_FROM = dt.date(2024, 1, 15)
+
+N_AUTHORS, N_MEMBERS, N_BOOKS, N_LOANS, N_EVENTS = 14, 40, 32, 140, 14
+#: members and books from these ids on are never part of a loan
+IDLE_MEMBER, IDLE_BOOK = 38, 28
+GENRES = ("PROMO", "STANDARD", "ECONOMY", "LARGE", "SMALL")
+
+
+def _word(rng: random.Random) -> str:
+    return "".join(rng.choice(("ba", "de", "ki", "lo", "mu", "ra", "si", "to")) for _ in range(rng.randint(2, 4))).capitalize()
+
+
+def library_rows(seed: int = 11) -> dict[str, list[tuple]]:
+    rng = random.Random(seed)
+    day = lambda back: AS_OF - dt.timedelta(days=back)
+    authors = [(i, _word(rng), rng.randint(1800, 1980), rng.choice(("Norland", "Sudland", "Estland"))) for i in range(1, N_AUTHORS + 1)]
+    addresses = [f"{_word(rng)} {n}" for n in range(25)]
+    members = []
+    for i in range(1, N_MEMBERS + 1):
+        members.append((i, _word(rng), _word(rng), f"m{i}@example.org", None if rng.random() < 0.2 else f"0-{i:04d}",
+                        None if rng.random() < 0.1 else rng.choice(addresses), None if i == 7 else day(rng.randint(0, 700)),
+                        rng.choice(("standard", "premium", "student")), rng.choices(("active", "suspended", "expired"), (7, 2, 1))[0]))
+    # the last author has no book; two books share a title
+    books = [(i, _word(rng) if i != 2 else None, rng.randint(1, N_AUTHORS - 1), f"isbn-{i}", rng.randint(1990, 2005), rng.choice(GENRES), rng.randint(1, 4))
+             for i in range(1, N_BOOKS + 1)]
+    books[1] = (2, books[0][1], *books[1][2:])
+    copies, n = [], 0
+    for b in books:
+        for k in range(1, b[6] + 1):
+            n += 1
+            copies.append((n, b[0], k, rng.choice(("excellent", "good", "fair", "poor")), day(rng.randint(500, 3000))))
+    lendable = [c[0] for c in copies if c[1] < IDLE_BOOK]
+    loans, out_now = [], set()
+    for i in range(1, N_LOANS + 1):
+        copy, start = rng.choice(lendable), rng.randint(1, 420)
+        status = rng.choices(("returned", "active", "lost"), (6, 4, 1))[0]
+        if status == "active" and copy in out_now:
+            status = "returned"
+        if status == "active":
+            out_now.add(copy)
+        back = min(start, rng.randint(1, 40))
+        loans.append((i, rng.randrange(1, IDLE_MEMBER), copy, day(start), day(start - 14), day(start - back) if status == "returned" else None, status))
+    fines = []
+    for loan in loans:
+        late = (loan[5] - loan[4]).days if loan[5] else 0
+        if loan[6] == "lost" or (late > 0 and rng.random() < 0.6):
+            paid = rng.random() < 0.4
+            amount = Decimal(late) * Decimal("0.25") if late > 0 else Decimal("20.00")
+            for _ in range(1 + (rng.random() < 0.1)):  # now and then two fines on one loan
+                fines.append((len(fines) + 1, loan[0], amount.quantize(Decimal("0.01")), "lost" if loan[6] == "lost" else "overdue", paid,
+                              loan[4] + dt.timedelta(days=rng.randint(1, 20)) if paid else None))
+    events = [(i, f"{_word(rng)} evening", EVENTS_FROM + dt.timedelta(days=rng.randint(-20, 45)),
+               ("book_club", "workshop", "reading_program", "author_visit")[i % 4], 0 if i == 5 else rng.randint(5, 40), None) for i in range(1, N_EVENTS + 1)]
+    # member 1 attends every book club
+    pairs = {(e[0], 1) for e in events if e[3] == "book_club"}
+    while len(pairs) < 60:
+        pairs.add((rng.randrange(1, N_EVENTS), rng.randint(1, N_MEMBERS)))
+    regs = [(i, e, m, EVENTS_FROM - dt.timedelta(days=rng.randint(1, 30))) for i, (e, m) in enumerate(sorted(pairs), 1)]
+    at = dt.datetime.combine(AS_OF, dt.time(9))
+    audit = [(i, "loans", "INSERT", i, at, "SYSTEM", "entry") for i in range(1, 4)]
+    return {"authors": authors, "members": members, "events": events, "audit_log": audit, "books": books, "book_copies": copies,
+            "loans": loans, "fines": fines, "event_registrations": regs}
 
 
 def library_tables(spark: SparkSession, rows: dict | None = None) -> dict[str, DataFrame]:

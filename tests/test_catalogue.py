@@ -1,141 +1,55 @@
-"""Catalogue reports on the fixture library against hand-derived results."""
-
-from decimal import Decimal
+"""Catalogue reports on the generated library, each against its own SQL in
+DuckDB over the same rows, and some properties worked out in Python."""
 
+import duckdb
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from shelfwise.operators import jobs
 from shelfwise.plans import catalogue as C
+from shelfwise.plans import library_reports as R
+from tools.oracle_check import rows
 
-ROWS = {"Q3.1": 17, "Q3.2": 3, "Q3.3": 19, "Q3.5": 7, "Q3.6": 7, "Q3.7": 6, "Q3.8": 8,
-        "Q5.1": 20, "Q5.2": 15, "Q5.3": 5, "Q5.4": 25, "Q5.5": 25, "Q5.6": 10, "Q5.7": 1, "Q5.8": 0,
-        "Q6.3": 20, "Q6.4": 5, "Q6.5": 0, "Q6.7": 20, "Q6.8": 5,
-        "Q7.1": 30, "Q7.2": 50, "Q7.3": 36, "Q7.4": 11, "Q7.5": 20,
-        "Q8.1": 19, "Q8.3": 15, "Q8.5": 12, "Q8.6": 30, "Q8.8": 30,
-        "Q9.3": 15, "Q11.1": 20, "Q11.2": 25, "Q11.3": 25, "Q11.4": 14, "Q11.5": 5}
-
-
-@pytest.mark.parametrize("qid,n", sorted(ROWS.items()))
-def test_row_counts(lib, as_of, qid, n):
-    assert C.CATALOGUE[qid](lib, as_of).count() == n
-
-
-def test_every_report_runs(lib, as_of):
-    for qid, fn in C.CATALOGUE.items():
-        fn(lib, as_of).collect()
-
-
-def test_overdue(lib, as_of):
-    r = C.overdue_loans(lib, as_of).collect()
-    assert [(x.loan_id, x.days_overdue) for x in r] == [(10, 26), (11, 21), (8, 16), (9, 11), (12, 8)]
-
-
-def test_members_by_type(lib, as_of):
-    r = C.members_by_type(lib, as_of).collect()
-    assert [(x.membership_type, x.member_count, x.percentage) for x in r] == [
-        ("standard", 8, 40.0), ("premium", 6, 30.0), ("student", 6, 30.0)]
-
-
-def test_fines_rollup(lib, as_of):
-    r = {(x.paid, x.is_total): (x.total_amount, x.fine_count) for x in C.fines_by_paid(lib, as_of).collect()}
-    assert r[(False, False)] == (Decimal("45.50"), 6)
-    assert r[(True, False)] == (Decimal("6.50"), 4)
-    assert r[(None, True)] == (Decimal("52.00"), 10)
-
-
-def test_top_genres(lib, as_of):
-    r = [(x.genre, x.titles, x.copies) for x in C.top_genres(lib, as_of).collect()]
-    assert r == [("Fiction", 19, 31), ("Children", 2, 5), ("Biography", 2, 3), ("History", 1, 2),
-                 ("Science", 1, 1)]
-
-
-def test_loan_days(lib, as_of):
-    r = [(x.membership_type, x.avg_days, x.loans_count) for x in C.loan_days_by_type(lib, as_of).collect()]
-    assert r == [("standard", 18.57, 7), ("premium", 13.25, 4), ("student", 12.67, 3)]
-
-
-def test_unlent_copies(lib, as_of):
-    ids = sorted(x.book_id for x in C.books_with_unlent_copy(lib, as_of).collect())
-    assert ids == [19, 20, 21, 22, 23, 24, 25]
-
+#: reports that may be empty on this library
+MAY_BE_EMPTY = {"lib_upcoming_events"}
 
-def test_event_fill(lib, as_of):
-    r = {x.event_id: x.capacity_percentage for x in C.event_fill(lib, as_of).collect()}
-    assert r == {1: 33.33, 2: 15.0, 3: 14.0, 4: 25.0, 5: 16.0, 6: 20.0, 7: 0.0, 8: 0.0}
 
+@pytest.fixture(scope="module")
+def duck(lib):
+    con = duckdb.connect()
+    for name, df in lib.items():
+        arrow = df.toArrow()
+        con.register("lib_events" if name == "events" else name, arrow)
+    return con
 
-def test_author_popularity(lib, as_of):
-    r = {x.author_id: (x.book_count, x.total_loans) for x in C.author_popularity(lib, as_of).collect()}
-    assert r == {1: (3, 5), 2: (3, 4), 3: (4, 3), 4: (2, 2), 5: (3, 3), 6: (2, 2), 7: (2, 3), 8: (2, 2),
-                 9: (2, 3), 10: (2, 3)}
 
+@pytest.mark.parametrize("name", sorted(R.PARTS))
+def test_report_equals_its_sql(lib, duck, name):
+    report, sql = R.PARTS[name]
+    got = rows(report(lib).toPandas())
+    want = rows(duck.sql(f"{'WITH ' + sql.ctes if sql.ctes.strip() else ''} {sql.select}").df())
+    assert got[0] == want[0]
+    assert got[1] == want[1]
+    assert got[1] or name in MAY_BE_EMPTY
 
-def test_never_borrowed(lib, as_of):
-    assert [x.member_id for x in C.never_borrowed(lib, as_of).collect()] == [20]
 
-
-def test_above_average_debtors(lib, as_of):
-    r = [(x.member_id, x.total_fines, x.fine_count) for x in C.above_average_debtors(lib, as_of).collect()]
-    assert r == [(6, Decimal("31.50"), 2), (8, Decimal("5.25"), 1)]
-
-
-def test_above_average_books(lib, as_of):
-    r = C.above_average_books(lib, as_of).collect()
-    assert len(r) == 9 and all(abs(x.average_loans - 1.2) < 1e-12 for x in r)
-
-
-def test_never_loaned(lib, as_of):
-    assert sorted(x.book_id for x in C.never_loaned_books(lib, as_of).collect()) == [21, 22, 23, 24, 25]
-
-
-def test_recommendations(lib, as_of):
-    r = C.recommendations(lib, as_of).collect()
-    assert {x.member_id for x in r} == {1} and len(r) == 5
+def test_every_catalogue_entry_is_registered(lib, as_of):
+    named = {fn.__name__ for fn in C.CATALOGUE.values()}
+    assert {n.removeprefix("lib_") for n in R.REPORTS} == named
 
 
 def test_recommendations_exact_candidates(lib):
-    from shelfwise.operators import jobs
     bought = lib["loans"].join(lib["book_copies"], "copy_id").select("member_id", F.col("book_id").alias("item_id"))
     items = lib["books"].select(F.col("book_id").alias("item_id"), "genre", "title")
     full = jobs.recommend(bought, items, per_member=None)
-    assert full.count() == 315
-    w = __import__("pyspark.sql.window", fromlist=["Window"]).Window
-    top = full.withColumn("rn", F.row_number().over(w.partitionBy("member_id").orderBy("title", "item_id"))) \
+    top = full.withColumn("rn", F.row_number().over(Window.partitionBy("member_id").orderBy("title", "item_id"))) \
         .where("rn <= 5").drop("rn")
     got = jobs.recommend(bought, items, per_member=5)
+    assert full.count() > top.count() > 0
     assert sorted(top.collect()) == sorted(got.select(*top.columns).collect())
 
 
-def test_available_vs_on_loan(lib, as_of):
-    r = C.available_vs_on_loan(lib, as_of).groupBy("status").count().collect()
-    assert {x.status: x["count"] for x in r} == {"Available": 21, "On Loan": 15}
-
-
-def test_rank_members(lib, as_of):
-    r = C.rank_members(lib, as_of).collect()
-    top = [x for x in r if x.rank_num == 1]
-    assert len(top) == 1 and top[0].member_id == 2 and top[0].total_loans == 3
-    assert sorted({(x.rank_num, x.dense_rank_num, x.total_loans) for x in r}) == [(1, 1, 3), (2, 2, 2), (11, 3, 1)]
-    assert sum(1 for x in r if x.rank_num == 2) == 9 and sum(1 for x in r if x.rank_num == 11) == 9
-
-
-def test_running_fines(lib, as_of):
-    r = [x.running_total for x in C.running_fines(lib, as_of).collect()]
-    assert r == [Decimal("1.50"), Decimal("3.50"), Decimal("5.00"), Decimal("6.50")]
-
-
-def test_top_books_per_genre(lib, as_of):
-    r = C.top_books_per_genre(lib, as_of).groupBy("genre").count().collect()
-    assert {x.genre: x["count"] for x in r} == {"Fiction": 9, "Biography": 2, "Children": 2, "History": 1,
-                                                 "Science": 1}
-
-
-def test_fine_percentiles(lib, as_of):
-    r = [(x.fine_amount, x.percentile_rank_pct) for x in C.fine_percentiles(lib, as_of).collect()]
-    assert r == [(Decimal("25.00"), 100.0), (Decimal("6.50"), 80.0), (Decimal("5.25"), 60.0),
-                 (Decimal("4.00"), 40.0), (Decimal("2.75"), 20.0), (Decimal("2.00"), 0.0)]
-
-
 def test_correlated_equals_joins(lib, as_of):
     a = C.book_totals_correlated(lib, as_of)
     b = C.book_totals_joins(lib, as_of)
@@ -145,7 +59,7 @@ def test_correlated_equals_joins(lib, as_of):
 def test_loan_gaps_first_is_null(lib, as_of):
     r = C.loan_gaps(lib, as_of).collect()
     firsts = [x for x in r if x.previous_loan_date is None]
-    assert len(firsts) == 19 and all(x.days_gap is None for x in firsts)
+    assert len(firsts) == len({x.member_id for x in r}) and all(x.days_gap is None for x in firsts)
 
 
 def test_overdue_scan_pushes_filters(lib, as_of, spark, tmp_path):
@@ -153,4 +67,4 @@ def test_overdue_scan_pushes_filters(lib, as_of, spark, tmp_path):
     save_library(lib, str(tmp_path))
     t = load_library(spark, str(tmp_path))
     plan = C.overdue_scan(t, as_of)._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters: [IsNotNull(status), IsNotNull(due_date), EqualTo(status,active)" in plan
+    assert "EqualTo(status,active)" in plan and "LessThan(due_date,2001-08-02)" in plan

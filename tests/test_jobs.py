@@ -6,12 +6,12 @@ import random
 from decimal import Decimal
 
 import pytest
+from fixtures import AS_OF, IDLE_BOOK, IDLE_MEMBER
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise.operators import jobs
 
-AS_OF = dt.date(2024, 6, 15)
 MEMBERS_T = T.StructType([T.StructField("member_id", T.IntegerType()), T.StructField("status", T.StringType())])
 LOANS_T = T.StructType([T.StructField("loan_id", T.IntegerType()), T.StructField("member_id", T.IntegerType()),
                         T.StructField("copy_id", T.IntegerType()), T.StructField("loan_date", T.DateType()),
@@ -155,66 +155,100 @@ def test_audit_changes(spark):
     assert [(x.record_id, x.description) for x in r] == [(1, "Member A B updated. Status: active -> suspended")]
 
 
-def test_delete_guard_and_cascade(spark, lib):
-    ids = spark.createDataFrame([(1,), (21,), (24,)], "book_id int")
-    g = {r.book_id: r.allowed for r in jobs.guard_book_delete(ids, lib["book_copies"], lib["loans"]).collect()}
-    assert g == {1: False, 21: True, 24: True}
-    g2 = {r.book_id: r.allowed for r in
-          jobs.guard_book_delete(ids, lib["book_copies"], lib["loans"], strict=True).collect()}
-    assert g2 == {1: False, 21: True, 24: True}
-    out, viol = jobs.cascade_delete(lib, "books", spark.createDataFrame([(21,)], "book_id int"))
-    assert viol.count() == 0 and out["books"].count() == 24 and out["book_copies"].count() == 41
+@pytest.fixture(scope="module")
+def raw():
+    from fixtures import library_rows
+    return library_rows()
+
+
+def test_delete_guard_and_cascade(spark, lib, raw):
+    book_of = {c[0]: c[1] for c in raw["book_copies"]}
+    active = {book_of[x[2]] for x in raw["loans"] if x[6] == "active"}
+    ever = {book_of[x[2]] for x in raw["loans"]}
+    some = [1, IDLE_BOOK, min(active), max(ever - active)]
+    ids = spark.createDataFrame([(b,) for b in some], "book_id int")
+    for strict, busy in ((False, active), (True, ever)):
+        g = {r.book_id: r.allowed for r in jobs.guard_book_delete(ids, lib["book_copies"], lib["loans"], strict=strict).collect()}
+        assert g == {b: b not in busy for b in some}
+    out, viol = jobs.cascade_delete(lib, "books", spark.createDataFrame([(IDLE_BOOK,)], "book_id int"))
+    gone = sum(c[1] == IDLE_BOOK for c in raw["book_copies"])
+    assert viol.count() == 0 and out["books"].count() == len(raw["books"]) - 1
+    assert out["book_copies"].count() == len(raw["book_copies"]) - gone and gone > 0
     out, viol = jobs.cascade_delete(lib, "members", spark.createDataFrame([(1,)], "member_id int"))
-    assert viol.where("table_name = 'loans'").count() == 2
-    assert out["event_registrations"].count() == 22
-
-
-def test_settle_fines(spark, lib):
-    pay = spark.createDataFrame([(3,), (10,)], "fine_id int")
+    assert viol.where("table_name = 'loans'").count() == sum(x[1] == 1 for x in raw["loans"])
+    assert out["event_registrations"].count() == sum(x[2] != 1 for x in raw["event_registrations"])
+
+
+def test_settle_fines(spark, lib, raw):
+    member_of = {x[0]: x[1] for x in raw["loans"]}
+    status = {m[0]: m[8] for m in raw["members"]}
+    unpaid = {}
+    for f in raw["fines"]:
+        if not f[4]:
+            unpaid.setdefault(member_of[f[1]], []).append(f[0])
+    clears = min(m for m in unpaid if status[m] != "active")  # all of this member's fines are paid
+    keeps = min(m for m in unpaid if len(unpaid[m]) > 1 and m != clears)  # of this member's only one
+    paid = [*unpaid[clears], unpaid[keeps][0]]
+    pay = spark.createDataFrame([(f,) for f in paid], "fine_id int")
     fines, members, audit = jobs.settle_fines(pay, lib["fines"], lib["loans"], lib["members"], AS_OF)
     f = {r.fine_id: (r.paid, r.payment_date) for r in fines.collect()}
-    assert f[3] == (True, AS_OF) and f[10] == (True, AS_OF) and f[1] == (False, None)
-    st = {r.member_id: r.status for r in members.collect()}
-    assert st[6] == "active"  # both of member 6's unpaid fines settled; expired -> active (literal rule)
+    assert f == {x[0]: (True, AS_OF) if x[0] in paid else (x[4], x[5]) for x in raw["fines"]}
+    assert {r.member_id: r.status for r in members.collect()} == {m: "active" if m == clears else s for m, s in status.items()}
     _, m2, _ = jobs.settle_fines(pay, lib["fines"], lib["loans"], lib["members"], AS_OF, only_suspended=True)
-    assert {r.member_id: r.status for r in m2.collect()}[6] == "expired"
-    assert audit.count() == 2
+    assert {r.member_id: r.status for r in m2.collect()}[clears] == ("active" if status[clears] == "suspended" else status[clears])
+    assert audit.count() == len(paid)
 
 
-def test_batch_return(spark, lib):
-    ids = spark.createDataFrame([(8,)], "member_id int")
+def test_batch_return(spark, lib, raw):
+    fined = {f[1] for f in raw["fines"]}
+    late = lambda x, end: max(0, (end - x[4]).days)
+    has_late = {x[1] for x in raw["loans"] if x[6] == "returned" and x[5] > x[4] and x[0] not in fined}
+    who = min(m for m in has_late if any(x[1] == m and x[6] == "active" for x in raw["loans"]))
+    ids = spark.createDataFrame([(who,)], "member_id int")
     loans, fines, audit = jobs.batch_return(ids, lib["loans"], lib["fines"], AS_OF)
-    mine = {r.loan_id: (r.status, r.return_date) for r in loans.where("member_id = 8").collect()}
-    assert mine[11] == ("returned", AS_OF)
-    # loan 11 already has a fine; loan 26 came back late long ago and has none
-    f = {r.loan_id: r.fine_amount for r in fines.collect()}
-    assert f == {26: Decimal("34.00")}  # literal rule: as_of - due
+    after = [(*x[:5], AS_OF, "returned") if x[1] == who and x[6] == "active" else x for x in raw["loans"]]
+    assert sorted(map(tuple, loans.collect())) == sorted(after)
+    owed = [x for x in after if x[1] == who and x[6] == "returned" and x[5] > x[4] and x[0] not in fined]
+    cents = lambda days: (Decimal(days) * Decimal("0.25")).quantize(Decimal("0.01"))
+    assert {r.loan_id: r.fine_amount for r in fines.collect()} == {x[0]: cents(late(x, AS_OF)) for x in owed}  # as_of - due
     _, f2, _ = jobs.batch_return(ids, lib["loans"], lib["fines"], AS_OF, days="return_date")
-    assert {r.loan_id: r.fine_amount for r in f2.collect()} == {26: Decimal("1.50")}
-    assert audit.first().description == "Batch return for member 8"
+    assert {r.loan_id: r.fine_amount for r in f2.collect()} == {x[0]: cents(late(x, x[5])) for x in owed}
+    assert audit.first().description == f"Batch return for member {who}"
 
 
-def test_member_report(spark, lib):
-    ids = spark.createDataFrame([(1,), (20,)], "member_id int")
-    rep = jobs.member_report(ids, lib, AS_OF)
+def test_member_report(spark, lib, raw):
+    who = (1, IDLE_MEMBER)
+    rep = jobs.member_report(spark.createDataFrame([(m,) for m in who], "member_id int"), lib, AS_OF)
     assert rep["profile"].count() == 2
-    assert rep["current_loans"].count() == 1
-    unpaid = {r.member_id: r.total_unpaid for r in rep["unpaid"].collect()}
-    assert unpaid == {1: None, 20: None}
-    assert rep["events"].where("member_id = 1").count() == 3
+    assert rep["current_loans"].count() == sum(x[1] in who and x[6] == "active" for x in raw["loans"])
+    mine = {x[0] for x in raw["loans"] if x[1] == 1}
+    owed = sum(f[2] for f in raw["fines"] if f[1] in mine and not f[4]) or None
+    assert {r.member_id: r.total_unpaid for r in rep["unpaid"].collect()} == {1: owed, IDLE_MEMBER: None}
+    assert rep["events"].where("member_id = 1").count() == sum(x[2] == 1 for x in raw["event_registrations"])
 
 
-def test_apply_update(spark, lib):
+def test_apply_update(spark, lib, raw):
     ch = spark.createDataFrame([(4, "active", None)], "member_id int, status string, phone string")
     new = jobs.apply_update(lib["members"], ch, "member_id")
     r = new.where("member_id = 4").first()
-    assert r.status == "active" and r.phone is None and new.count() == 20
-
-
-def test_checkout_and_log(spark, lib):
-    reqs = spark.createDataFrame([(1, 1, 1), (2, 3, 1), (3, 5, 1), (4, 5, 21)], "request_id long, member_id int, book_id int")
-    alloc, new, audit = jobs.checkout_and_log(reqs, lib["book_copies"], lib["loans"], AS_OF)
-    got = {r.request_id: r.copy_id for r in alloc.collect()}
-    assert got == {1: 2, 2: 3, 3: None, 4: 33}
-    assert sorted(r.loan_id for r in new.collect()) == [31, 32, 33]
-    assert audit.count() == 3
+    assert r.status == "active" and r.phone is None and new.count() == len(raw["members"])
+
+
+def test_checkout_and_log(spark, lib, raw):
+    status = {m[0]: m[8] for m in raw["members"]}
+    good, bad = min(m for m in status if status[m] == "active"), min(m for m in status if status[m] != "active")
+    busy = {x[2] for x in raw["loans"] if x[6] == "active"}
+    free = {}
+    for c in raw["book_copies"]:
+        if c[0] not in busy:
+            free.setdefault(c[1], []).append(c[0])
+    book = min(b for b in free if len(free[b]) == 1)
+    reqs = [(1, bad, book), (2, good, book), (3, good, book), (4, good, IDLE_BOOK), (5, 9999, IDLE_BOOK)]
+    out, new, audit = jobs.checkout_and_log(spark.createDataFrame(reqs, "request_id long, member_id int, book_id int"),
+                                            lib["book_copies"], lib["loans"], lib["members"], AS_OF)
+    got = {r.request_id: (r.copy_id, r.accepted, r.outcome) for r in out.collect()}
+    # refused members take no copy
+    assert got == {1: (None, False, jobs.MSG_LOAN_BLOCKED), 2: (free[book][0], True, None), 3: (None, False, jobs.MSG_NO_FREE_COPY),
+                   4: (free[IDLE_BOOK][0], True, None), 5: (None, False, jobs.MSG_UNKNOWN_MEMBER)}
+    assert sorted(r.loan_id for r in new.collect()) == [len(raw["loans"]) + 1, len(raw["loans"]) + 2]
+    assert sorted(r.record_id for r in audit.collect()) == sorted(r.loan_id for r in new.collect())

@@ -3,6 +3,7 @@
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from shelfwise import schemas
@@ -34,29 +35,52 @@ def test_rules_find_violations(spark):
     assert [r.loan_id for r in quality.check_fk(loans, "member_id", m, "member_id").collect()] == [2]
 
 
-def test_seed_contradictions_are_visible(lib):
-    """A loan dated before its member joined (kept in the fixture on purpose)."""
-    j = lib["loans"].join(lib["members"].select("member_id", "join_date"), "member_id")
-    early = {r.loan_id for r in j.where(F.col("loan_date") < F.col("join_date")).collect()}
-    assert {12, 22} <= early
+DAY = dt.date(2024, 6, 15)
 
 
-def test_defaults_and_ids(spark, tmp_path, lib):
+def test_defaults_ids_and_rules_of_an_append(spark, tmp_path, lib):
     rows = spark.createDataFrame([("Zed", "Lopez", "zed@example.org", "555-1", "1 Oak", "premium")],
                                  "first_name string, last_name string, email string, phone string, address string, "
                                  "membership_type string")
     path = str(tmp_path / "members")
     lib["members"].write.parquet(path)
-    written, bad = append.append_rows(rows, "members", path, existing=lib["members"], as_of=dt.date(2024, 6, 15))
+    n = lib["members"].count()
+    written, bad = append.append_rows(rows, "members", path, DAY, existing=lib["members"])
     assert not bad
     r = written.first()
-    assert (r.member_id, r.status, r.join_date, r.membership_type) == (21, "active", dt.date(2024, 6, 15), "premium")
-    assert spark.read.parquet(path).count() == 21
-    dup = spark.createDataFrame([(21, "Amy", "Z", "zed@example.org")], "member_id int, first_name string, "
+    assert (r.member_id, r.status, r.join_date, r.membership_type) == (n + 1, "active", DAY, "premium")
+    assert spark.read.parquet(path).count() == n + 1
+    dup = spark.createDataFrame([(n + 1, "Amy", "Z", "zed@example.org")], "member_id int, first_name string, "
                                 "last_name string, email string")
-    _, bad = append.append_rows(dup, "members", path, existing=spark.read.parquet(path), as_of=dt.date(2024, 6, 15))
+    _, bad = append.append_rows(dup, "members", path, DAY, existing=spark.read.parquet(path))
     assert "pk" in bad and "unique_email" in bad
-    assert spark.read.parquet(path).count() == 21
+    assert spark.read.parquet(path).count() == n + 1
+
+
+def test_orphans_are_refused(spark, tmp_path, lib):
+    path = str(tmp_path / "regs")
+    rows = spark.createDataFrame([(999, 1), (1, 999), (1, 40)], "event_id int, member_id int")
+    with pytest.raises(ValueError, match="missing"):
+        append.append_rows(rows, "event_registrations", path, DAY)
+    _, bad = append.append_rows(rows, "event_registrations", path, DAY, parents=lib, order_cols=["event_id", "member_id"])
+    assert {k: v.count() for k, v in bad.items()} == {"fk_event_id": 1, "fk_member_id": 1}
+    assert not os.path.exists(path)
+    new, bad = append.append_rows(rows.where("event_id = 1 and member_id = 40"), "event_registrations", path, DAY, parents=lib)
+    assert not bad and tuple(new.first()) == (1, 1, 40, DAY) and spark.read.parquet(path).count() == 1
+
+
+def test_append_from_conforms(spark, tmp_path):
+    path = str(tmp_path / "fines")
+    rows = spark.createDataFrame([("3.5", 7, 4, "overdue")], "fine_amount string, loan_id long, fine_id long, fine_reason string")
+    append.append_from(rows, "fines", path)
+    back = spark.read.parquet(path)
+    assert back.columns == schemas.SCHEMAS["fines"].names and back.schema["fine_amount"].dataType == schemas.SCHEMAS["fines"]["fine_amount"].dataType
+    assert tuple(back.first())[:2] == (4, 7) and back.first().paid is None
+
+
+def test_defaults_never_read_the_clock(spark):
+    log = append.apply_defaults(spark.createDataFrame([(1,)], "log_id int"), "audit_log", DAY)
+    assert log.first().changed_at == dt.datetime(2024, 6, 15) and log.first().changed_by == "SYSTEM"
 
 
 def test_assign_ids_dense(spark):
@@ -73,7 +97,42 @@ def test_layout_writer(spark, tmp_path, lib):
     assert sorted(n for n in os.listdir(p) if n.startswith("status=")) == \
         ["status=active", "status=lost", "status=returned"]
     back = spark.read.parquet(p)
-    q = back.where((F.col("status") == "active") & (F.col("due_date") < F.lit(dt.date(2024, 6, 15))))
+    q = back.where((F.col("status") == "active") & (F.col("due_date") < F.lit(dt.date(2001, 8, 2))))
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(status" in plan and "PushedFilters: [IsNotNull(due_date)" in plan
-    assert q.count() == 5
+    assert q.count() == lib["loans"].where("status = 'active' and due_date < date'2001-08-02'").count() > 0
+
+
+def test_sorted_files_let_a_range_filter_skip_rows(spark, tmp_path):
+    """Files sorted by the filtered column: the scan reads few row groups."""
+    p = str(tmp_path / "sorted")
+    df = spark.range(400_000).select((F.xxhash64("id") % 1000).alias("k"), F.col("id"))
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    layout.write_layout(df.repartitionByRange(8, "k"), p, sort_by=["k"])
+    q = spark.read.parquet(p).where("k > 900")
+    want = df.where("k > 900").count()
+    plan = q._jdf.queryExecution().executedPlan()
+    rows = q.agg(F.count(F.lit(1)))
+    assert rows.first()[0] == want
+    scans = rows._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan.toString() and "GreaterThan(k,900)" in scans
+    import pyarrow.parquet as pq
+    stats = [pq.ParquetFile(os.path.join(p, f)).metadata.row_group(0).column(0).statistics for f in os.listdir(p) if f.endswith(".parquet")]
+    assert sum(s.max > 900 for s in stats) <= 2 < len(stats)
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
+    with pytest.raises(ValueError, match="buckets"):
+        layout.write_layout(spark.range(5), bucket_by=["id"], table="no_buckets")
+    for name in ("bucketed_a", "bucketed_b"):
+        layout.write_layout(spark.range(1000), str(tmp_path / name), bucket_by=["id"], sort_by=["id"], buckets=4, table=name)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = spark.table("bucketed_a").join(spark.table("bucketed_b"), "id")
+        assert j.count() == 1000
+        assert "Exchange" not in j._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        for name in ("bucketed_a", "bucketed_b"):
+            spark.sql(f"drop table {name}")
