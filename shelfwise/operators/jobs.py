@@ -41,11 +41,7 @@ MSG_QUOTA = "Too many active loans"
 DESC_CHECKED_OUT = "Book checked out"
 DESC_FINE_PAID = "Fine paid"
 DESC_BATCH_RETURN = "Batch return for member "
-
-
-def member_updated(first, last, old, new) -> Column:
-    """Fixed text of a member's audit row, from its four columns."""
-    return F.concat(F.lit("Member "), first, F.lit(" "), last, F.lit(" updated. Status: "), old, F.lit(" -> "), new)
+DESC_MEMBER = "Member {first} {last} updated. Status: {old} -> {new}"
 
 
 def _lit_date(d) -> Column:
@@ -160,7 +156,8 @@ def audit_changes(old: DataFrame, new: DataFrame, key: str, cols, as_of_ts,
     for c in cols:
         d = ~F.col(f"old_{c}").eqNullSafe(F.col(f"new_{c}"))
         changed = d if changed is None else (changed | d)
-    desc = member_updated(F.col("old_first_name"), F.col("old_last_name"), F.col("old_status"), F.col("new_status")) \
+    parts = {"first": "old_first_name", "last": "old_last_name", "old": "old_status", "new": "new_status"}
+    desc = F.format_string(DESC_MEMBER.format(**{k: "%s" for k in parts}), *parts.values()) \
         if {"first_name", "last_name", "status"} <= set(old.columns) else F.lit("Row updated")
     return j.where(changed).select(
         F.lit(table_name).alias("table_name"), F.lit("UPDATE").alias("action"),

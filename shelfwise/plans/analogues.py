@@ -707,14 +707,14 @@ def daily_activity_stream(spark, sf_dir):
 
 
 def fines_stream(spark, sf_dir):
-    """The stateful fines job (per-loan state of the last status) run as a
-    stream over loan status events derived from the tables: an order opens
+    """The fines job (a stream-stream join of opening and return) run over
+    loan status events derived from the tables: an order opens
     an 'active' loan at its order time; a finished order is 'returned' 12
     hours after its last shipment. A return after the due date (order + 14
-    days) charges 0.25 per late day; a 'returned' event seen before the
-    loan's 'active' event charges nothing, as the state has no active loan
-    yet. Events, state and output live under the session's checkpoint
-    folder."""
+    days) charges 0.25 per late day; a 'returned' event dated before the
+    loan's 'active' event charges nothing. The files arrive in no time order,
+    so the replay's watermark spans them all. Events, state and output live
+    under the session's checkpoint folder."""
     import os
     import uuid
 
@@ -734,7 +734,7 @@ def fines_stream(spark, sf_dir):
     run = os.path.join(checkpoint_dir(spark), "streams", f"fines_{uuid.uuid4().hex[:12]}")
     opened.unionByName(returned).write.parquet(os.path.join(run, "source"))
     stream = spark.readStream.schema(LOAN_STATUS_SCHEMA).parquet(os.path.join(run, "source"))
-    q = (fines_from_status_events(stream).writeStream.format("parquet").outputMode("append")
+    q = (fines_from_status_events(stream, watermark="10000 days", longest="10000 days").writeStream.format("parquet").outputMode("append")
          .option("path", os.path.join(run, "out")).option("checkpointLocation", os.path.join(run, "state"))
          .trigger(availableNow=True).start())
     q.awaitTermination()
@@ -779,6 +779,26 @@ def audit_stream(spark, sf_dir):
                       "changed_by", "description")
 
 
+def admission_stream(spark, sf_dir):
+    """The admission job run as a stream: purchases ask for copies, members
+    are the customers, sign-ups hold copies. Rejections by the member guard,
+    then contention for copies in request order; one outcome per request."""
+    import os
+    import uuid
+
+    from shelfwise.session import checkpoint_dir
+    from shelfwise.streaming.streams import admit_loan_requests
+    t = _t(spark, sf_dir)
+    run = os.path.join(checkpoint_dir(spark), "streams", f"admission_{uuid.uuid4().hex[:12]}")
+    as_of = F.lit(AS_OF_EVENTS)
+    _requests(t).select("request_id", "member_id", "copy_id", as_of.alias("loan_date"), F.lit(None).cast("date").alias("due_date"),
+                        F.col("requested_at").cast("timestamp").alias("requested_at")).write.parquet(os.path.join(run, "source"))
+    _prior_loans(t).write.parquet(os.path.join(run, "base"))
+    admit_loan_requests(spark, os.path.join(run, "source"), _members(t), os.path.join(run, "base"), os.path.join(run, "out"),
+                        os.path.join(run, "state"), AS_OF_EVENTS)
+    return spark.read.parquet(os.path.join(run, "out", "outcomes")).select("request_id", "member_id", "copy_id", "accepted", "outcome")
+
+
 # ---------------------------------------------------------------- jobs
 # Fixed value: copies a part key stands for in the job reports.
 _COPIES_PER_KEY = 20
@@ -930,6 +950,6 @@ QUERIES = {
     "active_customers": active_customers, "percentile": percentile, "gaps": gaps, "late_days": late_days_q,
     "overdue_or_open": overdue_or_open, "allocate": allocate, "returns": returns,
     "daily_activity": daily_activity, "daily_activity_stream": daily_activity_stream, "fines_stream": fines_stream,
-    "audit_stream": audit_stream, "checkouts": checkouts, "quota": quota,
+    "audit_stream": audit_stream, "admission_stream": admission_stream, "checkouts": checkouts, "quota": quota,
     "dq_pk": dq_pk, "dq_fk": dq_fk, "dq_values": dq_values, "dq_summary": dq_summary,
 }

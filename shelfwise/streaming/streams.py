@@ -4,15 +4,18 @@ ST1 ``admit_loan_requests``: loan requests stream -> stream-static join to
     members (admission guard, default due date) -> ``foreachBatch`` applies
     copy contention with the batch checkout job and appends outcomes and new
     loans per epoch (idempotent on replay: one directory per epoch).
-ST2 ``fines_from_status_events``: per-loan state of the last status; an
-    active -> returned transition emits a fine when late.
+ST2 ``fines_from_status_events``: the first 'active' and the first 'returned'
+    row of a loan meet in a stream-stream join within a time bound; a late
+    return emits one fine. Built-in operators only: the watermark drops the
+    state of loans past the bound.
 ST3 ``audit_from_member_changes``: per-member previous row in state; a
     changed row emits an audit row.
 ST4 ``daily_activity``: event-time tumbling windows with a watermark;
     windows are emitted once the watermark passes them.
 
-State is kept per key by ``applyInPandasWithState`` (Arrow batches, one
-group per key); nothing is collected to the driver.
+ST3 keeps one row per member by ``applyInPandasWithState`` (the previous row
+is needed for as long as the member exists); nothing is collected to the
+driver.
 """
 
 from __future__ import annotations
@@ -22,19 +25,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from shelfwise.functions.exprs import FINE_PER_DAY, LOAN_DAYS
+from shelfwise.functions.exprs import FINE_PER_DAY, LOAN_DAYS, fine_amount
 from shelfwise.operators import jobs
+from shelfwise.operators.jobs import DESC_MEMBER
 from shelfwise.session import materialize
 
 LOAN_REQUEST_SCHEMA = T.StructType([
-    T.StructField("request_id", T.LongType()), T.StructField("member_id", T.IntegerType()),
-    T.StructField("copy_id", T.IntegerType()), T.StructField("loan_date", T.DateType()),
+    T.StructField("request_id", T.LongType()), T.StructField("member_id", T.LongType()),
+    T.StructField("copy_id", T.LongType()), T.StructField("loan_date", T.DateType()),
     T.StructField("due_date", T.DateType()), T.StructField("requested_at", T.TimestampType())])
 
 LOAN_STATUS_SCHEMA = T.StructType([
@@ -56,8 +59,13 @@ def admission_stream(requests: DataFrame, members: DataFrame, loan_days: int = L
     return jobs.split_admissible(filled, members)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def admit_loan_requests(spark: SparkSession, source_dir: str, members: DataFrame, loans_dir: str,
-                        out_dir: str, checkpoint: str, as_of=None):
+                        out_dir: str, checkpoint: str, as_of):
     """Run ST1 over the files in ``source_dir`` until they are consumed.
 
     Per micro-batch: admitted requests compete for copies against the
@@ -69,15 +77,11 @@ def admit_loan_requests(spark: SparkSession, source_dir: str, members: DataFrame
     admitted = admission_stream(stream, members)
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        base = spark.read.parquet(loans_dir).select("member_id", "copy_id", "status")
+        known = spark.read.parquet(loans_dir).select("member_id", "copy_id", "status")
         new_dir = os.path.join(out_dir, "loans")
-        known = base
-        try:  # loans accepted by earlier epochs (none before the first)
-            prev = spark.read.parquet(new_dir).where(F.col("epoch") < epoch_id) \
-                .select("member_id", "copy_id", "status")
-            known = base.unionByName(prev)
-        except AnalysisException:
-            pass
+        if epoch_id > 0 and _exists(spark, new_dir):  # loans accepted by earlier epochs
+            prev = spark.read.parquet(new_dir).where(F.col("epoch") < epoch_id)
+            known = known.unionByName(prev.select("member_id", "copy_id", "status"))
         guard_ok = batch.where(F.col("rejection").isNull())
         rejected = batch.where(F.col("rejection").isNotNull()).select(
             "request_id", "member_id", "copy_id", F.lit(False).alias("accepted"),
@@ -101,39 +105,24 @@ FINE_SCHEMA = T.StructType([
     T.StructField("fine_reason", T.StringType()), T.StructField("paid", T.BooleanType())])
 
 
-_FINE_COLS = ["loan_id", "fine_amount", "fine_reason", "paid"]
-
-
-def _fines_state(key, pdfs: Iterator[pd.DataFrame], state):
-    frames = [p for p in pdfs if len(p)]
-    if not frames:
-        return
-    df = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
-    order = np.argsort(df["event_time"].to_numpy(), kind="stable") if len(df) > 1 else (0,)
-    status = df["status"].to_numpy()
-    due = df["due_date"].to_numpy()
-    ret = df["return_date"].to_numpy()
-    last = state.get[0] if state.exists else None
-    rows = []
-    for i in order:
-        if last == "active" and status[i] == "returned" and not pd.isna(ret[i]) and not pd.isna(due[i]):
-            days = (pd.Timestamp(ret[i]) - pd.Timestamp(due[i])).days
-            if days > 0:
-                rows.append((key[0], FINE_PER_DAY * days, "overdue", False))
-        last = status[i]
-    state.update((last,))
-    if rows:  # most keys emit nothing: no empty frame per key
-        yield pd.DataFrame(rows, columns=_FINE_COLS)
-
-
-def fines_from_status_events(events: DataFrame) -> DataFrame:
-    """Fine rows from a stream of loan status rows (LOAN_STATUS_SCHEMA). Rows
-    of one loan are ordered by event time inside the handler; the state
-    holds the loan's last status, so a duplicate 'returned' row charges
-    nothing."""
-    return events.groupBy("loan_id").applyInPandasWithState(
-        _fines_state, FINE_SCHEMA, T.StructType([T.StructField("last_status", T.StringType())]),
-        "append", GroupStateTimeout.NoTimeout)
+def fines_from_status_events(events: DataFrame, watermark: str = "30 days", longest: str = "400 days") -> DataFrame:
+    """Fine rows from a stream of loan status rows (LOAN_STATUS_SCHEMA): a
+    loan's return after its 'active' row, within ``longest``, fined when late.
+
+    A repeated row of a loan and status within the watermark charges nothing;
+    rows later than the watermark are dropped, and state older than
+    ``longest`` plus the watermark is cleared."""
+    def first(status: str, time: str, *cols: str) -> DataFrame:
+        rows = events.where(F.col("status") == status).withWatermark("event_time", watermark)
+        return rows.dropDuplicatesWithinWatermark(["loan_id"]).select("loan_id", F.col("event_time").alias(time), *cols)
+
+    opened = first("active", "opened_at").withColumnRenamed("loan_id", "opened_id")
+    closed = first("returned", "closed_at", "due_date", "return_date")
+    j = closed.join(opened, (F.col("loan_id") == F.col("opened_id")) & (F.col("closed_at") > F.col("opened_at"))
+                    & (F.col("closed_at") <= F.col("opened_at") + F.expr(f"interval {longest}")))
+    days = F.datediff("return_date", "due_date")
+    return j.where(days > 0).select("loan_id", fine_amount(days, FINE_PER_DAY).alias("fine_amount"),
+                                    F.lit("overdue").alias("fine_reason"), F.lit(False).alias("paid"))
 
 
 # ---------------------------------------------------------------- ST3
@@ -143,21 +132,24 @@ AUDIT_SCHEMA = T.StructType([
     T.StructField("changed_by", T.StringType()), T.StructField("description", T.StringType())])
 
 
+_MEMBER = ["first_name", "last_name", "status"]
+
+
 def _audit_state(key, pdfs: Iterator[pd.DataFrame], state):
-    prev = state.get if state.exists else None
-    rows = []
-    frames = [p for p in pdfs if len(p)]
-    if frames:
-        df = pd.concat(frames).sort_values("event_time", kind="stable")
-        for r in df.itertuples(index=False):
-            cur = (r.first_name, r.last_name, r.status)
-            if prev is not None and tuple(prev) != cur:
-                rows.append(("members", "UPDATE", key[0], r.event_time, "SYSTEM",
-                             f"Member {prev[0]} {prev[1]} updated. Status: {prev[2]} -> {r.status}"))
-            prev = cur
-        state.update(tuple(prev))
-    if rows:  # most members do not change: no empty frame per key
-        yield pd.DataFrame(rows, columns=[f.name for f in AUDIT_SCHEMA.fields])
+    df = pd.concat([p for p in pdfs if len(p)]).sort_values("event_time", kind="stable")
+    now = df[_MEMBER].astype(object).where(df[_MEMBER].notna(), None)
+    was = now.shift()
+    if state.exists:
+        was.iloc[0] = list(state.get)
+    known = np.arange(len(df)) > 0 if not state.exists else np.ones(len(df), dtype=bool)
+    same = ((now == was) | (now.isna() & was.isna())).all(axis=1).to_numpy()
+    state.update(tuple(now.iloc[-1]))
+    hit = known & ~same
+    if hit.any():  # most members do not change: no empty frame per key
+        text = [DESC_MEMBER.format(first=a, last=b, old=c, new=d) for (a, b, c), d in
+                zip(was[hit].itertuples(index=False), now.loc[hit, "status"], strict=True)]
+        yield pd.DataFrame({"table_name": "members", "action": "UPDATE", "record_id": key[0],
+                            "changed_at": df.loc[hit, "event_time"], "changed_by": "SYSTEM", "description": text})
 
 
 def audit_from_member_changes(changes: DataFrame) -> DataFrame:
