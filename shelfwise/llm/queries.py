@@ -14,6 +14,7 @@ from shelfwise.llm import (
     html_content,
     language_id,
     nn_descent,
+    oracles,
     packing,
     secret_scan,
     simhash_dedup,
@@ -32,7 +33,7 @@ def op1_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page url judged by rule, else by its host's reputation. A page's
     labelled outcome is the quality label of the document of the same id."""
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), F.col("quality").alias("outcome"))
-    return url_reputation.judge_urls(table(spark, sf_dir, "pages"), labels, URL_RULES)
+    return url_reputation.judge_urls(table(spark, sf_dir, "pages"), labels, URL_RULES).drop("host_rate")
 
 
 def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,4 +98,8 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_url_reputation, op2_simhash_dedup, op3_language_id, op4_chat_windows, op5_nn_descent, op6_packing, op7_html_content,
     op8_secret_scan, op9_toxicity, op10_decontaminate)}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_url_reputation": oracles.url_reputation(URL_RULES),
+    "op4_chat_windows": oracles.chat_windows(CONTROL_TEXT),
+    "op5_nn_descent": oracles.NN_DESCENT,
+}
