@@ -81,3 +81,22 @@ def test_admission_stream_equals_batch(spark, lib):
     assert got[3] == jobs.MSG_LOAN_BLOCKED and got[4] == jobs.MSG_UNKNOWN_MEMBER
     assert got[5] == jobs.MSG_ON_LOAN and got[6].startswith(jobs.MSG_CHECKED_OUT)
     assert spark.read.parquet(os.path.join(out, "loans")).count() == 2
+
+
+def test_fines_stream_keeps_state_across_micro_batches(spark):
+    """Opening and return arrive in different runs of one checkpoint, the
+    return once more in a third."""
+    src, out, ckpt = _dir(), _dir(), _dir()
+    d = lambda n: AS_OF + dt.timedelta(days=n)
+    t = lambda n: dt.datetime(2024, 6, 1) + dt.timedelta(hours=n)
+    batches = [[(1, "active", d(0), None, t(0)), (2, "active", d(0), None, t(1))],
+               [(1, "returned", d(0), d(4), t(30))],
+               [(1, "returned", d(0), d(4), t(31)), (2, "returned", d(0), d(-1), t(32))]]
+    for rows in batches:
+        spark.createDataFrame(rows, S.LOAN_STATUS_SCHEMA).coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(S.LOAN_STATUS_SCHEMA).option("maxFilesPerTrigger", 1).parquet(src)
+        q = (S.fines_from_status_events(stream).writeStream.format("parquet").option("path", out)
+             .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+        q.awaitTermination()
+    got = [(r.loan_id, str(r.fine_amount)) for r in spark.read.parquet(out).collect()]
+    assert got == [(1, "1.00")]
