@@ -1,6 +1,6 @@
-from shelfwise.functions.exprs import (as_date, days_late, fine_amount, full_name,
-                                       late_days, lit_date, pct, pct_exact,
+from shelfwise.functions.exprs import (days_late, fine_amount, full_name,
+                                       late_days, pct, pct_exact,
                                        position_in, ratio, round_ratio)
 
-__all__ = ["as_date", "days_late", "fine_amount", "full_name", "late_days", "pct", "pct_exact", "round_ratio", "lit_date",
+__all__ = ["days_late", "fine_amount", "full_name", "late_days", "pct", "pct_exact", "round_ratio",
            "position_in", "ratio"]

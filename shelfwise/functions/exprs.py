@@ -19,18 +19,6 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def lit_date(d) -> Column:
-    """Date literal from a ``date`` or ISO string."""
-    if isinstance(d, str):
-        d = _dt.date.fromisoformat(d)
-    return F.lit(d)
-
-
-def as_date(c) -> Column:
-    """DATE(x): drop the time part (driver timestamps are TIMESTAMP_NTZ)."""
-    return F.to_date(_c(c))
-
-
 def days_late(due, ret) -> Column:
     """Signed difference ``ret - due`` in days."""
     return F.datediff(_c(ret), _c(due))

@@ -19,28 +19,12 @@ def scalar(df: DataFrame, agg: Column) -> Column:
     return df.select(agg).scalar()
 
 
-def count_with_share(df: DataFrame, group_cols, count_name: str = "n",
-                     share_name: str = "percentage", scale: int = 2) -> DataFrame:
-    """COUNT(*) per group and its share of all rows in percent."""
-    return (df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias(count_name))
-              .withColumn(share_name, pct(F.col(count_name), total_count(df), scale)))
-
-
 def rollup_with_total(df: DataFrame, col: str, aggs, total_flag: str = "is_total") -> DataFrame:
     """GROUP BY col WITH ROLLUP. A real NULL group and the grand total both
     show NULL in ``col``; ``total_flag`` tells them apart."""
     return df.rollup(col).agg(*aggs, F.grouping(col).cast("boolean").alias(total_flag))
 
 
-def distinct_counts(df: DataFrame, group_cols, cols, approx: bool = False,
-                    names=None) -> DataFrame:
-    """COUNT(DISTINCT c) for several columns per group; ``approx=True`` uses
-    HyperLogLog++ (no Expand, no per-value shuffle)."""
-    names = names or [f"distinct_{c}" for c in cols]
-    fn = F.approx_count_distinct if approx else F.countDistinct
-    return df.groupBy(*group_cols).agg(*[fn(c).alias(n) for c, n in zip(cols, names)])
-
-
 def relational_division(df: DataFrame, group_cols, item_col: str, required: DataFrame,
                         required_col: str, count_name: str = "items") -> DataFrame:
     """Groups that hold every item of ``required`` (HAVING COUNT(DISTINCT

@@ -36,16 +36,6 @@ def anti_join(left: DataFrame, right: DataFrame, left_keys, right_keys=None) ->
     return left.join(r, cond, "left_anti")
 
 
-def semi_join(left: DataFrame, right: DataFrame, left_keys, right_keys=None) -> DataFrame:
-    """Rows of ``left`` with at least one match (EXISTS, IN)."""
-    right_keys = right_keys or left_keys
-    if isinstance(left_keys, str):
-        left_keys, right_keys = [left_keys], [right_keys]
-    r = right.select(*[F.col(k).alias(f"_sj_{i}") for i, k in enumerate(right_keys)])
-    cond = reduce(lambda a, b: a & b, [left[k] == r[f"_sj_{i}"] for i, k in enumerate(left_keys)])
-    return left.join(r, cond, "left_semi")
-
-
 def not_in(left: DataFrame, left_col: str, right: DataFrame, right_col: str) -> DataFrame:
     """SQL ``left_col NOT IN (SELECT right_col FROM right)`` with its NULL
     rules: an empty list keeps every row; a NULL in the list keeps none; a
@@ -78,7 +68,7 @@ def full_outer_coalesce(left: DataFrame, right: DataFrame, keys) -> DataFrame:
 
 
 def shared_key_members(df: DataFrame, key: str, id_col: str, min_size: int = 2,
-                       size_name: str = "group_size") -> DataFrame:
+                       size_name: str = "group_size", unique_ids: bool = True) -> DataFrame:
     """Rows whose ``key`` (non-NULL) is shared with at least one other row of
     a different ``id_col``, tagged with the number of distinct ids sharing it.
 
@@ -86,10 +76,11 @@ def shared_key_members(df: DataFrame, key: str, id_col: str, min_size: int = 2,
     the pair list grows with the square of a group (one address or nation
     holding a large share of rows would emit billions of pairs); every pair
     is recoverable from this output as (a, b) for a != b within one key.
-    Group sizes come from a map-side combined count, so a hot key costs one
-    row per map task.
+    With ``unique_ids`` (``id_col`` is a key of ``df``) group sizes are a
+    map-side combined count, so a hot key costs one row per map task; without
+    it the ids are deduplicated first.
     """
     d = df.where(F.col(key).isNotNull())
-    sizes = d.groupBy(key).agg(F.countDistinct(id_col).alias(size_name)) \
+    sizes = d.groupBy(key).agg((F.count if unique_ids else F.countDistinct)(id_col).alias(size_name)) \
              .where(F.col(size_name) >= min_size)
     return d.join(sizes, key, "inner")

@@ -478,6 +478,13 @@ def people(spark, sf_dir):
     return sets.union_all(c, s)  # tags and keys differ: nothing to deduplicate
 
 
+def touched_customers(spark, sf_dir):
+    """Customers with an open order or an event, each once (UNION)."""
+    t = _t(spark, sf_dir)
+    a = t.orders.where(F.col("o_orderstatus") == "O").select(F.col("o_custkey").alias("c_custkey"))
+    return sets.union_distinct(a, t.events.select(F.col("user_id").alias("c_custkey")))
+
+
 def feed(spark, sf_dir):
     """Orders, events and shipments as one activity feed; newest 50."""
     t = _t(spark, sf_dir)
@@ -526,8 +533,8 @@ def top_bottom(spark, sf_dir):
     """Ten most and ten least sold parts (parts never sold are not in either
     list: inner joins)."""
     t = _t(spark, sf_dir)
-    counts = (t.lineitem.join(t.part, t.lineitem.l_partkey == t.part.p_partkey)
-                .groupBy("p_partkey", "p_name").agg(F.count(F.lit(1)).alias("loan_count")))
+    sold = t.lineitem.groupBy("l_partkey").agg(F.count(F.lit(1)).alias("loan_count"))
+    counts = sold.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select("p_partkey", "p_name", "loan_count")
     return topk.top_and_bottom(counts, "loan_count", ["p_partkey"], 10, "category", "Popular", "Unpopular")
 
 
@@ -942,7 +949,8 @@ QUERIES = {
     "never_ordered": never_ordered, "above_average": above_average,
     "above_average_debt": above_average_debt, "summary_cte": summary_cte,
     "all_priorities": all_priorities, "revenue_full_outer": revenue_full_outer,
-    "latest_order": latest_order, "recommend": recommend, "people": people, "feed": feed,
+    "latest_order": latest_order, "recommend": recommend, "people": people,
+    "touched_customers": touched_customers, "feed": feed,
     "status_union": status_union, "issues": issues, "top_bottom": top_bottom,
     "rank_customers": rank_customers, "running_total": running_total,
     "top3_per_type": top3_per_type, "monthly_delta": monthly_delta, "next_event": next_event,

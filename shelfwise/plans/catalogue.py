@@ -31,6 +31,14 @@ def _loan_chain(t: Tables) -> DataFrame:
                       .join(t["books"], "book_id"))
 
 
+def _book_loan_totals(t: Tables) -> DataFrame:
+    """Loans per book with at least one, counted per copy before the copies
+    are joined."""
+    per_copy = t["loans"].groupBy("copy_id").agg(F.count(F.lit(1)).alias("_n"), F.count(F.when(F.col("status") == "active", 1)).alias("_a"))
+    return (per_copy.join(t["book_copies"].select("copy_id", "book_id"), "copy_id").groupBy("book_id")
+            .agg(F.sum("_n").alias("total_loans"), F.sum("_a").alias("active_loans")))
+
+
 # ---------------------------------------------------------------- Q3 basic
 def active_members(t: Tables, as_of=None) -> DataFrame:
     m = t["members"].where(F.col("status") == "active")
@@ -229,12 +237,11 @@ def attendance_list(t: Tables, as_of) -> DataFrame:
 
 
 def author_popularity(t: Tables, as_of=None, k: int = 10) -> DataFrame:
-    j = (t["authors"].join(t["books"].select("book_id", "author_id"), "author_id")
-         .join(t["book_copies"].select("book_id", "copy_id"), "book_id", "left")
-         .join(t["loans"].select("copy_id", "loan_id"), "copy_id", "left"))
-    g = (j.groupBy("author_id", "author_name")
-          .agg(F.countDistinct("book_id").alias("book_count"), F.count("loan_id").alias("total_loans"))
-          .where(F.col("total_loans") > 0)
+    # loans are counted per book, books per author; names come last
+    per = t["books"].select("book_id", "author_id").join(_book_loan_totals(t).select("book_id", "total_loans"), "book_id", "left")
+    g = (per.groupBy("author_id").agg(F.count(F.lit(1)).alias("book_count"), F.sum("total_loans").alias("total_loans"))
+          .where(F.col("total_loans") > 0).join(t["authors"].select("author_id", "author_name"), "author_id")
+          .select("author_id", "author_name", "book_count", "total_loans")
           .withColumn("avg_loans_per_book", round_ratio(F.col("total_loans"), F.col("book_count"))))
     return topk.top_k(g, [F.desc("total_loans"), "author_id"], k)
 
@@ -426,10 +433,9 @@ def members_with_issues(t: Tables, as_of) -> DataFrame:
 def popular_unpopular(t: Tables, as_of=None, k: int = 10) -> DataFrame:
     """k most and k least lent books (inner joins: never-lent books are in
     neither list); ties at each cut broken by book_id."""
-    j = (t["books"].join(t["authors"], "author_id").join(t["book_copies"].select("book_id", "copy_id"), "book_id")
-         .join(t["loans"].select("copy_id", "loan_id"), "copy_id"))
-    counts = j.groupBy("book_id", "title", F.col("author_name").alias("author")).agg(
-        F.count("loan_id").alias("loan_count"))
+    lent = _book_loan_totals(t).select("book_id", F.col("total_loans").alias("loan_count"))
+    named = t["books"].join(t["authors"], "author_id").select("book_id", "title", F.col("author_name").alias("author"))
+    counts = lent.join(named, "book_id").select("book_id", "title", "author", "loan_count")
     out = topk.top_and_bottom(counts, "loan_count", ["book_id"], k, "category", "Popular", "Unpopular")
     return topk.sort(out, ["category", "loan_count", "book_id"])
 
@@ -533,18 +539,11 @@ def active_loan_late_days(t: Tables, as_of) -> DataFrame:
 
 
 def loans_per_book(t: Tables, as_of=None) -> DataFrame:
-    j = (t["loans"].select("copy_id").join(t["book_copies"].select("copy_id", "book_id"), "copy_id")
-         .join(t["books"], "book_id").join(t["authors"], "author_id"))
-    g = j.groupBy("book_id", "title", "author_name").agg(F.count(F.lit(1)).alias("loan_count"))
+    named = t["books"].join(t["authors"], "author_id").select("book_id", "title", "author_name")
+    g = named.join(_book_loan_totals(t).select("book_id", F.col("total_loans").alias("loan_count")), "book_id")
     return topk.sort(g, [F.desc("loan_count"), "book_id"])
 
 
-def _book_loan_totals(t: Tables) -> DataFrame:
-    lc = t["loans"].select("copy_id", "status").join(t["book_copies"].select("copy_id", "book_id"), "copy_id")
-    return lc.groupBy("book_id").agg(F.count(F.lit(1)).alias("total_loans"),
-                                     F.count(F.when(F.col("status") == "active", 1)).alias("active_loans"))
-
-
 def book_totals_correlated(t: Tables, as_of=None) -> DataFrame:
     """Correlated COUNT subqueries, decorrelated: one grouped aggregate,
     left-joined; books without loans get 0."""

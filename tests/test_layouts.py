@@ -64,7 +64,12 @@ def test_derived_keys_are_unique_with_large_supplier_keys(spark, tmp_path):
 
 
 def test_due_date_filter_reaches_the_scan(spark):
-    plan = E.queries()["overdue_scan"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    old = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    try:
+        plan = E.queries()["overdue_scan"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.maxMetadataStringLength", old)
     last = dt.date(2001, 8, 2) - dt.timedelta(days=14)
     assert f"LessThan(o_orderdate,{last}" in plan
 

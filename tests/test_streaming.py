@@ -68,19 +68,34 @@ def test_audit_stream_matches_snapshot_diff(spark):
 
 
 def test_admission_stream_equals_batch(spark, lib):
+    from fixtures import library_rows
+    raw = library_rows()
+    status = {m[0]: m[8] for m in raw["members"]}
+    good, bad = [m for m in status if status[m] == "active"], next(m for m in status if status[m] != "active")
+    busy = {x[2] for x in raw["loans"] if x[6] == "active"}
+    free = [c[0] for c in raw["book_copies"] if c[0] not in busy]
     src, out = _dir(), _dir()
     loans_dir = os.path.join(_dir(), "loans")
     lib["loans"].write.parquet(loans_dir)
     ts = lambda n: dt.datetime(2024, 6, 15, 9) + dt.timedelta(minutes=n)
-    reqs = [(1, 1, 33, AS_OF, None, ts(1)), (2, 3, 33, AS_OF, None, ts(2)), (3, 4, 34, AS_OF, None, ts(3)),
-            (4, 99, 35, AS_OF, None, ts(4)), (5, 5, 1, AS_OF, None, ts(5)), (6, 7, 36, AS_OF, None, ts(6))]
+    reqs = [(1, good[0], free[0], AS_OF, None, ts(1)), (2, good[1], free[0], AS_OF, None, ts(2)), (3, bad, free[1], AS_OF, None, ts(3)),
+            (4, 999, free[2], AS_OF, None, ts(4)), (5, good[2], min(busy), AS_OF, None, ts(5)), (6, good[3], free[3], AS_OF, None, ts(6))]
     spark.createDataFrame(reqs, S.LOAN_REQUEST_SCHEMA).write.mode("overwrite").parquet(src)
-    S.admit_loan_requests(spark, src, lib["members"], loans_dir, out, os.path.join(_dir(), "ckpt"), AS_OF)
-    got = {r.request_id: r.outcome for r in spark.read.parquet(os.path.join(out, "outcomes")).collect()}
+    run = lambda: S.admit_loan_requests(spark, src, lib["members"], loans_dir, out, ckpt, AS_OF)
+    ckpt = os.path.join(_dir(), "ckpt")
+    run()
+    read = lambda: {r.request_id: r.outcome for r in spark.read.parquet(os.path.join(out, "outcomes")).collect()}
+    got = read()
     assert got[1].startswith(jobs.MSG_CHECKED_OUT) and got[2] == jobs.MSG_ON_LOAN
     assert got[3] == jobs.MSG_LOAN_BLOCKED and got[4] == jobs.MSG_UNKNOWN_MEMBER
     assert got[5] == jobs.MSG_ON_LOAN and got[6].startswith(jobs.MSG_CHECKED_OUT)
     assert spark.read.parquet(os.path.join(out, "loans")).count() == 2
+    # a later batch sees the loans that the first one made
+    later = [(7, good[4], free[0], AS_OF, None, ts(7)), (8, good[4], free[4], AS_OF, None, ts(8))]
+    spark.createDataFrame(later, S.LOAN_REQUEST_SCHEMA).write.mode("append").parquet(src)
+    run()
+    got = read()
+    assert got[7] == jobs.MSG_ON_LOAN and got[8].startswith(jobs.MSG_CHECKED_OUT)
 
 
 def test_fines_stream_keeps_state_across_micro_batches(spark):
