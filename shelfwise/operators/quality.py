@@ -91,3 +91,17 @@ def check_table(tables: dict[str, DataFrame], name: str) -> dict[str, DataFrame]
     for i, expr in enumerate(schemas.CHECKS.get(name, [])):
         out[f"check_{i}"] = check_expr(df, expr)
     return out
+
+
+def violated(tables: dict[str, DataFrame], name: str) -> dict[str, DataFrame]:
+    """The declared rules of one table that fail, with their violations. All
+    row-level rules (NOT NULL, allowed values, lengths, CHECKs) are counted in
+    one pass; key rules run one by one, as each needs its own shuffle."""
+    rules = check_table(tables, name)
+    req = [f.name for f in schemas.SCHEMAS[name].fields if not f.nullable]
+    broken = {"not_null": _any_null(req)}
+    broken |= {f"values_{c}": ~F.col(c).isin(list(v)) for (t, c), v in schemas.ALLOWED_VALUES.items() if t == name}
+    broken |= {f"length_{c}": F.char_length(c) > n for (t, c), n in schemas.MAX_LENGTHS.items() if t == name}
+    broken |= {f"check_{i}": ~F.expr(e) for i, e in enumerate(schemas.CHECKS.get(name, []))}
+    counts = tables[name].agg(*[F.count_if(cond).alias(rule) for rule, cond in broken.items()]).first().asDict()
+    return {rule: df for rule, df in rules.items() if (counts[rule] > 0 if rule in counts else not df.isEmpty())}

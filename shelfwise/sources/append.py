@@ -67,7 +67,7 @@ def append_rows(df: DataFrame, table: str, path: str, as_of: dt.date, parents: d
         df = assign_ids(df, list(order_cols or df.columns), pk, start)
     df = materialize(conform(df, table))
     tables = {**(parents or {}), table: df}
-    bad = {rule: v for rule, v in quality.check_table(tables, table).items() if not v.isEmpty()}
+    bad = quality.violated(tables, table)
     if existing is not None:
         for key in [schemas.PRIMARY_KEYS[table], *schemas.UNIQUE_KEYS.get(table, [])]:
             taken = df.join(existing.select(*key), key, "left_semi")  # NULLs never collide

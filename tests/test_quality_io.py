@@ -17,6 +17,15 @@ def test_clean_fixture_passes_declared_rules(lib):
             assert df.count() == 0, (name, rule)
 
 
+def test_violated_rules_are_those_with_violations(spark, lib):
+    bad = lib["members"].limit(3).selectExpr("member_id", "repeat(first_name, 30) as first_name", "cast(null as string) as last_name", "'x@y' as email",
+                                             "phone", "address", "join_date", "'gold' as membership_type", "status")
+    for tables, name in (({**lib, "members": bad}, "members"), (lib, "members"), (lib, "fines")):
+        want = {rule for rule, df in quality.check_table(tables, name).items() if not df.isEmpty()}
+        assert set(quality.violated(tables, name)) == want
+    assert want == set()
+
+
 def test_rules_find_violations(spark):
     s = "member_id int, email string, status string, first_name string"
     m = spark.createDataFrame([(1, "a@x", "active", "A"), (1, "b@x", "gone", None), (None, "a@x", None, "C"),
