@@ -1,4 +1,4 @@
-"""Data-change jobs: the lending rules that the reference runs one row per
+"""Data-change jobs: the lending rules, usually run one row per
 call (procedures, triggers, transactions), as set-based DataFrame jobs over
 a table of requests.
 
