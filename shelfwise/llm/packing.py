@@ -46,7 +46,7 @@ def _encoder(vocabulary: str, ranks: str, pattern: str):
     unsigned 32 bit).
 
     ``ranks`` holds the same vocabulary as ``vocabulary`` in rank form, which
-    encodes faster; texts that spell a special token go to the reference
+    encodes faster; texts that spell a special token go to the file's own
     tokenizer, as only that knows it. A space before a non-space always starts
     a new pre-token, so a text is encoded word by word with a bounded memory of
     words; words not met before are encoded in one call, where the tokens that
