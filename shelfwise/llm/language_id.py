@@ -32,7 +32,7 @@ DIM = 16
 EPOCHS = 6
 RATE = 8.0
 #: bound of the labelled training sample (documents with the smallest id hashes)
-SAMPLE = 4000
+SAMPLE = 3000
 #: calibrated confidence under which a document is rejected
 REJECT_BELOW = 0.4
 UNKNOWN = "und"
@@ -77,7 +77,7 @@ def counts(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     for b in buckets(data):
         total += np.bincount(b, minlength=BUCKETS)
     ids = np.flatnonzero(total)
-    return ids.astype(np.int32), total[ids].astype(np.int32)
+    return ids.astype(np.uint16), total[ids].astype(np.uint32)
 
 
 @dataclass
@@ -121,7 +121,7 @@ def train(samples: list[tuple[np.ndarray, np.ndarray, str]], threshold: float =
     emb = rng.uniform(-1.0 / dim, 1.0 / dim, (BUCKETS, dim))
     out = np.zeros((dim, k))
     bias = np.zeros(k)
-    data = [(ids, c / c.sum(), index[lang]) for ids, c, lang in samples]
+    data = [(ids, (c / c.sum()).astype(np.float32), index[lang]) for ids, c, lang in samples]
     fit = [d for i, d in enumerate(data) if i % 5 != 4] or data
     tune = [d for i, d in enumerate(data) if i % 5 == 4] or data
     steps, done = epochs * len(fit), 0
@@ -188,8 +188,9 @@ def fit(docs: DataFrame, sample: int = SAMPLE, threshold: float = REJECT_BELOW)
     ship(docs.sparkSession)
     labelled = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text").where("lang is not null")
     got = _sample_rows(labelled, sample).mapInPandas(features, "doc_id long, part int, lang string, ids binary, counts binary")
-    rows = sorted(got.toLocalIterator(), key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["part"], r["lang"], bytes(r["ids"])))
-    return train([(np.frombuffer(r["ids"], np.int32), np.frombuffer(r["counts"], np.int32), r["lang"]) for r in rows], threshold)
+    # one partition at a time, and straight into small arrays: the driver holds the bounded sample once
+    samples = sorted(((r["doc_id"] is None, r["doc_id"] or 0, r["part"], r["lang"], bytes(r["ids"]), bytes(r["counts"])) for r in got.toLocalIterator()))
+    return train([(np.frombuffer(i, np.uint16), np.frombuffer(c, np.uint32), lang) for _, _, _, lang, i, c in samples], threshold)
 
 
 _RESULT = StructType([StructField("lang", StringType()), StructField("score", DoubleType()), StructField("accepted", BooleanType())])
