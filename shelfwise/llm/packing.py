@@ -36,7 +36,7 @@ PIECE = 512
 END_ID = 1
 #: pieces in a group on average
 GROUP = 1500
-_CACHE_WORDS = 600_000
+_CACHE_WORDS = 250_000
 _LOOSE_SPACE = re.compile(r" (?!\S)")
 
 
