@@ -10,12 +10,16 @@ verified in double precision.
 A list is saturated when its last entry is still a link: there may be more
 links than it holds. Saturated lists are enlarged to everything reachable
 through saturated nodes, and such dense regions are compared completely, in
-blocks of bounded size. Recall is audited by brute force for a hashed sample of
-nodes; while it is short, the search is repeated with more codes.
+blocks of bounded size. Full lists can hide links from one region to another,
+so two regions are compared as well unless the angle between their pivots,
+less both radii, rules a link out. Recall is audited by brute force for a
+hashed sample of nodes; while it is short, the search is repeated with more
+codes, and if the last try is short an error is raised.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import connected_components, ship, stage
+from shelfwise.llm.common import connected_components, ship, small_or_plain, stage
 
 THRESHOLD = 0.9
 #: list length, next nodes compared in a code's order, codes, bits of a code
@@ -34,6 +38,8 @@ ROUNDS = 4
 #: a round that changes a smaller share of the list entries is the last
 SETTLED = 0.01
 BLOCK = 1024
+#: region pivots compared in a task, and pivots up to which their table is broadcast
+PIVOTS, PIVOT_ROWS = 4096, 20_000
 AUDIT, MIN_RECALL, TRIES = 512, 0.99, 3
 
 
@@ -200,23 +206,99 @@ def dense_links(nodes: DataFrame, regions: DataFrame, threshold: float, block: i
     rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select("root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "mult", "vec")
 
+    return (rows.groupBy("root", "i", "j")
+                .applyInPandas(lambda f: _compare(f, threshold, f["i"].iloc[0] != f["j"].iloc[0]), "node long, links long, other long"))
+
+
+def _compare(f: pd.DataFrame, threshold: float, across: bool) -> pd.DataFrame:
+    """Rows (node, mult, vec, own) compared with each other, ``across``: only those of different ``own``."""
+    f = f.sort_values("node", ignore_index=True)
+    m, mult, own = _matrix(f["vec"]), f["mult"].to_numpy(), f["own"].to_numpy()
+    near = m @ m.T >= threshold
+    np.fill_diagonal(near, False)
+    if across:
+        near &= own[:, None] != own[None, :]
+    label = np.arange(len(f))
+    while True:  # smallest reachable row in this pair of blocks
+        low = np.minimum(label, np.where(near, label[None, :], len(f)).min(1))
+        low = np.minimum(low, low[low])
+        if (low == label).all():
+            break
+        label = low
+    return pd.DataFrame({"node": f["node"], "links": near @ mult, "other": f["node"].to_numpy()[label]})
+
+
+def _dot(x: str, y: str) -> Column:
+    return F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda s, p: s + p)
+
+
+def _angle(x: str, y: str) -> Column:
+    return F.acos(F.least(F.lit(1.0), F.greatest(F.lit(-1.0), _dot(x, y))))
+
+
+def region_pivots(rows: DataFrame) -> DataFrame:
+    """(root, dim, pivot, radius) of regions (rows: root, vec): the direction
+    of the sum and the largest angle to it."""
+    def partial(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            got = [(root, _matrix(part["vec"]).sum(0)) for root, part in f.groupby("root")]
+            yield pd.DataFrame({"root": [r for r, _ in got], "v": [v for _, v in got]})
+
+    sums = (rows.select("root", "vec").mapInPandas(partial, "root long, v array<double>")
+                .select("root", F.posexplode("v").alias("at", "x")).groupBy("root", "at").agg(F.sum("x").alias("x"))
+                .groupBy("root").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "x"))), lambda e: e["x"]).alias("v")))
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
+    # a sum of zero has no direction: a pivot of zeros is at a right angle to all, which the radius must not understate
+    pivots = stage(sums.withColumn("norm", norm).select("root", F.size("v").alias("dim"), (F.col("norm") < 1e-9).alias("none"),
+                                                        F.transform("v", lambda x: x / F.greatest("norm", F.lit(1e-9))).alias("pivot")), "pivots")
+    radius = (rows.join(small_or_plain(pivots, PIVOT_ROWS), "root")
+                  .groupBy("root").agg(F.max(F.when(F.col("none"), F.lit(math.pi)).otherwise(_angle("vec", "pivot"))).alias("radius")))
+    return stage(pivots.join(radius, "root").select("root", "dim", "pivot", "radius"), "pivots")
+
+
+def region_pairs(pivots: DataFrame, threshold: float, block: int = PIVOTS) -> DataFrame:
+    """(ra, rb), ra < rb: the regions that may hold a link with each other, by
+    the angle of their pivots and their radii."""
+    blocks = max(1, -(-pivots.count() // block))
+    reach = math.acos(max(-1.0, min(1.0, threshold))) + 1e-5
+    rows = pivots.withColumn("own", F.pmod(F.xxhash64("root"), F.lit(blocks)).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    rows = rows.select("dim", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "root", "pivot", "radius")
+
     def compare(f: pd.DataFrame) -> pd.DataFrame:
-        f = f.sort_values("node", ignore_index=True)
-        m, mult, own = _matrix(f["vec"]), f["mult"].to_numpy(), f["own"].to_numpy()
-        near = m @ m.T >= threshold
-        np.fill_diagonal(near, False)
+        f = f.sort_values("root", ignore_index=True)
+        m, radius, own, root = _matrix(f["pivot"]), f["radius"].to_numpy(), f["own"].to_numpy(), f["root"].to_numpy()
+        may = np.triu(np.arccos(np.clip(m @ m.T, -1.0, 1.0)) <= reach + radius[:, None] + radius[None, :], 1)
         if f["i"].iloc[0] != f["j"].iloc[0]:
-            near &= own[:, None] != own[None, :]
-        label = np.arange(len(f))
-        while True:  # smallest reachable row in this pair of blocks
-            low = np.minimum(label, np.where(near, label[None, :], len(f)).min(1))
-            low = np.minimum(low, low[low])
-            if (low == label).all():
-                break
-            label = low
-        return pd.DataFrame({"node": f["node"], "links": near @ mult, "other": f["node"].to_numpy()[label]})
-
-    return rows.groupBy("root", "i", "j").applyInPandas(compare, "node long, links long, other long")
+            may &= own[:, None] != own[None, :]
+        a, b = np.nonzero(may)
+        return pd.DataFrame({"ra": root[a], "rb": root[b]})
+
+    return rows.groupBy("dim", "i", "j").applyInPandas(compare, "ra long, rb long")
+
+
+def cross_links(nodes: DataFrame, regions: DataFrame, threshold: float, block: int = BLOCK) -> DataFrame:
+    """As dense_links, for the links between two regions: every pair of
+    regions that the pivots don't rule out, less the nodes that the other
+    region's pivot and radius rule out, in pairs of blocks."""
+    rows = stage(regions.join(nodes.select("node", "mult", "vec"), "node"), "members")
+    pivots = region_pivots(rows)
+    pairs = stage(region_pairs(pivots, threshold), "region-pairs")
+    if pairs.isEmpty():
+        return nodes.sparkSession.createDataFrame([], "node long, links long, other long")
+    reach = math.acos(max(-1.0, min(1.0, threshold))) + 1e-5
+    far = small_or_plain(pivots.select(F.col("root").alias("facing"), "pivot", "radius"), PIVOT_ROWS)
+    sides = (pairs.select("ra", "rb", F.col("ra").alias("root"), F.col("rb").alias("facing"), F.lit(0).alias("own"))
+                  .unionByName(pairs.select("ra", "rb", F.col("rb").alias("root"), F.col("ra").alias("facing"), F.lit(1).alias("own"))))
+    rows = rows.join(sides, "root").join(far, "facing").where(_angle("vec", "pivot") <= F.col("radius") + F.lit(reach))
+    rows = stage(rows.select("ra", "rb", "own", "node", "mult", "vec"), "facing")
+    count = [F.ceil(F.sum((F.col("own") == side).cast("int")) / block).cast("int").alias(f"n{side}") for side in (0, 1)]
+    rows = rows.join(rows.groupBy("ra", "rb").agg(*count).where("n0 > 0 and n1 > 0"), ["ra", "rb"])
+    part = F.pmod(F.xxhash64("node"), F.when(F.col("own") == 0, F.col("n0")).otherwise(F.col("n1"))).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.when(F.col("own") == 0, F.col("n1")).otherwise(F.col("n0")) - 1))
+    rows = rows.withColumn("part", part).withColumn("other", other)
+    rows = rows.select("ra", "rb", F.when(F.col("own") == 0, F.col("part")).otherwise(F.col("other")).alias("i"),
+                       F.when(F.col("own") == 0, F.col("other")).otherwise(F.col("part")).alias("j"), "own", "node", "mult", "vec")
+    return rows.groupBy("ra", "rb", "i", "j").applyInPandas(lambda f: _compare(f, threshold, True), "node long, links long, other long")
 
 
 def _links(nodes: DataFrame, lists: DataFrame, size: int, threshold: float) -> DataFrame:
@@ -227,15 +309,15 @@ def _links(nodes: DataFrame, lists: DataFrame, size: int, threshold: float) -> D
     through = near.join(full, F.col("u") == F.col("full")).select(F.col("u").alias("a"), F.col("v").alias("b"))
     back = near.join(full, F.col("v") == F.col("full")).select(F.col("v").alias("a"), F.col("u").alias("b"))
     regions = stage(connected_components(through.unionByName(back)), "regions")
-    dense = stage(dense_links(nodes, regions, threshold), "dense")
+    dense = stage(dense_links(nodes, regions, threshold).unionByName(cross_links(nodes, regions, threshold)), "dense")
     r1 = regions.select(F.col("node").alias("u"), F.col("root").alias("ru"))
     r2 = regions.select(F.col("node").alias("v"), F.col("root").alias("rv"))
     thin = near.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-    thin = thin.join(r1, "u", "left").join(r2, "v", "left").where(~F.coalesce(F.col("ru") == F.col("rv"), F.lit(False))).select("u", "v")
+    # links of two region members are counted there, of one region or of two
+    thin = thin.join(r1, "u", "left").join(r2, "v", "left").where("ru is null or rv is null").select("u", "v")
     a = nodes.select(F.col("node").alias("u"), F.col("vec").alias("x"), F.col("mult").alias("mu"))
     b = nodes.select(F.col("node").alias("v"), F.col("vec").alias("y"), F.col("mult").alias("mv"))
-    dot = F.aggregate(F.zip_with("x", "y", lambda p, q: p * q), F.lit(0.0), lambda s, p: s + p)
-    thin = stage(thin.join(a, "u").join(b, "v").where((F.size("x") == F.size("y")) & (dot >= threshold)).select("u", "v", "mu", "mv"), "thin")
+    thin = stage(thin.join(a, "u").join(b, "v").where((F.size("x") == F.size("y")) & (_dot("x", "y") >= threshold)).select("u", "v", "mu", "mv"), "thin")
     edges = thin.select(F.col("u").alias("a"), F.col("v").alias("b")).unionByName(dense.select(F.col("node").alias("a"), F.col("other").alias("b")))
     roots = connected_components(edges)
     links = (thin.select(F.col("u").alias("node"), F.col("mv").alias("links"))
@@ -291,6 +373,8 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, id_col:
         found, true = audit(nodes, links, threshold)
         if found >= min_recall * true:
             break
+    else:
+        raise RuntimeError(f"near duplicates: {found} of {true} audited links found, under {min_recall}")
     named = nodes.join(links, "node", "left").select(
         "least", (F.col("mult") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("root", "node").alias("root"), "node")
     names = named.groupBy("root").agg(F.min("least").alias("component_id"))

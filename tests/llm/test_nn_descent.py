@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 from llm.test_common import union_find
 from pyspark.sql import functions as F
 
@@ -69,6 +70,43 @@ def test_dense_region_in_several_blocks(spark):
     assert {ids[k]: n for k, n in got.items()} == dict(enumerate(true.tolist()))
 
 
+def test_full_lists_hide_no_links_between_groups(spark):
+    rng = np.random.default_rng(3)
+    base = rng.standard_normal(32)
+    base /= np.linalg.norm(base)
+    rows = []
+    for _ in range(3):  # edited versions of one base, each copied with little noise
+        edit = base + 0.28 * (lambda g: g / np.linalg.norm(g))(rng.standard_normal(32))
+        rows += [(len(rows) + i, [float(x) for x in edit + 0.008 * rng.standard_normal(32)]) for i in range(40)]
+    rows += [(500 + i, [float(x) for x in rng.standard_normal(32)]) for i in range(60)]
+    expect = plain(rows)
+    assert min(e[1] for e in expect if e[0] < 120) > 39  # every copy has links with another group
+    got = [tuple(r) for r in N.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).select("vec_id", "n_links", "component_id", "kept").collect()]
+    assert sorted(got) == sorted(expect)
+
+
+def test_links_between_regions_in_several_blocks(spark):
+    rng = np.random.default_rng(6)
+    base = rng.standard_normal(16)
+    m = np.vstack([base + 0.3 * rng.standard_normal((60, 16)), base + 0.3 * rng.standard_normal((45, 16)), -base + 0.1 * rng.standard_normal((30, 16))])
+    nodes = N.nodes_of(spark.createDataFrame([(i, [float(x) for x in v], True, i, -i) for i, v in enumerate(m)],
+                                             "id long, v array<double>, ok boolean, k1 long, k2 long"))
+    group = np.repeat([0, 1, 2], [60, 45, 30])
+    regions = nodes.select("node", F.when(F.col("least") < 60, 0).when(F.col("least") < 105, 1).otherwise(2).cast("long").alias("root"))
+    pairs = N.region_pairs(N.region_pivots(regions.join(nodes, "node")), 0.9).collect()
+    assert [tuple(r) for r in pairs] == [(0, 1)]
+    got = {r["least"]: r["n"] for r in N.cross_links(nodes, regions, 0.9, block=20).groupBy("node").agg(F.sum("links").alias("n")).join(nodes, "node").collect()}
+    u = m / np.linalg.norm(m, axis=1, keepdims=True)
+    true = ((u @ u.T >= 0.9) & (group[:, None] != group[None, :])).sum(1)
+    assert true.sum() and all(got.get(i, 0) == n for i, n in enumerate(true.tolist()))
+
+
+def test_short_recall_raises(spark, monkeypatch):
+    monkeypatch.setattr(N, "audit", lambda *a, **k: (1, 2))
+    with pytest.raises(RuntimeError, match="1 of 2"):
+        N.near_duplicates(spark.createDataFrame([(i, [1.0, float(i)]) for i in range(5)], "vec_id long, embedding array<double>"), codes=2)
+
+
 def test_empty_table(spark):
     assert N.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
     one = N.near_duplicates(spark.createDataFrame([(4, [1.0, 2.0])], "vec_id long, embedding array<float>")).collect()
