@@ -125,12 +125,22 @@ def guess_bits(value: str, words: str | None = None) -> float:
     return best[n]
 
 
+def _outside(start: int, end: int, base: list[tuple[str, int, int]]) -> list[tuple[int, int]]:
+    """The pieces of ``start`` to ``end`` that no base span covers."""
+    out = []
+    for s, e in sorted((s, e) for _, s, e in base if s < end and start < e):
+        if start < s:
+            out.append((start, s))
+        start = max(start, e)
+    return out + [(start, end)] if start < end else out
+
+
 def spans(text: str | None, words: str | None = None, min_bits: float = MIN_BITS) -> list[tuple[str, int, int]]:
     """(kind, start, end) in code points, end exclusive, by start, then kind
     as listed. Null and empty texts have none. Base kinds: leftmost
     non-overlapping matches per kind, too short ones dropped. ``guess`` spans
-    are values in credential context that cost ``min_bits`` or more and lie
-    outside every base span."""
+    are values in credential context that cost ``min_bits`` or more, scored
+    whole; of a value that base spans cover in part, the pieces outside them."""
     if not text:
         return []
     found = []
@@ -142,14 +152,15 @@ def spans(text: str | None, words: str | None = None, min_bits: float = MIN_BITS
         found += [("access", *m.span()) for m in ACCESS.finditer(text) if m.end() - m.start() >= ACCESS_MIN]
     if _HEX_RUN in text.encode("utf-8", "replace").translate(_HEX_MAP):
         found += [("hex", *m.span()) for m in HEX.finditer(text)]
-    if (linked or " is " in text or "bearer" in low or "basic" in low) and any(s in low for s in _CONTEXT_STEMS):
+    if (linked or " is " in low or "bearer" in low or "basic" in low) and any(s in low for s in _CONTEXT_STEMS):
         base = list(found)
         for m in CONTEXT.finditer(text):
             value = m[2].rstrip(".,:!?)]}")
             start = m.start(2)
             end = start + len(value)
-            if len(value) >= 6 and not any(s < end and start < e for _, s, e in base) and guess_bits(value, words) >= min_bits:
-                found.append(("guess", start, end))
+            left = _outside(start, end, base) if len(value) >= 6 else []
+            if left and guess_bits(value, words) >= min_bits:
+                found += [("guess", s, e) for s, e in left]
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
 
