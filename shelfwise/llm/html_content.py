@@ -5,8 +5,11 @@ the weights come from labelled pages (pages whose markup names one main
 region): a tag that is rarer inside than outside costs more, one never seen
 inside is a wall. One linear scan finds the contiguous region of the highest
 total, and the region's blocks are the text. Elements that are boilerplate by
-their name or class (menus, forms, adverts, reader comments, ...) are cut out
-before the scan, so one in the middle of an article doesn't split it.
+their name or a whole class (menus, forms, adverts, reader comments, ...) are
+cut out before the scan, so one in the middle of an article doesn't split it;
+never one that holds the article, or most of the words of a page without one.
+A part of a class (``site-footer``, ``related-work``) only costs, and the scan
+decides.
 """
 
 from __future__ import annotations
@@ -30,14 +33,16 @@ WALL = -1000.0
 _RAW = "script|style|noscript|template|textarea|select|option|svg|math|iframe|object|title|head"
 _TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<(?P<raw>{_RAW})\b[^>]*?(?:/>|>.*?(?:</(?P=raw)\s*>|\Z))|<[a-zA-Z/!?][^>]*(?:>|\Z)|[^<]+|<", re.DOTALL | re.IGNORECASE)
 _TAG = re.compile(r"<\s*(/?)\s*([a-zA-Z][a-zA-Z0-9:-]*)")
-_NAMES = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.IGNORECASE)
+_NAMES = re.compile(r"""\b(class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.IGNORECASE)
 _PART = re.compile(r"[^a-z0-9]+")
 BLOCK = frozenset(("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
                    "header hgroup hr html legend li main menu nav ol p pre section summary table tbody tfoot thead tr ul caption").split())
 SPACED = frozenset("br td th wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-# fixed values: boilerplate by element name, and by a part of class, id or role
+# fixed values: boilerplate by element name, and by class, id, role or label
 OUT_TAGS = frozenset("nav footer aside form button menu dialog".split())
+#: boilerplate also if they hold most of the words of a page without article or main
+_NEVER_PAGE = frozenset("nav footer button menu".split())
 OUT_NAMES = frozenset(("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice "
                        "sidebar menu nav navbar navigation breadcrumb breadcrumbs footer comments comment commentlist disqus replies respond "
                        "newsletter subscribe subscription related recommended share sharing social popup modal overlay toolbar pagination pager "
@@ -60,48 +65,77 @@ def tokens(page: str) -> list[tuple[str, str, str]]:
     return out
 
 
-def _names(tag: str) -> set[str]:
-    if "=" not in tag:
-        return set()
-    return {p for m in _NAMES.finditer(tag) for p in _PART.split((m[1] or m[2] or m[3] or "").lower()) if p}
+def _names(tag: str) -> tuple[set[str], set[str]]:
+    """Whole names (class tokens, id, roles, the label) and their parts."""
+    whole, parts = set(), set()
+    if "=" in tag:
+        for m in _NAMES.finditer(tag):
+            value = (m[2] or m[3] or m[4] or "").lower()
+            whole.update([value.strip()] if m[1].lower() == "aria-label" else value.split())
+            parts.update(_PART.split(value))
+    return whole, parts
 
 
-def _boilerplate(name: str, tag: str, inside: bool) -> bool:
+def _boilerplate(name: str, tag: str, inside: bool) -> str:
+    """``cut`` by element name or a whole name, ``named`` by a part of one."""
     if name in OUT_TAGS or name == "header" and not inside:
-        return True
-    return name not in ("html", "body", "article", "main") and not OUT_NAMES.isdisjoint(_names(tag))
-
-
-def _matching(toks: list[tuple[str, str, str]], i: int, article: bool) -> int:
-    """Index after the element opened at ``i``. Without a closing tag it ends
-    where an article, main or first-level heading starts, where the enclosing
-    article ends, or with the page."""
-    name, depth = toks[i][1], 0
-    stop = None
-    for j in range(i, len(toks)):
-        kind, key, _ = toks[j]
-        if kind == "open" and key == name and key not in VOID:
-            depth += 1
-        elif kind == "close" and key == name:
-            depth -= 1
-            if not depth:
-                return j + 1
-        if stop is None and j > i and (kind == "open" and key in ("article", "main", "h1") or kind == "close" and key in ("article", "main", "body")):
-            stop = j
-    return len(toks) if stop is None else stop
+        return "cut"
+    if name in ("html", "body", "article", "main"):
+        return ""
+    whole, parts = _names(tag)
+    return "" if OUT_NAMES.isdisjoint(parts) and OUT_NAMES.isdisjoint(whole) else "named" if OUT_NAMES.isdisjoint(whole) else "cut"
+
+
+def _ends(toks: list[tuple[str, str, str]]) -> list[int]:
+    """Index after the element opened at each token. Without a closing tag it
+    ends where an article, main or first-level heading starts, where the
+    enclosing article ends, or with the page."""
+    ends, stop, opened = [0] * len(toks), len(toks), {}
+    for i in range(len(toks) - 1, -1, -1):
+        kind, key, _ = toks[i]
+        ends[i] = stop
+        if kind == "open" and key in ("article", "main", "h1") or kind == "close" and key in ("article", "main", "body"):
+            stop = i
+    for i, (kind, key, _) in enumerate(toks):
+        if kind == "open" and key not in VOID:
+            opened.setdefault(key, []).append(i)
+        elif kind == "close" and opened.get(key):
+            ends[opened[key].pop()] = i + 1
+    return ends
 
 
 def without_boilerplate(toks: list[tuple[str, str, str]]) -> list[tuple[str, str, str]]:
-    out, i, depth = [], 0, 0
+    """The tokens without the boilerplate elements (``cut`` in their place)
+    and with a mark where one is so named by a part. Outside the article of a
+    page that names one, the words of the latter are ``quiet``: they score
+    nothing, so they can join a region but not make one."""
+    ends, words = _ends(toks), [0]
+    for kind, _, s in toks:
+        words.append(words[-1] + (len(s.split()) if kind == "text" else 0))
+    # the main and the article with the most words
+    held = [max(at, key=lambda i: words[ends[i]] - words[i]) for name in ("article", "main")
+            if (at := [i for i, t in enumerate(toks) if t[0] == "open" and t[1] == name])]
+
+    def whole(i: int, key: str) -> bool:
+        if any(i < k < ends[i] for k in held):
+            return True
+        return (not held or key == "form") and key not in _NEVER_PAGE and 2 * (words[ends[i]] - words[i]) > words[-1]
+
+    out, i, depth, quiet = [], 0, 0, 0
     while i < len(toks):
         kind, key, s = toks[i]
-        if kind == "open" and key not in VOID and not s.endswith("/>") and _boilerplate(key, s, depth > 0):
-            i = _matching(toks, i, depth > 0)
+        what = _boilerplate(key, s, depth > 0) if kind == "open" and key not in VOID and not s.endswith("/>") else ""
+        if what == "cut" and not whole(i, key):
+            i = ends[i]
             out.append(("open", "cut", ""))
             continue
         if key in ("article", "main"):
             depth += 1 if kind == "open" else -1
-        out.append(toks[i])
+        out.append(("quiet", key, s) if kind == "text" and i < quiet and depth <= 0 else toks[i])
+        if what == "named" and not whole(i, key):
+            out.append(("open", "#named-inside" if depth > 0 else "#named", ""))
+            if held and depth <= 0:
+                quiet = max(quiet, ends[i])
         i += 1
     return out
 
@@ -112,7 +146,7 @@ def _key(kind: str, name: str) -> str:
 
 #: used for tags the labelled pages don't show
 DEFAULT = {"li": -1.0, "/li": -0.3, "a": -0.5, "/a": -0.2, "td": -0.5, "option": -4.0, "input": -4.0, "label": -3.0, "p": -0.1, "/p": -0.1,
-           "cut": -1.0, "img": -0.5}
+           "cut": -1.0, "img": -0.5, "#named": -15.0, "#named-inside": -3.0}
 OTHER = -0.5
 
 
@@ -126,7 +160,7 @@ def tag_counts(page: str) -> dict[str, tuple[int, int]]:
     end = next((i for i in range(starts[0], len(toks)) if toks[i][0] == "close" and toks[i][1] == toks[starts[0]][1]), len(toks))
     inside, outside = Counter(), Counter()
     for i, (kind, name, _) in enumerate(toks):
-        if kind != "text":
+        if kind not in ("text", "quiet"):
             (inside if starts[0] < i < end else outside)[_key(kind, name)] += 1
     return {k: (inside[k], outside[k]) for k in inside.keys() | outside.keys()}
 
@@ -136,8 +170,8 @@ def weights_from(counts: dict[str, tuple[int, int]]) -> dict[str, float]:
     and never inside is a wall."""
     out = dict(DEFAULT)
     for k, (a, b) in counts.items():
-        if k == "cut":
-            continue  # a gap left by boilerplate says nothing about the region
+        if k == "cut" or k[0] == "#":
+            continue  # a gap left by boilerplate says nothing about the region, and a name costs a fixed value
         if a == 0 and b >= 20:
             out[k] = WALL
         elif a + b >= 20:
@@ -150,7 +184,7 @@ def region(toks: list[tuple[str, str, str]], weights: dict[str, float]) -> tuple
     the first and longest. Empty if no words."""
     best, best_range, run, start = 0.0, (0, 0), 0.0, 0
     for i, (kind, name, s) in enumerate(toks):
-        run += WORD_WEIGHT * len(s.split()) if kind == "text" else weights.get(_key(kind, name), OTHER)
+        run += WORD_WEIGHT * len(s.split()) if kind == "text" else 0.0 if kind == "quiet" else weights.get(_key(kind, name), OTHER)
         if run <= 0:
             run, start = 0.0, i + 1
         elif run > best or run == best and start == best_range[0]:
@@ -173,7 +207,7 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
         run.clear()
 
     for kind, name, s in toks[lo:hi]:
-        if kind == "text":
+        if kind in ("text", "quiet"):
             run.append(entities.unescape(s) if "&" in s else s)
         elif name in BLOCK or name == "cut":
             flush()

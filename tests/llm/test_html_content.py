@@ -33,6 +33,19 @@ def test_broken_and_empty_pages():
     assert H.main_text("a < b and <3 c", W) == "a < b and <3 c"
 
 
+def test_names_cut_no_page_and_no_part_of_an_article():
+    body = "<h1>Title</h1><p>one two three four five six</p>"
+    for page in (f"<div class='page has-sidebar'><article>{body}</article></div>", f"<div class='widget'><main>{body}</main></div>",
+                 f"<body><form>{body}</form></body>", f"<div id='content' class='no-banner'>{body}</div>", f"<div class='banner'>{body}</div><p>x</p>",
+                 f"<form><aside>side words here</aside><article>{body}</article></form>"):
+        assert H.main_text(page, W).startswith("Title\n\none two three four five six"), page
+    page = ("<article><p>one two three four five six</p><h2 id='related-work'>Related work</h2><p>more words to read here</p><section id='skip-lists'>"
+            "<p>a list that skips</p></section><p class='notice-period'>three months of notice</p><div class='share-prices'>prices rose and fell</div></article>")
+    assert H.main_text(page, W) == ("one two three four five six\n\nRelated work\n\nmore words to read here\n\na list that skips\n\n"
+                                    "three months of notice\n\nprices rose and fell")
+    assert len(H.without_boilerplate([("open", "form", "<form>")] * 50_000)) == 1
+
+
 def brute_region(scores):
     best, where = 0.0, (0, 0)
     for i in range(len(scores)):
