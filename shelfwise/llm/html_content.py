@@ -30,14 +30,15 @@ from shelfwise.llm.common import ship
 SAMPLE = 600
 WORD_WEIGHT = 1.0
 WALL = -1000.0
-_RAW = "script|style|noscript|template|textarea|select|option|svg|math|iframe|object|title|head"
+_RAW = "script|style|noscript|template|textarea|select|option|svg|iframe|object|title"
 _TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<(?P<raw>{_RAW})\b[^>]*?(?:/>|>.*?(?:</(?P=raw)\s*>|\Z))|<[a-zA-Z/!?][^>]*(?:>|\Z)|[^<]+|<", re.DOTALL | re.IGNORECASE)
 _TAG = re.compile(r"<\s*(/?)\s*([a-zA-Z][a-zA-Z0-9:-]*)")
 _NAMES = re.compile(r"""\b(class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.IGNORECASE)
 _PART = re.compile(r"[^a-z0-9]+")
 BLOCK = frozenset(("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
                    "header hgroup hr html legend li main menu nav ol p pre section summary table tbody tfoot thead tr ul caption").split())
-SPACED = frozenset("br td th wbr".split())
+SPACED = frozenset("br td th wbr mtr mtd".split())
+MATH = "math semantics mrow mi mo mn ms mtext mspace mstyle mpadded mfrac msqrt mroot msub msup msubsup munder mover munderover mtable mtr mtd".split()
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # fixed values: boilerplate by element name, and by class, id, role or label
 OUT_TAGS = frozenset("nav footer aside form button menu dialog".split())
@@ -51,7 +52,8 @@ OUT_NAMES = frozenset(("ad ads advert adverts advertisement advertising sponsor
 
 def tokens(page: str) -> list[tuple[str, str, str]]:
     """(kind, key, text): kind ``open``, ``close`` or ``text``. Comments,
-    declarations and raw elements (scripts, styles, head, ...) are left out."""
+    declarations and raw elements (scripts, styles, title, ...) are left out.
+    A head needs no rule of its own: what may stand in it has no other text."""
     out = []
     for m in _TOKEN.finditer(page):
         s = m[0]
@@ -147,6 +149,8 @@ def _key(kind: str, name: str) -> str:
 #: used for tags the labelled pages don't show
 DEFAULT = {"li": -1.0, "/li": -0.3, "a": -0.5, "/a": -0.2, "td": -0.5, "option": -4.0, "input": -4.0, "label": -3.0, "p": -0.1, "/p": -0.1,
            "cut": -1.0, "img": -0.5, "#named": -15.0, "#named-inside": -3.0}
+# a formula is made of more tags than words
+DEFAULT |= {k: 0.0 for name in MATH for k in (name, "/" + name)}
 OTHER = -0.5
 
 

@@ -46,6 +46,12 @@ def test_names_cut_no_page_and_no_part_of_an_article():
     assert len(H.without_boilerplate([("open", "form", "<form>")] * 50_000)) == 1
 
 
+def test_head_without_end_and_formulas():
+    page = "<!doctype html><html><head><meta charset=utf-8><title>No</title><style>p{}</style><link rel=x><body><article><p>kept text here</p></article>"
+    assert H.main_text(page, W) == H.main_text(page.replace("<body>", ""), W) == "kept text here"
+    assert H.main_text("<article><p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p></article>", W) == "so x=2 holds"
+
+
 def brute_region(scores):
     best, where = 0.0, (0, 0)
     for i in range(len(scores)):
