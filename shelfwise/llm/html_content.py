@@ -2,8 +2,8 @@
 
 A page is a sequence of words and tags. Words score positive, tags negative;
 the weights come from labelled pages (pages whose markup names one main
-region): a tag that is rarer inside than outside costs more, one never seen
-inside is a wall. One linear scan finds the contiguous region of the highest
+region): a tag that is rarer inside than outside costs more; one that bounds
+regions and is never seen inside is a wall. One linear scan finds the contiguous region of the highest
 total, and the region's blocks are the text. Elements that are boilerplate by
 their name or a whole class (menus, forms, adverts, reader comments, ...) are
 cut out before the scan, so one in the middle of an article doesn't split it;
@@ -30,6 +30,8 @@ from shelfwise.llm.common import ship
 SAMPLE = 600
 WORD_WEIGHT = 1.0
 WALL = -1000.0
+#: tags that bound a region rather than stand in it; only these can be walls
+WALLS = frozenset("html head body main article nav footer aside".split())
 _RAW = "script|style|noscript|template|textarea|select|option|svg|iframe|object|title"
 _TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<(?P<raw>{_RAW})\b[^>]*?(?:/>|>.*?(?:</(?P=raw)\s*>|\Z))|<[a-zA-Z/!?][^>]*(?:>|\Z)|[^<]+|<", re.DOTALL | re.IGNORECASE)
 _TAG = re.compile(r"<\s*(/?)\s*([a-zA-Z][a-zA-Z0-9:-]*)")
@@ -170,13 +172,13 @@ def tag_counts(page: str) -> dict[str, tuple[int, int]]:
 
 
 def weights_from(counts: dict[str, tuple[int, int]]) -> dict[str, float]:
-    """Log odds of inside against outside, at most -0.05; a tag seen 20 times
-    and never inside is a wall."""
+    """Log odds of inside against outside, from -8 to -0.05; a tag of WALLS
+    seen 20 times and never inside is a wall."""
     out = dict(DEFAULT)
     for k, (a, b) in counts.items():
         if k == "cut" or k[0] == "#":
             continue  # a gap left by boilerplate says nothing about the region, and a name costs a fixed value
-        if a == 0 and b >= 20:
+        if a == 0 and b >= 20 and k.lstrip("/") in WALLS:
             out[k] = WALL
         elif a + b >= 20:
             out[k] = max(-8.0, min(-0.05, math.log((a + 0.5) / (b + 0.5)) / 2 - 0.05))

@@ -52,6 +52,14 @@ def test_head_without_end_and_formulas():
     assert H.main_text("<article><p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p></article>", W) == "so x=2 holds"
 
 
+def test_tag_unseen_inside_a_sample_splits_no_article():
+    w = H.weights_from({**{k: (0, 60) for k in ("div", "/div", "section", "/section", "article", "/article")}, "p": (900, 3), "/p": (900, 3)})
+    words = " ".join(["word"] * 30)
+    page = f"<div>menu</div><article><p>first {words}</p><div><section><p>{words}</p></section></div><p>last {words}</p></article><div>end</div>"
+    assert H.main_text(page, w) == f"first {words}\n\n{words}\n\nlast {words}"
+    assert -8.0 <= w["div"] < H.OTHER and w["article"] == H.WALL
+
+
 def brute_region(scores):
     best, where = 0.0, (0, 0)
     for i in range(len(scores)):
