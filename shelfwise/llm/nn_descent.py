@@ -13,7 +13,9 @@ through saturated nodes, and such dense regions are compared completely, in
 blocks of bounded size. Full lists can hide links from one region to another,
 so two regions are compared as well unless the angle between their pivots,
 less both radii, rules a link out. Recall is audited by brute force for a
-hashed sample of nodes; while it is short, the search is repeated with more
+hashed sample of nodes and of nodes whose best entry is near the threshold, and
+by planted copies of sampled vectors, which are searched for with the others
+and link with nothing; while it is short, the search is repeated with more
 codes, and if the last try is short an error is raised.
 """
 
@@ -30,17 +32,24 @@ from pyspark.sql import functions as F
 from shelfwise.llm.common import connected_components, ship, small_or_plain, stage
 
 THRESHOLD = 0.9
-#: list length, next nodes compared in a code's order, codes, bits of a code
+#: list length, next nodes kept in a code's order, least codes, bits of a code
 LIST, AHEAD, CODES, BITS = 16, 3, 20, 30
+#: next nodes compared in a code's order: past AHEAD only those that may be links are kept
+WIDE = 32
+#: share of the links at the threshold that the codes alone may miss
+MISS = 0.004
 #: slack of one-byte similarities around the threshold
 SLACK = 0.02
-ROUNDS = 4
+#: a bound that settled refinement doesn't meet
+ROUNDS = 30
 #: a round that changes a smaller share of the list entries is the last
 SETTLED = 0.01
 BLOCK = 1024
 #: region pivots compared in a task, and pivots up to which their table is broadcast
 PIVOTS, PIVOT_ROWS = 4096, 20_000
 AUDIT, MIN_RECALL, TRIES = 512, 0.99, 3
+#: distance to the threshold at which a node's best entry makes it worth an audit
+NEAR = 0.05
 
 
 def valid(v: Column) -> Column:
@@ -99,8 +108,45 @@ def _streamed(frames: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame
         yield held
 
 
-def start_graph(nodes: DataFrame, codes: int, bits: int = BITS, ahead: int = AHEAD, seed: int = 11) -> DataFrame:
-    """(u, v, sim) of nodes that are close in the order of a code. The order
+def codes_for(n: int, threshold: float = THRESHOLD) -> int:
+    """Codes for ``n`` nodes: two ends of a link at the threshold are close in
+    a code's order if its leading bits, about log2(n / WIDE), are equal."""
+    same = 1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi
+    hit = same ** max(0.0, math.log2(max(n, 1) / WIDE) - 0.5)
+    return CODES if hit >= 1 else max(CODES, math.ceil(math.log(MISS) / math.log1p(-hit)))
+
+
+def planted_of(nodes: DataFrame, threshold: float, sample: int) -> DataFrame:
+    """Copies of a hashed sample of nodes, turned to a cosine a little over
+    the threshold. As nodes, with mult 0; the copy of node n is -1 - n."""
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            for _, part in f.groupby("dim"):
+                unit = _matrix(part["vec"])
+                turn = np.stack([np.random.default_rng([17, int(k) & (1 << 62) - 1]).standard_normal(unit.shape[1]) for k in part["k1"]])
+                turn = _unit(turn - (turn * unit).sum(1, keepdims=True) * unit)
+                cos = threshold + (1 - threshold) * (0.05 + 0.45 * (part["k2"].to_numpy() % 1000) / 1000)[:, None]
+                vec = cos * unit + np.sqrt(1 - cos * cos) * turn
+                q = np.rint(vec * (127.0 / np.abs(vec).max(1, keepdims=True))).astype(np.int8)
+                yield part.assign(vec=list(vec), q=[x.tobytes() for x in q], node=-1 - part["node"], mult=0, least=None)[list(f.columns)]
+
+    chosen = nodes.where("dim > 1").orderBy(F.xxhash64("node", F.lit(5)), "node").limit(sample)
+    return stage(chosen.mapInPandas(run, nodes.schema), "planted")
+
+
+def planted_found(planted: DataFrame, near: DataFrame, regions: DataFrame) -> tuple[int, int]:
+    """(found, all) planted copies: with an entry of their source, or both in
+    regions, which are compared completely."""
+    asked = planted.select(F.col("node").alias("copy"), (-1 - F.col("node")).alias("source"))
+    pairs = near.select(F.least("u", "v").alias("copy"), F.greatest("u", "v").alias("source"))
+    inside = regions.select("node").distinct()
+    both = asked.join(inside.withColumnRenamed("node", "copy"), "copy").join(inside.withColumnRenamed("node", "source"), "source").select("copy")
+    return asked.join(pairs, ["copy", "source"], "left_semi").select("copy").unionByName(both).distinct().count(), asked.count()
+
+
+def start_graph(nodes: DataFrame, codes: int, bits: int = BITS, ahead: int = AHEAD, seed: int = 11, keep: float = THRESHOLD - SLACK) -> DataFrame:
+    """(u, v, sim) of nodes that are close in the order of a code: the next
+    ``ahead``, and of the next WIDE those of ``keep`` or more. The order
     is dealt by range of (code number, dim, code, node), so a crowd with one
     code spreads over tasks."""
     def encode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -123,12 +169,15 @@ def start_graph(nodes: DataFrame, codes: int, bits: int = BITS, ahead: int = AHE
             for g in np.unique(group):
                 at = np.flatnonzero(group == g)
                 m = _bytes(f["q"].iloc[at])
-                for step in range(1, ahead + 1):
+                for step in range(1, max(ahead, WIDE) + 1):
                     later = at[step:] >= fresh
                     a, b = np.flatnonzero(later), np.flatnonzero(later) + step
+                    sim = np.einsum("ij,ij->i", m[a], m[b]).astype(np.float64)
+                    if step > ahead:
+                        a, b, sim = a[sim >= keep], b[sim >= keep], sim[sim >= keep]
                     if len(a):
-                        yield pd.DataFrame({"u": node[at[a]], "v": node[at[b]], "sim": (m[a] * m[b]).sum(1).astype(np.float64)})
-            held = f.iloc[-ahead:]
+                        yield pd.DataFrame({"u": node[at[a]], "v": node[at[b]], "sim": sim})
+            held = f.iloc[-max(ahead, WIDE):]
 
     coded = nodes.select("node", "dim", "q").mapInPandas(encode, "t int, dim int, code long, node long, q binary")
     keys = ("t", "dim", "code", "node")
@@ -184,8 +233,8 @@ def _bytes_by_len(col: pd.Series) -> np.ndarray:
     return _bytes(col if min(map(len, col)) == width else col.map(lambda x: x.ljust(width, b"\0")))
 
 
-def neighbour_graph(nodes: DataFrame, codes: int, size: int = LIST, rounds: int = ROUNDS) -> DataFrame:
-    lists = stage(best_lists(start_graph(nodes, codes), size), "lists")
+def neighbour_graph(nodes: DataFrame, codes: int, size: int = LIST, rounds: int = ROUNDS, threshold: float = THRESHOLD) -> DataFrame:
+    lists = stage(best_lists(start_graph(nodes, codes, keep=threshold - SLACK), size), "lists")
     for _ in range(rounds):
         new = stage(best_lists(lists.unionByName(refine(lists, nodes, size)), size), "lists")
         entries = new.count()
@@ -301,8 +350,9 @@ def cross_links(nodes: DataFrame, regions: DataFrame, threshold: float, block: i
     return rows.groupBy("ra", "rb", "i", "j").applyInPandas(lambda f: _compare(f, threshold, True), "node long, links long, other long")
 
 
-def _links(nodes: DataFrame, lists: DataFrame, size: int, threshold: float) -> DataFrame:
-    """(node, links, root) of every node with a link."""
+def _links(nodes: DataFrame, lists: DataFrame, size: int, threshold: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(node, links, root) of every node with a link; the near entries and the
+    regions. Entries of planted copies, which ``nodes`` lacks, make no links."""
     near = lists.where(F.col("sim") >= threshold - SLACK)
     full = near.groupBy("u").count().where(F.col("count") >= size).select(F.col("u").alias("full"))
     # what is reachable through saturated nodes, with the nodes at its rim
@@ -323,13 +373,21 @@ def _links(nodes: DataFrame, lists: DataFrame, size: int, threshold: float) -> D
     links = (thin.select(F.col("u").alias("node"), F.col("mv").alias("links"))
                  .unionByName(thin.select(F.col("v").alias("node"), F.col("mu").alias("links")))
                  .unionByName(dense.select("node", "links")).groupBy("node").agg(F.sum("links").alias("links")))
-    return stage(links.join(roots, "node", "left"), "links")
-
-
-def audit(nodes: DataFrame, links: DataFrame, threshold: float = THRESHOLD, sample: int = AUDIT) -> tuple[int, int]:
-    """(found, true) links of a hashed sample of nodes, by brute force against
-    every node. The sample (``sample`` vectors) is the bounded broadcast."""
-    chosen = nodes.orderBy(F.xxhash64("node", F.lit(3)), "node").limit(sample).select("node", "vec").collect()
+    return stage(links.join(roots, "node", "left"), "links"), near, regions
+
+
+def audit(nodes: DataFrame, links: DataFrame, threshold: float = THRESHOLD, sample: int = AUDIT,
+          lists: DataFrame | None = None) -> tuple[int, int]:
+    """(found, true) links of a hashed sample of nodes, and of one of the
+    nodes whose best entry in ``lists`` is near the threshold, by brute force
+    against every node. The samples (``sample`` vectors each) are the bounded
+    broadcast."""
+    pick = lambda rows: rows.orderBy(F.xxhash64("node", F.lit(3)), "node").limit(sample).select("node", "vec").collect()
+    chosen = pick(nodes)
+    if lists is not None:
+        best = lists.where("u >= 0 and v >= 0").groupBy(F.col("u").alias("node")).agg(F.max("sim").alias("best"))
+        chosen += pick(nodes.join(best.where(F.abs(F.col("best") - threshold) <= NEAR), "node"))
+        chosen = list({r["node"]: r for r in chosen}.values())
     if not chosen:
         return 0, 0
     spark = nodes.sparkSession
@@ -366,15 +424,19 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, id_col:
                              F.transform(F.col(vector_col).cast("array<double>"), lambda x: x + F.lit(0.0)).alias("v"))
     rows = rows.select("id", "v", valid(F.col("v")).alias("ok"), F.xxhash64("v").alias("k1"), F.xxhash64(F.lit(7), "v").alias("k2"))
     nodes = nodes_of(rows)
-    links = None
+    planted = planted_of(nodes, threshold, AUDIT)
+    both, n = nodes.unionByName(planted), nodes.count()
+    start = max(codes, codes_for(n, threshold))
     for attempt in range(TRIES):
-        lists = neighbour_graph(nodes, codes << attempt, size)
-        links = _links(nodes, lists, size, threshold)
-        found, true = audit(nodes, links, threshold)
-        if found >= min_recall * true:
+        lists = neighbour_graph(both, start << attempt, size, threshold=threshold)
+        links, near, regions = _links(nodes, lists, size, threshold)
+        found, true = audit(nodes, links, threshold, lists=lists)
+        seen, asked = planted_found(planted, near, regions)
+        # no link to find in a sample of the nodes says nothing
+        if (true or asked or n <= AUDIT) and found >= min_recall * true and seen >= min_recall * asked:
             break
     else:
-        raise RuntimeError(f"near duplicates: {found} of {true} audited links found, under {min_recall}")
+        raise RuntimeError(f"near duplicates: {found} of {true} audited links and {seen} of {asked} planted ones found, under {min_recall}")
     named = nodes.join(links, "node", "left").select(
         "least", (F.col("mult") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("root", "node").alias("root"), "node")
     names = named.groupBy("root").agg(F.min("least").alias("component_id"))

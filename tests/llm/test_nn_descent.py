@@ -107,6 +107,18 @@ def test_short_recall_raises(spark, monkeypatch):
         N.near_duplicates(spark.createDataFrame([(i, [1.0, float(i)]) for i in range(5)], "vec_id long, embedding array<double>"), codes=2)
 
 
+def test_audit_sees_planted_links(spark, monkeypatch):
+    """Without a link among the rows, a search that finds nothing is noticed."""
+    assert N.codes_for(500) == N.CODES < N.codes_for(10**6) < N.codes_for(10**8)
+    rng = np.random.default_rng(9)
+    df = spark.createDataFrame([(i, [float(x) for x in rng.standard_normal(48)]) for i in range(700)], "vec_id long, embedding array<double>")
+    monkeypatch.setattr(N, "TRIES", 1)
+    assert N.near_duplicates(df).where("n_links > 0 or not kept").count() == 0
+    monkeypatch.setattr(N, "neighbour_graph", lambda nodes, *a, **k: spark.createDataFrame([], "u long, v long, sim double"))
+    with pytest.raises(RuntimeError, match="0 of 512 planted"):
+        N.near_duplicates(df)
+
+
 def test_empty_table(spark):
     assert N.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
     one = N.near_duplicates(spark.createDataFrame([(4, [1.0, 2.0])], "vec_id long, embedding array<float>")).collect()
