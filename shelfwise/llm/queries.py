@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.llm import (
+    bpe_chunks,
     chat_windows,
     decontaminate,
     html_content,
@@ -95,9 +96,14 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
 
 
+def op11_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document and their text again, as digests."""
+    return bpe_chunks.digests(bpe_chunks.round_trip(table(spark, sf_dir, "documents"), *TOKENIZER))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_url_reputation, op2_simhash_dedup, op3_language_id, op4_chat_windows, op5_nn_descent, op6_packing, op7_html_content,
-    op8_secret_scan, op9_toxicity, op10_decontaminate)}
+    op8_secret_scan, op9_toxicity, op10_decontaminate, op11_bpe_chunks)}
 ORACLE_SQL: dict[str, str] = {
     "op1_url_reputation": oracles.url_reputation(URL_RULES),
     "op4_chat_windows": oracles.chat_windows(CONTROL_TEXT),
