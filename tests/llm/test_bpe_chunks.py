@@ -97,7 +97,7 @@ def test_shared_chunks_are_encoded_once(spark, docs_of, library):
     calls = []
     m = K._Memory(lambda ts: (calls.append(ts), _encoder(*TOKENIZER)(ts))[1], K._sync(TOKENIZER[0]), shared)
     K.encode_texts([t for _, t in rows], m)
-    assert sum(map(len, calls[0])) < 20 * K.MEAN * 4  # what surrounds the passage, not twenty passages
+    assert sum(map(len, calls[0])) < 0.1 * sum(len(t) for _, t in rows)  # what surrounds the passage, not twenty passages
 
 
 def test_whole_small_table(spark, library):
