@@ -19,6 +19,7 @@ from shelfwise.llm import (
     packing,
     secret_scan,
     simhash_dedup,
+    token_alignment,
     toxicity,
     url_reputation,
 )
@@ -26,6 +27,7 @@ from shelfwise.llm.common import crc_of_id, table
 
 URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 TOKENIZER = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 WORD_LIST = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -101,9 +103,14 @@ def op11_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_chunks.digests(bpe_chunks.round_trip(table(spark, sf_dir, "documents"), *TOKENIZER))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizers' tokens in every document."""
+    return token_alignment.digests(table(spark, sf_dir, "documents"), TOKENIZER, PIECES)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_url_reputation, op2_simhash_dedup, op3_language_id, op4_chat_windows, op5_nn_descent, op6_packing, op7_html_content,
-    op8_secret_scan, op9_toxicity, op10_decontaminate, op11_bpe_chunks)}
+    op8_secret_scan, op9_toxicity, op10_decontaminate, op11_bpe_chunks, op13_token_alignment)}
 ORACLE_SQL: dict[str, str] = {
     "op1_url_reputation": oracles.url_reputation(URL_RULES),
     "op4_chat_windows": oracles.chat_windows(CONTROL_TEXT),
