@@ -77,3 +77,34 @@ root AS (SELECT a AS vec_id, MIN(b) AS component_id FROM reach GROUP BY ALL),
 n AS (SELECT a AS vec_id, COUNT(*) AS n_links FROM links GROUP BY ALL)
 SELECT vec_id, COALESCE(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
 FROM root LEFT JOIN n USING (vec_id)"""
+
+
+def collocations(longest: int = 5, least: int = 100, best: int = 2000) -> str:
+    """Phrases from the definition: all sequences counted, candidates inside
+    an equally frequent longer one dropped, every cut scored."""
+    return f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents),
+worded AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+sized AS (SELECT lang, w, unnest(range(1, {longest + 1})) AS size FROM worded),
+placed AS (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS pos FROM sized),
+seen AS (SELECT lang, size, w[pos:pos + size - 1] AS words, count(*) AS f FROM placed GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM seen WHERE size = 1 GROUP BY lang),
+cands AS (SELECT * FROM seen WHERE size > 1 AND f >= {least}),
+inside_sizes AS (SELECT lang, words, size, f, unnest(range(2, size)) AS part FROM cands),
+inside_places AS (SELECT lang, words, f, part, unnest(range(1, size - part + 2)) AS pos FROM inside_sizes),
+inside AS (SELECT lang, words[pos:pos + part - 1] AS words, max(f) AS longer FROM inside_places GROUP BY ALL),
+kept AS (SELECT c.* FROM cands c LEFT JOIN inside i ON i.lang = c.lang AND i.words = c.words
+         WHERE i.longer IS NULL OR 100 * i.longer < 100 * c.f),
+cuts AS (SELECT lang, words, size, f AS a, unnest(range(1, size)) AS k FROM kept),
+scored AS (
+  SELECT c.lang, c.words, c.a, c.k, x.f AS l, y.f AS r, t.n, (1000::HUGEINT * c.a * t.n) // (x.f::HUGEINT * y.f) AS score
+  FROM cuts c JOIN totals t ON t.lang = c.lang
+  JOIN seen x ON x.lang = c.lang AND x.words = c.words[1:c.k]
+  JOIN seen y ON y.lang = c.lang AND y.words = c.words[c.k + 1:c.size]),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1),
+named AS (SELECT lang, array_to_string(words, ' ') AS phrase, a, l, r, n, score::BIGINT AS score FROM lowest)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM named QUALIFY rank <= {best}"""

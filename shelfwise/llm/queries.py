@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from shelfwise.llm import (
     bpe_chunks,
     chat_windows,
+    collocations,
     decontaminate,
     html_content,
     language_id,
@@ -103,6 +104,11 @@ def op11_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_chunks.digests(bpe_chunks.round_trip(table(spark, sf_dir, "documents"), *TOKENIZER))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's best phrases in all documents."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups and links of two tokenizers' tokens in every document."""
     return token_alignment.digests(table(spark, sf_dir, "documents"), TOKENIZER, PIECES)
@@ -110,9 +116,10 @@ def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_url_reputation, op2_simhash_dedup, op3_language_id, op4_chat_windows, op5_nn_descent, op6_packing, op7_html_content,
-    op8_secret_scan, op9_toxicity, op10_decontaminate, op11_bpe_chunks, op13_token_alignment)}
+    op8_secret_scan, op9_toxicity, op10_decontaminate, op11_bpe_chunks, op12_collocations, op13_token_alignment)}
 ORACLE_SQL: dict[str, str] = {
     "op1_url_reputation": oracles.url_reputation(URL_RULES),
     "op4_chat_windows": oracles.chat_windows(CONTROL_TEXT),
     "op5_nn_descent": oracles.NN_DESCENT,
+    "op12_collocations": oracles.collocations(),
 }
