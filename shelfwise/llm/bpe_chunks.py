@@ -35,7 +35,7 @@ from shelfwise.llm.packing import _encoder, _portions
 #: characters that the rolling hash covers, and mean, least and most characters of a chunk
 ROLL, MEAN, LEAST, MOST = 16, 512, 128, 8192
 #: characters of the shared dictionary (a proven bound of what is broadcast), and of a worker's own memory
-SHARED_CHARS, OWN_CHARS = 8_000_000, 24_000_000
+SHARED_CHARS, OWN_CHARS = 4_000_000, 6_000_000
 _BLOCK = 1 << 20
 
 
@@ -224,6 +224,10 @@ def encode(docs: DataFrame, vocabulary: str, ranks: str, pattern: str, reuse: bo
     empty texts have no tokens; null or repeated ids stay rows of their own;
     other columns, whatever their names, are ignored; an empty table gives an
     empty result. ``reuse=False`` builds no shared dictionary."""
+    return _coded(docs, vocabulary, ranks, pattern, reuse, decoded=False)
+
+
+def _coded(docs: DataFrame, vocabulary: str, ranks: str, pattern: str, reuse: bool, decoded: bool) -> DataFrame:
     spark = docs.sparkSession
     ship(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -235,10 +239,13 @@ def encode(docs: DataFrame, vocabulary: str, ranks: str, pattern: str, reuse: bo
             at = 0
             for texts in _portions(x.as_py() or "" for x in b.column(1)):
                 ids = encode_texts(texts, memory)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(ids)), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+                columns = {"doc_id": b.column(0).slice(at, len(ids)), "ids": pa.array(ids, pa.binary())}
+                if decoded:
+                    columns["decoded"] = pa.array([spell(x, vocabulary) for x in ids], pa.string())
+                yield pa.RecordBatch.from_pydict(columns)
                 at += len(ids)
 
-    return rows.mapInArrow(run, "doc_id long, ids binary")
+    return rows.mapInArrow(run, "doc_id long, ids binary" + ", decoded string" * decoded)
 
 
 @cache
@@ -254,25 +261,29 @@ def _token_bytes(vocabulary: str) -> list[bytes]:
     return [out.get(i, b"") for i in range(max(out) + 1)]
 
 
+def spell(ids: bytes, vocabulary: str) -> str:
+    """The text of tokens, special ones included; bytes that are no UTF-8
+    become U+FFFD."""
+    return b"".join(map(_token_bytes(vocabulary).__getitem__, np.frombuffer(ids, dtype="<u4").tolist())).decode("utf-8", "replace")
+
+
 def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
-    """``encoded`` (as ``encode`` gives it) with ``decoded``: the text of the
-    tokens, special ones included. Bytes that are no UTF-8 become U+FFFD; null
-    ids give a null text."""
+    """``encoded`` (as ``encode`` gives it) with ``decoded``, as ``spell``
+    gives it; null ids give a null text."""
     ship(encoded.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spelled = _token_bytes(vocabulary)
         for b in batches:
-            texts = [None if not x.is_valid else b"".join(map(spelled.__getitem__, np.frombuffer(x.as_py(), dtype="<u4").tolist())).decode("utf-8", "replace")
-                     for x in b.column(1)]
+            texts = [spell(x.as_py(), vocabulary) if x.is_valid else None for x in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())], names=["doc_id", "ids", "decoded"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, decoded string")
 
 
 def round_trip(docs: DataFrame, vocabulary: str, ranks: str, pattern: str) -> DataFrame:
-    """doc_id, ids and decoded text of every document."""
-    return decode(encode(docs, vocabulary, ranks, pattern), vocabulary)
+    """``decode`` of ``encode``, in one pass: doc_id, ids and the text of the
+    ids of every document."""
+    return _coded(docs, vocabulary, ranks, pattern, reuse=True, decoded=True)
 
 
 def digests(coded: DataFrame) -> DataFrame:

@@ -107,5 +107,16 @@ def test_whole_small_table(spark, library):
     assert {r[0]: tuple(r[1:4]) for r in got.collect()} == want
 
 
+def test_decode_alone(spark, docs_of):
+    docs = docs_of([(i, t, "en") for i, t in enumerate(odd_texts())])
+    coded = K.encode(docs, *TOKENIZER, reuse=False)
+    key = lambda r: r["doc_id"]
+    want = sorted(K.round_trip(docs, *TOKENIZER).collect(), key=key)
+    assert sorted(K.decode(coded, TOKENIZER[0]).collect(), key=key) == want
+    broken = spark.createDataFrame([(1, None), (2, np.array([188, 64], dtype="<u4").tobytes())], "doc_id long, ids binary")
+    assert [r["decoded"] for r in K.decode(broken, TOKENIZER[0]).orderBy("doc_id").collect()] == [
+        None, Tokenizer.from_file(TOKENIZER[0]).decode([188, 64])]
+
+
 def test_empty_table(spark, docs_of):
     assert K.round_trip(docs_of([(1, "x", "en")]).where("doc_id < 0"), *TOKENIZER).collect() == []
