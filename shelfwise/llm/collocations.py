@@ -33,7 +33,7 @@ LONGEST, LEAST, BEST = 5, 100, 2000
 #: first words of a language in the first round (each later round takes eight times as many), and phrases broadcast at a time
 ROOTS, NODES = 4000, 400_000
 #: characters of one array of word numbers (a longer text alone)
-PORTION = 1 << 21
+PORTION = 1 << 20
 _SAME = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n" * 9 + b" ")
 _C = [f"c{i}" for i in range(1, LONGEST + 1)]
 
@@ -152,22 +152,33 @@ class Trie:
                     yield kind, pair // len(codes), np.where(pair % len(codes) > 0, codes[pair % len(codes)], 0), times
 
 
-def counted(coded: DataFrame, **kinds: np.ndarray) -> DataFrame:
-    """(kind, c1..c5, beside, n) of the given phrases over all texts."""
-    spark = coded.sparkSession
-    shared = spark.sparkContext.broadcast(Trie(**kinds))
+def counted(coded: DataFrame, least: int, **kinds: np.ndarray) -> DataFrame:
+    """(kind, c1..c5, beside, n) of the given phrases over all texts, counts
+    of ``least`` or more. Phrases are shuffled as their numbers."""
+    shared = coded.sparkSession.sparkContext.broadcast(Trie(**kinds))
+    names = list(kinds)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = shared.value
         for b in batches:
             for codes, numbers in zip(b.column(0), b.column(1)):
                 for kind, rows, beside, n in trie.count(np.frombuffer(codes.as_py(), dtype="<i8"), np.frombuffer(numbers.as_py(), dtype="<i4")):
-                    phrase = trie.phrases[kind][rows]
-                    yield pa.RecordBatch.from_arrays([pa.array([kind] * len(n)), *(pa.array(phrase[:, i]) for i in range(LONGEST)), pa.array(beside), pa.array(n)],
-                                                     names=["kind", *_C, "beside", "n"])
+                    yield pa.RecordBatch.from_arrays([pa.array(rows * len(names) + names.index(kind)), pa.array(beside), pa.array(n)], names=["row", "beside", "n"])
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie = shared.value
+        for b in batches:
+            row = b.column(0).to_numpy()
+            kind = row % len(names)
+            phrase = np.empty((len(row), LONGEST), dtype=np.int64)
+            for i, name in enumerate(names):
+                phrase[kind == i] = trie.phrases[name][row[kind == i] // len(names)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(names, dtype=object)[kind], pa.string()), *(pa.array(phrase[:, i]) for i in range(LONGEST)),
+                                              b.column(1), b.column(2)], names=["kind", *_C, "beside", "n"])
 
-    schema = "kind string, " + ", ".join(f"{c} long" for c in _C) + ", beside long, n long"
-    return coded.select("codes", "numbers").mapInArrow(run, schema).groupBy("kind", *_C, "beside").agg(F.sum("n").alias("n"))
+    found = coded.select("codes", "numbers").mapInArrow(find, "row long, beside long, n long")
+    often = found.groupBy("row", "beside").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    return often.mapInArrow(spell, "kind string, " + ", ".join(f"{c} long" for c in _C) + ", beside long, n long")
 
 
 def _blocks(df: DataFrame, nodes: int) -> Iterator[np.ndarray]:
@@ -246,7 +257,7 @@ class Miner:
         for size in range(2, LONGEST + 1):
             steps = []
             for block in _blocks(level, self.nodes):
-                more = counted(self.coded, right=block).where(F.col("n") >= self.least)
+                more = counted(self.coded, self.least, right=block)
                 steps.append(self.keep(more.select(F.lit(size).alias("size"), *_codes(*(F.col(c) for c in _C[:size - 1]), F.col("beside")), F.col("n").alias("f")), "level"))
             if not steps:
                 break
@@ -275,7 +286,7 @@ class Miner:
         cuts = cands.select("size", *_C, cut)
         rests = self.keep(cuts.where("size - k > 1").select(*part(F.col("k") + 1, F.col("size") - F.col("k"))).distinct(), "rests")
         before = cands.where(F.col("size") < LONGEST)
-        parts = [counted(self.coded, whole=b) for b in _blocks(rests, self.nodes)] + [counted(self.coded, left=b) for b in _blocks(before, self.nodes)]
+        parts = [counted(self.coded, self.least, whole=b) for b in _blocks(rests, self.nodes)] + [counted(self.coded, self.least, left=b) for b in _blocks(before, self.nodes)]
         single = self.words.select(*_codes(F.col("code")), "f")
         if parts:
             counts = self.keep(_union(parts), "counts")
