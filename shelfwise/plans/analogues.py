@@ -713,15 +713,38 @@ def daily_activity_stream(spark, sf_dir):
     return out.select(F.col("day").cast("timestamp_ntz").alias("day"), "event_type", "events")
 
 
+#: lateness that spans the tables' dates, for files that arrive in no time order
+_SPAN = "10000 days"
+
+
+def _end_of_stream(spark, source, schema):
+    """A last file whose only row (no key) moves the watermark past all
+    others, so that everything held is released."""
+    row = [dt.datetime(2100, 1, 1) if f.name == "event_time" else None for f in schema]
+    spark.createDataFrame([tuple(row)], schema).write.mode("append").parquet(source)
+
+
+def _run_stream(df, run):
+    """Run a stream of the files that are there into a Parquet folder and
+    read it."""
+    import os
+
+    from shelfwise.streaming.ordered import state_store
+    with state_store(df.sparkSession):
+        q = (df.writeStream.format("parquet").outputMode("append").option("path", os.path.join(run, "out"))
+             .option("checkpointLocation", os.path.join(run, "state")).trigger(availableNow=True).start())
+        q.awaitTermination()
+    return df.sparkSession.read.schema(df.schema).parquet(os.path.join(run, "out"))
+
+
 def fines_stream(spark, sf_dir):
-    """The fines job (a stream-stream join of opening and return) run over
-    loan status events derived from the tables: an order opens
+    """The fines job run over loan status events derived from the tables: an order opens
     an 'active' loan at its order time; a finished order is 'returned' 12
     hours after its last shipment. A return after the due date (order + 14
     days) charges 0.25 per late day; a 'returned' event dated before the
     loan's 'active' event charges nothing. The files arrive in no time order,
-    so the replay's watermark spans them all. Events, state and output live
-    under the session's checkpoint folder."""
+    so the lateness spans them all; a last file ends the stream. Events, state
+    and output live under the session's checkpoint folder."""
     import os
     import uuid
 
@@ -741,12 +764,8 @@ def fines_stream(spark, sf_dir):
     run = os.path.join(checkpoint_dir(spark), "streams", f"fines_{uuid.uuid4().hex[:12]}")
     opened.unionByName(returned).write.parquet(os.path.join(run, "source"))
     stream = spark.readStream.schema(LOAN_STATUS_SCHEMA).parquet(os.path.join(run, "source"))
-    q = (fines_from_status_events(stream, watermark="10000 days", longest="10000 days").writeStream.format("parquet").outputMode("append")
-         .option("path", os.path.join(run, "out")).option("checkpointLocation", os.path.join(run, "state"))
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    out = spark.read.schema("loan_id bigint, fine_amount decimal(10,2), fine_reason string, paid boolean") \
-        .parquet(os.path.join(run, "out"))
+    _end_of_stream(spark, os.path.join(run, "source"), LOAN_STATUS_SCHEMA)
+    out = _run_stream(fines_from_status_events(stream, _SPAN), run)
     return out.select("loan_id", F.col("fine_amount").cast("double").alias("fine_amount"), "fine_reason", "paid")
 
 
@@ -776,12 +795,8 @@ def audit_stream(spark, sf_dir):
     run = os.path.join(checkpoint_dir(spark), "streams", f"audit_{uuid.uuid4().hex[:12]}")
     first.unionByName(second).write.parquet(os.path.join(run, "source"))
     stream = spark.readStream.schema(MEMBER_CHANGE_SCHEMA).parquet(os.path.join(run, "source"))
-    q = (audit_from_member_changes(stream).writeStream.format("parquet").outputMode("append")
-         .option("path", os.path.join(run, "out")).option("checkpointLocation", os.path.join(run, "state"))
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    out = spark.read.schema("table_name string, action string, record_id bigint, changed_at timestamp, "
-                            "changed_by string, description string").parquet(os.path.join(run, "out"))
+    _end_of_stream(spark, os.path.join(run, "source"), MEMBER_CHANGE_SCHEMA)
+    out = _run_stream(audit_from_member_changes(stream, _SPAN), run)
     return out.select("table_name", "action", "record_id", F.col("changed_at").cast("timestamp_ntz").alias("changed_at"),
                       "changed_by", "description")
 

@@ -1,39 +1,42 @@
 """Structured Streaming forms of the event-driven lending rules.
 
-ST1 ``admit_loan_requests``: loan requests stream -> stream-static join to
-    members (admission guard, default due date) -> ``foreachBatch`` applies
-    copy contention with the batch checkout job and appends outcomes and new
-    loans per epoch (idempotent on replay: one directory per epoch).
-ST2 ``fines_from_status_events``: the first 'active' and the first 'returned'
-    row of a loan meet in a stream-stream join within a time bound; a late
-    return emits one fine. Built-in operators only: the watermark drops the
-    state of loans past the bound.
-ST3 ``audit_from_member_changes``: per-member previous row in state; a
-    changed row emits an audit row.
+ST1 ``admit_loan_requests``: loan requests (and returns) stream -> stream-static
+    join to members (admission guard, default due date) -> contention for
+    copies settled against the held copies kept in state; outcomes and new
+    loans are written per epoch (idempotent on replay: one directory per
+    epoch). The loans are read once, to fill the state.
+ST2 ``fines_from_status_events``: a loan's status rows in event-time order; the
+    step from 'active' to 'returned' fines a late return, in every cycle.
+ST3 ``audit_from_member_changes``: a member's snapshots in event-time order; a
+    row that differs from the one before emits one audit row.
 ST4 ``daily_activity``: event-time tumbling windows with a watermark;
-    windows are emitted once the watermark passes them.
+    windows are emitted once the watermark passes them. ``monthly_activity``
+    sums the emitted days up to calendar months.
 
-ST3 keeps one row per member by ``applyInPandasWithState`` (the previous row
-is needed for as long as the member exists); nothing is collected to the
+ST2 and ST3 hold rows until the watermark passes them (``ordered``), so the
+result does not depend on the order of arrival; nothing is collected to the
 driver.
 """
 
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from shelfwise.functions.exprs import FINE_PER_DAY, LOAN_DAYS, fine_amount
 from shelfwise.operators import jobs
 from shelfwise.operators.jobs import DESC_MEMBER
-from shelfwise.session import materialize
+from shelfwise.streaming.held import held_copies
+from shelfwise.streaming.ordered import in_event_order, state_store
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # the steps reach executors that don't have this package
 
 LOAN_REQUEST_SCHEMA = T.StructType([
     T.StructField("request_id", T.LongType()), T.StructField("member_id", T.LongType()),
@@ -59,107 +62,108 @@ def admission_stream(requests: DataFrame, members: DataFrame, loan_days: int = L
     return jobs.split_admissible(filled, members)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+RETURN_SCHEMA = T.StructType([T.StructField("copy_id", T.LongType()), T.StructField("returned_at", T.TimestampType())])
 
 
 def admit_loan_requests(spark: SparkSession, source_dir: str, members: DataFrame, loans_dir: str,
-                        out_dir: str, checkpoint: str, as_of):
+                        out_dir: str, checkpoint: str, as_of, returns_dir: str | None = None, buckets: int = 32, shards: int = 16,
+                        files_per_batch: int | None = None):
     """Run ST1 over the files in ``source_dir`` until they are consumed.
 
-    Per micro-batch: admitted requests compete for copies against the
-    active loans known so far (base loans plus loans accepted by earlier
-    epochs); outcomes and new loans are written to ``out_dir/outcomes`` and
-    ``out_dir/loans`` under ``epoch=<id>``, overwritten on replay.
-    """
-    stream = spark.readStream.schema(LOAN_REQUEST_SCHEMA).parquet(source_dir)
-    admitted = admission_stream(stream, members)
+    Admitted requests compete for copies in order of (requested_at,
+    request_id); a copy is held from an accepted request, or from an active
+    loan in ``loans_dir`` when the checkpoint is new, until a row of
+    ``returns_dir`` (RETURN_SCHEMA) gives it back. The held copies are state:
+    a micro-batch reads and writes those shards whose copies it asks for,
+    however many loans there were before. Outcomes and new loans are written
+    to ``out_dir/outcomes`` and ``out_dir/loans`` under ``epoch=<id>``,
+    overwritten on replay."""
+    def files(schema: T.StructType, path: str) -> DataFrame:
+        reader = spark.readStream.schema(schema)
+        return (reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader).parquet(path)
+
+    rows = admission_stream(files(LOAN_REQUEST_SCHEMA, source_dir), members).select(
+        F.lit("loan").alias("kind"), "request_id", "member_id", "copy_id", F.col("requested_at").alias("at"), "rejection")
+    if returns_dir is not None:
+        rows = rows.unionByName(files(RETURN_SCHEMA, returns_dir).select(F.lit("return").alias("kind"), "copy_id", F.col("returned_at").alias("at")),
+                                allowMissingColumns=True)
+    base = spark.read.parquet(loans_dir).where(F.col("status") == "active").select("copy_id")
+    due = F.date_add(F.lit(as_of).cast("date"), LOAN_DAYS)
+    outcome = F.coalesce("rejection", F.when(F.col("accepted"), F.concat(F.lit(jobs.MSG_CHECKED_OUT), due.cast("string"))).otherwise(F.lit(jobs.MSG_ON_LOAN)))
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        known = spark.read.parquet(loans_dir).select("member_id", "copy_id", "status")
-        new_dir = os.path.join(out_dir, "loans")
-        if epoch_id > 0 and _exists(spark, new_dir):  # loans accepted by earlier epochs
-            prev = spark.read.parquet(new_dir).where(F.col("epoch") < epoch_id)
-            known = known.unionByName(prev.select("member_id", "copy_id", "status"))
-        guard_ok = batch.where(F.col("rejection").isNull())
-        rejected = batch.where(F.col("rejection").isNotNull()).select(
-            "request_id", "member_id", "copy_id", F.lit(False).alias("accepted"),
-            F.col("rejection").alias("outcome"))
-        checked = materialize(jobs.apply_checkouts(guard_ok.drop("rejection", "due_date", "loan_date"), members,
-                                                   known, as_of, order_cols=["requested_at", "request_id"]))
-        outcomes = checked.select("request_id", "member_id", "copy_id", "accepted", "outcome") \
-            .unionByName(rejected)
-        outcomes.write.mode("overwrite").parquet(os.path.join(out_dir, "outcomes", f"epoch={epoch_id}"))
-        jobs.new_loans_from(checked).write.mode("overwrite").parquet(os.path.join(new_dir, f"epoch={epoch_id}"))
-
-    q = (admitted.writeStream.foreachBatch(per_batch)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
+        path = os.path.join(out_dir, "outcomes", f"epoch={epoch_id}")
+        batch.select("request_id", "member_id", "copy_id", "accepted", outcome.alias("outcome")).write.mode("overwrite").parquet(path)
+        accepted = spark.read.schema("request_id long, member_id long, copy_id long, accepted boolean, outcome string").parquet(path)
+        loans = accepted.withColumn("loan_date", F.lit(as_of).cast("date")).withColumn("due_date", due)
+        jobs.new_loans_from(loans).write.mode("overwrite").parquet(os.path.join(out_dir, "loans", f"epoch={epoch_id}"))
+
+    with state_store(spark):
+        q = (held_copies(rows, base, buckets, shards).writeStream.foreachBatch(per_batch)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+        q.awaitTermination()
     return q
 
 
 # ---------------------------------------------------------------- ST2
-FINE_SCHEMA = T.StructType([
-    T.StructField("loan_id", T.LongType()), T.StructField("fine_amount", T.DecimalType(10, 2)),
-    T.StructField("fine_reason", T.StringType()), T.StructField("paid", T.BooleanType())])
+_ACTIVE, _RETURNED = "active", "returned"
+
 
+def _fine_step(rows: pd.DataFrame, before: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray]:
+    charged = (rows["status"] == _RETURNED) & (before["status"] == _ACTIVE)
+    # only an open loan's row can matter to a later one
+    return rows.loc[charged, ["loan_id", "due_date", "return_date"]], (rows["status"] == _ACTIVE).to_numpy()
 
-def fines_from_status_events(events: DataFrame, watermark: str = "30 days", longest: str = "400 days") -> DataFrame:
+
+def fines_from_status_events(events: DataFrame, lateness: str, buckets: int = 32, shards: int = 16) -> DataFrame:
     """Fine rows from a stream of loan status rows (LOAN_STATUS_SCHEMA): a
-    loan's return after its 'active' row, within ``longest``, fined when late.
-
-    A repeated row of a loan and status within the watermark charges nothing;
-    rows later than the watermark are dropped, and state older than
-    ``longest`` plus the watermark is cleared."""
-    def first(status: str, time: str, *cols: str) -> DataFrame:
-        rows = events.where(F.col("status") == status).withWatermark("event_time", watermark)
-        return rows.dropDuplicatesWithinWatermark(["loan_id"]).select("loan_id", F.col("event_time").alias(time), *cols)
-
-    opened = first("active", "opened_at").withColumnRenamed("loan_id", "opened_id")
-    closed = first("returned", "closed_at", "due_date", "return_date")
-    j = closed.join(opened, (F.col("loan_id") == F.col("opened_id")) & (F.col("closed_at") > F.col("opened_at"))
-                    & (F.col("closed_at") <= F.col("opened_at") + F.expr(f"interval {longest}")))
+    'returned' row whose loan's row before it (by event time, then status)
+    is 'active' is fined when late, in every cycle of the loan and however
+    long it was out.
+
+    A loan's rows may arrive in any order within ``lateness`` (rows later
+    than that are dropped by the watermark); a fine is emitted once the
+    watermark passes the return. State: the rows the watermark has not passed
+    and one row per open loan. Start it inside ``state_store``."""
+    out = T.StructType([LOAN_STATUS_SCHEMA[c] for c in ("loan_id", "due_date", "return_date")])
+    steps = in_event_order(events, "loan_id", "event_time", lateness, ["status", "due_date", "return_date"], ["status"], out, _fine_step, buckets, shards)
+    return _fines(steps)
+
+
+def _fines(returned: DataFrame) -> DataFrame:
     days = F.datediff("return_date", "due_date")
-    return j.where(days > 0).select("loan_id", fine_amount(days, FINE_PER_DAY).alias("fine_amount"),
-                                    F.lit("overdue").alias("fine_reason"), F.lit(False).alias("paid"))
+    return returned.where(days > 0).select("loan_id", fine_amount(days, FINE_PER_DAY).alias("fine_amount"),
+                                           F.lit("overdue").alias("fine_reason"), F.lit(False).alias("paid"))
 
 
 # ---------------------------------------------------------------- ST3
-AUDIT_SCHEMA = T.StructType([
-    T.StructField("table_name", T.StringType()), T.StructField("action", T.StringType()),
-    T.StructField("record_id", T.LongType()), T.StructField("changed_at", T.TimestampType()),
-    T.StructField("changed_by", T.StringType()), T.StructField("description", T.StringType())])
+_MEMBER = ["first_name", "last_name", "status"]
 
 
-_MEMBER = ["first_name", "last_name", "status"]
+def _audit_step(rows: pd.DataFrame, before: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray]:
+    now, was = rows[_MEMBER].astype(object), before[_MEMBER]
+    same = ((now == was) | (now.isna() & was.isna())).all(axis=1)
+    hit = before["known"].astype(bool) & ~same
+    out = rows.loc[hit, ["member_id", "at_us", "status"]]
+    return pd.concat([out, was[hit].add_prefix("old_")], axis=1), np.ones(len(rows), dtype=bool)
 
 
-def _audit_state(key, pdfs: Iterator[pd.DataFrame], state):
-    df = pd.concat([p for p in pdfs if len(p)]).sort_values("event_time", kind="stable")
-    now = df[_MEMBER].astype(object).where(df[_MEMBER].notna(), None)
-    was = now.shift()
-    if state.exists:
-        was.iloc[0] = list(state.get)
-    known = np.arange(len(df)) > 0 if not state.exists else np.ones(len(df), dtype=bool)
-    same = ((now == was) | (now.isna() & was.isna())).all(axis=1).to_numpy()
-    state.update(tuple(now.iloc[-1]))
-    hit = known & ~same
-    if hit.any():  # most members do not change: no empty frame per key
-        text = [DESC_MEMBER.format(first=a, last=b, old=c, new=d) for (a, b, c), d in
-                zip(was[hit].itertuples(index=False), now.loc[hit, "status"], strict=True)]
-        yield pd.DataFrame({"table_name": "members", "action": "UPDATE", "record_id": key[0],
-                            "changed_at": df.loc[hit, "event_time"], "changed_by": "SYSTEM", "description": text})
-
-
-def audit_from_member_changes(changes: DataFrame) -> DataFrame:
+def audit_from_member_changes(changes: DataFrame, lateness: str, buckets: int = 32, shards: int = 16) -> DataFrame:
     """Audit rows from a stream of member snapshots (MEMBER_CHANGE_SCHEMA):
-    the first row of a member sets the state, each later row that differs
-    emits one audit row."""
-    st = T.StructType([T.StructField("first_name", T.StringType()), T.StructField("last_name", T.StringType()),
-                       T.StructField("status", T.StringType())])
-    return changes.groupBy("member_id").applyInPandasWithState(
-        _audit_state, AUDIT_SCHEMA, st, "append", GroupStateTimeout.NoTimeout)
+    each row that differs (NULL-safe) from the member's row before it by
+    event time emits one audit row; the first only sets the state.
+
+    Rows may arrive in any order within ``lateness``; an audit row is emitted
+    once the watermark passes its snapshot. State: the rows the watermark has
+    not passed and one row per member. Start it inside ``state_store``."""
+    text = T.StringType()
+    out = T.StructType([T.StructField("member_id", T.LongType()), T.StructField("at_us", T.LongType()), T.StructField("status", text),
+                        *(T.StructField(f"old_{c}", text) for c in _MEMBER)])
+    steps = in_event_order(changes, "member_id", "event_time", lateness, _MEMBER, _MEMBER, out, _audit_step, buckets, shards)
+    parts = {"first": "old_first_name", "last": "old_last_name", "old": "old_status", "new": "status"}
+    return steps.select(F.lit("members").alias("table_name"), F.lit("UPDATE").alias("action"), F.col("member_id").alias("record_id"),
+                        F.timestamp_micros("at_us").alias("changed_at"), F.lit("SYSTEM").alias("changed_by"),
+                        F.format_string(DESC_MEMBER.format(**{k: "%s" for k in parts}), *parts.values()).alias("description"))
 
 
 # ---------------------------------------------------------------- ST4
