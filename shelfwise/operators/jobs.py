@@ -15,7 +15,7 @@ from __future__ import annotations
 import datetime as dt
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise import schemas
@@ -315,6 +315,69 @@ def apply_quota(requests: DataFrame, loans: DataFrame, max_active: int = 5,
              .drop("_have", "_pos"))
 
 
+# ---------------------------------------------------------------- C10 with C12
+def checkout_within_quota(requests: DataFrame, copies: DataFrame, loans: DataFrame, members: DataFrame, as_of,
+                          max_active: int = 5, loan_days: int = LOAN_DAYS, max_rounds: int = 200) -> DataFrame:
+    """Requests (request_id, member_id, book_id), unique request_id, served in
+    its order: the guard first, then the member's quota, then a free copy (the
+    lowest copy_id left). Whoever gets no copy uses up no quota, and whoever
+    is over the quota takes no copy, so the two rules depend on each other.
+    Returns the requests with copy_id, loan_date, due_date, accepted, outcome.
+
+    Rounds between two bounds: of the requests still possible, those within
+    both limits even if all possible ones before them were served are served
+    for certain; and what comes after the last certain one of a used-up
+    member or book is refused for certain. The earliest undecided request is
+    decided in every round, usually most are; it ends when none is left.
+    A group's limit is a top-k, cut down before the shuffle, so a hot member
+    or book is not gathered in one task."""
+    guarded = materialize(split_admissible(requests, members))
+    have = loans.where(F.col("status") == "active").groupBy("member_id").agg(F.count(F.lit(1)).alias("_have"))
+    free = copies.join(_active_copies(loans), "copy_id", "left_anti").select("book_id", "copy_id")
+    limit_b = free.groupBy("book_id").agg(F.count(F.lit(1)).alias("_limit_b"))
+    asked = (guarded.where("rejection is null").select("request_id", "member_id", "book_id")
+             .join(have, "member_id", "left").join(limit_b, "book_id", "left")
+             .select("request_id", "member_id", "book_id", F.greatest(F.lit(0), max_active - F.coalesce("_have", F.lit(0))).alias("_limit_m"),
+                     F.coalesce("_limit_b", F.lit(0)).alias("_limit_b")))
+    possible = materialize(asked)
+    most_b = possible.agg(F.max("_limit_b")).first()[0] or 0
+
+    def first_of(group: str, most: int, limit: str) -> DataFrame:
+        rank = F.row_number().over(Window.partitionBy(group).orderBy("request_id"))
+        return possible.withColumn("_i", rank).where(F.col("_i") <= most).where(F.col("_i") <= F.col(limit)).select("request_id")
+
+    def used_up(served: DataFrame, group: str, limit: str, name: str) -> DataFrame:
+        full = served.groupBy(group, limit).agg(F.count(F.lit(1)).alias("_n"), F.max("request_id").alias(name))
+        return full.where(F.col("_n") == F.col(limit)).select(group, name)
+
+    for _ in range(max_rounds):
+        within = first_of("member_id", max_active, "_limit_m").join(first_of("book_id", most_b, "_limit_b"), "request_id")
+        served = materialize(possible.join(within, "request_id", "left_semi"))
+        left = (possible.where("_limit_m > 0 and _limit_b > 0")
+                .join(used_up(served, "member_id", "_limit_m", "_last_m"), "member_id", "left")
+                .join(used_up(served, "book_id", "_limit_b", "_last_b"), "book_id", "left")
+                .where("coalesce(request_id <= _last_m, true) and coalesce(request_id <= _last_b, true)"))
+        possible = materialize(left.select(*asked.columns))
+        if possible.count() == served.count():
+            break
+    else:
+        raise RuntimeError("the batch did not settle; serve it in smaller ones")
+
+    # a refused request met its member's quota if that was used up before it
+    full = used_up(served, "member_id", "_limit_m", "_last_m")
+    over = asked.join(full, "member_id", "left").select("request_id", (
+        (F.col("_limit_m") == 0) | F.coalesce(F.col("request_id") > F.col("_last_m"), F.lit(False))).alias("_over"))
+    numbered = with_position(served.select("request_id", "book_id"), ["request_id"], ["book_id"], name="_n")
+    given = numbered.join(with_position(free, ["copy_id"], ["book_id"], name="_n"), ["book_id", "_n"]).select("request_id", "copy_id")
+    out = guarded.join(given, "request_id", "left").join(over, "request_id", "left")
+    ok = F.col("copy_id").isNotNull()
+    due = F.date_add(_lit_date(as_of), loan_days)
+    outcome = F.coalesce("rejection", F.when(ok, F.concat(F.lit(MSG_CHECKED_OUT), due.cast("string")))
+                         .when(F.col("_over"), F.lit(MSG_QUOTA)).otherwise(F.lit(MSG_NO_FREE_COPY)))
+    return out.select(*requests.columns, "copy_id", F.when(ok, _lit_date(as_of)).alias("loan_date"), F.when(ok, due).alias("due_date"),
+                      ok.alias("accepted"), outcome.alias("outcome"))
+
+
 # ---------------------------------------------------------------- C13
 def batch_return(member_ids: DataFrame, loans: DataFrame, fines: DataFrame, as_of,
                  days: str = "as_of", cut_lineage: bool = True):
@@ -371,9 +434,11 @@ def member_report(member_ids: DataFrame, t: dict[str, DataFrame], as_of) -> dict
 def apply_update(base: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     """Keyed update: rows of ``base`` whose key is in ``changes`` take the
     values of the columns ``changes`` carries (an explicit NULL included);
-    everything else is unchanged. Returns the new version."""
+    everything else is unchanged. A key repeated in ``changes`` is an error
+    (which of its rows should hold?). Returns the new version."""
     cols = [c for c in changes.columns if c != key]
-    ch = changes.select(key, *[F.col(c).alias(f"_new_{c}") for c in cols], F.lit(True).alias("_hit"))
+    one = F.when(F.count(F.lit(1)) > 1, F.raise_error(F.concat(F.lit(f"repeated {key} in changes: "), F.col(key).cast("string")))).otherwise(F.lit(True))
+    ch = changes.where(F.col(key).isNotNull()).groupBy(key).agg(one.cast("boolean").alias("_hit"), *[F.first(c).alias(f"_new_{c}") for c in cols])
     j = base.join(ch, key, "left")
     for c in cols:
         j = j.withColumn(c, F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)))

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.exprs import late_days, pct_exact, position_in, round_ratio
-from shelfwise.operators import aggs, joins, jobs, quality, sets, topk, windows
+from shelfwise.operators import aggs, jobs, joins, quality, sets, sketches, topk, windows
 from shelfwise.sources.tables import load_driver_tables
 
 # The reference date of each driver table family.
@@ -651,6 +651,38 @@ def percentile(spark, sf_dir):
                     pctl.alias("percentile_rank_pct"))
 
 
+def percentile_sketch(spark, sf_dir):
+    """Percent rank of open line amounts from a mergeable quantile sketch:
+    per line status whether every line's rank lies within the sketch's bound
+    of its exact rank, with the lines checked."""
+    t = _t(spark, sf_dir)
+    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_linestatus", F.round(F.col("l_extendedprice") * 100).cast("long").alias("cents"))
+    near = sketches.percent_rank_sketch(li, "cents")
+    exact = windows.global_ranks(near, "cents", ascending=True, rank="_r")
+    off = F.abs(F.col("pct") - (F.col("_r") - 1) / (aggs.total_count(li) - 1))
+    bound = sketches.KLL_ERROR + 1 / 1000
+    return exact.groupBy("l_linestatus").agg(F.count(F.lit(1)).alias("lines"), F.max(off <= bound).alias("within_bound"), F.min(off <= bound).alias("all_within_bound"))
+
+
+def monthly_sketches(spark, sf_dir):
+    """Distinct customers per month of order, merged from daily sketches that
+    are written once: the exact number, and whether the estimate is within
+    2 % of it."""
+    import os
+    import uuid
+
+    from shelfwise.session import checkpoint_dir
+    t = _t(spark, sf_dir)
+    orders = t.orders.select("o_custkey", _d("o_orderdate").alias("day"))
+    path = os.path.join(checkpoint_dir(spark), "sketches", f"daily_{uuid.uuid4().hex[:12]}")
+    sketches.daily_distinct(orders, F.col("day"), [], {"customers": "o_custkey"}).write.parquet(path)
+    month = F.trunc("day", "month")
+    merged = sketches.merged_distinct(spark.read.parquet(path), month, [], ["customers"]).withColumnRenamed("customers", "estimate")
+    exact = orders.groupBy(month.alias("period")).agg(F.countDistinct("o_custkey").alias("customers"))
+    near = F.abs(F.col("estimate") - F.col("customers")) <= F.col("customers") * 0.02
+    return merged.join(exact, "period").select(F.col("period").cast("timestamp_ntz").alias("month"), F.col("rows").alias("orders"), "customers", near.alias("within_2_pct"))
+
+
 def gaps(spark, sf_dir):
     """Days between consecutive orders of each customer (first -> NULL)."""
     t = _t(spark, sf_dir)
@@ -821,6 +853,70 @@ def admission_stream(spark, sf_dir):
     return spark.read.parquet(os.path.join(run, "out", "outcomes")).select("request_id", "member_id", "copy_id", "accepted", "outcome")
 
 
+def fines_cycles_stream(spark, sf_dir):
+    """Fines over loans that are lent again and again: a customer is one
+    loan id and each of its orders a cycle, active from the order and, if
+    finished, returned 12 hours after its last shipment. The rows are dealt
+    to files by hash, read two a micro-batch, so cycles arrive in no order."""
+    import os
+    import uuid
+
+    from shelfwise.session import checkpoint_dir
+    from shelfwise.streaming.streams import LOAN_STATUS_SCHEMA, fines_from_status_events
+    t = _t(spark, sf_dir)
+    last = t.lineitem.groupBy("l_orderkey").agg(F.max("l_shipdate").alias("_last"))
+    o = t.orders.join(last, F.col("o_orderkey") == F.col("l_orderkey"))
+    due, none = _due(), F.lit(None).cast("date")
+    opened = o.select(F.col("o_custkey").alias("loan_id"), F.lit("active").alias("status"), due.alias("due_date"), none.alias("return_date"),
+                      F.col("o_orderdate").cast("timestamp").alias("event_time"))
+    closed = o.where(F.col("o_orderstatus") == "F").select(
+        F.col("o_custkey").alias("loan_id"), F.lit("returned").alias("status"), due.alias("due_date"), _d("_last").alias("return_date"),
+        (F.col("_last").cast("timestamp") + F.expr("INTERVAL 12 HOURS")).alias("event_time"))
+    run = os.path.join(checkpoint_dir(spark), "streams", f"cycles_{uuid.uuid4().hex[:12]}")
+    source = os.path.join(run, "source")
+    opened.unionByName(closed).repartition(4, F.xxhash64("event_time", "loan_id")).write.parquet(source)
+    _end_of_stream(spark, source, LOAN_STATUS_SCHEMA)
+    stream = spark.readStream.schema(LOAN_STATUS_SCHEMA).option("maxFilesPerTrigger", 2).parquet(source)
+    out = _run_stream(fines_from_status_events(stream, _SPAN), run)
+    return out.select("loan_id", F.col("fine_amount").cast("double").alias("fine_amount"), "fine_reason", "paid")
+
+
+def admission_returns_stream(spark, sf_dir):
+    """The admission job with returns in the stream: purchases ask for
+    copies, error events give one back, sign-ups hold copies at first."""
+    import os
+    import uuid
+
+    from shelfwise.session import checkpoint_dir
+    from shelfwise.streaming.streams import admit_loan_requests
+    t = _t(spark, sf_dir)
+    run = os.path.join(checkpoint_dir(spark), "streams", f"returns_{uuid.uuid4().hex[:12]}")
+    as_of = F.lit(AS_OF_EVENTS)
+    _requests(t).select("request_id", "member_id", "copy_id", as_of.alias("loan_date"), F.lit(None).cast("date").alias("due_date"),
+                        F.col("requested_at").cast("timestamp").alias("requested_at")).write.parquet(os.path.join(run, "source"))
+    back = t.events.where(F.col("event_type") == "error").select(_copy_key(), F.col("ts").cast("timestamp").alias("returned_at"))
+    back.write.parquet(os.path.join(run, "returns"))
+    _prior_loans(t).write.parquet(os.path.join(run, "base"))
+    admit_loan_requests(spark, os.path.join(run, "source"), _members(t), os.path.join(run, "base"), os.path.join(run, "out"),
+                        os.path.join(run, "state"), AS_OF_EVENTS, returns_dir=os.path.join(run, "returns"))
+    return spark.read.parquet(os.path.join(run, "out", "outcomes")).select("request_id", "member_id", "copy_id", "accepted", "outcome")
+
+
+def monthly_activity_stream(spark, sf_dir):
+    """Orders per calendar month and status by the chained streaming job
+    (days, then months); the months that a 30-day watermark has passed."""
+    import os
+    import uuid
+
+    from shelfwise.session import checkpoint_dir
+    from shelfwise.streaming.streams import monthly_activity as stream_months
+    t = _t(spark, sf_dir)
+    stream = _table_stream(spark, sf_dir, "orders", t.orders.schema).select(F.col("o_orderdate").alias("ts"), F.col("o_orderstatus").alias("event_type"))
+    run = os.path.join(checkpoint_dir(spark), "streams", f"monthly_{uuid.uuid4().hex[:12]}")
+    out = _run_stream(stream_months(stream, lateness="30 days"), run)
+    return out.select(F.col("month").cast("timestamp_ntz").alias("month"), F.col("event_type").alias("status"), "events", "days")
+
+
 # ---------------------------------------------------------------- jobs
 # Fixed value: copies a part key stands for in the job reports.
 _COPIES_PER_KEY = 20
@@ -972,7 +1068,8 @@ QUERIES = {
     "moving_avg": moving_avg, "moving_avg_calendar": moving_avg_calendar, "dense_ids": dense_ids,
     "active_customers": active_customers, "percentile": percentile, "gaps": gaps, "late_days": late_days_q,
     "overdue_or_open": overdue_or_open, "allocate": allocate, "returns": returns,
-    "daily_activity": daily_activity, "daily_activity_stream": daily_activity_stream, "fines_stream": fines_stream,
+    "daily_activity": daily_activity, "percentile_sketch": percentile_sketch, "monthly_sketches": monthly_sketches, "daily_activity_stream": daily_activity_stream, "fines_stream": fines_stream, "fines_cycles_stream": fines_cycles_stream,
+    "admission_returns_stream": admission_returns_stream, "monthly_activity_stream": monthly_activity_stream,
     "audit_stream": audit_stream, "admission_stream": admission_stream, "checkouts": checkouts, "quota": quota,
     "dq_pk": dq_pk, "dq_fk": dq_fk, "dq_values": dq_values, "dq_summary": dq_summary,
 }

@@ -80,6 +80,14 @@ def job_checkout(spark, sf_dir):
         F.col("loan_id").cast("double").alias("loan_id"), "description")
 
 
+def job_checkout_quota(spark, sf_dir):
+    """Guard, quota of 12 active loans and copy allocation in one batch:
+    each purchase's outcome, served in order of request."""
+    t = library_from_driver(spark, sf_dir)
+    out = jobs.checkout_within_quota(_events(spark, sf_dir, "purchase", "book_id"), t["book_copies"], t["loans"], t["members"], AS_OF, max_active=12)
+    return out.select("request_id", "member_id", "book_id", F.col("copy_id").cast("double").alias("copy_id"), "accepted", "outcome")
+
+
 # ---------------------------------------------------------------- updates, audit
 def _late_members(t) -> DataFrame:
     late = t["loans"].where((F.col("status") == "active") & (F.col("due_date") < F.lit(AS_OF))).select("member_id").distinct()
@@ -197,7 +205,7 @@ def dq_length(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    job_returns_loans, job_returns_fines, job_admission, job_checkout, job_update_members, job_audit_members, job_delete_guard,
+    job_returns_loans, job_returns_fines, job_admission, job_checkout, job_checkout_quota, job_update_members, job_audit_members, job_delete_guard,
     job_cascade_copies, job_cascade_violations, job_settle_members, job_settle_fines, job_batch_return, job_member_report,
     job_append_fines, dq_unique, dq_length)}
 
@@ -234,6 +242,30 @@ SELECT request_id, member_id, book_id, CAST(copy_id AS DOUBLE) AS copy_id, copy_
             WHEN copy_id IS NULL THEN 'No free copy' END AS outcome,
        CAST(loan_id AS DOUBLE) AS loan_id, CASE WHEN loan_id IS NOT NULL THEN 'Book checked out' END AS description
 FROM req LEFT JOIN given USING (request_id)"""),
+    "job_checkout_quota": with_library(f"""
+asked AS (SELECT event_id AS request_id, user_id AS member_id, {_K} AS book_id, status FROM events
+          LEFT JOIN (SELECT member_id AS user_id, status FROM members) USING (user_id) WHERE event_type = 'purchase'),
+have AS (SELECT member_id, COUNT(*) AS n FROM loans WHERE status = 'active' GROUP BY member_id),
+free AS (SELECT book_id, copy_id, ROW_NUMBER() OVER (PARTITION BY book_id ORDER BY copy_id) AS k
+         FROM book_copies ANTI JOIN (FROM loans WHERE status = 'active') USING (copy_id)),
+room AS (SELECT book_id, COUNT(*) AS copies FROM free GROUP BY book_id),
+queue AS (SELECT ROW_NUMBER() OVER (ORDER BY request_id) AS i, a.*, coalesce(n, 0) AS had, coalesce(copies, 0) AS copies
+          FROM asked a LEFT JOIN have USING (member_id) LEFT JOIN room USING (book_id) WHERE status = 'active'),
+served AS (
+  SELECT 0::BIGINT AS i, 0::BIGINT AS request_id, 0::BIGINT AS k, '' AS why, [{{'m': -1::BIGINT, 'b': -1::BIGINT}}] AS got
+  UNION ALL
+  SELECT i, request_id, CASE WHEN quota THEN 0 WHEN none_left THEN 0 ELSE taken + 1 END,
+         CASE WHEN quota THEN 'Too many active loans' WHEN none_left THEN 'No free copy' ELSE '' END,
+         CASE WHEN quota OR none_left THEN got ELSE list_append(got, {{'m': member_id, 'b': book_id}}) END
+  FROM (SELECT *, taken >= copies AS none_left FROM (
+    SELECT q.i, q.request_id, q.member_id, q.book_id, q.copies, s.got,
+           q.had + len(list_filter(s.got, lambda x: x.m = q.member_id)) >= 12 AS quota,
+           len(list_filter(s.got, lambda x: x.b = q.book_id)) AS taken
+    FROM served s JOIN queue q ON q.i = s.i + 1)))""", f"""
+SELECT a.request_id, a.member_id, a.book_id, CAST(f.copy_id AS DOUBLE) AS copy_id, f.copy_id IS NOT NULL AS accepted,
+       CASE WHEN a.status IS NULL THEN 'Unknown member' WHEN a.status <> 'active' THEN 'Cannot create loan: Member is not active'
+            WHEN f.copy_id IS NULL THEN s.why ELSE 'Book checked out successfully. Due on ' || strftime({A} + 14, '%Y-%m-%d') END AS outcome
+FROM asked a LEFT JOIN served s USING (request_id) LEFT JOIN free f ON f.book_id = a.book_id AND f.k = s.k""").replace("WITH", "WITH RECURSIVE", 1),
     "job_update_members": with_library(_LATE, """
 SELECT member_id, last_name, CASE WHEN late THEN 'suspended' ELSE status END AS status FROM members LEFT JOIN late USING (member_id)"""),
     "job_audit_members": with_library(_LATE, """

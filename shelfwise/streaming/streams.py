@@ -29,6 +29,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from shelfwise.functions.exprs import FINE_PER_DAY, LOAN_DAYS, fine_amount
 from shelfwise.operators import jobs
@@ -177,3 +178,66 @@ def daily_activity(events: DataFrame, ts_col: str = "ts", key_col: str = "event_
                   .groupBy(F.window("_ts", window).alias("w"), key_col)
                   .agg(F.count(F.lit(1)).alias("events"))
                   .select(F.col("w.start").alias("day"), key_col, "events"))
+
+
+class _Months(StatefulProcessor):
+    """One month and key: the sum of its days, emitted when the watermark
+    passes the month's end."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.total = handle.getValueState("total", T.StructType([T.StructField("events", T.LongType()), T.StructField("days", T.LongType())]))
+
+    def handleInputRows(self, key, rows, timerValues):
+        events = days = 0
+        for frame in rows:
+            events, days, end = events + int(frame["events"].sum()), days + len(frame), int(frame["ends_ms"].iloc[0])
+        was = self.total.get() if self.total.exists() else (0, 0)
+        self.total.update((was[0] + events, was[1] + days))
+        self.handle.registerTimer(end)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        events, days = self.total.get()
+        self.total.clear()
+        yield pd.DataFrame({"month": [key[0]], "key": [key[1]], "events": [events], "days": [days]})
+
+    def close(self) -> None:
+        pass
+
+
+def monthly_activity(events: DataFrame, ts_col: str = "ts", key_col: str = "event_type", lateness: str = "1 day") -> DataFrame:
+    """Event counts per calendar month and key (month, key_col, events, days
+    with events): the days that ``daily_activity`` emits, summed up in state
+    until the watermark passes the month's end. Start it inside
+    ``state_store``; rows of days already emitted are dropped, and
+    ``late_rows`` gives them."""
+    daily = (events.withColumn("event_at", F.col(ts_col).cast("timestamp")).withWatermark("event_at", lateness)
+                   .groupBy(F.window("event_at", "1 day").alias("w"), F.col(key_col).alias("key")).agg(F.count(F.lit(1)).alias("events")))
+    month = F.trunc(F.to_date("w.start"), "month")
+    ends = F.unix_millis(F.add_months(month, 1).cast("timestamp"))
+    days = daily.select(F.window_time("w").alias("day_at"), month.cast("string").alias("month"), "key", "events", ends.alias("ends_ms"))
+    out = T.StructType([T.StructField("month", T.StringType()), T.StructField("key", T.StringType()), T.StructField("events", T.LongType()),
+                        T.StructField("days", T.LongType())])
+    months = days.groupBy("month", "key").transformWithStateInPandas(_Months(), out, "Append", "EventTime")
+    return months.select(F.col("month").cast("date").alias("month"), F.col("key").alias(key_col), "events", "days")
+
+
+def late_rows(spark: SparkSession, events: DataFrame, out_dir: str, checkpoint: str, ts_col: str = "ts", lateness: str = "1 day") -> DataFrame:
+    """The rows of the stream ``events`` whose day ``daily_activity`` and
+    ``monthly_activity`` had already closed when they came, so those dropped
+    them: run over the same files in the same micro-batches, it compares each
+    row's day with the watermark of the batches before, which it keeps beside
+    the rows (one value per epoch, overwritten on replay)."""
+    at = F.col(ts_col).cast("timestamp")
+    state = lambda epoch: os.path.join(out_dir, "watermark", f"epoch={epoch}")
+    schema = "latest timestamp"
+
+    def per_batch(batch: DataFrame, epoch_id: int) -> None:
+        before = spark.read.schema(schema).parquet(state(epoch_id - 1)).first()["latest"] if epoch_id else None
+        closed = F.date_add(F.to_date(at), 1).cast("timestamp") <= F.lit(before).cast("timestamp") - F.expr(f"interval {lateness}")
+        batch.where(closed if before is not None else F.lit(False)).write.mode("overwrite").parquet(os.path.join(out_dir, "late", f"epoch={epoch_id}"))
+        batch.agg(F.greatest(F.max(at), F.lit(before).cast("timestamp")).alias("latest")).write.mode("overwrite").parquet(state(epoch_id))
+
+    events.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(events.schema).parquet(os.path.join(out_dir, "late", "epoch=*"))

@@ -252,3 +252,59 @@ def test_checkout_and_log(spark, lib, raw):
                    4: (free[IDLE_BOOK][0], True, None), 5: (None, False, jobs.MSG_UNKNOWN_MEMBER)}
     assert sorted(r.loan_id for r in new.collect()) == [len(raw["loans"]) + 1, len(raw["loans"]) + 2]
     assert sorted(r.record_id for r in audit.collect()) == sorted(r.loan_id for r in new.collect())
+
+
+def _serve(requests, members, have, free, most):
+    """The combined rules, one request after the other."""
+    out, have, free = {}, dict(have), {b: sorted(c) for b, c in free.items()}
+    for r, m, b in sorted(requests):
+        if members.get(m, "none") != "active" and not (m in members and members[m] is None):
+            out[r] = (None, jobs.MSG_UNKNOWN_MEMBER if m not in members else jobs.MSG_LOAN_BLOCKED)
+        elif have.get(m, 0) >= most:
+            out[r] = (None, jobs.MSG_QUOTA)
+        elif not free.get(b):
+            out[r] = (None, jobs.MSG_NO_FREE_COPY)
+        else:
+            out[r] = (free[b].pop(0), "ok")
+            have[m] = have.get(m, 0) + 1
+    return out
+
+
+@pytest.mark.parametrize("seed, most, hot", [(1, 3, 0.35), (2, 1, 0.6), (3, 5, 0.0)])
+def test_checkout_within_quota_equals_one_by_one(spark, seed, most, hot):
+    """A hot member and a hot book that hold a share of the batch; members
+    over the quota from the start, books without copies, unknown members."""
+    rng = random.Random(seed)
+    members = {m: rng.choice(["active"] * 6 + ["suspended", None]) for m in range(30)} | {0: "active"}
+    copies = [(c, rng.choice([0, 0, *range(25)])) for c in range(140)]
+    loans = [(i, rng.randint(0, 29), c, rng.choice(["active", "returned"])) for i, (c, _) in enumerate(copies) if rng.random() < 0.4]
+    requests = [(r, 0 if rng.random() < hot else rng.randint(0, 32), 0 if rng.random() < hot else rng.randint(0, 27)) for r in rng.sample(range(1000), 260)]
+    have, free = {}, {}
+    for _, m, _, s in loans:
+        have[m] = have.get(m, 0) + (s == "active")
+    out_now = {c for _, _, c, s in loans if s == "active"}
+    for c, b in copies:
+        if c not in out_now:
+            free.setdefault(b, []).append(c)
+    got = jobs.checkout_within_quota(
+        spark.createDataFrame(requests, "request_id long, member_id long, book_id long"), spark.createDataFrame(copies, "copy_id long, book_id long"),
+        spark.createDataFrame(loans, "loan_id long, member_id long, copy_id long, status string"),
+        spark.createDataFrame(list(members.items()), "member_id long, status string"), dt.date(2024, 6, 15), max_active=most).collect()
+    assert {r.request_id: (r.copy_id, "ok" if r.accepted else r.outcome) for r in got} == _serve(requests, members, have, free, most)
+    assert all(r.accepted == (r.copy_id is not None) == (r.due_date is not None) for r in got)
+
+
+def test_checkout_within_quota_of_nothing(spark):
+    none = spark.createDataFrame([], "request_id long, member_id long, book_id long")
+    rest = [spark.createDataFrame([], s) for s in ("copy_id long, book_id long", "member_id long, copy_id long, status string", "member_id long, status string")]
+    assert jobs.checkout_within_quota(none, *rest, dt.date(2024, 6, 15)).collect() == []
+    asked = spark.createDataFrame([(1, 1, 1)], none.schema)
+    assert jobs.checkout_within_quota(asked, *rest, dt.date(2024, 6, 15)).first().outcome == jobs.MSG_UNKNOWN_MEMBER
+
+
+def test_update_refuses_repeated_keys(spark):
+    base = spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string")
+    twice = spark.createDataFrame([(1, "x"), (1, "y"), (None, "z")], "id long, v string")
+    with pytest.raises(Exception, match="repeated id in changes: 1"):
+        jobs.apply_update(base, twice, "id").collect()
+    assert sorted(map(tuple, jobs.apply_update(base, twice.where("v <> 'x'"), "id").collect())) == [(1, "y"), (2, "b")]
