@@ -9,15 +9,18 @@ as midnight TIMESTAMP and money as DOUBLE, as both engines compare them.
 from __future__ import annotations
 
 import datetime as dt
+import os
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.functions.reports import register_member_report
 from shelfwise.operators import jobs, quality
 from shelfwise.plans.derived import library_from_driver, with_library
 from shelfwise.plans.library_reports import AS_OF, _aligned
 from shelfwise.session import checkpoint_dir
-from shelfwise.sources import append
+from shelfwise.sources import append, versions
 from shelfwise.sources.tables import load_driver_tables
 
 A = "DATE '2001-08-02'"
@@ -100,6 +103,20 @@ def job_update_members(spark, sf_dir):
     return jobs.apply_update(t["members"], _late_members(t), "member_id").select("member_id", "last_name", "status")
 
 
+def job_update_versions(spark, sf_dir):
+    """Two keyed updates of a versioned members table: members with an
+    overdue loan are suspended, then those who never borrowed expire. The
+    last version, with each member's status in the version before."""
+    t = library_from_driver(spark, sf_dir)
+    path = os.path.join(checkpoint_dir(spark), "versions", f"members_{uuid.uuid4().hex[:12]}")
+    versions.create_versioned(t["members"].select("member_id", "last_name", "status"), path, "member_id", 32)
+    second = versions.update_version(spark, path, _late_members(t))
+    idle = t["members"].join(t["loans"], "member_id", "left_anti").select("member_id", F.lit("expired").alias("status"))
+    versions.update_version(spark, path, idle)
+    before = versions.read_version(spark, path, second).select("member_id", F.col("status").alias("status_before"))
+    return versions.read_version(spark, path).join(before, "member_id").select("member_id", "last_name", "status_before", "status")
+
+
 def job_audit_members(spark, sf_dir):
     """Audit rows of that update."""
     t = library_from_driver(spark, sf_dir)
@@ -177,6 +194,18 @@ def job_member_report(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- appends and rules
+def sql_member_loans(spark, sf_dir):
+    """The report's table functions and the fine-days function called from
+    SQL: each member's current loans with the days late, and the member's
+    unpaid total."""
+    t = library_from_driver(spark, sf_dir)
+    register_member_report(spark, t, AS_OF)
+    return spark.sql(f"""
+SELECT m.member_id, p.last_name, l.title, CAST(l.due_date AS TIMESTAMP_NTZ) AS due_date,
+       CAST(calculate_fine_days(l.due_date, DATE '{AS_OF}') AS BIGINT) AS days_late, CAST(u.total_unpaid AS DOUBLE) AS total_unpaid
+FROM shelfwise_members m, LATERAL member_profile(m.member_id) p, LATERAL member_current_loans(m.member_id) l, LATERAL member_unpaid(m.member_id) u""")
+
+
 def job_append_fines(spark, sf_dir):
     """A validated append: a fine for every loan returned late without one,
     with ids after the current maximum and the declared defaults; the rows
@@ -185,7 +214,7 @@ def job_append_fines(spark, sf_dir):
     days = F.datediff("return_date", "due_date")
     late = t["loans"].where((F.col("status") == "returned") & (days > 0)).join(t["fines"].select("loan_id"), "loan_id", "left_anti")
     rows = late.select("loan_id", jobs.fine_amount(days).alias("fine_amount"), F.lit("overdue").alias("fine_reason"))
-    path = f"{checkpoint_dir(spark).rstrip('/')}/appends/fines-{spark.sparkContext.applicationId}-{id(rows)}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/appends/fines-{uuid.uuid4().hex}"
     _, bad = append.append_rows(rows, "fines", path, AS_OF, parents={"loans": t["loans"]}, existing=t["fines"], order_cols=["loan_id"])
     if bad:
         raise ValueError(f"rules failed: {sorted(bad)}")
@@ -205,9 +234,9 @@ def dq_length(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    job_returns_loans, job_returns_fines, job_admission, job_checkout, job_checkout_quota, job_update_members, job_audit_members, job_delete_guard,
+    job_returns_loans, job_returns_fines, job_admission, job_checkout, job_checkout_quota, job_update_members, job_update_versions, job_audit_members, job_delete_guard,
     job_cascade_copies, job_cascade_violations, job_settle_members, job_settle_fines, job_batch_return, job_member_report,
-    job_append_fines, dq_unique, dq_length)}
+    job_append_fines, sql_member_loans, dq_unique, dq_length)}
 
 _LATE = f"late AS (SELECT DISTINCT member_id, TRUE AS late FROM loans WHERE status = 'active' AND due_date < {A})"
 _BARRED = "barred AS (SELECT member_id FROM members WHERE status = 'suspended')"
@@ -268,6 +297,14 @@ SELECT a.request_id, a.member_id, a.book_id, CAST(f.copy_id AS DOUBLE) AS copy_i
 FROM asked a LEFT JOIN served s USING (request_id) LEFT JOIN free f ON f.book_id = a.book_id AND f.k = s.k""").replace("WITH", "WITH RECURSIVE", 1),
     "job_update_members": with_library(_LATE, """
 SELECT member_id, last_name, CASE WHEN late THEN 'suspended' ELSE status END AS status FROM members LEFT JOIN late USING (member_id)"""),
+    "sql_member_loans": with_library("""
+owed AS (SELECT member_id, CAST(SUM(fine_amount) AS DOUBLE) AS total_unpaid FROM fines JOIN loans USING (loan_id) WHERE NOT paid GROUP BY member_id)""", f"""
+SELECT l.member_id, m.last_name, b.title, CAST(l.due_date AS TIMESTAMP) AS due_date, greatest(0, {A} - l.due_date)::BIGINT AS days_late, total_unpaid
+FROM loans l JOIN members m USING (member_id) JOIN book_copies c USING (copy_id) JOIN books b USING (book_id) LEFT JOIN owed o ON o.member_id = l.member_id
+WHERE l.status = 'active'"""),
+    "job_update_versions": with_library(f"{_LATE},\nidle AS (SELECT member_id, TRUE AS idle FROM members ANTI JOIN loans USING (member_id)),\n"
+                                        "stood AS (SELECT *, CASE WHEN late THEN 'suspended' ELSE status END AS status_before FROM members LEFT JOIN late USING (member_id))", """
+SELECT member_id, last_name, status_before, CASE WHEN idle THEN 'expired' ELSE status_before END AS status FROM stood LEFT JOIN idle USING (member_id)"""),
     "job_audit_members": with_library(_LATE, """
 SELECT 'members' AS table_name, 'UPDATE' AS action, member_id AS record_id, TIMESTAMP '2001-08-02 09:00:00' AS changed_at,
        'SYSTEM' AS changed_by, format('Member {} {} updated. Status: {} -> suspended', first_name, last_name, status) AS description

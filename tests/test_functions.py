@@ -37,3 +37,21 @@ def test_collation_opt_in(spark):
     df = spark.createDataFrame([("García",), ("garcia",), ("Garcia",), ("Garza",)], "n string")
     assert df.where(X.same_text("n", "GARCIA")).count() == 3
     assert df.where(F.col("n") == "garcia").count() == 1
+
+
+def test_member_report_table_functions(spark, lib, as_of):
+    """Each function equals the report's result set, for one member and for
+    all by lateral joins, which plan as joins without Python."""
+    from shelfwise.functions.reports import register_member_report
+    from shelfwise.operators import jobs
+    register_member_report(spark, lib, as_of)
+    want = jobs.member_report(lib["members"].select("member_id"), lib, as_of)
+    rows = lambda df: sorted((tuple(r) for r in df.collect()), key=repr)
+    for name, key in (("member_profile", "profile"), ("member_current_loans", "current_loans"), ("member_unpaid", "unpaid"), ("member_events", "events")):
+        every = spark.sql(f"SELECT m.member_id, x.* FROM shelfwise_members m, LATERAL {name}(m.member_id) x")
+        assert rows(every) == rows(want[key])
+        plan = every._jdf.queryExecution().executedPlan().toString()
+        assert "Join" in plan and "Python" not in plan and "Cartesian" not in plan or name == "member_profile"
+        one = rows(want[key])[0][0]
+        assert rows(spark.sql(f"SELECT * FROM {name}({one})")) == [r[1:] for r in rows(want[key]) if r[0] == one]
+    assert rows(spark.sql("SELECT * FROM member_unpaid(-5)")) == [(None,)]
