@@ -20,7 +20,7 @@ from shelfwise.operators import jobs, quality
 from shelfwise.plans.derived import library_from_driver, with_library
 from shelfwise.plans.library_reports import AS_OF, _aligned
 from shelfwise.session import checkpoint_dir
-from shelfwise.sources import append, versions
+from shelfwise.sources import append, layout, versions
 from shelfwise.sources.tables import load_driver_tables
 
 A = "DATE '2001-08-02'"
@@ -194,6 +194,18 @@ def job_member_report(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- appends and rules
+def layout_registrations(spark, sf_dir):
+    """Registrations written in Z-order of (event_id, member_id) with a bloom
+    filter on the event, and active members appended by an insert-from-select:
+    the registrations of one member range by those members, read back."""
+    t = library_from_driver(spark, sf_dir)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/layouts/{uuid.uuid4().hex}"
+    layout.write_z_order(t["event_registrations"].select("event_id", "member_id"), f"{path}/registrations", ["event_id", "member_id"], 16, bloom=("event_id",))
+    append.append_from(t["members"].where(F.col("status") == "active").select("member_id", "last_name", "status"), "members", f"{path}/members")
+    m = spark.read.parquet(f"{path}/members").select(F.col("member_id").cast("long").alias("member_id"), "last_name")
+    return spark.read.parquet(f"{path}/registrations").where(F.col("member_id").between(20, 70)).join(m, "member_id").select("event_id", "member_id", "last_name")
+
+
 def sql_member_loans(spark, sf_dir):
     """The report's table functions and the fine-days function called from
     SQL: each member's current loans with the days late, and the member's
@@ -236,7 +248,7 @@ def dq_length(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     job_returns_loans, job_returns_fines, job_admission, job_checkout, job_checkout_quota, job_update_members, job_update_versions, job_audit_members, job_delete_guard,
     job_cascade_copies, job_cascade_violations, job_settle_members, job_settle_fines, job_batch_return, job_member_report,
-    job_append_fines, sql_member_loans, dq_unique, dq_length)}
+    job_append_fines, layout_registrations, sql_member_loans, dq_unique, dq_length)}
 
 _LATE = f"late AS (SELECT DISTINCT member_id, TRUE AS late FROM loans WHERE status = 'active' AND due_date < {A})"
 _BARRED = "barred AS (SELECT member_id FROM members WHERE status = 'suspended')"
@@ -297,6 +309,8 @@ SELECT a.request_id, a.member_id, a.book_id, CAST(f.copy_id AS DOUBLE) AS copy_i
 FROM asked a LEFT JOIN served s USING (request_id) LEFT JOIN free f ON f.book_id = a.book_id AND f.k = s.k""").replace("WITH", "WITH RECURSIVE", 1),
     "job_update_members": with_library(_LATE, """
 SELECT member_id, last_name, CASE WHEN late THEN 'suspended' ELSE status END AS status FROM members LEFT JOIN late USING (member_id)"""),
+    "layout_registrations": with_library("", """
+SELECT event_id, member_id, last_name FROM event_registrations JOIN members USING (member_id) WHERE status = 'active' AND member_id BETWEEN 20 AND 70"""),
     "sql_member_loans": with_library("""
 owed AS (SELECT member_id, CAST(SUM(fine_amount) AS DOUBLE) AS total_unpaid FROM fines JOIN loans USING (loan_id) WHERE NOT paid GROUP BY member_id)""", f"""
 SELECT l.member_id, m.last_name, b.title, CAST(l.due_date AS TIMESTAMP) AS due_date, greatest(0, {A} - l.due_date)::BIGINT AS days_late, total_unpaid

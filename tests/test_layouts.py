@@ -6,6 +6,8 @@ import os
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as E
 from shelfwise.operators import quality
 from shelfwise.plans import derived
@@ -88,3 +90,66 @@ def test_checkpoint_folder_is_required_off_local_mode(spark, monkeypatch):
         sparkContext, conf = Context, Conf
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.checkpoint_dir(Session)
+
+
+def _groups_hit(path, col, low, high):
+    """(files whose rows may lie in [low, high] by the Parquet statistics, all
+    files)."""
+    import glob
+
+    import pyarrow.parquet as pq
+    hit = files = 0
+    for f in glob.glob(f"{path}/*.parquet"):
+        m = pq.ParquetFile(f).metadata
+        i = m.schema.to_arrow_schema().names.index(col)
+        files += 1
+        hit += any(m.row_group(g).column(i).statistics.min <= high and m.row_group(g).column(i).statistics.max >= low for g in range(m.num_row_groups))
+    return hit, files
+
+
+def test_z_order_skips_row_groups_by_either_key(spark):
+    """Two keys, one of them skewed: a narrow range of either alone touches a
+    small share of the files, which a sort by both does for the first only."""
+    import tempfile
+
+    from shelfwise.sources.layout import write_layout, write_z_order
+    df = spark.range(60_000).select((F.abs(F.xxhash64("id")) % 5000).alias("event_id"),
+                                    F.pow(F.abs(F.xxhash64("id", F.lit(1))) % 1000, F.lit(2)).cast("long").alias("member_id"), F.col("id"))
+    z, linear = tempfile.mkdtemp(prefix="z-"), tempfile.mkdtemp(prefix="sorted-")
+    write_z_order(df, z, ["event_id", "member_id"], 64, bloom=("id",))
+    write_layout(df.repartitionByRange(64, "event_id", "member_id"), linear, sort_by=("event_id", "member_id"))
+    for col, low, high in (("event_id", 1000, 1050), ("member_id", 250_000, 252_000)):
+        hit, files = _groups_hit(z, col, low, high)
+        assert files >= 60 and hit <= 0.3 * files
+    hit, files = _groups_hit(linear, "member_id", 250_000, 252_000)
+    assert hit > 0.9 * files
+    back = spark.read.parquet(z)
+    assert sorted(back.columns) == sorted(df.columns) and back.exceptAll(df).count() == 0 and back.count() == 60_000
+    # the bloom filter answers an id that no row has
+    import glob
+    name = sorted(glob.glob(f"{z}/*.parquet"))[0]
+    with open(name, "rb") as f:
+        size = len(f.read())
+    write_z_order(df, linear, ["event_id", "member_id"], 64)
+    assert size > os.path.getsize(sorted(glob.glob(f"{linear}/*.parquet"))[0])
+
+
+def test_z_order_of_nulls_dates_and_hot_pairs(spark):
+    import datetime as dt
+    import tempfile
+
+    import pytest
+
+    from shelfwise.sources.layout import write_z_order, z_value
+    rows = [(None, None, "x")] * 5 + [(7, dt.date(2024, 1, 1), "hot")] * 3000 + [(i, dt.date(2024, 1, 1) + dt.timedelta(days=i), "y") for i in range(50)]
+    df = spark.createDataFrame(rows, "k long, d date, s string")
+    path = tempfile.mkdtemp(prefix="z-")
+    write_z_order(df, path, ["k", "d"], 8)
+    back = spark.read.parquet(path)
+    assert back.exceptAll(df).count() == 0 and df.exceptAll(back).count() == 0
+    most = back.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
+    assert most < 1500  # the hot pair does not fill one file
+    assert {r.z_value for r in z_value(df, ["k", "d"]).where("k is null").collect()} == {0}
+    assert z_value(df.where("s = 'none'"), ["k", "d"]).collect() == []
+    with pytest.raises(ValueError):
+        z_value(df, ["s"])
