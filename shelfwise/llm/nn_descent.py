@@ -53,11 +53,11 @@ NEAR = 0.05
 
 
 def valid(v: Column) -> Column:
-    """Neither null nor empty, no null or non-finite component, not all zero,
-    and a squared norm that a double holds."""
-    big = F.lit(1e150)
-    return F.coalesce(v.isNotNull() & (F.size(v) > 0) & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < big))
-                      & F.exists(v, lambda x: F.abs(x) > 1e-150), F.lit(False))
+    """Neither null nor empty, no null or non-finite component, not all zero.
+    Vectors of any magnitude are scaled before they are squared."""
+    endless = F.lit(float("inf"))
+    return F.coalesce(v.isNotNull() & (F.size(v) > 0) & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < endless))
+                      & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
 def _matrix(col: pd.Series) -> np.ndarray:
@@ -65,7 +65,8 @@ def _matrix(col: pd.Series) -> np.ndarray:
 
 
 def _unit(m: np.ndarray) -> np.ndarray:
-    m = m / np.abs(m).max(1, keepdims=True)
+    # by a power of two (exact), to about 1; components too small to count beside the largest become 0
+    m = np.ldexp(m, -np.frexp(np.abs(m).max(1, keepdims=True))[1])
     return m / np.sqrt((m * m).sum(1, keepdims=True))
 
 

@@ -68,8 +68,11 @@ FROM counted GROUP BY conv_id"""
 NN_DESCENT = """
 WITH RECURSIVE v AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
-good AS (SELECT vec_id, e, sqrt(list_inner_product(e, e)) AS norm FROM v
-         WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_inner_product(e, e) > 0),
+whole AS (SELECT vec_id, e, list_max(list_transform(e, lambda x: abs(x))) AS most FROM v
+          WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+-- scaled first: squares of very large or very small components leave the range of a double
+scaled AS (SELECT vec_id, list_transform(e, lambda x: x / most) AS e FROM whole WHERE most > 0),
+good AS (SELECT vec_id, e, sqrt(list_inner_product(e, e)) AS norm FROM scaled),
 links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
           WHERE list_inner_product(a.e, b.e) / (a.norm * b.norm) >= 0.9),
 reach AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),

@@ -123,3 +123,12 @@ def test_empty_table(spark):
     assert N.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
     one = N.near_duplicates(spark.createDataFrame([(4, [1.0, 2.0])], "vec_id long, embedding array<float>")).collect()
     assert [tuple(r) for r in one] == [(4, 0, 4, True)]
+
+
+def test_any_magnitude_links(spark):
+    """Finite vectors of extreme scale link as their directions do."""
+    x = [0.6, -0.8, 0.1]
+    rows = [(1, x), (2, [c * 1e200 for c in x]), (3, [c * 1e-200 for c in x]), (4, x), (5, [c * 1e300 for c in x]), (6, [5e-324, 0.0, 0.0]), (7, [1e308, 0.0, 1e-308]),
+            (8, [0.0, 0.0, 0.0]), (9, [float("inf"), 0.0, 0.0]), (10, [float("nan"), 1.0, 0.0]), (11, [None, 1.0, 0.0]), (12, None), (13, [])]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in N.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {**{i: (4, 1) for i in range(1, 6)}, 6: (1, 6), 7: (1, 6), **{i: (0, i) for i in range(8, 14)}}
