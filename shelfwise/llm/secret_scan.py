@@ -29,8 +29,8 @@ KINDS = ("assign", "access", "hex", "guess")
 ASSIGN_MIN, ACCESS_MIN, HEX_MIN = 8, 16, 32
 #: log2 guesses from which a value in credential context counts as a secret
 MIN_BITS = 40.0
-#: the dynamic program looks at values of at most this many characters in one piece; longer ones piece by piece
-PIECE = 256
+#: longest word looked up, and how near its start and its end a run of repeats may be left for another span
+WORD, EDGE = 24, 40
 
 # fixed values: the base patterns
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -79,28 +79,41 @@ def _alphabet(value: str) -> float:
     return math.log2(sum(n for p, n in kinds if re.search(p, value)) or 2)
 
 
-def guess_bits(value: str, words: str | None = None) -> float:
-    """log2 of the guesses the cheapest segmentation of ``value`` takes.
+def guess_bits(value: str, words: str | None = None, enough: float = math.inf) -> float:
+    """log2 of the guesses the cheapest segmentation of ``value`` takes, or
+    some number from ``enough`` on if it takes at least that many.
 
     Spans: dictionary words (rank, doubled for capitals or substitutions),
     dates (2^15), repeats of a unit (the unit's characters times the count),
     keyboard or alphabet walks (2^6 times the length), and single brute-force
     characters (the value's alphabet; hexadecimal values use 16). Each further
-    span costs one bit. Values over PIECE characters are scored piece by piece."""
-    if len(value) > PIECE:
-        return sum(guess_bits(value[i:i + PIECE], words) for i in range(0, len(value), PIECE))
+    span costs one bit. The whole value is one program, whatever its length;
+    its work is linear: a run of repeats is left within EDGE characters of
+    its start or end only (another span that begins further inside costs more
+    than the run), and it stops once every way has cost ``enough``."""
     n, low, rank = len(value), value.lower(), ranks(words)
     plain = low.translate(_LEET)
     brute = 4.0 if re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", value) else _alphabet(value)
     best = [0.0] + [math.inf] * n
+    equal = {}  # unit -> how many characters from each on equal the one a unit later
+    for unit in (1, 2, 3, 4):
+        same = [0] * (n + 1)
+        for i in range(n - unit - 1, -1, -1):
+            same[i] = same[i + 1] + 1 if value[i] == value[i + unit] else 0
+        equal[unit] = same
+    far = 0  # the furthest place reached
     for i in range(n):
         here = best[i]
+        if i % 64 == 63 and min(best[i:far + 1]) >= enough:
+            return min(best[i:far + 1])
 
         def reach(j: int, bits: float, here: float = here) -> None:
+            nonlocal far
             best[j] = min(best[j], here + bits)
+            far = max(far, j)
 
         reach(i + 1, brute)
-        for j in range(i + 3, min(n, i + 24) + 1):
+        for j in range(i + 3, min(n, i + WORD) + 1):
             if r := rank.get(low[i:j]):
                 reach(j, math.log2(r) + 1 + (value[i:j] != low[i:j]))
             elif r := rank.get(plain[i:j]):
@@ -108,11 +121,11 @@ def guess_bits(value: str, words: str | None = None) -> float:
         if m := _DATE.match(value, i):
             reach(m.end(), 15.0)
         for unit in (1, 2, 3, 4):
-            j = i + unit
-            while j + unit <= n and value[j:j + unit] == value[i:i + unit]:
-                j += unit
-                if j - i >= 3:
-                    reach(j, unit * brute + math.log2((j - i) // unit) + 1)
+            most = equal[unit][i] // unit + 1  # whole units from here
+            least = max(2, -(-3 // unit))
+            near = EDGE // unit
+            for times in (*range(least, min(most, near) + 1), *range(max(least, near + 1, most - near), most + 1)):
+                reach(i + unit * times, unit * brute + math.log2(times) + 1)
         for row in WALKS:
             for line in (row, row[::-1]):
                 at = line.find(low[i])
@@ -159,7 +172,7 @@ def spans(text: str | None, words: str | None = None, min_bits: float = MIN_BITS
             start = m.start(2)
             end = start + len(value)
             left = _outside(start, end, base) if len(value) >= 6 else []
-            if left and guess_bits(value, words) >= min_bits:
+            if left and guess_bits(value, words, min_bits) >= min_bits:
                 found += [("guess", s, e) for s, e in left]
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 

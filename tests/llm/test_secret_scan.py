@@ -127,3 +127,52 @@ def test_empty_table_and_whole_table(spark, docs_of):
         b = ",".join(f"{k}:{s}:{e}" for k, s, e in base_spans(r["text"]))
         assert got[r["doc_id"]] == hashlib.sha256(b.encode()).hexdigest()
     assert d.select(S.redacted(F.col("text"), WORD_LIST).alias("t")).where("t like '%AKIA%'").count() == 0
+
+
+def full_bits(value, words):
+    """The program with every length of every run of repeats, whatever it costs."""
+    import math
+    rank, brute = S.ranks(words), 4.0 if re.fullmatch("[0-9a-f]+|[0-9A-F]+", value) else S._alphabet(value)
+    low, plain, n = value.lower(), value.lower().translate(S._LEET), len(value)
+    best = [0.0] + [math.inf] * n
+    for i in range(n):
+        step = lambda j, bits, i=i: best.__setitem__(j, min(best[j], best[i] + bits))
+        step(i + 1, brute)
+        for j in range(i + 3, min(n, i + 24) + 1):
+            for text, more in ((low, 1), (plain, 2)):
+                if text[i:j] in rank and (more == 1 or low[i:j] not in rank):
+                    step(j, math.log2(rank[text[i:j]]) + more + (value[i:j] != low[i:j]))
+        if m := S._DATE.match(value, i):
+            step(m.end(), 15.0)
+        for unit in (1, 2, 3, 4):
+            j = i + unit
+            while j + unit <= n and value[j:j + unit] == value[i:i + unit]:
+                j += unit
+                if j - i >= 3:
+                    step(j, unit * brute + math.log2((j - i) // unit) + 1)
+        for row in S.WALKS:
+            for line in (row, row[::-1]):
+                at = line.find(low[i])
+                k = 0
+                while at >= 0 and i + k < n and at + k < len(line) and line[at + k] == low[i + k]:
+                    k += 1
+                    if k >= 3:
+                        step(i + k, 6.0 + math.log2(k))
+    return best[n]
+
+
+def test_long_values_are_one_program():
+    """No switch at any length: rulers stay cheap, runs left for a word or a
+    run of another unit cost what the full program says."""
+    rng = random.Random(9)
+    made = ["-" * 600, "ab" * 400 + "b", "a" * 300 + "admin" + "n" * 300, "abcabc" * 80 + "abcdefgh", "0" * 500 + "1234567890" * 20, "aaab" * 90 + "x" * 70 + "2024-01-02"]
+    made += ["".join(rng.choice(["a", "aa", "ab", "admin", "qwerty", "7", "2023", "aaaaaaaaaa"]) * rng.randint(1, 30) for _ in range(rng.randint(1, 12))) for _ in range(25)]
+    for v in made:
+        assert abs(S.guess_bits(v, None) - full_bits(v, None)) < 1e-9, v[:60]
+        for enough in (10.0, 40.0):
+            assert (S.guess_bits(v, None, enough) >= enough) == (full_bits(v, None) >= enough)
+    assert S.guess_bits("a" * 1000, None) < 16 and S.guess_bits("a" * 100_000, None) < 23
+    kinds = lambda t: [k for k, _, _ in S.spans(t, WORD_LIST)]
+    assert kinds("pass: " + "-" * 600) == [] and kinds("pin: " + "*" * 600) == [] and kinds("pin: " + "*" * 255) == []
+    long = "".join(rng.choice("ABCDEFGHabcdefgh123456!$%") for _ in range(200_000))
+    assert kinds("pass: " + long) == ["guess"]
