@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
@@ -31,7 +31,7 @@ BUCKETS = 1 << 15
 DIM = 16
 EPOCHS = 6
 RATE = 8.0
-#: bound of the labelled training sample (documents with the smallest id hashes)
+#: bound of the labelled training sample (by hash, languages in turn)
 SAMPLE = 3000
 #: calibrated confidence under which a document is rejected
 REJECT_BELOW = 0.4
@@ -153,14 +153,17 @@ def train(samples: list[tuple[np.ndarray, np.ndarray, str]], threshold: float =
 
 
 def _sample_rows(docs: DataFrame, sample: int) -> DataFrame:
-    """The bounded labelled sample: rows with the smallest hashes of id and
-    language, chosen before any text is read; rows that share an id and a
-    language count once (their smallest text)."""
-    chosen = (docs.select("doc_id", "lang").orderBy(F.xxhash64("doc_id", "lang"), "doc_id", "lang").limit(sample).distinct()
-                  .select(F.col("doc_id").alias("chosen_id"), F.col("lang").alias("chosen_lang")))
+    """The bounded labelled sample, chosen by hashes before any text is read
+    whole: an id and language count once however often the row is repeated
+    (with its smallest text), rows without an id once for each text. Languages
+    take turns, so that a rare one is learned beside frequent ones."""
+    pick = F.xxhash64("doc_id", "lang", F.when(F.col("doc_id").isNull(), F.col("text"))).alias("pick")
+    turn = F.row_number().over(Window.partitionBy("lang").orderBy("pick"))
+    chosen = (docs.select("lang", pick).distinct().withColumn("turn", turn).where(F.col("turn") <= sample)
+                  .orderBy("turn", "pick").limit(sample).select(F.col("lang").alias("chosen_lang"), F.col("pick").alias("chosen")))
     # at most ``sample`` small rows: a proven bound for the broadcast
-    return (docs.join(F.broadcast(chosen), F.col("doc_id").eqNullSafe(F.col("chosen_id")) & (F.col("lang") == F.col("chosen_lang")))
-                .groupBy("doc_id", "lang").agg(F.min("text").alias("text")))
+    return (docs.withColumn("pick", pick).join(F.broadcast(chosen), (F.col("pick") == F.col("chosen")) & (F.col("lang") == F.col("chosen_lang")))
+                .groupBy("pick", "doc_id", "lang").agg(F.min("text").alias("text")).drop("pick"))
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE, threshold: float = REJECT_BELOW) -> Model:

@@ -2,6 +2,8 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from shelfwise.llm import language_id as L
 
 SYLLABLES = {"aa": "ka to mi re sa".split(), "bb": "sch ung ver keit ß".split(), "cc": "ção nh lho ões é".split()}
@@ -81,3 +83,18 @@ def test_queries_only_learn_from_their_fold(spark):
     truth = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang").collect()}
     held = [r for r in rows if r["held_out"]]
     assert sum(truth[r["doc_id"]] == r["lang_pred"] for r in held) >= 0.95 * len(held)
+
+
+def test_sample_of_repeated_rows_and_null_ids(spark, docs_of, corpus):
+    """A row repeated thousands of times takes one place of the sample, rows
+    without ids are rows of their own, and a rare language is learned."""
+    rows = [(i, t, la) for i, t, la in corpus][:300]
+    once = docs_of(rows)
+    many = once.unionByName(docs_of([rows[0]]).crossJoin(spark.range(3000)).drop("id"))
+    labelled = lambda df: df.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text").where("lang is not null")
+    want = L._sample_rows(labelled(once), 200).count()
+    assert L._sample_rows(labelled(many), 200).count() == want == min(200, once.where("lang is not null").count())
+    nameless = docs_of([(None, t, la) for _, t, la in rows])
+    assert L._sample_rows(labelled(nameless), 200).count() == 200
+    rare = docs_of([(10_000 + i, f"zq xv{i} wk zzq", "xx") for i in range(5)]).unionByName(many)
+    assert {r["lang"]: r["count"] for r in L._sample_rows(labelled(rare), 100).groupBy("lang").count().collect()}["xx"] == 5
