@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm.common import ship
 
-#: bound of the labelled sample (pages with the smallest id hashes)
+#: bound of the labelled sample (different pages, by hash)
 SAMPLE = 600
 WORD_WEIGHT = 1.0
 WALL = -1000.0
@@ -240,12 +240,12 @@ def fit_weights(pages: DataFrame, sample: int = SAMPLE, id_col: str = "page_id",
                 yield pd.DataFrame({"tag": pd.Series(keys, dtype=object), "inside": [a[k] for k in keys],
                                     "outside": [b[k] for k in keys]})
 
-    ids = (pages.select(F.col(id_col).alias("chosen")).where("chosen is not null")
-                .orderBy(F.xxhash64("chosen"), "chosen").limit(sample).distinct())
-    # at most ``sample`` ids: a proven bound
-    chosen = (pages.select(F.col(id_col).alias("page_id"), F.col(html_col).alias("html"))
-                   .join(F.broadcast(ids), F.col("page_id") == F.col("chosen"))
-                   .groupBy("page_id").agg(F.min("html").alias("html")))
+    # a repeated page counts once (with its smallest html), pages without an id once for each html
+    named = pages.select(F.col(id_col).alias("page_id"), F.col(html_col).alias("html"))
+    named = named.withColumn("pick", F.xxhash64("page_id", F.when(F.col("page_id").isNull(), F.col("html"))))
+    ids = named.select(F.col("pick").alias("chosen")).distinct().orderBy("chosen").limit(sample)
+    # at most ``sample`` hashes: a proven bound
+    chosen = named.join(F.broadcast(ids), F.col("pick") == F.col("chosen")).groupBy("pick", "page_id").agg(F.min("html").alias("html"))
     # element names only: a few hundred at most in use, the rest pools in OTHER
     rows = (chosen.select("html").mapInPandas(count, "tag string, inside long, outside long")
                   .groupBy("tag").agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside"))

@@ -103,3 +103,14 @@ def test_nulls_repeats_clashes_and_empty_table(spark):
     assert got == sorted([(1, "u", "a b", 3)] * 2 + [(None, None, "", 0), (2, "v", "", 0)], key=repr)
     empty = df.where("page_id > 5")
     assert H.extract(empty, H.fit_weights(empty)).collect() == []
+
+
+def test_weights_of_repeated_pages_and_null_ids(spark):
+    page = "<html><body><nav><a>x</a></nav><article><p>some words of text</p></article></body></html>"
+    other = [page.replace("some", f"some{i}").replace("<p>", "<p><b>x</b>") for i in range(40)]
+    rows = [(i, p) for i, p in enumerate(other)]
+    schema = "page_id long, html string"
+    want = H.fit_weights(spark.createDataFrame(rows, schema), sample=45)
+    repeated = spark.createDataFrame(rows + [(0, other[0])] * 2000, schema)
+    assert H.fit_weights(repeated, sample=45) == want
+    assert H.fit_weights(spark.createDataFrame([(None, p) for _, p in rows], schema), sample=45) == want
