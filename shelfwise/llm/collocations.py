@@ -176,7 +176,9 @@ def counted(coded: DataFrame, least: int, **kinds: np.ndarray) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(np.array(names, dtype=object)[kind], pa.string()), *(pa.array(phrase[:, i]) for i in range(LONGEST)),
                                               b.column(1), b.column(2)], names=["kind", *_C, "beside", "n"])
 
-    found = coded.select("codes", "numbers").mapInArrow(find, "row long, beside long, n long")
+    # a portion's pairs are summed up already and mostly differ from the next one's: dealt out first, so that no task
+    # keeps a map of them before the shuffle; a pair is one row a portion at most, however common
+    found = coded.select("codes", "numbers").mapInArrow(find, "row long, beside long, n long").repartition("row", "beside")
     often = found.groupBy("row", "beside").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     return often.mapInArrow(spell, "kind string, " + ", ".join(f"{c} long" for c in _C) + ", beside long, n long")
 
@@ -207,8 +209,8 @@ class Miner:
         self.least, self.best, self.nodes, self.take = least, best, nodes, roots
         self.paths: list[str] = []
         self.coded = self.keep(coded_texts(docs), "coded")
-        words = (self.coded.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w")).groupBy("lang", F.col("w.words").alias("word"))
-                     .agg(F.sum("w.counts").alias("f")))
+        each = self.coded.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w")).select("lang", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
+        words = each.repartition("lang", "word").groupBy("lang", "word").agg(F.sum("n").alias("f"))  # one row a portion, as in ``counted``
         words = self.keep(words.withColumn("code", F.xxhash64("lang", "word")), "words")
         #: a row a language
         self.total = {r["lang"]: r["n"] for r in words.groupBy("lang").agg(F.sum("f").alias("n")).collect()}
