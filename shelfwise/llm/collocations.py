@@ -34,6 +34,8 @@ LONGEST, LEAST, BEST = 5, 100, 2000
 ROOTS, NODES = 4000, 400_000
 #: characters of one array of word numbers (a longer text alone)
 PORTION = 1 << 20
+#: rows of an Arrow batch
+BATCH = 64
 _SAME = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n" * 9 + b" ")
 _C = [f"c{i}" for i in range(1, LONGEST + 1)]
 
@@ -61,11 +63,11 @@ def word_rows(lang: str, texts: list[str]) -> tuple[list[str], np.ndarray, np.nd
 
 def coded_texts(docs: DataFrame) -> DataFrame:
     """(lang, words, counts, codes, numbers): a row for each portion of a
-    language's texts in a batch."""
+    language's texts in a task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list[str]] = {}
+        size: dict[str, int] = {}
         for b in batches:
-            held: dict[str, list[str]] = {}
-            size: dict[str, int] = {}
             for lang, text in zip(b.column(0).to_pylist(), b.column(1)):
                 t = text.as_py()
                 held.setdefault(lang, []).append(t)
@@ -73,8 +75,8 @@ def coded_texts(docs: DataFrame) -> DataFrame:
                 if size[lang] >= PORTION:
                     yield row(lang, held.pop(lang))
                     del size[lang]
-            for lang, texts in held.items():
-                yield row(lang, texts)
+        for lang, texts in held.items():
+            yield row(lang, texts)
 
     def row(lang: str, texts: list[str]) -> pa.RecordBatch:
         words, counts, codes, numbers = word_rows(lang, texts)
@@ -221,7 +223,14 @@ class Miner:
         self.scored: list[DataFrame] = []
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
-        df, path = staged(df, f"collocations-{name}")
+        # rows of a megabyte: Arrow batches of the usual number of rows would take hundreds
+        setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+        before = self.spark.conf.get(setting)
+        self.spark.conf.set(setting, BATCH)
+        try:
+            df, path = staged(df, f"collocations-{name}")
+        finally:
+            self.spark.conf.set(setting, before)
         self.paths.append(path)
         return df
 
