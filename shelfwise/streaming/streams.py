@@ -226,17 +226,19 @@ def monthly_activity(events: DataFrame, ts_col: str = "ts", key_col: str = "even
 def late_rows(spark: SparkSession, events: DataFrame, out_dir: str, checkpoint: str, ts_col: str = "ts", lateness: str = "1 day") -> DataFrame:
     """The rows of the stream ``events`` whose day ``daily_activity`` and
     ``monthly_activity`` had already closed when they came, so those dropped
-    them: run over the same files in the same micro-batches, it compares each
-    row's day with the watermark of the batches before, which it keeps beside
-    the rows (one value per epoch, overwritten on replay)."""
+    them: run over the same files in the same micro-batches of one run, it
+    compares each row's day with the watermark that Spark drops late rows by,
+    that of the batch before last, which it keeps beside the rows (one value
+    per epoch, overwritten on replay)."""
     at = F.col(ts_col).cast("timestamp")
     state = lambda epoch: os.path.join(out_dir, "watermark", f"epoch={epoch}")
     schema = "latest timestamp"
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        before = spark.read.schema(schema).parquet(state(epoch_id - 1)).first()["latest"] if epoch_id else None
-        closed = F.date_add(F.to_date(at), 1).cast("timestamp") <= F.lit(before).cast("timestamp") - F.expr(f"interval {lateness}")
-        batch.where(closed if before is not None else F.lit(False)).write.mode("overwrite").parquet(os.path.join(out_dir, "late", f"epoch={epoch_id}"))
+        latest = lambda e: spark.read.schema(schema).parquet(state(e)).first()["latest"] if e >= 0 else None
+        before, dropping = latest(epoch_id - 1), latest(epoch_id - 2)
+        closed = F.date_add(F.to_date(at), 1).cast("timestamp") <= F.lit(dropping).cast("timestamp") - F.expr(f"interval {lateness}")
+        batch.where(closed if dropping is not None else F.lit(False)).write.mode("overwrite").parquet(os.path.join(out_dir, "late", f"epoch={epoch_id}"))
         batch.agg(F.greatest(F.max(at), F.lit(before).cast("timestamp")).alias("latest")).write.mode("overwrite").parquet(state(epoch_id))
 
     events.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

@@ -217,3 +217,29 @@ def test_admission_stream_equals_batch(spark, lib):
     run()
     got = read()
     assert got[7] == jobs.MSG_ON_LOAN and got[8].startswith(jobs.MSG_CHECKED_OUT)
+
+
+def test_months_equal_the_batch_and_late_rows_are_given(spark):
+    """Days in order, a row of a closed day, a gap of a month; the months that
+    the watermark passed equal the batch without the late rows."""
+    src, out, ck1, ck2, late_dir = (_dir() for _ in range(5))
+    t = lambda m, d, h=0: dt.datetime(2024, m, d, h)
+    batches = [[(t(1, 3), "a"), (t(1, 20, 5), "a"), (t(1, 20, 9), "b"), (t(1, 31, 23), "a")], [(t(2, 4), "a"), (t(2, 3, 12), "b"), (t(1, 30), "near"), (t(1, 3, 1), "a")],
+               [(t(4, 1), "a"), (t(2, 4, 3), "near"), (t(1, 30, 5), "a"), (t(1, 3, 2), "a"), (t(1, 5), "b"), (t(4, 2), "b")], [(t(6, 9), "end")]]
+    schema = "ts timestamp, event_type string"
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+    def stream():
+        return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    with S.state_store(spark):
+        df = S.monthly_activity(stream(), lateness="2 days")
+        df.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck1).trigger(availableNow=True).start().awaitTermination()
+    got = {(r["month"].month, r["event_type"]): (r["events"], r["days"]) for r in spark.read.schema(df.schema).parquet(out).collect()}
+    late = sorted((r["ts"], r["event_type"]) for r in S.late_rows(spark, stream(), late_dir, ck2, lateness="2 days").collect())
+    assert late == [(t(1, 3, 2), "a"), (t(1, 5), "b")]  # the other rows out of order came before their days were closed
+    want = {}
+    for at, kind in (r for rows in batches for r in rows):
+        if (at, kind) not in late and at.month < 6:
+            n, days = want.get((at.month, kind), (0, set()))
+            want[at.month, kind] = n + 1, days | {at.date()}
+    assert got == {k: (n, len(days)) for k, (n, days) in want.items()}
