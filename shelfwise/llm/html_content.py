@@ -8,8 +8,14 @@ total, and the region's blocks are the text. Elements that are boilerplate by
 their name or a whole class (menus, forms, adverts, reader comments, ...) are
 cut out before the scan, so one in the middle of an article doesn't split it;
 never one that holds the article, or most of the words of a page without one.
-A part of a class (``site-footer``, ``related-work``) only costs, and the scan
-decides.
+A part of a name (``site-footer``, ``user-comment``) cuts outside the article if
+it says comments, sidebars or page furniture; other parts (``related-work``) only
+cost, and the scan decides. Nothing in ``pre`` or ``code`` is cut by name.
+
+Where the page names its articles (``units``), the scan runs within each of them
+and a tag costs next to nothing, so that tables, lists, code and figures end no
+article; the words of other parts don't compete. Other pages are scanned whole,
+with the learned weights.
 """
 
 from __future__ import annotations
@@ -32,8 +38,12 @@ WORD_WEIGHT = 1.0
 WALL = -1000.0
 #: tags that bound a region rather than stand in it; only these can be walls
 WALLS = frozenset("html head body main article nav footer aside".split())
+#: cost of a tag inside a named article: a word outweighs a million
+INSIDE = -1e-6
 _RAW = "script|style|noscript|template|textarea|select|option|svg|iframe|object|title"
-_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<(?P<raw>{_RAW})\b[^>]*?(?:/>|>.*?(?:</(?P=raw)\s*>|\Z))|<[a-zA-Z/!?][^>]*(?:>|\Z)|[^<]+|<", re.DOTALL | re.IGNORECASE)
+# up to the tag's end: a quoted value may hold '>'; a quote that never closes is a plain character
+_INNER = r"""(?:[^>=]|=\s*+(?:"[^"]*"|'[^']*')?+)*+"""
+_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<(?P<raw>{_RAW})\b{_INNER}(?:(?<=/)>|>.*?(?:</(?P=raw)\s*>|\Z)|\Z)|<[a-zA-Z/!?]{_INNER}(?:>|\Z)|[^<]+|<", re.DOTALL | re.IGNORECASE)
 _TAG = re.compile(r"<\s*(/?)\s*([a-zA-Z][a-zA-Z0-9:-]*)")
 _NAMES = re.compile(r"""\b(class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.IGNORECASE)
 _PART = re.compile(r"[^a-z0-9]+")
@@ -49,7 +59,14 @@ _NEVER_PAGE = frozenset("nav footer button menu".split())
 OUT_NAMES = frozenset(("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice "
                        "sidebar menu nav navbar navigation breadcrumb breadcrumbs footer comments comment commentlist disqus replies respond "
                        "newsletter subscribe subscription related recommended share sharing social popup modal overlay toolbar pagination pager "
-                       "masthead topbar skip login signup search contentinfo complementary alert disclaimer widget").split())
+                       "masthead topbar skip login signup search contentinfo complementary alert disclaimer widget teaser teasers").split())
+# fixed values: parts of a name that cut outside the article, and what unsays them
+_CUT_PARTS = frozenset(("comment comments commentlist disqus replies sidebar footer navbar nav navigation menu breadcrumb breadcrumbs cookie cookies consent "
+                        "advert adverts advertisement newsletter pagination teaser teasers").split())
+_NOT = frozenset("no not has have with without hide hidden page layout body".split())
+# fixed values: names of reader comments, cut inside the article too
+_READERS = re.compile(r"(?:(?:user|reader|visitor|guest|post|article|blog|page|site)[-_]?comments?|comments?[-_]?(?:list|thread|body|area|section|wrapper|wrap|box|form|item|block|text|content))\Z")
+_HOLDERS = frozenset("div section ol ul li dl dd aside article table tr td p blockquote".split())
 
 
 def tokens(page: str) -> list[tuple[str, str, str]]:
@@ -81,13 +98,22 @@ def _names(tag: str) -> tuple[set[str], set[str]]:
 
 
 def _boilerplate(name: str, tag: str, inside: bool) -> str:
-    """``cut`` by element name or a whole name, ``named`` by a part of one."""
+    """``cut`` by element name, a whole name or reader comments' names, and
+    outside the article by some parts of a name; ``named`` by other parts."""
     if name in OUT_TAGS or name == "header" and not inside:
         return "cut"
-    if name in ("html", "body", "article", "main"):
+    if name in ("html", "body", "main"):
         return ""
     whole, parts = _names(tag)
-    return "" if OUT_NAMES.isdisjoint(parts) and OUT_NAMES.isdisjoint(whole) else "named" if OUT_NAMES.isdisjoint(whole) else "cut"
+    if name in _HOLDERS and any(_READERS.match(w) for w in whole):
+        return "cut"
+    if name == "article":  # one that is named so is a comment or a teaser
+        return "" if OUT_NAMES.isdisjoint(whole) else "cut"
+    if not OUT_NAMES.isdisjoint(whole):
+        return "cut"
+    if not inside and name in _HOLDERS and not _CUT_PARTS.isdisjoint(parts) and _NOT.isdisjoint(parts):
+        return "cut"
+    return "" if OUT_NAMES.isdisjoint(parts) else "named"
 
 
 def _ends(toks: list[tuple[str, str, str]]) -> list[int]:
@@ -108,6 +134,21 @@ def _ends(toks: list[tuple[str, str, str]]) -> list[int]:
     return ends
 
 
+def _article_ends(toks: list[tuple[str, str, str]], ends: list[int]) -> dict[int, int]:
+    """End of each ``article`` and ``main``: its closing tag, else the next
+    article, the end of the enclosing main or body, or of the page."""
+    out, stop = {}, len(toks)
+    for i in range(len(toks) - 1, -1, -1):
+        kind, key, _ = toks[i]
+        if kind == "open" and key in ("article", "main"):
+            closed = ends[i] <= len(toks) and ends[i] > i and toks[ends[i] - 1][:2] == ("close", key)
+            out[i] = ends[i] if closed else stop
+            stop = i
+        elif kind == "close" and key in ("main", "body"):
+            stop = i
+    return out
+
+
 def without_boilerplate(toks: list[tuple[str, str, str]]) -> list[tuple[str, str, str]]:
     """The tokens without the boilerplate elements (``cut`` in their place)
     and with a mark where one is so named by a part. Outside the article of a
@@ -116,9 +157,11 @@ def without_boilerplate(toks: list[tuple[str, str, str]]) -> list[tuple[str, str
     ends, words = _ends(toks), [0]
     for kind, _, s in toks:
         words.append(words[-1] + (len(s.split()) if kind == "text" else 0))
+    bounds = _article_ends(toks, ends)
     # the main and the article with the most words
-    held = [max(at, key=lambda i: words[ends[i]] - words[i]) for name in ("article", "main")
-            if (at := [i for i, t in enumerate(toks) if t[0] == "open" and t[1] == name])]
+    held = [max(at, key=lambda i: words[bounds[i]] - words[i]) for name in ("article", "main")
+            if (at := [i for i in bounds if toks[i][1] == name and (name == "main" or not _boilerplate(name, toks[i][2], True))])]
+    code = 0
 
     def whole(i: int, key: str) -> bool:
         if any(i < k < ends[i] for k in held):
@@ -128,7 +171,9 @@ def without_boilerplate(toks: list[tuple[str, str, str]]) -> list[tuple[str, str
     out, i, depth, quiet = [], 0, 0, 0
     while i < len(toks):
         kind, key, s = toks[i]
-        what = _boilerplate(key, s, depth > 0) if kind == "open" and key not in VOID and not s.endswith("/>") else ""
+        if kind == "open" and key in ("pre", "code"):
+            code = max(code, ends[i] if ends[i] <= len(toks) and toks[ends[i] - 1][:2] == ("close", key) else i + 1)
+        what = _boilerplate(key, s, depth > 0) if kind == "open" and key not in VOID and not s.endswith("/>") and (i >= code or key in OUT_TAGS) else ""
         if what == "cut" and not whole(i, key):
             i = ends[i]
             out.append(("open", "cut", ""))
@@ -185,12 +230,56 @@ def weights_from(counts: dict[str, tuple[int, int]]) -> dict[str, float]:
     return out
 
 
-def region(toks: list[tuple[str, str, str]], weights: dict[str, float]) -> tuple[int, int]:
+def units(toks: list[tuple[str, str, str]]) -> list[tuple[int, int]]:
+    """Token ranges of the articles the page names, in page order. In a
+    ``main`` (the one with the most words): all its outermost articles, with
+    its first-level heading before them if none has one; without an article
+    the main itself. Without a main: the outermost article with the most
+    words and those beside it in the same element. Articles without words
+    don't count; empty if the page names none."""
+    ends, words = _ends(toks), [0]
+    for kind, _, s in toks:
+        words.append(words[-1] + (len(s.split()) if kind == "text" else 0))
+    bounds = _article_ends(toks, ends)
+
+    def count(span: tuple[int, int]) -> int:
+        return words[span[1]] - words[span[0]]
+
+    mains = [(i, bounds[i]) for i in sorted(bounds) if toks[i][1] == "main"]
+    main = max(mains, key=count, default=(0, len(toks)))
+    articles, parents, stack = [], [], []
+    for i in range(main[0], main[1]):
+        kind, key, _ = toks[i]
+        while stack and ends[stack[-1]] <= i:
+            stack.pop()
+        if kind != "open":
+            continue
+        if key == "article" and (not articles or articles[-1][1] <= i):
+            articles.append((i, min(bounds[i], main[1])))
+            parents.append(stack[-1] if stack else -1)
+        elif key not in VOID and ends[i] > i and toks[ends[i] - 1][:2] == ("close", key):
+            stack.append(i)
+    kept = [(a, p) for a, p in zip(articles, parents) if count(a)]
+    if not kept:
+        return [main] if mains and count(main) else []
+    if not mains:
+        home = max(kept, key=lambda x: count(x[0]))[1]
+        return [a for a, p in kept if p == home]
+    out = [a for a, _ in kept]
+    titles = [i for i in range(*main) if toks[i][:2] == ("open", "h1")]
+    if titles and titles[0] < out[0][0] and not any(a <= i < b for i in titles for a, b in out):
+        close = next((i for i in range(titles[0], out[0][0]) if toks[i][:2] == ("close", "h1")), None)
+        if close is not None:
+            out.insert(0, (titles[0], close + 1))
+    return out
+
+
+def region(toks: list[tuple[str, str, str]], weights: dict[str, float], floor: float = -math.inf) -> tuple[int, int]:
     """Token range of the highest total score, by one scan; of equal totals
-    the first and longest. Empty if no words."""
+    the first and longest. No tag costs more than ``floor``. Empty if no words."""
     best, best_range, run, start = 0.0, (0, 0), 0.0, 0
     for i, (kind, name, s) in enumerate(toks):
-        run += WORD_WEIGHT * len(s.split()) if kind == "text" else 0.0 if kind == "quiet" else weights.get(_key(kind, name), OTHER)
+        run += WORD_WEIGHT * len(s.split()) if kind == "text" else 0.0 if kind == "quiet" else max(floor, weights.get(_key(kind, name), OTHER))
         if run <= 0:
             run, start = 0.0, i + 1
         elif run > best or run == best and start == best_range[0]:
@@ -199,11 +288,15 @@ def region(toks: list[tuple[str, str, str]], weights: dict[str, float]) -> tuple
 
 
 def main_text(page: str | None, weights: dict[str, float]) -> str:
-    """Blocks of the best region, white space joined, two newlines between."""
+    """Blocks of the best region, white space joined, two newlines between;
+    on a page that names its articles, of the best region of each."""
     if not page:
         return ""
     toks = without_boilerplate(tokens(page))
-    lo, hi = region(toks, weights)
+    spans = []
+    for a, b in units(toks):
+        lo, hi = region(toks[a:b], weights, INSIDE)
+        spans.append((a + lo, a + hi))
     blocks, run = [], []
 
     def flush() -> None:
@@ -212,14 +305,15 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
             blocks.append(block)
         run.clear()
 
-    for kind, name, s in toks[lo:hi]:
-        if kind in ("text", "quiet"):
-            run.append(entities.unescape(s) if "&" in s else s)
-        elif name in BLOCK or name == "cut":
-            flush()
-        elif name in SPACED:
-            run.append(" ")
-    flush()
+    for lo, hi in spans or [region(toks, weights)]:
+        for kind, name, s in toks[lo:hi]:
+            if kind in ("text", "quiet"):
+                run.append(entities.unescape(s) if "&" in s else s)
+            elif name in BLOCK or name == "cut":
+                flush()
+            elif name in SPACED:
+                run.append(" ")
+        flush()
     return "\n\n".join(blocks)
 
 

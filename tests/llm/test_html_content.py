@@ -114,3 +114,53 @@ def test_weights_of_repeated_pages_and_null_ids(spark):
     repeated = spark.createDataFrame(rows + [(0, other[0])] * 2000, schema)
     assert H.fit_weights(repeated, sample=45) == want
     assert H.fit_weights(spark.createDataFrame([(None, p) for _, p in rows], schema), sample=45) == want
+
+
+PARAGRAPHS = "".join(f"<p>{' '.join(f'word{i}' for i in range(k, k + 40))}</p>" for k in (0, 40, 80))
+TAIL = "last words of it"
+
+
+def test_articles_keep_tables_lists_code_and_figures():
+    # weights under which every such tag is dear
+    dear = W | {k: -8.0 for name in "table tr td ul li a pre span figure img aside h2".split() for k in (name, "/" + name)}
+    table = "<table>" + "".join(f"<tr><td>a{i}</td><td></td></tr>" for i in range(30)) + "</table>"
+    links = "<ul>" + "".join(f"<li><a href='/{i}'>l{i}</a></li>" for i in range(30)) + "</ul>"
+    code = "<pre><code>" + "".join(f"<span class='token comment'>c{i}</span> " for i in range(60)) + "</code></pre>"
+    figures = "<figure><img src=x></figure>" * 10
+    aside = "<aside>not this</aside>"
+    for held in (table, links, code, figures, aside):
+        for order in (f"<h1>Title</h1>{PARAGRAPHS}{held}<p>{TAIL}</p>", f"<h1>Title</h1>{held}{PARAGRAPHS}<p>{TAIL}</p>"):
+            got = H.main_text(f"<nav>menu words</nav><article>{order}</article><footer>foot</footer>", dear)
+            assert got.startswith("Title\n\n") and got.split("\n\n")[-1] == TAIL
+            plain = re.sub(r"<aside>.*?</aside>", "", order)
+            assert re.sub(r"\s+", "", got) == re.sub(r"<[^>]*>|\s+", "", plain)
+
+
+def test_articles_beat_teasers_and_several_of_one_main_stay():
+    teasers = "<div class='list'>" + "<p>teaser words that go on and on for a while</p>" * 30 + "</div>"
+    assert H.main_text(f"{teasers}<article><p>short one</p></article>{teasers}", W) == "short one"
+    two = "<article><h2>One</h2><p>first text</p></article><div class='ad'>buy</div><article><h2>Two</h2><p>second text</p></article>"
+    assert H.main_text(f"{teasers}<main>{two}</main>", W) == H.main_text(f"<body>{two}</body>", W) == "One\n\nfirst text\n\nTwo\n\nsecond text"
+    assert H.main_text(f"<main><h1>Title</h1><p>by me</p><article>{PARAGRAPHS}</article></main>", W).startswith("Title\n\nword0")
+    assert H.main_text(f"<main><p>no article here</p><p>but words</p></main>{teasers}", W) == "no article here\n\nbut words"
+    # an article left open ends with the next one; an empty one doesn't count
+    assert H.main_text("<main><article><h1>T</h1><p>a b<article><p>c d</main><p>e f</p>", W) == "T\n\na b\n\nc d"
+    assert H.main_text("<article></article><div><p>some words</p></div>", W) == "some words"
+    more = f"<article>{PARAGRAPHS}</article><div class='more'><article><p>other one</p></article></div>"
+    assert "other one" not in H.main_text(f"<body>{more}</body>", W)
+
+
+def test_reader_comments_never():
+    comment = "<p>" + "I liked this a lot " * 36 + "</p>"
+    for held in (f"<div class='user-comment'>{comment}</div>", f"<ol class='comment-list'><li>{comment}</li></ol>", f"<section id=comments>{comment}</section>",
+                 f"<article class='comment'>{comment}</article>", f"<div class='reader_comments x'>{comment}</div>"):
+        for page in (f"<article><p>kept text</p></article>{held}", f"<article><p>kept text</p>{held}</article>", f"<main><p>kept text</p>{held}</main>",
+                     f"<div><p>kept text that is long enough to be most of it {'word ' * 200}</p></div>{held}"):
+            assert "liked" not in H.main_text(page, W) and H.main_text(page, W).startswith("kept text"), page
+
+
+def test_quoted_angle_brackets():
+    assert H.main_text("""<article><p title='a > b' data-x="</p>">kept <a href="?a>b">text</a></p></article>""", W) == "kept text"
+    assert H.main_text("<article><p title=don't>it's kept</p><p class=\"open>and this</p></article>", W) == "it's kept\n\nand this"
+    assert H.main_text("<script data-a='>'>var x</script><svg/><p>kept here</p>", W) == "kept here"
+    assert H.main_text("<p " + "a=\"" * 20_000 + ">kept", W) in ("kept", "")
