@@ -90,3 +90,10 @@ def register_sql_functions(spark: SparkSession) -> None:
     spark.sql(
         "CREATE OR REPLACE TEMPORARY FUNCTION calculate_fine_days(due DATE, ret DATE) "
         "RETURNS INT RETURN CASE WHEN datediff(ret, due) < 0 THEN 0 ELSE datediff(ret, due) END")
+
+
+def has_bit(bits: Column | str, pos: Column | str) -> Column:
+    """Whether position ``pos`` (0-32767) of a bitmap of Spark's is set."""
+    pos = _c(pos)
+    byte = F.conv(F.hex(F.substring(bits, (F.floor(pos / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return F.getbit(byte, (pos % 8).cast("int")) == 1

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from shelfwise import schemas
 from shelfwise.session import materialize
-from shelfwise.functions.exprs import FINE_PER_DAY, LOAN_DAYS, fine_amount
+from shelfwise.functions.exprs import FINE_PER_DAY, LOAN_DAYS, fine_amount, has_bit
 from shelfwise.operators.windows import first_per_group, top_n_within, with_position
 from shelfwise.sources.append import assign_ids
 
@@ -193,36 +193,89 @@ def guard_book_delete(book_ids: DataFrame, copies: DataFrame, loans: DataFrame,
                     F.when(F.col("_busy"), F.lit(MSG_DELETE_BLOCKED)).alias("reason"))
 
 
+#: a bitmap of at most so many buckets (4 KB each) is broadcast, a larger one joined by bucket
+BROADCAST_BUCKETS = 4096
+
+
+def _id_bitmap(ids: DataFrame) -> DataFrame:
+    """The ids (one integral column) as bitmaps of 32,768 ids, written once."""
+    c = F.col(ids.columns[0]).cast("long")
+    kept = ids.where(c.isNotNull()).groupBy(F.bitmap_bucket_number(c).alias("_bucket"))
+    bitmap = materialize(kept.agg(F.bitmap_construct_agg(F.bitmap_bit_position(c)).alias("_bits")))
+    return F.broadcast(bitmap) if bitmap.count() <= BROADCAST_BUCKETS else bitmap
+
+
+def _flagged(df: DataFrame, col: str, bitmap: DataFrame, flag: str) -> DataFrame:
+    """``df`` with a boolean: is the id in ``col`` in the bitmap (NULL: no)."""
+    c = F.col(col).cast("long")
+    bits = bitmap.select(F.col("_bucket").alias(f"{flag}_bucket"), F.col("_bits").alias(f"{flag}_bits"))
+    j = df.join(bits, F.bitmap_bucket_number(c) == F.col(f"{flag}_bucket"), "left")
+    hit = F.coalesce(has_bit(f"{flag}_bits", F.bitmap_bit_position(c)), F.lit(False))
+    return j.withColumn(flag, hit).drop(f"{flag}_bucket", f"{flag}_bits")
+
+
+def _parents_first(table: str, edges) -> list[str]:
+    """``table`` and the tables that deletions in it can reach, each after
+    those it can be reached from. Walks the schema (9 tables), not the data."""
+    reached, todo = {table}, [table]
+    while todo:
+        at = todo.pop()
+        new = {child for child, _, par, _, rule in edges if par == at and rule == "cascade"} - reached
+        reached |= new
+        todo += new
+    order = []
+    while len(order) < len(reached):
+        ready = sorted(t for t in reached - set(order)
+                       if all(par in order for child, _, par, _, rule in edges if child == t and par in reached and rule == "cascade"))
+        if not ready:
+            raise ValueError(f"cascading keys run in a circle: {sorted(reached - set(order))}")
+        order += ready
+    if mine := [child for child, _, par, _, _ in edges if child == par and child in order and child != table]:
+        raise ValueError(f"rows of {mine} refer to each other: delete from them first")
+    return order
+
+
 def cascade_delete(tables: dict[str, DataFrame], table: str, ids: DataFrame,
                    edges=schemas.FOREIGN_KEYS, keys=schemas.PRIMARY_KEYS):
     """Delete ``ids`` (one column: the primary key) from ``table`` and follow
     ON DELETE CASCADE edges. Returns (tables after the delete, violations):
     violations are child rows that a RESTRICT edge protects; when there are
     any, the caller keeps the old version (the statement fails as a whole).
+
+    Deleted ids are bitmaps. Each table that refers to a deleted one is read
+    once, for its key and foreign keys, whatever number of edges leads to it;
+    its rows that refer to deleted ids are written once and give its own
+    bitmap and the violations. Ids must be integral; NULL ids delete nothing.
     """
-    pk = keys[table][0]
-    deleted = {table: ids.select(F.col(ids.columns[0]).alias(pk)).distinct()}
-    frontier = [table]
-    while frontier:  # walks the schema graph (9 tables), not the data
-        parent = frontier.pop()
-        for child, fk, par, ppk, rule in edges:
-            if par != parent or rule != "cascade":
-                continue
-            gone = tables[child].join(deleted[parent].withColumnRenamed(keys[parent][0], fk), fk, "left_semi") \
-                .select(keys[child][0])
-            deleted[child] = gone if child not in deleted else deleted[child].unionByName(gone).distinct()
-            frontier.append(child)
+    order = _parents_first(table, edges)
+    bitmaps = {table: _id_bitmap(ids.select(F.col(ids.columns[0])))}
+    protected = sorted({child for child, _, par, _, rule in edges if rule == "restrict" and par in order} - set(order))
     violations = []
-    for child, fk, par, ppk, rule in edges:
-        if rule == "restrict" and par in deleted:
-            hit = tables[child].join(deleted[par].withColumnRenamed(keys[par][0], fk), fk, "left_semi")
-            if child in deleted:
-                hit = hit.join(deleted[child], keys[child][0], "left_anti")
-            violations.append(hit.select(F.lit(child).alias("table_name"), F.lit(fk).alias("column"),
-                                         F.col(keys[child][0]).cast("long").alias("row_id")))
-    out = {name: (df.join(deleted[name], keys[name][0], "left_anti") if name in deleted else df)
+    for child in [*order, *protected]:
+        into = [(fk, par, rule) for c, fk, par, _, rule in edges if c == child and par in bitmaps]
+        pk = keys[child][0]
+        if not into:
+            continue
+        refs = tables[child].select(F.col(pk).cast("long").alias("row_id"), *[F.col(fk).alias(f"_fk{i}") for i, (fk, _, _) in enumerate(into)])
+        gone = F.lit(False)
+        for i, (_, par, rule) in enumerate(into):
+            refs = _flagged(refs, f"_fk{i}", bitmaps[par], f"_in{i}")
+            gone = gone | F.col(f"_in{i}") if rule == "cascade" else gone
+        if child == table:  # given ids and those a key of its own children leads back to
+            refs = _flagged(refs, "row_id", bitmaps[table], "_given")
+            gone = gone | F.col("_given")
+        hit = F.lit(False)
+        for i in range(len(into)):
+            hit = hit | F.col(f"_in{i}")
+        rows = materialize(refs.withColumn("_gone", gone).where(hit | F.col("_gone")).drop(*[f"_fk{i}" for i in range(len(into))]))
+        if child in order and child != table:
+            bitmaps[child] = _id_bitmap(rows.where("_gone").select("row_id"))
+        for i, (fk, _, rule) in enumerate(into):
+            if rule == "restrict":
+                violations.append(rows.where(F.col(f"_in{i}") & ~F.col("_gone")).select(F.lit(child).alias("table_name"), F.lit(fk).alias("column"), "row_id"))
+    out = {name: (_flagged(df, keys[name][0], bitmaps[name], "_gone").where("NOT _gone").drop("_gone") if name in bitmaps else df)
            for name, df in tables.items()}
-    viol = violations[0]
+    viol = violations[0] if violations else ids.sparkSession.createDataFrame([], "table_name string, `column` string, row_id long")
     for v in violations[1:]:
         viol = viol.unionByName(v)
     return out, viol

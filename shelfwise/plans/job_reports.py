@@ -15,11 +15,12 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise import schemas
 from shelfwise.functions.reports import register_member_report
 from shelfwise.operators import jobs, quality
 from shelfwise.plans.derived import library_from_driver, with_library
 from shelfwise.plans.library_reports import AS_OF, _aligned
-from shelfwise.session import checkpoint_dir
+from shelfwise.session import checkpoint_dir, materialize
 from shelfwise.sources import append, layout, versions
 from shelfwise.sources.tables import load_driver_tables
 
@@ -235,6 +236,30 @@ def job_append_fines(spark, sf_dir):
                        F.col("fine_amount").cast("double").alias("fine_amount"), "fine_reason", "paid")
 
 
+def job_append_indexed(spark, sf_dir):
+    """Registrations appended through key indexes, without reading the table
+    again: each registered member's next member is asked to the same event.
+    Of each pair: whether it was taken, and, once the free pairs are appended
+    and a second time asked for, that all are."""
+    t = library_from_driver(spark, sf_dir)
+    held = t["event_registrations"]
+    index = f"{checkpoint_dir(spark).rstrip('/')}/appends/index-{uuid.uuid4().hex}"
+    append.index_keys(held, "event_registrations", index, expected=1 << 20)
+    key = ["event_id", "member_id"]
+    asked = held.select("event_id", (F.col("member_id") + 1).alias("member_id")).distinct().join(t["members"].select("member_id"), "member_id", "left_semi")
+    asked = materialize(asked.select(*key))
+    taken = materialize(append.taken_keys(asked, index, key))
+    free = asked.join(taken, key, "left_anti").withColumn("registration_date", F.lit(AS_OF))
+    _, bad = append.append_rows(free, "event_registrations", f"{index}-rows", AS_OF, parents=t, index=index, order_cols=key)
+    if bad:
+        raise ValueError(f"rules failed: {sorted(bad)}")
+    again = append.taken_keys(asked, index, key)
+    new = spark.read.schema(schemas.SCHEMAS["event_registrations"]).parquet(f"{index}-rows")
+    out = asked.join(taken.withColumn("was", F.lit(True)), key, "left").join(again.withColumn("now", F.lit(True)), key, "left").join(new, key, "left")
+    return out.select(*[F.col(k).cast("long").alias(k) for k in key], F.col("was").isNotNull().alias("was_taken"), F.col("now").isNotNull().alias("is_taken"),
+                      F.col("registration_id").cast("double").alias("registration_id"))
+
+
 def dq_unique(spark, sf_dir):
     """Values of a UNIQUE rule on part names that occur more than once."""
     return quality.check_unique(load_driver_tables(spark, sf_dir).part, ["p_name"]).select("p_name", F.col("row_count").cast("long").alias("row_count"))
@@ -248,7 +273,7 @@ def dq_length(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     job_returns_loans, job_returns_fines, job_admission, job_checkout, job_checkout_quota, job_update_members, job_update_versions, job_audit_members, job_delete_guard,
     job_cascade_copies, job_cascade_violations, job_settle_members, job_settle_fines, job_batch_return, job_member_report,
-    job_append_fines, layout_registrations, sql_member_loans, dq_unique, dq_length)}
+    job_append_fines, job_append_indexed, layout_registrations, sql_member_loans, dq_unique, dq_length)}
 
 _LATE = f"late AS (SELECT DISTINCT member_id, TRUE AS late FROM loans WHERE status = 'active' AND due_date < {A})"
 _BARRED = "barred AS (SELECT member_id FROM members WHERE status = 'suspended')"
@@ -356,6 +381,12 @@ UNION ALL SELECT 'event', member_id, event_name, NULL FROM event_registrations S
 late AS (SELECT loan_id, return_date - due_date AS days FROM loans ANTI JOIN fines USING (loan_id) WHERE status = 'returned' AND return_date > due_date)""", """
 SELECT ROW_NUMBER() OVER (ORDER BY loan_id) + (SELECT MAX(fine_id) FROM fines) AS fine_id, loan_id, CAST(days * 0.25 AS DOUBLE) AS fine_amount,
        'overdue' AS fine_reason, FALSE AS paid FROM late"""),
+    "job_append_indexed": with_library("""
+asked AS (SELECT DISTINCT event_id, member_id + 1 AS member_id FROM event_registrations WHERE member_id + 1 IN (SELECT member_id FROM members)),
+free AS (SELECT event_id, member_id, ROW_NUMBER() OVER (ORDER BY event_id, member_id) + (SELECT MAX(registration_id) FROM event_registrations) AS id
+         FROM asked ANTI JOIN event_registrations USING (event_id, member_id))""", """
+SELECT CAST(event_id AS BIGINT) AS event_id, CAST(member_id AS BIGINT) AS member_id, id IS NULL AS was_taken, TRUE AS is_taken, CAST(id AS DOUBLE) AS registration_id
+FROM asked LEFT JOIN free USING (event_id, member_id)"""),
     "dq_unique": "SELECT p_name, COUNT(*) AS row_count FROM part GROUP BY p_name HAVING COUNT(*) > 1",
     "dq_length": "SELECT p_partkey, p_name FROM part WHERE length(p_name) > 10",
 }

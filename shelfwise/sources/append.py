@@ -11,6 +11,7 @@ from shelfwise import schemas
 from shelfwise.operators import quality
 from shelfwise.operators.windows import with_position
 from shelfwise.session import materialize
+from shelfwise.sources import keyindex
 
 
 def apply_defaults(df: DataFrame, table: str, as_of: dt.date, as_of_ts: dt.datetime | None = None) -> DataFrame:
@@ -44,8 +45,24 @@ def conform(df: DataFrame, table: str) -> DataFrame:
                        for f in schema.fields])
 
 
+def _index(index: str, key: list[str]) -> str:
+    return f"{index.rstrip('/')}/{'-'.join(key)}"
+
+
+def index_keys(existing: DataFrame, table: str, index: str, expected: int, parts: int = 64) -> None:
+    """Build the key indexes of ``table`` (primary key and UNIQUE keys) under
+    the new folder ``index``, for appends that don't read the table."""
+    for key in [schemas.PRIMARY_KEYS[table], *schemas.UNIQUE_KEYS.get(table, [])]:
+        keyindex.create_index(conform(existing, table), _index(index, key), key, expected, parts)
+
+
+def taken_keys(df: DataFrame, index: str, key: list[str]) -> DataFrame:
+    """The distinct keys of ``df`` that the indexed table holds."""
+    return keyindex.taken(df, _index(index, key))
+
+
 def append_rows(df: DataFrame, table: str, path: str, as_of: dt.date, parents: dict[str, DataFrame] | None = None,
-                existing: DataFrame | None = None, as_of_ts: dt.datetime | None = None, order_cols=None):
+                existing: DataFrame | None = None, as_of_ts: dt.datetime | None = None, order_cols=None, index: str | None = None):
     """Literal-rows insert as a validated append: defaults -> ids after the
     current maximum -> quality rules -> append. Returns (written rows,
     violations by rule); nothing is written when a rule fails.
@@ -55,7 +72,12 @@ def append_rows(df: DataFrame, table: str, path: str, as_of: dt.date, parents: d
     ``order_cols``, which must be unique in the input (by default all its
     columns, and repeated rows are refused). The new rows are written once to
     the checkpoint folder, so the rules and the append read the same rows.
-    Only the new rows are checked; ``existing`` is consulted for keys."""
+    Only the new rows are checked. For keys ``existing`` is consulted, or the
+    key indexes under ``index`` (``index_keys``): then the old table isn't read,
+    and the indexes take in the new keys."""
+    if existing is not None and index is not None:
+        raise ValueError("either existing or index")
+    spark = df.sparkSession
     needed = {par for child, _, par, _, _ in schemas.FOREIGN_KEYS if child == table}
     if missing := needed - set(parents or {}):
         raise ValueError(f"tables of foreign keys are missing: {sorted(missing)}")
@@ -63,18 +85,23 @@ def append_rows(df: DataFrame, table: str, path: str, as_of: dt.date, parents: d
     df = apply_defaults(df, table, as_of, as_of_ts)
     if pk not in df.columns:
         start = (existing.select(F.coalesce(F.max(pk), F.lit(0)) + 1).scalar()
-                 if existing is not None else F.lit(1))
+                 if existing is not None else F.lit(1 if index is None else (keyindex.top(spark, _index(index, [pk])) or 0) + 1))
         df = assign_ids(df, list(order_cols or df.columns), pk, start)
     df = materialize(conform(df, table))
     tables = {**(parents or {}), table: df}
     bad = quality.violated(tables, table)
-    if existing is not None:
-        for key in [schemas.PRIMARY_KEYS[table], *schemas.UNIQUE_KEYS.get(table, [])]:
-            taken = df.join(existing.select(*key), key, "left_semi")  # NULLs never collide
+    keys = [schemas.PRIMARY_KEYS[table], *schemas.UNIQUE_KEYS.get(table, [])]
+    if existing is not None or index is not None:
+        for key in keys:
+            held = existing.select(*key) if existing is not None else keyindex.taken(df, _index(index, key))
+            taken = df.join(held, key, "left_semi")  # NULLs never collide
             if not taken.isEmpty():
                 bad.setdefault("pk" if key == schemas.PRIMARY_KEYS[table] else f"unique_{'_'.join(key)}", taken)
     if not bad:
+        opened = [(at, keyindex.reserve(df, at)) for at in (_index(index, key) for key in keys)] if index is not None else []
         df.write.mode("append").parquet(path)
+        for at, batch in opened:
+            keyindex.commit(spark, at, batch)
     return df, bad
 
 
