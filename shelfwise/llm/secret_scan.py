@@ -40,11 +40,15 @@ _ASSIGN_STEMS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 _HEX_MAP = bytes(1 if c in b"0123456789abcdef" else 0 for c in range(256))
 _HEX_RUN = bytes([1]) * HEX_MIN
 
-# wider credential contexts
+# wider credential contexts; the value is quoted, with blanks or not, or one run without blanks
 CONTEXT = re.compile(
     r"""(?<![A-Za-z0-9])(pass(?:word|wd|phrase|code)?|pwd|pin|secret(?:_?key)?|credentials?|auth(?:orization|_?token)?|bearer"""
-    r"""|(?:access|private|client|session|encryption)[_-]?(?:key|secret|token)|api[_-]?key|token)["']?"""
-    r"""(?:\x20*(?:[:=]|:=|=>|\x20is\x20)\x20*(?:bearer\x20+|basic\x20+)?|\x20+(?:bearer|basic)\x20+)["']?([^\s"'<>,;]{6,})""", re.IGNORECASE | re.ASCII)
+    r"""|(?:access|private|client|session|encryption)[_-]?(?:key|secret|token)|api[_-]?key|token|(?<![_-])key)["']?"""
+    r"""(?:[\x20\t]*(?:[:=]|:=|=>|[\x20\t]is[\x20\t])[\x20\t]*(?:bearer[\x20\t]+|basic[\x20\t]+)?|[\x20\t]+(?:bearer|basic)[\x20\t]+)"""
+    r"""(?:"([^"\r\n]{6,})"|'([^'\r\n]{6,})'|["']?([^\s"'<>,;]{6,}))""", re.IGNORECASE | re.ASCII)
+#: the body of a private key in PEM form
+PEM = re.compile(r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----\s*+([A-Za-z0-9+/=\s]{32,}+)")
+_URL = re.compile(r"[a-z][a-z0-9+.-]*://[^@]*\Z", re.IGNORECASE)
 _CONTEXT_STEMS = ("pass", "pwd", "pin", "secret", "credential", "auth", "bearer", "key", "token")
 
 #: rows of common keyboards and the alphabet, walked in either direction (fixed values)
@@ -148,12 +152,24 @@ def _outside(start: int, end: int, base: list[tuple[str, int, int]]) -> list[tup
     return out + [(start, end)] if start < end else out
 
 
+def _costly(name: str, value: str, words: str | None, min_bits: float) -> bool:
+    """Whether a value in credential context looks generated. One with blanks
+    does by its costliest word, as prose of many words is dear in sum; what
+    a bare ``key`` names must hold letters and digits; an address without
+    user part is none."""
+    if _URL.match(value) or name.lower() == "key" and not (re.search(r"[0-9]", value) and re.search(r"[A-Za-z]", value)):
+        return False
+    return any(len(v) >= 6 and guess_bits(v, words, min_bits) >= min_bits for v in value.split())
+
+
 def spans(text: str | None, words: str | None = None, min_bits: float = MIN_BITS) -> list[tuple[str, int, int]]:
     """(kind, start, end) in code points, end exclusive, by start, then kind
     as listed. Null and empty texts have none. Base kinds: leftmost
     non-overlapping matches per kind, too short ones dropped. ``guess`` spans
     are values in credential context that cost ``min_bits`` or more, scored
-    whole; of a value that base spans cover in part, the pieces outside them."""
+    whole (quoted ones with blanks by their costliest word), and the bodies of
+    private keys; of a value that base spans cover in part, the pieces outside
+    them."""
     if not text:
         return []
     found = []
@@ -165,15 +181,21 @@ def spans(text: str | None, words: str | None = None, min_bits: float = MIN_BITS
         found += [("access", *m.span()) for m in ACCESS.finditer(text) if m.end() - m.start() >= ACCESS_MIN]
     if _HEX_RUN in text.encode("utf-8", "replace").translate(_HEX_MAP):
         found += [("hex", *m.span()) for m in HEX.finditer(text)]
-    if (linked or " is " in low or "bearer" in low or "basic" in low) and any(s in low for s in _CONTEXT_STEMS):
-        base = list(found)
+    base = list(found)
+    if (linked or " is " in low or "\t" in low or "bearer" in low or "basic" in low) and any(s in low for s in _CONTEXT_STEMS):
         for m in CONTEXT.finditer(text):
-            value = m[2].rstrip(".,:!?)]}")
-            start = m.start(2)
-            end = start + len(value)
-            left = _outside(start, end, base) if len(value) >= 6 else []
-            if left and guess_bits(value, words, min_bits) >= min_bits:
+            at = next(i for i in (2, 3, 4) if m[i] is not None)
+            value = m[at].rstrip(".,:!?)]}") if at == 4 else m[at].strip()
+            start = m.start(at) + (len(m[at]) - len(m[at].lstrip()) if at < 4 else 0)
+            left = _outside(start, start + len(value), base) if len(value) >= 6 else []
+            if left and _costly(m[1], value, words, min_bits):
                 found += [("guess", s, e) for s, e in left]
+    if "PRIVATE KEY-----" in text:
+        held = list(found)
+        for m in PEM.finditer(text):
+            body = m[1].rstrip()
+            if guess_bits(body, words, min_bits) >= min_bits:
+                found += [("guess", s, e) for s, e in _outside(m.start(1), m.start(1) + len(body), held)]
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
 
@@ -197,8 +219,8 @@ def redact(text: str | None, found: list[tuple[str, int, int]], mark: str = "[SE
 
 
 def scan(docs: DataFrame, words: str | None = None, min_bits: float = MIN_BITS) -> DataFrame:
-    """One row per input row: doc_id, n_assign, n_access, n_hex, n_guess, base_sha256
-    (digest of the base spans), spans (all spans as kind:start:end).
+    """One row per input row: doc_id, n_assign, n_access, n_hex, base_sha256 (digest
+    of the base spans), spans (all spans as kind:start:end), n_guess.
 
     ``words`` is the path of a tokenizer file on every executor (see
     ``ranks``). Null texts count as empty; null and repeated ids are returned
@@ -210,14 +232,14 @@ def scan(docs: DataFrame, words: str | None = None, min_bits: float = MIN_BITS)
                 got = spans(text, words, min_bits)
                 kinds = [g[0] for g in got]
                 base = listed([g for g in got if g[0] != "guess"])
-                rows.append((*(kinds.count(k) for k in KINDS), hashlib.sha256(base.encode()).hexdigest(), listed(got)))
-            out = pd.DataFrame(rows, columns=["n_assign", "n_access", "n_hex", "n_guess", "base_sha256", "spans"])
+                rows.append((*(kinds.count(k) for k in KINDS[:3]), hashlib.sha256(base.encode()).hexdigest(), listed(got), kinds.count("guess")))
+            out = pd.DataFrame(rows, columns=["n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_guess"])
             out.insert(0, "doc_id", f["doc_id"].to_numpy())
             yield out
 
     ship(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
-        run, "doc_id long, n_assign long, n_access long, n_hex long, n_guess long, base_sha256 string, spans string")
+        run, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_guess long")
 
 
 def redacted(text: Column, words: str | None = None, min_bits: float = MIN_BITS) -> Column:
