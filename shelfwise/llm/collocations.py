@@ -24,6 +24,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,8 +35,8 @@ LONGEST, LEAST, BEST = 5, 100, 2000
 ROOTS, NODES = 4000, 400_000
 #: characters of one array of word numbers (a longer text alone)
 PORTION = 1 << 20
-#: rows of an Arrow batch
-BATCH = 64
+#: rows (of about a megabyte) of an Arrow batch: the JVM and the worker each hold one
+BATCH = 4
 _SAME = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n" * 9 + b" ")
 _C = [f"c{i}" for i in range(1, LONGEST + 1)]
 
@@ -95,12 +96,14 @@ class Trie:
     (the phrase with each word behind or before it)."""
 
     def __init__(self, **kinds: np.ndarray):
-        self.phrases = {k: p.astype(np.int64).reshape(-1, LONGEST) for k, p in kinds.items()}
-        everything = np.concatenate(list(self.phrases.values()))
+        phrases = {k: p.astype(np.int64).reshape(-1, LONGEST) for k, p in kinds.items()}
+        everything = np.concatenate(list(phrases.values()))
         self.words = np.unique(everything[everything != 0])
+        #: numbers of the words from 1 on, 0 behind a phrase: half the size of codes
+        self.phrases = {k: np.where(p != 0, np.searchsorted(self.words, p) + 1, 0).astype(np.int32) for k, p in phrases.items()}
         self.keys: list[np.ndarray] = [np.empty(0, dtype=np.int64)]
         self.rows: list[dict[str, np.ndarray]] = []
-        at = {k: np.searchsorted(self.words, p) for k, p in self.phrases.items()}
+        at = {k: p.astype(np.int64) - 1 for k, p in self.phrases.items()}
         lengths = {k: (p != 0).sum(axis=1) for k, p in self.phrases.items()}
         node = {k: np.zeros(len(p), dtype=np.int64) for k, p in self.phrases.items()}
         self.depth = max((int(n.max()) for n in lengths.values() if len(n)), default=0)
@@ -116,10 +119,14 @@ class Trie:
                 node[k][deep] = np.searchsorted(keys, node[k][deep])
                 ends = np.flatnonzero(lengths[k] == level)
                 if len(ends):
-                    rows[k] = np.full(len(keys), -1, dtype=np.int64)
+                    rows[k] = np.full(len(keys), -1, dtype=np.int32)
                     rows[k][node[k][ends]] = ends
             self.rows.append(rows)
 
+    def spelled(self, kind: str, rows: np.ndarray) -> np.ndarray:
+        """The codes of phrases, by their rows."""
+        return np.concatenate([[0], self.words])[self.phrases[kind][rows]]
+
     def count(self, codes: np.ndarray, numbers: np.ndarray) -> Iterator[tuple[str, np.ndarray, np.ndarray, np.ndarray]]:
         """(kind, rows of its phrases, codes of the words beside them or 0,
         counts) in one portion."""
@@ -143,7 +150,7 @@ class Trie:
             hit = keys[place] == node
             at, node = at[hit], place[hit]
             for kind, rows in self.rows[level - 1].items():
-                row = rows[node]
+                row = rows[node].astype(np.int64)
                 here, row = at[row >= 0], row[row >= 0]
                 beside = np.zeros(len(row), dtype=np.int64)
                 if kind != "whole":
@@ -154,9 +161,10 @@ class Trie:
                     yield kind, pair // len(codes), np.where(pair % len(codes) > 0, codes[pair % len(codes)], 0), times
 
 
-def counted(coded: DataFrame, least: int, **kinds: np.ndarray) -> DataFrame:
+def counted(coded: DataFrame, least: int, **kinds: np.ndarray) -> tuple[DataFrame, Broadcast]:
     """(kind, c1..c5, beside, n) of the given phrases over all texts, counts
-    of ``least`` or more. Phrases are shuffled as their numbers."""
+    of ``least`` or more, and the broadcast phrases, to be destroyed once the
+    counts are written. Phrases are shuffled as their numbers."""
     shared = coded.sparkSession.sparkContext.broadcast(Trie(**kinds))
     names = list(kinds)
 
@@ -164,8 +172,9 @@ def counted(coded: DataFrame, least: int, **kinds: np.ndarray) -> DataFrame:
         trie = shared.value
         for b in batches:
             for codes, numbers in zip(b.column(0), b.column(1)):
-                for kind, rows, beside, n in trie.count(np.frombuffer(codes.as_py(), dtype="<i8"), np.frombuffer(numbers.as_py(), dtype="<i4")):
+                for kind, rows, beside, n in trie.count(np.frombuffer(codes.as_buffer(), dtype="<i8"), np.frombuffer(numbers.as_buffer(), dtype="<i4")):
                     yield pa.RecordBatch.from_arrays([pa.array(rows * len(names) + names.index(kind)), pa.array(beside), pa.array(n)], names=["row", "beside", "n"])
+            pa.default_memory_pool().release_unused()
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = shared.value
@@ -174,7 +183,7 @@ def counted(coded: DataFrame, least: int, **kinds: np.ndarray) -> DataFrame:
             kind = row % len(names)
             phrase = np.empty((len(row), LONGEST), dtype=np.int64)
             for i, name in enumerate(names):
-                phrase[kind == i] = trie.phrases[name][row[kind == i] // len(names)]
+                phrase[kind == i] = trie.spelled(name, row[kind == i] // len(names))
             yield pa.RecordBatch.from_arrays([pa.array(np.array(names, dtype=object)[kind], pa.string()), *(pa.array(phrase[:, i]) for i in range(LONGEST)),
                                               b.column(1), b.column(2)], names=["kind", *_C, "beside", "n"])
 
@@ -182,7 +191,7 @@ def counted(coded: DataFrame, least: int, **kinds: np.ndarray) -> DataFrame:
     # keeps a map of them before the shuffle; a pair is one row a portion at most, however common
     found = coded.select("codes", "numbers").mapInArrow(find, "row long, beside long, n long").repartition("row", "beside")
     often = found.groupBy("row", "beside").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    return often.mapInArrow(spell, "kind string, " + ", ".join(f"{c} long" for c in _C) + ", beside long, n long")
+    return often.mapInArrow(spell, "kind string, " + ", ".join(f"{c} long" for c in _C) + ", beside long, n long"), shared
 
 
 def _blocks(df: DataFrame, nodes: int) -> Iterator[np.ndarray]:
@@ -234,6 +243,14 @@ class Miner:
         self.paths.append(path)
         return df
 
+    def counts(self, kind: str, phrases: np.ndarray) -> DataFrame:
+        """``counted``, written before the next phrases are broadcast, so that
+        executors hold one trie at a time."""
+        df, shared = counted(self.coded, self.least, **{kind: phrases})
+        df = self.keep(df, "counts")
+        shared.destroy()
+        return df
+
     def per_lang(self, values: dict[str, int], name: str) -> DataFrame:
         return F.broadcast(self.spark.createDataFrame(pd.DataFrame({"lang": pd.Series(list(values), dtype=object), name: pd.Series(list(values.values()), dtype="int64")}),
                                                       f"lang string, {name} long"))
@@ -268,8 +285,8 @@ class Miner:
         for size in range(2, LONGEST + 1):
             steps = []
             for block in _blocks(level, self.nodes):
-                more = counted(self.coded, self.least, right=block)
-                steps.append(self.keep(more.select(F.lit(size).alias("size"), *_codes(*(F.col(c) for c in _C[:size - 1]), F.col("beside")), F.col("n").alias("f")), "level"))
+                more = self.counts("right", block)
+                steps.append(more.select(F.lit(size).alias("size"), *_codes(*(F.col(c) for c in _C[:size - 1]), F.col("beside")), F.col("n").alias("f")))
             if not steps:
                 break
             level = _union(steps)
@@ -297,10 +314,10 @@ class Miner:
         cuts = cands.select("size", *_C, cut)
         rests = self.keep(cuts.where("size - k > 1").select(*part(F.col("k") + 1, F.col("size") - F.col("k"))).distinct(), "rests")
         before = cands.where(F.col("size") < LONGEST)
-        parts = [counted(self.coded, self.least, whole=b) for b in _blocks(rests, self.nodes)] + [counted(self.coded, self.least, left=b) for b in _blocks(before, self.nodes)]
+        parts = [self.counts("whole", b) for b in _blocks(rests, self.nodes)] + [self.counts("left", b) for b in _blocks(before, self.nodes)]
         single = self.words.select(*_codes(F.col("code")), "f")
         if parts:
-            counts = self.keep(_union(parts), "counts")
+            counts = _union(parts)
             longer = counts.where("kind = 'left'").groupBy(*_C).agg(F.max("n").alias("longer"))
             cands = cands.join(longer, _C, "left").where("longer is null or longer < f").drop("longer")
             known = single.unionByName(counts.where("kind = 'whole'").select(*_C, F.col("n").alias("f")))

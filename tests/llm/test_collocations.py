@@ -1,3 +1,4 @@
+import pickle
 import random
 import re
 from collections import Counter, defaultdict
@@ -125,3 +126,26 @@ def test_small_table_equals_sql(spark):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
     assert sorted(map(tuple, op12_collocations(spark, SF).collect())) == sorted(con.execute(sql()).fetchall())
+
+
+def test_workers_hold_one_slim_trie(spark, monkeypatch):
+    words = np.arange(1, 2001, dtype=np.int64) * 10**12
+    phrases = np.stack([words[i:i + 1990] for i in range(5)], axis=1)
+    trie = K.Trie(whole=phrases)
+    assert (trie.spelled("whole", np.arange(len(phrases))) == phrases).all()
+    assert len(pickle.dumps(trie.phrases)) < phrases.nbytes * 0.6
+    made, live, plain = [], [], K.counted
+
+    def counted(*args, **kinds):
+        live.append(sum(not s._destroyed for s in made))
+        df, shared = plain(*args, **kinds)
+        shared._destroyed = False
+        destroy = shared.destroy
+        monkeypatch.setattr(shared, "destroy", lambda: (destroy(), setattr(shared, "_destroyed", True)))
+        made.append(shared)
+        return df, shared
+
+    monkeypatch.setattr(K, "counted", counted)
+    docs = spark.createDataFrame([(i, "red green blue grey " * 3, "en") for i in range(60)], "doc_id long, text string, lang string")
+    assert K.collocations(docs, least=100, nodes=2).count() > 0
+    assert len(live) > 2 and not any(live)
