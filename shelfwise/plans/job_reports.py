@@ -244,7 +244,7 @@ def job_append_indexed(spark, sf_dir):
     t = library_from_driver(spark, sf_dir)
     held = t["event_registrations"]
     index = f"{checkpoint_dir(spark).rstrip('/')}/appends/index-{uuid.uuid4().hex}"
-    append.index_keys(held, "event_registrations", index, expected=1 << 20, parts=8)
+    append.index_keys(held, "event_registrations", index)
     key = ["event_id", "member_id"]
     asked = held.select("event_id", (F.col("member_id") + 1).alias("member_id")).distinct().join(t["members"].select("member_id"), "member_id", "left_semi")
     asked = materialize(asked.select(*key))

@@ -49,9 +49,17 @@ def _index(index: str, key: list[str]) -> str:
     return f"{index.rstrip('/')}/{'-'.join(key)}"
 
 
-def index_keys(existing: DataFrame, table: str, index: str, expected: int, parts: int = 64) -> None:
+#: keys of a part of an index that is laid out by the table's rows
+PART_KEYS = 1 << 18
+
+
+def index_keys(existing: DataFrame, table: str, index: str, expected: int | None = None, parts: int | None = None) -> None:
     """Build the key indexes of ``table`` (primary key and UNIQUE keys) under
-    the new folder ``index``, for appends that don't read the table."""
+    the new folder ``index``, for appends that don't read the table. Unless
+    said, it is laid out for twice the rows of ``existing``, with a part for
+    each ``PART_KEYS`` of them (8 at least)."""
+    expected = expected or max(1 << 20, 2 * existing.count())
+    parts = parts or max(8, -(-expected // PART_KEYS))
     for key in [schemas.PRIMARY_KEYS[table], *schemas.UNIQUE_KEYS.get(table, [])]:
         keyindex.create_index(conform(existing, table), _index(index, key), key, expected, parts)
 

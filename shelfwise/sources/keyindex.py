@@ -52,12 +52,13 @@ def _placed(df: DataFrame, m: dict) -> DataFrame:
 
 def _write_batch(df: DataFrame, path: str, m: dict) -> str:
     batch = f"batch-{uuid.uuid4().hex}"
-    placed = _placed(df, m)
-    files = min(m["parts"], max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    placed.select(*m["key"], "part").repartition(files, "part").write.partitionBy("part").parquet(f"{path}/{batch}/keys")
-    bits = (placed.select("part", "_block", F.explode("_pos").alias("pos"))
+    # dealt by part once, so that blocks are built where their keys are, each in one place
+    placed = materialize(_placed(df, m).drop("_pos").repartition(m["parts"], "part"))
+    placed.select(*m["key"], "part").write.partitionBy("part").parquet(f"{path}/{batch}/keys")
+    positions = F.explode(F.array(*[F.pmod(_hash(m["key"], i), F.lit(BLOCK_BITS)) for i in range(1, HASHES + 1)])).alias("pos")
+    bits = (placed.repartition(m["parts"], "part").select("part", "_block", positions)
                   .groupBy("part", "_block").agg(F.bitmap_construct_agg(F.col("pos")).alias("bits")))
-    bits.repartition(files, "part").write.partitionBy("part").parquet(f"{path}/{batch}/bits")
+    bits.write.partitionBy("part").parquet(f"{path}/{batch}/bits")
     return batch
 
 
