@@ -9,10 +9,12 @@ words in this order, grow their phrases word by word (only a phrase counted
 often enough is grown further), score what is found, and end in each language
 when no first word left could reach its 2000th surviving score.
 
-Texts are cut once into arrays of word numbers with a dictionary of 64-bit
-word codes for each portion. A growth step broadcasts a bounded number of
+The table is read twice: once to count words, then to write it as arrays of
+the numbers of those counted often enough (no other word is in a phrase to be
+found, so it ends a piece). A growth step broadcasts a bounded number of
 phrases as a trie of sorted arrays, finds them in the arrays, and sums up the
-words that follow before anything is shuffled; more phrases take more steps.
+words that follow in a task before anything is shuffled; more phrases take more
+steps.
 """
 
 from __future__ import annotations
@@ -35,8 +37,14 @@ LONGEST, LEAST, BEST = 5, 100, 2000
 ROOTS, NODES = 4000, 400_000
 #: characters of one array of word numbers (a longer text alone)
 PORTION = 1 << 20
-#: rows (of about a megabyte) of an Arrow batch: the JVM and the worker each hold one
-BATCH = 4
+#: rows (arrays of about a megabyte; texts) of an Arrow batch: the JVM and the worker each hold one
+BATCH, TEXTS = 4, 16
+#: pairs, and bytes of words, that a task holds to sum them up before it gives them on, and rows of an Arrow batch it gives
+HELD, HELD_BYTES, GIVEN = 1 << 20, 1 << 25, 1 << 16
+#: words of a table for each file of phrases: few are counted often enough, and a file a shuffle partition would mostly be tiny
+FILE_WORDS = 50_000_000
+#: Parquet looks at sizes only every 100 rows by default: pages and their off-heap buffers would grow to 100 arrays
+LAYOUT = {"parquet.block.size": 8 << 20, "parquet.block.size.row.check.min": 1, "parquet.page.size.row.check.min": 1}
 _SAME = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n" * 9 + b" ")
 _C = [f"c{i}" for i in range(1, LONGEST + 1)]
 
@@ -62,31 +70,59 @@ def word_rows(lang: str, texts: list[str]) -> tuple[list[str], np.ndarray, np.nd
     return words, np.bincount(numbers, minlength=len(words) + 1)[1:], codes, numbers
 
 
-def coded_texts(docs: DataFrame) -> DataFrame:
-    """(lang, words, counts, codes, numbers): a row for each portion of a
-    language's texts in a task."""
+def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[str]]]:
+    """Texts of one language, about PORTION characters at a time."""
+    held: dict[str, list[str]] = {}
+    size: dict[str, int] = {}
+    for b in batches:
+        for lang, text in zip(b.column(0).to_pylist(), b.column(1)):
+            t = text.as_py()
+            held.setdefault(lang, []).append(t)
+            size[lang] = size.get(lang, 0) + len(t)
+            if size[lang] >= PORTION:
+                yield lang, held.pop(lang)
+                del size[lang]
+    yield from held.items()
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+
+
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(lang, word, n), summed up in a task as far as HELD_BYTES go."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list[str]] = {}
-        size: dict[str, int] = {}
-        for b in batches:
-            for lang, text in zip(b.column(0).to_pylist(), b.column(1)):
-                t = text.as_py()
-                held.setdefault(lang, []).append(t)
-                size[lang] = size.get(lang, 0) + len(t)
-                if size[lang] >= PORTION:
-                    yield row(lang, held.pop(lang))
-                    del size[lang]
-        for lang, texts in held.items():
-            yield row(lang, texts)
-
-    def row(lang: str, texts: list[str]) -> pa.RecordBatch:
-        words, counts, codes, numbers = word_rows(lang, texts)
-        return pa.RecordBatch.from_pydict({
-            "lang": pa.array([lang]), "words": pa.array([words], pa.list_(pa.string())), "counts": pa.array([counts.tolist()], pa.list_(pa.int64())),
-            "codes": pa.array([codes.tobytes()], pa.binary()), "numbers": pa.array([numbers.astype("<i4").tobytes()], pa.binary())})
-
-    texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return texts.mapInArrow(run, "lang string, words array<string>, counts array<long>, codes binary, numbers binary")
+        held: list[pa.Table] = []
+        for lang, texts in _portions(batches):
+            words, counts, _, _ = word_rows(lang, texts)
+            held.append(pa.table({"lang": pa.array([lang] * len(words), pa.string()), "word": pa.array(words, pa.string()), "n": pa.array(counts, pa.int64())}))
+            if sum(t.nbytes for t in held) >= HELD_BYTES:
+                held = [summed(held)]
+                if held[0].nbytes > HELD_BYTES // 2:
+                    yield from held.pop().to_batches(GIVEN)
+        if held:
+            yield from summed(held).to_batches(GIVEN)
+
+    def summed(held: list[pa.Table]) -> pa.Table:
+        sums = pa.concat_tables(held).group_by(["lang", "word"], use_threads=False).aggregate([("n", "sum")])
+        return sums.select(["lang", "word", "n_sum"]).rename_columns(["lang", "word", "n"]).combine_chunks()
+
+    return _texts(docs).mapInArrow(run, "lang string, word string, n long")
+
+
+def numbered_texts(docs: DataFrame, codes: Broadcast) -> DataFrame:
+    """(numbers): a row for each portion of a language's texts in a task, as
+    the places from 1 on of its words in the sorted ``codes``, 0 between
+    pieces and for words that aren't there."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, texts in _portions(batches):
+            _, _, own, numbers = word_rows(lang, texts)
+            place = np.minimum(np.searchsorted(codes.value, own), len(codes.value) - 1)
+            numbers = np.concatenate([[0], np.where(codes.value[place] == own, place + 1, 0)])[numbers]
+            numbers = numbers[(numbers > 0) | np.concatenate([[False], numbers[:-1] > 0])]  # breaks in a row are one
+            yield pa.RecordBatch.from_pydict({"numbers": pa.array([numbers.astype("<i4").tobytes()], pa.binary())})
+
+    return _texts(docs).mapInArrow(run, "numbers binary")
 
 
 # ---------------------------------------------------------------- phrases in the arrays
@@ -129,13 +165,24 @@ class Trie:
 
     def count(self, codes: np.ndarray, numbers: np.ndarray) -> Iterator[tuple[str, np.ndarray, np.ndarray, np.ndarray]]:
         """(kind, rows of its phrases, codes of the words beside them or 0,
-        counts) in one portion."""
-        if not self.depth or not len(codes):
-            return
+        counts) in one portion whose words have these codes."""
         codes = np.concatenate([[0], codes])
+        for kind, pair, times in self.pairs(self.found(codes[1:]), numbers):
+            yield kind, pair // len(codes), codes[pair % len(codes)], times
+
+    def found(self, codes: np.ndarray) -> np.ndarray:
+        """The words of the phrases that numbers from 0 on stand for, -1 for
+        none, if words from 1 on have these codes."""
+        found = np.full(len(codes) + 1, -1, dtype=np.int64)
+        if len(self.words):
+            at = np.minimum(np.searchsorted(self.words, codes), len(self.words) - 1)
+            found[1:] = np.where(self.words[at] == codes, at, -1)
+        return found
+
+    def pairs(self, found: np.ndarray, numbers: np.ndarray) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
+        """(kind, row of a phrase times the length of ``found`` plus the
+        number of the word beside it or 0, counts) in one portion."""
         numbers = np.concatenate([[0], numbers, np.zeros(LONGEST, dtype=numbers.dtype)])
-        found = np.minimum(np.searchsorted(self.words, codes), len(self.words) - 1)
-        found[(self.words[found] != codes) | (np.arange(len(codes)) == 0)] = -1
         word = found[numbers]
         at = np.flatnonzero(word >= 0)
         node = word[at]
@@ -156,41 +203,65 @@ class Trie:
                 if kind != "whole":
                     beside = numbers[here + level if kind == "right" else here - 1].astype(np.int64)
                     row, beside = row[beside > 0], beside[beside > 0]
-                pair, times = np.unique(row * len(codes) + beside, return_counts=True)
+                pair, times = np.unique(row * len(found) + beside, return_counts=True)
                 if len(pair):
-                    yield kind, pair // len(codes), np.where(pair % len(codes) > 0, codes[pair % len(codes)], 0), times
+                    yield kind, pair, times
+
 
+def _summed(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Different pairs in order, and their counts."""
+    pair, n = (np.concatenate(x) for x in zip(*held))
+    order = np.argsort(pair, kind="stable")
+    pair = pair[order]
+    first = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
+    return pair[first], np.add.reduceat(n[order], first)
 
-def counted(coded: DataFrame, least: int, **kinds: np.ndarray) -> tuple[DataFrame, Broadcast]:
+
+def counted(numbered: DataFrame, codes: Broadcast, least: int, **kinds: np.ndarray) -> tuple[DataFrame, Broadcast]:
     """(kind, c1..c5, beside, n) of the given phrases over all texts, counts
     of ``least`` or more, and the broadcast phrases, to be destroyed once the
-    counts are written. Phrases are shuffled as their numbers."""
-    shared = coded.sparkSession.sparkContext.broadcast(Trie(**kinds))
+    counts are written. A phrase, its kind and the word beside it are shuffled
+    as one number, summed up in a task as far as HELD pairs go."""
+    shared = numbered.sparkSession.sparkContext.broadcast(Trie(**kinds))
     names = list(kinds)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = shared.value
+        found = trie.found(codes.value)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         for b in batches:
-            for codes, numbers in zip(b.column(0), b.column(1)):
-                for kind, rows, beside, n in trie.count(np.frombuffer(codes.as_buffer(), dtype="<i8"), np.frombuffer(numbers.as_buffer(), dtype="<i4")):
-                    yield pa.RecordBatch.from_arrays([pa.array(rows * len(names) + names.index(kind)), pa.array(beside), pa.array(n)], names=["row", "beside", "n"])
+            for numbers in b.column(0):
+                for kind, pair, n in trie.pairs(found, np.frombuffer(numbers.as_buffer(), dtype="<i4")):
+                    row, beside = np.divmod(pair, len(found))
+                    held.append(((row * len(names) + names.index(kind)) * len(found) + beside, n))
+                if sum(len(pair) for pair, _ in held) >= HELD:
+                    held = [_summed(held)]
+                    if len(held[0][0]) > HELD // 2:
+                        yield from give(*held.pop())
             pa.default_memory_pool().release_unused()
+        if held:
+            yield from give(*_summed(held))
+
+    def give(pair: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for i in range(0, len(pair), GIVEN):
+            yield pa.RecordBatch.from_arrays([pa.array(pair[i:i + GIVEN]), pa.array(n[i:i + GIVEN])], names=["pair", "n"])
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = shared.value
+        words = np.concatenate([[0], codes.value])
         for b in batches:
-            row = b.column(0).to_numpy()
+            row, beside = np.divmod(b.column(0).to_numpy(), len(words))
             kind = row % len(names)
             phrase = np.empty((len(row), LONGEST), dtype=np.int64)
             for i, name in enumerate(names):
                 phrase[kind == i] = trie.spelled(name, row[kind == i] // len(names))
             yield pa.RecordBatch.from_arrays([pa.array(np.array(names, dtype=object)[kind], pa.string()), *(pa.array(phrase[:, i]) for i in range(LONGEST)),
-                                              b.column(1), b.column(2)], names=["kind", *_C, "beside", "n"])
+                                              pa.array(words[beside]), b.column(1)], names=["kind", *_C, "beside", "n"])
 
-    # a portion's pairs are summed up already and mostly differ from the next one's: dealt out first, so that no task
-    # keeps a map of them before the shuffle; a pair is one row a portion at most, however common
-    found = coded.select("codes", "numbers").mapInArrow(find, "row long, beside long, n long").repartition("row", "beside")
-    often = found.groupBy("row", "beside").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    # summed up already: dealt out first, so that no task keeps another map of them before the shuffle; a pair is one row
+    # a portion at most, however common
+    found = numbered.mapInArrow(find, "pair long, n long").repartition("pair")
+    often = found.groupBy("pair").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     return often.mapInArrow(spell, "kind string, " + ", ".join(f"{c} long" for c in _C) + ", beside long, n long"), shared
 
 
@@ -219,25 +290,32 @@ class Miner:
         self.spark = docs.sparkSession
         self.least, self.best, self.nodes, self.take = least, best, nodes, roots
         self.paths: list[str] = []
-        self.coded = self.keep(coded_texts(docs), "coded")
-        each = self.coded.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w")).select("lang", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
-        words = each.repartition("lang", "word").groupBy("lang", "word").agg(F.sum("n").alias("f"))  # one row a portion, as in ``counted``
-        words = self.keep(words.withColumn("code", F.xxhash64("lang", "word")), "words")
+        self.codes: Broadcast | None = None
+        self.files = 2
+        words = word_counts(docs).repartition("lang", "word").groupBy("lang", "word").agg(F.sum("n").alias("f"))  # summed up already, as in ``counted``
+        # words counted too seldom are one row a language, without a word
+        words = words.groupBy("lang", F.when(F.col("f") >= least, F.col("word")).alias("word")).agg(F.sum("f").alias("f"))
+        words = self.keep(words.withColumn("code", F.xxhash64("lang", "word")), "words", TEXTS)
         #: a row a language
         self.total = {r["lang"]: r["n"] for r in words.groupBy("lang").agg(F.sum("f").alias("n")).collect()}
-        self.words = self.keep(words.where(F.col("f") >= least), "words")
+        self.files = max(self.files, sum(self.total.values()) // FILE_WORDS)
+        self.words = words.where("word is not null")
         n, different, zero = self.words.agg(F.count(F.lit(1)), F.count_distinct("code"), F.count_if(F.col("code") == 0)).first()
         if n != different or zero:
             raise RuntimeError("two words have one 64-bit code")
+        if n:
+            #: 8 bytes for each word counted often enough
+            self.codes = self.spark.sparkContext.broadcast(np.sort(self.words.select("code").toPandas()["code"].to_numpy(dtype=np.int64)))
+            self.numbered = self.keep(numbered_texts(docs, self.codes), "numbered", TEXTS, LAYOUT, dealt=False)
         self.scored: list[DataFrame] = []
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
+    def keep(self, df: DataFrame, name: str, batch: int = BATCH, options: dict | None = None, dealt: bool = True) -> DataFrame:
         # rows of a megabyte: Arrow batches of the usual number of rows would take hundreds
         setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
         before = self.spark.conf.get(setting)
-        self.spark.conf.set(setting, BATCH)
+        self.spark.conf.set(setting, batch)
         try:
-            df, path = staged(df, f"collocations-{name}")
+            df, path = staged(df.repartition(self.files) if dealt else df, f"collocations-{name}", options)
         finally:
             self.spark.conf.set(setting, before)
         self.paths.append(path)
@@ -246,7 +324,7 @@ class Miner:
     def counts(self, kind: str, phrases: np.ndarray) -> DataFrame:
         """``counted``, written before the next phrases are broadcast, so that
         executors hold one trie at a time."""
-        df, shared = counted(self.coded, self.least, **{kind: phrases})
+        df, shared = counted(self.numbered, self.codes, self.least, **{kind: phrases})
         df = self.keep(df, "counts")
         shared.destroy()
         return df
@@ -372,12 +450,15 @@ def collocations(docs: DataFrame, least: int = LEAST, best: int = BEST, roots: i
     count descending, phrase ascending by its bytes; ties on the last place
     are settled by it. Null texts count as empty, null languages as ``und``;
     repeated rows count each; other columns, whatever their names, are
-    ignored; an empty table gives an empty result. ``roots`` and ``nodes``
+    ignored; an empty table gives an empty result. ``docs`` is read twice and
+    must give the same rows. ``roots`` and ``nodes``
     set the work of a round and change no result. Two words with one 64-bit
     code are an error."""
     ship(docs.sparkSession)
     miner = Miner(docs, least, best, roots, nodes)
     out = miner.run()
+    if miner.codes:
+        miner.codes.destroy()
     for path in miner.paths:
         drop_path(miner.spark, path)
     return out

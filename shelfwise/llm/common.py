@@ -34,10 +34,10 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return staged(df, name)[0]
 
 
-def staged(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+def staged(df: DataFrame, name: str, options: dict | None = None) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 

@@ -149,3 +149,72 @@ def test_workers_hold_one_slim_trie(spark, monkeypatch):
     docs = spark.createDataFrame([(i, "red green blue grey " * 3, "en") for i in range(60)], "doc_id long, text string, lang string")
     assert K.collocations(docs, least=100, nodes=2).count() > 0
     assert len(live) > 2 and not any(live)
+
+
+def _large(seeds, rare):
+    """Texts of more than one portion's characters each, of few frequent words
+    and rare ones that differ."""
+    out = []
+    for seed in seeds:
+        rng = random.Random(seed)
+        words = rng.choices(["a", "b", "c", "d"], k=K.PORTION // 2) + [f"r{seed}x{i}" for i in range(rare)]
+        rng.shuffle(words)
+        out.append((seed, " ".join(words), "en"))
+    return out
+
+
+def test_pairs_are_summed_up_before_the_shuffle(spark, monkeypatch):
+    """A pair is shuffled once a task, not once a portion, and no pair with a
+    word counted too seldom is."""
+    docs = spark.createDataFrame(_large(range(3), 5000), "doc_id long, text string, lang string").coalesce(1)
+    shuffled, plain = [], type(docs).repartition
+
+    def repartition(self, *cols):
+        if {"row", "pair"} & set(cols):
+            shuffled.append(self.count())
+        return plain(self, *cols)
+
+    monkeypatch.setattr(type(docs), "repartition", repartition)
+    got = K.collocations(docs, least=100, best=3).collect()
+    assert [r["rank"] for r in got] == [1, 2, 3]
+    assert shuffled and max(shuffled) <= 4 ** 3 + 4 ** 4 + 4 ** 5  # words before phrases of 2 to 4
+
+
+def test_texts_are_written_in_small_row_groups(spark, monkeypatch):
+    """Readers' and writers' buffers hold a few portions, not a whole file."""
+    import pyarrow.parquet as pq
+    kept, plain = {}, K.Miner.keep
+
+    def keep(self, df, name, *more, **named):
+        kept[name] = plain(self, df, name, *more, **named)
+        return kept[name]
+
+    monkeypatch.setattr(K.Miner, "keep", keep)
+    docs = spark.createDataFrame(_large(range(10), 0), "doc_id long, text string, lang string").coalesce(1)
+    K.Miner(docs, 100, 3, 10, 100)
+    (file,) = next(kept[name] for name in ("numbered", "coded") if name in kept).inputFiles()
+    meta = pq.ParquetFile(file.removeprefix("file://")).metadata
+    sizes = [meta.row_group(i).total_byte_size for i in range(meta.num_row_groups)]
+    assert sum(sizes) > 19 << 20 and max(sizes) < 18 << 20
+
+
+def test_phrases_are_written_in_few_files(spark, monkeypatch):
+    """However many shuffle partitions there are."""
+    files, plain = [], K.staged
+
+    def staged(*args):
+        df, path = plain(*args)
+        files.append(len(df.inputFiles()))
+        return df, path
+
+    monkeypatch.setattr(K, "staged", staged)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        docs = spark.createDataFrame([(i, t, "en") for i, t, _ in corpus()], "doc_id long, text string, lang string").coalesce(1)
+        assert K.collocations(docs, least=3).count() > 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(files) > 5 and max(files) <= 2
